@@ -20,9 +20,24 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
+_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+
+
+def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One lazily built warehouse per (session, input folder).
+
+    Only the driver-side plan objects are shared between queries (no data is
+    cached): each query still scans the testdata tables when it runs.
+    """
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse.from_testdata(spark, sf_dir)
+    return _WAREHOUSES[key]
+
+
 def register(key: str, fn: Callable[[Warehouse], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Warehouse.from_testdata(spark, sf_dir))
+        return fn(warehouse_for(spark, sf_dir))
 
     run.__name__ = key
     REGISTRY[key] = run
