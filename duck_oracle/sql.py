@@ -197,3 +197,176 @@ for _t in ["pos_transactions", "pos_items", "ecom_orders", "ecom_items",
 for _t in ["dim_date", "dim_product", "dim_store", "fact_pos_transactions", "fact_ecom_orders",
            "fact_sales_items", "fact_returns", "fact_inventory_snapshots"]:
     q(_t, [_t], f"SELECT * FROM {_t}")
+
+# ------------------------------------------------------------------ ingestion / validation
+from ledgerlake.sources.schemas import RAW_COLUMNS, RECORD_COUNT_LABELS, SOURCE_FILES  # noqa: E402
+from duck_oracle.ctes import ti, td, tdate, tts  # noqa: E402
+
+_RAW = list(RAW_COLUMNS)
+_SILVER = ["pos_transactions", "pos_items", "ecom_orders", "ecom_items",
+           "inventory_snapshots", "returns", "products", "stores"]
+_GOLD = ["dim_date", "dim_product", "dim_store", "fact_pos_transactions", "fact_ecom_orders",
+         "fact_sales_items", "fact_returns", "fact_inventory_snapshots"]
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+q("load_raw_csv", ["stores_raw"],
+  "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLUMNS["stores_raw"]) + " FROM stores_raw")
+
+q("load_all_raw", _RAW, _union([
+    f"SELECT '{ds}' AS table_name, count(*) AS record_count, CAST(sum("
+    + " + ".join(f"CAST(NULLIF({c}, '') IS NULL AS BIGINT)" for c in cols)
+    + f") AS BIGINT) AS null_cells FROM {ds}"
+    for ds, cols in RAW_COLUMNS.items()
+]))
+
+q("lineage_enrich", _RAW, _union([
+    f"SELECT '{ds}' AS table_name, '{SOURCE_FILES[ds]}' AS source_file, count(*) AS row_count, "
+    f"count(*) AS stamped_rows FROM {ds}"
+    for ds in _RAW
+]))
+
+q("full_refresh_write", [f"silver_{t}" for t in _SILVER] + _GOLD, _union(
+    [f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS row_count FROM silver_{t}" for t in _SILVER]
+    + [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _GOLD]
+))
+
+_VIEW_KEYS = ["view_revenue_summary", "view_kpi_overview", "kpi_overview_exact", "view_daily_revenue",
+              "view_product_performance", "view_category_performance", "view_store_performance",
+              "view_inventory_snapshot", "view_inventory_turnover", "view_returns_summary",
+              "returns_summary_safe", "sq1_monthly_net_revenue", "sq2_revenue_by_channel",
+              "sq3_top10_products", "sq4_below_safety_stock", "sq5_return_rate_by_channel"]
+ORACLE["publish_views"] = _union([
+    f"SELECT '{k}' AS view_name, (SELECT count(*) FROM (\n{ORACLE[k]}\n) v) AS row_count" for k in _VIEW_KEYS
+])
+
+q("sample_rows", _RAW, _union([
+    f"(SELECT '{ds}' AS table_name, concat_ws('|', "
+    + ", ".join(f"coalesce({c}, '<NULL>')" for c in cols)
+    + f") AS row_text FROM {ds} ORDER BY row_text LIMIT 10)"
+    for ds, cols in RAW_COLUMNS.items()
+]))
+
+q("record_counts", _RAW, _union([
+    f"SELECT '{RECORD_COUNT_LABELS[ds]}' AS table_name, count(*) AS record_count FROM {ds}" for ds in _RAW
+]))
+
+_TARGET = {
+    "pos_transactions_raw": {"store_id": "int", "transaction_timestamp": "ts", "total_amount": "dec",
+                             "discount_amount": "dec", "tax_amount": "dec"},
+    "pos_items_raw": {"product_id": "int", "quantity": "int", "unit_price": "dec", "line_total": "dec"},
+    "ecom_orders_raw": {"order_timestamp": "ts", "shipping_cost": "dec", "total_amount": "dec",
+                        "discount_amount": "dec"},
+    "ecom_items_raw": {"order_item_id": "int", "product_id": "int", "quantity": "int", "unit_price": "dec",
+                       "line_total": "dec"},
+    "inventory_snapshots_raw": {"snapshot_date": "date", "store_id": "int", "product_id": "int",
+                                "beginning_inventory": "int", "ending_inventory": "int",
+                                "inventory_value": "dec14", "safety_stock": "int"},
+    "returns_raw": {"product_id": "int", "return_date": "date", "refund_amount": "dec",
+                    "quantity_returned": "int"},
+    "products_raw": {"product_id": "int", "cost": "dec", "price": "dec", "launch_date": "date"},
+    "stores_raw": {"store_id": "int", "opening_date": "date"},
+}
+_CONV = {"int": ti, "dec": td, "dec14": lambda c: td(c, 14, 2), "date": tdate, "ts": tts}
+
+
+def _profile_part(ds: str, c: str) -> str:
+    kind = _TARGET[ds].get(c)
+    invalid = (f"count(*) FILTER (WHERE {c} IS NOT NULL AND trim({c}) <> '' AND {_CONV[kind](c)} IS NULL)"
+               if kind else "CAST(0 AS BIGINT)")
+    return (f"SELECT '{ds}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+            f"count(*) FILTER (WHERE {c} IS NOT NULL AND trim({c}) = '') AS blank_count, "
+            f"{invalid} AS invalid_count FROM {ds}")
+
+
+q("dq_profile", _RAW, _union([_profile_part(ds, c) for ds, cols in RAW_COLUMNS.items() for c in cols]))
+
+_FLAGS = {
+    "pos_transactions": ["is_bad_date", "is_bad_store", "is_bad_total", "is_duplicate"],
+    "pos_items": ["is_bad_qty", "is_bad_price", "is_bad_line_total", "is_line_total_mismatch", "is_duplicate"],
+    "ecom_orders": ["is_bad_date", "is_bad_total", "is_duplicate"],
+    "ecom_items": ["is_bad_qty", "is_bad_price", "is_bad_line_total", "is_line_total_mismatch", "is_duplicate"],
+    "inventory_snapshots": ["is_bad_date", "is_bad_store", "is_below_safety_stock", "is_duplicate"],
+    "returns": ["is_bad_return_date", "is_bad_qty", "is_bad_refund", "is_duplicate"],
+    "products": ["is_negative_margin", "is_duplicate"],
+    "stores": ["is_duplicate"],
+}
+q("dq_flag_summary", [f"silver_{t}" for t in _SILVER], _union([
+    f"SELECT '{t}' AS table_name, '{f}' AS flag_name, CAST(sum({f}) AS BIGINT) AS flagged_rows, "
+    f"count(*) AS total_rows FROM silver_{t}"
+    for t, flags in _FLAGS.items() for f in flags
+]))
+
+_NOT_NULL = {
+    "pos_transactions": ["transaction_id"], "pos_items": ["transaction_id", "product_id"],
+    "ecom_orders": ["order_id"], "ecom_items": ["order_item_id"],
+    "inventory_snapshots": ["store_id", "product_id"], "returns": ["return_id"],
+    "products": ["product_id"], "stores": ["store_id"],
+}
+_TYPED = {"pos_transactions": "s_pos_tx_typed", "pos_items": "s_pos_items_typed",
+          "ecom_orders": "s_ecom_orders_typed", "ecom_items": "s_ecom_items_typed",
+          "inventory_snapshots": "s_inventory_typed", "returns": "s_returns_typed",
+          "products": "s_products_typed", "stores": "s_stores_typed"}
+q("quarantine_not_null", list(_TYPED.values()), _union([
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS rejected_rows, "
+    f"count(*) AS total_rows FROM {_TYPED[t]}"
+    for t, cols in _NOT_NULL.items() for c in cols
+]))
+
+_FK = [
+    ("fact_pos_transactions", "date_sk", "dim_date", False),
+    ("fact_pos_transactions", "store_sk", "dim_store", False),
+    ("fact_ecom_orders", "date_sk", "dim_date", False),
+    ("fact_sales_items", "product_sk", "dim_product", False),
+    ("fact_sales_items", "store_sk", "dim_store", True),
+    ("fact_sales_items", "date_sk", "dim_date", False),
+    ("fact_returns", "product_sk", "dim_product", False),
+    ("fact_returns", "store_sk", "dim_store", True),
+    ("fact_returns", "date_sk", "dim_date", False),
+    ("fact_inventory_snapshots", "product_sk", "dim_product", False),
+    ("fact_inventory_snapshots", "store_sk", "dim_store", False),
+    ("fact_inventory_snapshots", "date_sk", "dim_date", False),
+]
+_NATURAL = {"product_sk": "product_id", "store_sk": "store_id", "date_sk": "date_sk"}
+
+
+def _fk_part(fact, key, dim, nullable):
+    k = _NATURAL[key]
+    nulls = "CAST(0 AS BIGINT)" if nullable else f"count(*) FILTER (WHERE f.{k} IS NULL)"
+    return (f"SELECT '{fact}.{key} -> {dim}' AS relation, count(*) AS checked_rows, {nulls} AS null_violations, "
+            f"count(*) FILTER (WHERE f.{k} IS NOT NULL AND d.{k} IS NULL) AS orphan_rows "
+            f"FROM {fact} f LEFT JOIN (SELECT DISTINCT {k} FROM {dim}) d ON f.{k} = d.{k}")
+
+
+q("fk_audit", _GOLD, _union([_fk_part(*r) for r in _FK]))
+
+_FACT_GRAINS = {
+    "fact_pos_transactions": ["transaction_id"],
+    "fact_ecom_orders": ["order_id"],
+    "fact_sales_items": ["source_system", "transaction_id", "product_sk", "date_sk"],
+    "fact_returns": ["return_id"],
+    "fact_inventory_snapshots": ["product_sk", "store_sk", "date_sk"],
+}
+_DIM_GRAINS = {"dim_product": ["product_id"], "dim_store": ["store_id"], "dim_date": ["full_date"]}
+
+
+def _grain_part(t, keys):
+    cols = ", ".join(_NATURAL.get(k, k) for k in keys)
+    return (f"SELECT '{t}' AS table_name, '{', '.join(keys)}' AS grain, count(*) AS duplicate_keys, "
+            f"CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
+            f"FROM (SELECT {cols}, count(*) AS n FROM {t} GROUP BY {cols} HAVING count(*) > 1) g")
+
+
+q("grain_audit_facts", list(_FACT_GRAINS), _union([_grain_part(t, k) for t, k in _FACT_GRAINS.items()]))
+q("grain_audit_dims", list(_DIM_GRAINS), _union([_grain_part(t, k) for t, k in _DIM_GRAINS.items()]))
+
+q("dedup_keep_latest", ["s_stores_typed"], """
+SELECT store_id, store_name, store_type, region, address, opening_date, manager_id, source_file
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY store_name, store_type, region, address,
+             opening_date, manager_id, source_file) AS rn
+      FROM s_stores_typed WHERE store_id IS NOT NULL) t
+WHERE rn = 1""")

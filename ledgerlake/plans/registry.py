@@ -86,3 +86,134 @@ def queries() -> dict[str, QueryFn]:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One KPI through every layer: revenue by channel with share of total."""
     return REGISTRY["view_revenue_summary"](spark, sf_dir).orderBy(F.col("source_system"))
+
+
+# ----------------------------------------------------------------- ingestion
+def _landed_extracts(w: Warehouse) -> dict[str, DataFrame]:
+    """Write the raw frames as CSV extracts to the shared folder, then load
+    them back through the loader (what a scheduled drop goes through)."""
+    import uuid
+
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources import csv_loader
+
+    base = scratch_path(w.spark, f"extracts-{uuid.uuid4().hex[:12]}")
+    csv_loader.write_extracts(w.raw_datasets, base)
+    return csv_loader.load_all_raw(w.spark, base, with_lineage=True)
+
+
+def _load_raw_csv(w: Warehouse) -> DataFrame:
+    from ledgerlake.sources import csv_loader
+    from ledgerlake.session import scratch_path
+    import uuid
+
+    base = scratch_path(w.spark, f"extracts-{uuid.uuid4().hex[:12]}")
+    paths = csv_loader.write_extracts({"stores_raw": w.raw("stores_raw")}, base)
+    return csv_loader.load_raw_csv(w.spark, "stores_raw", paths["stores_raw"])
+
+
+def _load_all_raw(w: Warehouse) -> DataFrame:
+    from ledgerlake.sources.schemas import RAW_COLUMNS
+
+    loaded = _landed_extracts(w)
+    frames = []
+    for ds, cols in RAW_COLUMNS.items():
+        nulls = sum((F.col(c).isNull().cast("bigint") for c in cols), F.lit(0).cast("bigint"))
+        frames.append(loaded[ds].agg(
+            F.count(F.lit(1)).alias("record_count"), F.sum(nulls).cast("bigint").alias("null_cells")
+        ).select(F.lit(ds).alias("table_name"), "record_count", "null_cells"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _lineage_enrich(w: Warehouse) -> DataFrame:
+    from ledgerlake.sources.schemas import RAW_COLUMNS
+
+    loaded = _landed_extracts(w)
+    out = None
+    for ds in RAW_COLUMNS:
+        g = loaded[ds].groupBy(F.lit(ds).alias("table_name"), "source_file").agg(
+            F.count(F.lit(1)).alias("row_count"), F.count("load_timestamp").alias("stamped_rows")
+        )
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+register("load_raw_csv", _load_raw_csv)
+register("load_all_raw", _load_all_raw)
+register("lineage_enrich", _lineage_enrich)
+
+
+def _full_refresh_write(w: Warehouse) -> DataFrame:
+    """Materialise Silver and Gold twice into the same folder (overwrite):
+    the second run must leave the same tables and row counts."""
+    import uuid
+
+    from ledgerlake.plans.warehouse import GOLD_TABLES
+    from ledgerlake.session import scratch_path
+
+    path = scratch_path(w.spark, f"warehouse-{uuid.uuid4().hex[:12]}")
+    w.materialize(path)
+    written = w.materialize(path)
+    frames = [
+        written.silver(t).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit("silver").alias("layer"), F.lit(t).alias("table_name"), "row_count")
+        for t in SILVER_TABLES
+    ] + [
+        written.gold(t).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit("gold").alias("layer"), F.lit(t).alias("table_name"), "row_count")
+        for t in GOLD_TABLES
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _publish_views(w: Warehouse) -> DataFrame:
+    names = views.publish_views(w, prefix="")
+    out = None
+    for n in names:
+        g = w.spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(n).alias("view_name"), "row_count")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+register("full_refresh_write", _full_refresh_write)
+register("publish_views", _publish_views)
+
+# ----------------------------------------------------------------- quality
+from ledgerlake.operators import quality  # noqa: E402
+from ledgerlake.operators.dedup import dedup_keep_latest  # noqa: E402
+from ledgerlake.operators import gold as _gold  # noqa: E402
+
+
+def _gold_tables(w: Warehouse) -> dict[str, DataFrame]:
+    from ledgerlake.plans.warehouse import GOLD_TABLES
+
+    return {t: w.gold(t) for t in GOLD_TABLES}
+
+
+register("sample_rows", lambda w: quality.sample_rows(w.raw_datasets))
+register("record_counts", lambda w: quality.record_counts(w.raw_datasets))
+register("dq_profile", lambda w: quality.dq_profile(w.raw_datasets))
+register("dq_flag_summary", lambda w: quality.dq_flag_summary({t: w.silver(t) for t in SILVER_TABLES}))
+register("quarantine_not_null", lambda w: quality.quarantine_not_null({t: w.silver_typed(t) for t in SILVER_TABLES}))
+register("fk_audit", lambda w: quality.fk_audit(_gold_tables(w)))
+register("grain_audit_facts", lambda w: quality.grain_audit(_gold_tables(w), quality.FACT_GRAINS))
+register("grain_audit_dims", lambda w: quality.grain_audit(_gold_tables(w), quality.DIM_GRAINS))
+
+
+def _dedup_keep_latest(w: Warehouse) -> DataFrame:
+    """Documented intent: the store dimension keeping the newest version of
+    a duplicated store instead of dropping every copy."""
+    typed = w.silver_typed("stores")
+    latest = dedup_keep_latest(quality.quarantine_split(typed, "stores")[0], ["store_id"])
+    dim = _gold.dim_store(latest.withColumn("is_duplicate", F.lit(0)))
+    return without_load_time(dim.drop("store_sk"))
+
+
+register("dedup_keep_latest", _dedup_keep_latest)

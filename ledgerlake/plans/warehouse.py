@@ -14,6 +14,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import gold, silver
 from ledgerlake.session import checkpoint_dir
@@ -26,8 +27,10 @@ GOLD_TABLES = [
     "fact_pos_transactions", "fact_ecom_orders", "fact_sales_items",
     "fact_returns", "fact_inventory_snapshots",
 ]
-# Fact tables are written partitioned by this column when materialised.
-FACT_PARTITION = "date_sk"
+# Fact tables are written partitioned by calendar month (yyyyMM, derived
+# from the yyyyMMdd date key) when materialised: month filters prune
+# folders, and a month is a large enough unit at any scale.
+FACT_PARTITION = "date_month"
 
 
 class Warehouse:
@@ -58,7 +61,8 @@ class Warehouse:
         for name in SILVER_TABLES:
             tables[f"silver_{name}"] = spark.read.parquet(os.path.join(path, "silver", name))
         for name in GOLD_TABLES:
-            tables[name] = spark.read.parquet(os.path.join(path, "gold", name))
+            df = spark.read.parquet(os.path.join(path, "gold", name))
+            tables[name] = df.drop(FACT_PARTITION) if FACT_PARTITION in df.columns else df
         bronze = os.path.join(path, "bronze")
         raw = {}
         if os.path.isdir(bronze):
@@ -161,9 +165,12 @@ class Warehouse:
                 # sorted by day inside each task (no shuffle): each task
                 # writes each of its days once, and a hot day stays spread
                 # over all the tasks that hold it.
+                df = df.withColumn(FACT_PARTITION, (F.col("date_sk") / 100).cast("int"))
                 df = df.sortWithinPartitions(FACT_PARTITION)
                 w = df.write.mode("overwrite").partitionBy(FACT_PARTITION)
             w.parquet(os.path.join(path, "gold", name))
+            if name.startswith("dim_"):
+                written._memo[name] = self.spark.read.parquet(os.path.join(path, "gold", name))
         return Warehouse.from_parquet(self.spark, path, self.date_range)
 
     @classmethod
