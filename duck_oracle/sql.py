@@ -5,7 +5,7 @@ Spark side are cross-checked against the plain formulation."""
 
 from __future__ import annotations
 
-from duck_oracle.ctes import iavg, idiv, ratio, ratio_dec, with_ctes
+from duck_oracle.ctes import cte, iavg, idiv, ratio, ratio_dec, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -370,3 +370,51 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY store_name, st
              opening_date, manager_id, source_file) AS rn
       FROM s_stores_typed WHERE store_id IS NOT NULL) t
 WHERE rn = 1""")
+
+# ------------------------------------------------------------------ Tier 2 metrics
+cte("headers", ["fact_pos_transactions", "fact_ecom_orders"], """
+SELECT 'POS' AS channel, transaction_id AS order_id, date_sk, net_revenue FROM fact_pos_transactions
+UNION ALL
+SELECT 'ECOM' AS channel, order_id, date_sk, net_revenue FROM fact_ecom_orders""")
+cte("snapshots", ["fact_inventory_snapshots", "dim_date"], """
+SELECT i.*, d.full_date FROM fact_inventory_snapshots i JOIN dim_date d ON i.date_sk = d.date_sk""")
+
+q("m_total_revenue", ["fact_sales_items"],
+  "SELECT CAST(sum(line_revenue) AS DECIMAL(38,2)) AS total_revenue FROM fact_sales_items")
+q("m_net_revenue", ["headers"],
+  "SELECT channel, CAST(sum(net_revenue) AS DECIMAL(38,2)) AS net_revenue FROM headers GROUP BY channel")
+q("m_aov", ["headers"], f"""
+SELECT channel, CAST(net AS DECIMAL(38,2)) AS net_revenue, order_count, {ratio('net', 'order_count', 2)} AS aov
+FROM (SELECT channel, sum(net_revenue) AS net, count(DISTINCT order_id) AS order_count FROM headers GROUP BY channel) g""")
+q("m_units_sold", ["fact_sales_items"], "SELECT CAST(sum(quantity) AS BIGINT) AS units_sold FROM fact_sales_items")
+q("m_order_count", ["headers"], """
+SELECT channel, count(DISTINCT order_id) AS order_count FROM headers GROUP BY channel
+UNION ALL
+SELECT 'ALL', CAST(sum(n) AS BIGINT) FROM (SELECT count(DISTINCT order_id) AS n FROM headers GROUP BY channel) t""")
+q("m_unit_margin", ["dim_product"],
+  "SELECT product_id, product_name, price, cost, margin AS unit_margin FROM dim_product")
+q("m_contribution_margin", ["fact_sales_items", "dim_product"], """
+SELECT p.product_id, p.product_name, CAST(sum(f.quantity) AS BIGINT) AS units_sold,
+  CAST(sum(p.margin * f.quantity) AS DECIMAL(38,2)) AS contribution_margin
+FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id
+GROUP BY p.product_id, p.product_name""")
+q("m_inventory_value", ["snapshots"],
+  "SELECT full_date, CAST(sum(inventory_value) AS DECIMAL(38,2)) AS inventory_value FROM snapshots GROUP BY full_date")
+q("m_inventory_delta", ["snapshots"], """
+SELECT full_date, store_id, product_id, beginning_inventory, ending_inventory,
+  ending_inventory - beginning_inventory AS inventory_delta FROM snapshots""")
+q("m_inventory_change", ["snapshots"], """
+SELECT full_date, store_id, product_id, ending_inventory, previous_ending,
+  ending_inventory - previous_ending AS inventory_change
+FROM (SELECT *, lag(ending_inventory) OVER (PARTITION BY product_id, store_id ORDER BY date_sk) AS previous_ending
+      FROM snapshots) t""")
+q("m_return_count", ["fact_returns"], "SELECT count(DISTINCT return_id) AS return_count FROM fact_returns")
+q("m_unit_return_rate", ["fact_returns", "fact_sales_items"], f"""
+SELECT r.units_returned, s.units_sold, {ratio('r.units_returned', 's.units_sold', 4)} AS unit_return_rate
+FROM (SELECT CAST(sum(quantity_returned) AS BIGINT) AS units_returned FROM fact_returns) r,
+     (SELECT CAST(sum(quantity) AS BIGINT) AS units_sold FROM fact_sales_items) s""")
+q("m_revenue_return_rate", ["fact_returns", "fact_sales_items"], f"""
+SELECT CAST(r.refund AS DECIMAL(38,2)) AS refund_amount, CAST(s.rev AS DECIMAL(38,2)) AS gross_revenue,
+  {ratio('r.refund', 's.rev', 4)} AS revenue_return_rate
+FROM (SELECT sum(refund_amount) AS refund FROM fact_returns) r,
+     (SELECT sum(line_revenue) AS rev FROM fact_sales_items) s""")

@@ -217,3 +217,9 @@ def _dedup_keep_latest(w: Warehouse) -> DataFrame:
 
 
 register("dedup_keep_latest", _dedup_keep_latest)
+
+# ----------------------------------------------------------------- metrics
+from ledgerlake.plans import metrics  # noqa: E402
+
+for _k, _fn in metrics.METRICS.items():
+    register(_k, _fn)
