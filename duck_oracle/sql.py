@@ -418,3 +418,275 @@ SELECT CAST(r.refund AS DECIMAL(38,2)) AS refund_amount, CAST(s.rev AS DECIMAL(3
   {ratio('r.refund', 's.rev', 4)} AS revenue_return_rate
 FROM (SELECT sum(refund_amount) AS refund FROM fact_returns) r,
      (SELECT sum(line_revenue) AS rev FROM fact_sales_items) s""")
+
+# ------------------------------------------------------------------ Tier 3 questions
+_YM = "CAST(date_sk // 10000 AS INTEGER) AS year_num, CAST((date_sk // 100) % 100 AS INTEGER) AS month_num"
+
+
+def hdiv(n: str, d: str) -> str:
+    """Signed integer division rounded half away from zero (HUGEINT)."""
+    return (f"((CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END) * "
+            f"((2 * abs({n}) + abs({d})) // (2 * abs({d}))))")
+
+
+def cents(x: str) -> str:
+    return f"CAST(({x}) * 100 AS HUGEINT)"
+
+
+def from_cents(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2))"
+
+
+cte("sales_m", ["fact_sales_items"], f"SELECT *, {_YM} FROM fact_sales_items")
+
+q("b01_net_revenue_rollup", ["headers", "dim_date"], """
+SELECT year_num, month_num, full_date, CAST(GROUPING(year_num, month_num, full_date) AS INTEGER) AS grouping_level,
+  CAST(sum(net_revenue) AS DECIMAL(38,2)) AS net_revenue
+FROM (SELECT d.year_num, d.month_num, d.full_date, h.net_revenue FROM headers h JOIN dim_date d ON h.date_sk = d.date_sk) t
+GROUP BY ROLLUP (year_num, month_num, full_date)""")
+
+_B03 = []
+for _m, _c in (("revenue", "rev"), ("units", "qty")):
+    _B03.append(f"(SELECT 'product' AS level, '{_m}' AS metric, CAST(product_id AS VARCHAR) AS member, "
+                f"CAST({_c} AS DECIMAL(38,2)) AS value FROM prod ORDER BY {_c} DESC NULLS LAST, product_id LIMIT 10)")
+    _B03.append(f"(SELECT 'category' AS level, '{_m}' AS metric, category AS member, CAST(sum({_c}) AS DECIMAL(38,2)) AS value "
+                f"FROM prod GROUP BY category ORDER BY sum({_c}) DESC NULLS LAST, category LIMIT 10)")
+cte("prod", ["fact_sales_items", "dim_product"], """
+SELECT p.product_id, p.category, sum(f.line_revenue) AS rev, sum(f.quantity) AS qty
+FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id GROUP BY p.product_id, p.category""")
+q("b03_top_products_categories", ["prod"], f"""
+SELECT *, row_number() OVER (PARTITION BY level, metric ORDER BY value DESC, member) AS position
+FROM ({_union(_B03)}) t""")
+
+ORACLE["b04_store_ranking"] = f"""
+SELECT store_id, store_name, region, total_transactions, total_revenue,
+  rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_rank
+FROM ({ORACLE['view_store_performance']}) v"""
+
+q("b05_aov_trend", ["headers"], f"""
+SELECT year_num, month_num, channel, order_count, CAST(net AS DECIMAL(38,2)) AS net_revenue,
+  {ratio('net', 'order_count', 2)} AS aov
+FROM (SELECT {_YM}, channel, count(DISTINCT order_id) AS order_count, sum(net_revenue) AS net
+      FROM headers GROUP BY ALL) g""")
+
+q("b06_price_volume_mix", ["sales_m"], f"""
+WITH pm AS (SELECT product_id, year_num * 12 + month_num AS mi, sum(quantity) AS units, sum(line_revenue) AS revenue
+            FROM sales_m GROUP BY product_id, year_num * 12 + month_num),
+both_m AS (SELECT a.mi, {cents('a.revenue')} - {hdiv(cents('b.revenue') + ' * a.units', 'CAST(b.units AS HUGEINT)')} AS pc
+         FROM pm a JOIN pm b ON a.product_id = b.product_id AND a.mi = b.mi + 1 WHERE b.units <> 0 AND a.units <> 0),
+price AS (SELECT mi, sum(pc) AS pc FROM both_m GROUP BY mi),
+tot AS (SELECT mi, sum(units) AS Q, sum(revenue) AS R FROM pm GROUP BY mi),
+calc AS (SELECT t.mi, t.R, t0.R AS R0, coalesce(p.pc, 0) AS pc,
+           {hdiv('CAST(t.Q - t0.Q AS HUGEINT) * ' + cents('t0.R'), 'CAST(t0.Q AS HUGEINT)')} AS vc
+         FROM tot t JOIN tot t0 ON t.mi = t0.mi + 1 LEFT JOIN price p ON p.mi = t.mi WHERE t0.Q <> 0)
+SELECT CAST((mi - 1) // 12 AS INTEGER) AS year_num, CAST((mi - 1) % 12 + 1 AS INTEGER) AS month_num,
+  CAST(R AS DECIMAL(38,2)) AS revenue, CAST(R0 AS DECIMAL(38,2)) AS prev_revenue,
+  {from_cents('pc')} AS price_effect, {from_cents('vc')} AS volume_effect,
+  {from_cents(cents('R') + ' - ' + cents('R0') + ' - pc - vc')} AS mix_effect
+FROM calc""")
+
+
+def _growth_sql(dim: str, key: str, src: str) -> str:
+    return f"""
+SELECT '{dim}' AS dimension, CAST(c.k AS VARCHAR) AS member, c.year_num, c.month_num,
+  CAST(c.v AS DECIMAL(38,2)) AS revenue, CAST(m.v AS DECIMAL(38,2)) AS prev_month_revenue,
+  CAST(y.v AS DECIMAL(38,2)) AS prev_year_revenue,
+  {ratio('c.v - m.v', 'm.v', 4)} AS mom_growth, {ratio('c.v - y.v', 'y.v', 4)} AS yoy_growth
+FROM {src} c
+LEFT JOIN {src} m ON m.k = c.k AND m.mi + 1 = c.mi
+LEFT JOIN {src} y ON y.k = c.k AND y.mi + 12 = c.mi"""
+
+
+cte("g_prod", ["sales_m"], """
+SELECT product_id AS k, year_num, month_num, year_num * 12 + month_num AS mi, sum(line_revenue) AS v
+FROM sales_m GROUP BY product_id, year_num, month_num""")
+cte("g_store", ["fact_pos_transactions"], f"""
+SELECT store_id AS k, year_num, month_num, year_num * 12 + month_num AS mi, sum(net_revenue) AS v
+FROM (SELECT *, {_YM} FROM fact_pos_transactions) t GROUP BY store_id, year_num, month_num""")
+q("b07_mom_yoy_contribution", ["g_prod", "g_store"],
+  _growth_sql("product", "product_id", "g_prod") + "\nUNION ALL\n" + _growth_sql("store", "store_id", "g_store"))
+
+q("b08_unit_margin_rank", ["dim_product"], f"""
+SELECT p.product_id, p.product_name, p.category, p.margin AS unit_margin,
+  rank() OVER (ORDER BY p.margin DESC NULLS LAST) AS margin_rank, c.category_avg_margin
+FROM dim_product p JOIN (SELECT category, {ratio('sum(margin)', 'count(margin)', 2)} AS category_avg_margin
+                         FROM dim_product GROUP BY category) c ON p.category = c.category""")
+
+ORACLE["b09_contribution_rank"] = f"""
+SELECT product_id, product_name, total_margin, total_revenue,
+  rank() OVER (ORDER BY total_margin DESC NULLS LAST) AS margin_rank
+FROM ({ORACLE['view_product_performance']}) v"""
+
+q("b10_low_margin_products", ["fact_sales_items", "dim_product"], """
+SELECT product_id, product_name, unit_margin, total_margin,
+  CASE WHEN unit_margin <= 0 THEN 'unit_margin' ELSE 'total_margin' END AS reason
+FROM (SELECT p.product_id, p.product_name, p.margin AS unit_margin, CAST(p.margin * s.qty AS DECIMAL(38,2)) AS total_margin
+      FROM dim_product p LEFT JOIN (SELECT product_id, sum(quantity) AS qty FROM fact_sales_items GROUP BY product_id) s
+        ON p.product_id = s.product_id) t
+WHERE unit_margin <= 0 OR total_margin <= 0""")
+
+q("b11_category_margin_share", ["fact_sales_items", "dim_product"], f"""
+SELECT category, subcategory, CAST(m AS DECIMAL(38,2)) AS total_margin, {ratio('m', 'tot', 4)} AS margin_share
+FROM (SELECT category, subcategory, m, sum(m) OVER () AS tot FROM (
+  SELECT p.category, p.subcategory, sum(p.margin * f.quantity) AS m
+  FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id GROUP BY p.category, p.subcategory) g) t""")
+
+q("b12_seasonal_vs_core", ["fact_sales_items", "dim_product"], """
+SELECT p.season, CASE WHEN p.season = 'ALL YEAR' THEN 'CORE' ELSE 'SEASONAL' END AS segment,
+  CAST(sum(f.quantity) AS BIGINT) AS units_sold, CAST(sum(f.line_revenue) AS DECIMAL(38,2)) AS revenue,
+  CAST(sum(p.margin * f.quantity) AS DECIMAL(38,2)) AS total_margin
+FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id GROUP BY p.season""")
+
+_B13 = []
+for _pt, _col in (("month", "month_num"), ("quarter", "quarter_num")):
+    _B13.append(f"""SELECT '{_pt}' AS period_type, d.year_num, d.{_col} AS period_num,
+  CAST(sum(f.line_revenue) AS DECIMAL(38,2)) AS revenue, CAST(sum(p.margin * f.quantity) AS DECIMAL(38,2)) AS total_margin,
+  {ratio('sum(p.margin * f.quantity)', 'sum(f.line_revenue)', 4)} AS gross_margin_pct
+FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id JOIN dim_date d ON f.date_sk = d.date_sk
+GROUP BY d.year_num, d.{_col}""")
+q("b13_margin_trend", ["fact_sales_items", "dim_product", "dim_date"], _union(_B13))
+
+q("b14_stockout_trend", ["snapshots"], f"""
+SELECT full_date, store_id, product_id, ending_inventory, safety_stock, rolling_gap FROM (
+  SELECT *, {ratio('gs', 'gn', 2)} AS rolling_gap FROM (
+    SELECT *, sum(ending_inventory - safety_stock) OVER w AS gs, count(ending_inventory - safety_stock) OVER w AS gn
+    FROM snapshots WINDOW w AS (PARTITION BY product_id, store_id ORDER BY date_sk ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+  ) a) b
+WHERE rolling_gap <= 0""")
+
+q("b15_safety_stock_frequency", ["fact_inventory_snapshots", "dim_product"], f"""
+SELECT p.product_id, p.product_name, i.snapshots, i.below_safety_count,
+  {ratio('i.below_safety_count', 'i.snapshots', 4)} AS below_safety_share
+FROM (SELECT product_id, count(*) AS snapshots,
+             count(*) FILTER (WHERE ending_inventory < safety_stock) AS below_safety_count
+      FROM fact_inventory_snapshots GROUP BY product_id) i JOIN dim_product p ON i.product_id = p.product_id""")
+
+q("b16_inventory_value_trend", ["snapshots", "dim_product"], """
+SELECT s.full_date, s.store_id, p.category, CAST(sum(s.inventory_value) AS DECIMAL(38,2)) AS inventory_value
+FROM snapshots s JOIN dim_product p ON s.product_id = p.product_id GROUP BY s.full_date, s.store_id, p.category""")
+
+cte("store_turnover", ["fact_sales_items", "fact_inventory_snapshots", "dim_store"], f"""
+SELECT s.store_id, s.store_name, CAST(u.units_sold AS BIGINT) AS units_sold,
+  {ratio('i.inv_s', 'i.inv_n', 2)} AS avg_inventory,
+  {ratio('u.units_sold * i.inv_n', 'i.inv_s', 4)} AS turnover
+FROM (SELECT store_id, sum(quantity) AS units_sold FROM fact_sales_items WHERE source_system = 'POS' GROUP BY store_id) u
+JOIN (SELECT store_id, sum(ending_inventory) AS inv_s, count(ending_inventory) AS inv_n
+      FROM fact_inventory_snapshots GROUP BY store_id) i ON u.store_id = i.store_id
+JOIN dim_store s ON s.store_id = u.store_id""")
+q("b17_store_turnover", ["store_turnover"], f"""
+SELECT store_id, store_name, units_sold, avg_inventory, turnover, turnover_pct_rank FROM (
+  SELECT *, CASE WHEN n > 1 THEN {ratio('rk - 1', 'n - 1', 4)} ELSE 0.0 END AS turnover_pct_rank FROM (
+    SELECT *, rank() OVER (ORDER BY turnover ASC NULLS LAST) AS rk, count(*) OVER () AS n FROM store_turnover) a) b
+WHERE turnover_pct_rank <= 0.25""")
+
+q("b18_turnover_trend", ["sales_m", "fact_inventory_snapshots"], f"""
+SELECT u.year_num, u.month_num, u.product_id, u.store_id, CAST(u.units_sold AS BIGINT) AS units_sold,
+  {ratio('i.inv_s', 'i.inv_n', 2)} AS avg_inventory, {ratio('u.units_sold * i.inv_n', 'i.inv_s', 4)} AS turnover
+FROM (SELECT product_id, store_id, year_num, month_num, sum(quantity) AS units_sold FROM sales_m
+      WHERE source_system = 'POS' GROUP BY ALL) u
+JOIN (SELECT product_id, store_id, {_YM}, sum(ending_inventory) AS inv_s, count(ending_inventory) AS inv_n
+      FROM fact_inventory_snapshots GROUP BY ALL) i
+  ON u.product_id = i.product_id AND u.store_id = i.store_id AND u.year_num = i.year_num AND u.month_num = i.month_num""")
+
+q("b19_demand_vs_stock", ["sales_m", "fact_inventory_snapshots"], f"""
+WITH d AS (SELECT product_id, year_num, month_num, sum(quantity) AS units FROM sales_m GROUP BY ALL),
+last AS (SELECT product_id, store_id, year_num, month_num, ending_inventory FROM (
+           SELECT *, {_YM}, row_number() OVER (PARTITION BY product_id, store_id, CAST(date_sk // 100 AS INTEGER)
+                                               ORDER BY date_sk DESC) AS rn
+           FROM fact_inventory_snapshots) t WHERE rn = 1),
+st AS (SELECT product_id, year_num, month_num, sum(ending_inventory) AS stock FROM last GROUP BY ALL)
+SELECT coalesce(d.product_id, st.product_id) AS product_id, coalesce(d.year_num, st.year_num) AS year_num,
+  coalesce(d.month_num, st.month_num) AS month_num, CAST(coalesce(d.units, 0) AS BIGINT) AS units_sold,
+  CAST(coalesce(st.stock, 0) AS BIGINT) AS closing_stock,
+  {ratio('coalesce(st.stock, 0)', 'coalesce(d.units, 0)', 2)} AS stock_to_demand
+FROM d FULL OUTER JOIN st ON d.product_id = st.product_id AND d.year_num = st.year_num AND d.month_num = st.month_num""")
+
+q("b20_overstock", ["fact_inventory_snapshots", "fact_sales_items"], f"""
+SELECT product_id, store_id, {ratio('inv_s', 'inv_n', 2)} AS avg_stock, units_sold, days_observed, days_of_cover FROM (
+  SELECT *, {ratio('inv_s * days_observed', 'inv_n * units_sold', 1)} AS days_of_cover FROM (
+    SELECT i.product_id, i.store_id, i.inv_s, i.inv_n,
+      CAST(date_diff('day', strptime(CAST(i.d0 AS VARCHAR), '%Y%m%d')::DATE,
+                     strptime(CAST(i.d1 AS VARCHAR), '%Y%m%d')::DATE) + 1 AS INTEGER) AS days_observed,
+      CAST(coalesce(s.units, 0) AS BIGINT) AS units_sold
+    FROM (SELECT product_id, store_id, sum(ending_inventory) AS inv_s, count(ending_inventory) AS inv_n,
+                 min(date_sk) AS d0, max(date_sk) AS d1 FROM fact_inventory_snapshots GROUP BY ALL) i
+    LEFT JOIN (SELECT product_id, store_id, sum(quantity) AS units FROM fact_sales_items
+               WHERE source_system = 'POS' GROUP BY ALL) s ON i.product_id = s.product_id AND i.store_id = s.store_id
+  ) a) b
+WHERE days_of_cover > 90 OR (units_sold = 0 AND inv_s > 0)""")
+
+cte("ret_slices", ["fact_returns", "dim_product"], f"""
+SELECT CAST(r.product_id AS VARCHAR) AS product, p.category, r.quantity_returned AS q,
+  CASE WHEN r.return_channel = 'ONLINE' THEN 'ECOM' WHEN r.return_channel = 'IN_STORE' THEN 'POS' ELSE r.return_channel END AS channel,
+  printf('%04d-%02d', CAST(r.date_sk // 10000 AS INTEGER), CAST((r.date_sk // 100) % 100 AS INTEGER)) AS period
+FROM fact_returns r JOIN dim_product p ON r.product_id = p.product_id""")
+cte("sale_slices", ["fact_sales_items", "dim_product"], f"""
+SELECT CAST(f.product_id AS VARCHAR) AS product, p.category, f.quantity AS q, f.source_system AS channel,
+  printf('%04d-%02d', CAST(f.date_sk // 10000 AS INTEGER), CAST((f.date_sk // 100) % 100 AS INTEGER)) AS period
+FROM fact_sales_items f JOIN dim_product p ON f.product_id = p.product_id""")
+q("b21_return_rate_slices", ["ret_slices", "sale_slices"], _union([
+    f"""SELECT '{sl}' AS slice, coalesce(r.m, s.m) AS member, CAST(coalesce(r.v, 0) AS BIGINT) AS returned_units,
+  CAST(coalesce(s.v, 0) AS BIGINT) AS sold_units, {ratio('coalesce(r.v, 0)', 'coalesce(s.v, 0)', 4)} AS return_rate
+FROM (SELECT {sl} AS m, sum(q) AS v FROM ret_slices GROUP BY {sl}) r
+FULL OUTER JOIN (SELECT {sl} AS m, sum(q) AS v FROM sale_slices GROUP BY {sl}) s ON r.m = s.m"""
+    for sl in ("product", "category", "channel", "period")
+]))
+
+q("b22_return_reasons", ["fact_returns", "dim_product"], f"""
+SELECT return_reason, category, return_count, units_returned, refund_amount,
+  {ratio('units_returned', 'sum(units_returned) OVER (PARTITION BY return_reason)', 4)} AS share_of_reason
+FROM (SELECT r.return_reason, p.category, count(*) AS return_count, CAST(sum(r.quantity_returned) AS BIGINT) AS units_returned,
+             CAST(sum(r.refund_amount) AS DECIMAL(38,2)) AS refund_amount
+      FROM fact_returns r JOIN dim_product p ON r.product_id = p.product_id GROUP BY r.return_reason, p.category) g""")
+
+q("b23_refund_trend", ["fact_returns"], f"""
+SELECT year_num, month_num, count(*) AS return_count, CAST(sum(quantity_returned) AS BIGINT) AS units_returned,
+  CAST(sum(refund_amount) AS DECIMAL(38,2)) AS refund_amount
+FROM (SELECT *, {_YM} FROM fact_returns) t GROUP BY year_num, month_num""")
+
+q("b25_return_channel_patterns", ["fact_returns"], f"""
+SELECT return_channel, count(*) AS return_count, CAST(sum(quantity_returned) AS BIGINT) AS units_returned,
+  CAST(sum(refund_amount) AS DECIMAL(38,2)) AS refund_amount, {ratio('sum(refund_amount)', 'count(*)', 2)} AS avg_refund,
+  count(*) FILTER (WHERE return_reason = 'DEFECTIVE') AS defective_count,
+  count(*) FILTER (WHERE return_reason = 'DAMAGED') AS damaged_count,
+  count(*) FILTER (WHERE return_reason = 'SIZE_FIT') AS size_fit_count
+FROM fact_returns GROUP BY return_channel""")
+
+q("b26_abnormal_returns", ["fact_returns"], f"""
+WITH pm AS (SELECT product_id, {_YM}, CAST(sum(quantity_returned) AS BIGINT) AS units_returned
+            FROM fact_returns GROUP BY ALL),
+st AS (SELECT product_id, count(units_returned) AS n, CAST(sum(units_returned) AS HUGEINT) AS s,
+              CAST(sum(units_returned * units_returned) AS HUGEINT) AS s2 FROM pm GROUP BY product_id)
+SELECT pm.product_id, pm.year_num, pm.month_num, pm.units_returned, st.n AS months_observed,
+  {ratio('st.s', 'st.n', 2)} AS mean_units
+FROM pm JOIN st ON pm.product_id = st.product_id
+WHERE st.n > 1 AND (st.n * pm.units_returned - st.s) > 0
+  AND (st.n * pm.units_returned - st.s) * (st.n * pm.units_returned - st.s) * (st.n - 1) > 4 * st.n * (st.n * st.s2 - st.s * st.s)""")
+
+q("b28_device_performance", ["fact_ecom_orders"], f"""
+SELECT device_type, count(DISTINCT order_id) AS order_count, CAST(sum(net_revenue) AS DECIMAL(38,2)) AS net_revenue,
+  {ratio('sum(net_revenue)', 'count(DISTINCT order_id)', 2)} AS aov
+FROM fact_ecom_orders GROUP BY device_type""")
+
+q("b29_traffic_source_revenue", ["fact_ecom_orders"], """
+SELECT traffic_source, count(DISTINCT order_id) AS order_count, CAST(sum(total_amount) AS DECIMAL(38,2)) AS gross_revenue,
+  CAST(sum(net_revenue) AS DECIMAL(38,2)) AS net_revenue
+FROM fact_ecom_orders GROUP BY traffic_source""")
+
+q("b30_traffic_net_after_returns", ["fact_ecom_orders", "silver_returns"], """
+SELECT o.traffic_source, count(DISTINCT o.order_id) AS order_count, CAST(sum(o.total_amount) AS DECIMAL(38,2)) AS gross_revenue,
+  CAST(sum(o.discount_amount) AS DECIMAL(38,2)) AS discounts, CAST(sum(coalesce(r.refund, 0)) AS DECIMAL(38,2)) AS refunds,
+  CAST(sum(o.net_revenue) - sum(coalesce(r.refund, 0)) AS DECIMAL(38,2)) AS net_after_returns
+FROM fact_ecom_orders o
+LEFT JOIN (SELECT transaction_id AS order_id, sum(refund_amount) AS refund FROM silver_returns
+           WHERE is_duplicate = 0 AND is_bad_refund = 0 GROUP BY transaction_id) r ON o.order_id = r.order_id
+GROUP BY o.traffic_source""")
+
+q("b31_acquisition_behaviour", ["fact_ecom_orders", "fact_sales_items"], f"""
+SELECT o.channel, o.traffic_source, count(DISTINCT o.order_id) AS order_count, CAST(sum(l.units) AS BIGINT) AS units_sold,
+  CAST(sum(o.net_revenue) AS DECIMAL(38,2)) AS net_revenue,
+  {ratio('sum(o.net_revenue)', 'count(DISTINCT o.order_id)', 2)} AS aov
+FROM fact_ecom_orders o
+LEFT JOIN (SELECT transaction_id AS order_id, sum(quantity) AS units FROM fact_sales_items
+           WHERE source_system = 'ECOM' GROUP BY transaction_id) l ON o.order_id = l.order_id
+GROUP BY o.channel, o.traffic_source""")

@@ -26,6 +26,12 @@ def safe_den(den) -> Column:
     return F.when(den != 0, den)
 
 
+def div_round(num, den, scale: int = 2) -> Column:
+    """ROUND(num / NULLIF(den, 0), scale) as an exact DECIMAL(38, scale)."""
+    q = F.round(_c(num).cast(_WIDE) / safe_den(_c(den).cast(_WIDE)), scale)
+    return q.cast(f"decimal(38,{scale})")
+
+
 def ratio(num, den, scale: int = 4) -> Column:
     q = F.round(_c(num).cast(_WIDE) / safe_den(_c(den).cast(_WIDE)), scale)
     return q.cast(f"decimal(18,{scale})").cast("double")

@@ -223,3 +223,9 @@ from ledgerlake.plans import metrics  # noqa: E402
 
 for _k, _fn in metrics.METRICS.items():
     register(_k, _fn)
+
+# ----------------------------------------------------------------- questions
+from ledgerlake.plans import questions  # noqa: E402
+
+for _k, _fn in questions.QUESTIONS.items():
+    register(_k, _fn)
