@@ -690,3 +690,8 @@ FROM fact_ecom_orders o
 LEFT JOIN (SELECT transaction_id AS order_id, sum(quantity) AS units FROM fact_sales_items
            WHERE source_system = 'ECOM' GROUP BY transaction_id) l ON o.order_id = l.order_id
 GROUP BY o.channel, o.traffic_source""")
+
+q("stream_land_raw", _RAW, _union([
+    f"SELECT '{ds}' AS table_name, '{SOURCE_FILES[ds]}' AS source_file, count(*) AS row_count FROM {ds}"
+    for ds in _RAW
+]))

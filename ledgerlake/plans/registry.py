@@ -229,3 +229,29 @@ from ledgerlake.plans import questions  # noqa: E402
 
 for _k, _fn in questions.QUESTIONS.items():
     register(_k, _fn)
+
+
+# ----------------------------------------------------------------- streaming
+def _stream_land_raw(w: Warehouse) -> DataFrame:
+    """Land the extracts through the streaming bronze loader (twice: the
+    second availableNow run must land nothing new), then count per table."""
+    import uuid
+
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources import csv_loader
+    from ledgerlake.sources.schemas import RAW_COLUMNS
+    from ledgerlake.streaming import landing
+
+    base = scratch_path(w.spark, f"stream-{uuid.uuid4().hex[:12]}")
+    csv_loader.write_extracts(w.raw_datasets, f"{base}/landing")
+    for _ in range(2):
+        landing.land_all(w.spark, f"{base}/landing", f"{base}/bronze", f"{base}/ckpt")
+    out = None
+    for ds in RAW_COLUMNS:
+        g = landing.read_bronze(w.spark, f"{base}/bronze", ds).groupBy(
+            F.lit(ds).alias("table_name"), "source_file").agg(F.count(F.lit(1)).alias("row_count"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+register("stream_land_raw", _stream_land_raw)
