@@ -7,6 +7,12 @@
 2. rank inside each partition with a window partitioned by partition id;
 3. add the number of rows in all earlier partitions - a frame with one row
    per partition (bounded by the partition count) that is broadcast.
+
+The partition assignment is fixed once by a reliable checkpoint (written
+under ``spark.checkpoint.dir``): the local ranks and the partition sizes
+are then read from the same files. Without it each branch would plan its
+own range exchange with its own sampled bounds, and the offsets could
+disagree with the local ranks.
 """
 
 from __future__ import annotations
@@ -14,13 +20,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import checkpoint_dir
+
 
 def global_rank(df: DataFrame, value: str, out_col: str = "rank", descending: bool = True,
                 partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    parts = df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id())
+    checkpoint_dir(spark)
+    parts = df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     local = parts.withColumn("_local", F.rank().over(Window.partitionBy("_pid").orderBy(order)))
     sizes = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(
