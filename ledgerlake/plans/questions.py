@@ -112,9 +112,14 @@ def b06_price_volume_mix(w: Warehouse) -> DataFrame:
     Each product term and the volume term are rounded to cents.
     """
     pm = _sales_month_product(w).withColumn("_mi", _month_index())
-    prev = pm.select("product_sk", (F.col("_mi") + 1).alias("_mi"), F.col("units").alias("q0"),
-                     F.col("revenue").alias("r0"))
-    both = pm.join(prev, ["product_sk", "_mi"]).filter((F.col("q0") != 0) & (F.col("units") != 0))
+    # Previous month of the same product (exact RANGE frame; bounded series).
+    prev_frame = Window.partitionBy("product_sk").orderBy("_mi").rangeBetween(-1, -1)
+    both = (
+        pm.withColumn("q0", F.sum("units").over(prev_frame))
+        .withColumn("r0", F.sum("revenue").over(prev_frame))
+        .withColumn("_has_prev", F.count(F.lit(1)).over(prev_frame))
+        .filter((F.col("_has_prev") > 0) & (F.col("q0") != 0) & (F.col("units") != 0))
+    )
     price_term = F.col("revenue") - div_round(F.col("r0") * F.col("units"), F.col("q0"), 2)
     price = both.groupBy("_mi").agg(F.sum(price_term).alias("_price"))
     tot = pm.groupBy("_mi").agg(F.sum("units").alias("Q"), F.sum("revenue").alias("R"))
@@ -134,10 +139,15 @@ def b06_price_volume_mix(w: Warehouse) -> DataFrame:
 
 
 def _growth(per: DataFrame, key: str, dim: str) -> DataFrame:
+    """Previous month / same month last year by an exact RANGE frame on the
+    month index: the frame [mi-1, mi-1] holds the previous month's row if it
+    exists and nothing otherwise, so gaps never pair the wrong months. One
+    exchange on the key; the series per key is bounded by calendar months."""
     per = per.withColumn("_mi", _month_index())
-    prev_m = per.select(key, (F.col("_mi") + 1).alias("_mi"), F.col("value").alias("prev_month_value"))
-    prev_y = per.select(key, (F.col("_mi") + 12).alias("_mi"), F.col("value").alias("prev_year_value"))
-    j = per.join(prev_m, [key, "_mi"], "left").join(prev_y, [key, "_mi"], "left")
+    series = Window.partitionBy(key).orderBy("_mi")
+    prev_m = F.sum("value").over(series.rangeBetween(-1, -1))
+    prev_y = F.sum("value").over(series.rangeBetween(-12, -12))
+    j = per.withColumn("prev_month_value", prev_m).withColumn("prev_year_value", prev_y)
     return j.select(
         F.lit(dim).alias("dimension"), F.col(key).cast("string").alias("member"), "year_num", "month_num",
         F.col("value").cast("decimal(38,2)").alias("revenue"),
@@ -338,23 +348,28 @@ def b21_return_rate_slices(w: Warehouse) -> DataFrame:
         .otherwise(F.col("return_channel")).alias("channel"))
     s = w.fact_sales_items().join(p, "product_sk").select(
         "product_id", "category", "quantity", F.col("source_system").alias("channel"), *_month_cols())
-    slices = {
-        "product": F.col("product_id").cast("string"),
-        "category": F.col("category"),
-        "channel": F.col("channel"),
-        "period": F.format_string("%04d-%02d", F.col("year_num"), F.col("month_num")),
-    }
-    out = None
-    for name, member in slices.items():
-        rr = r.groupBy(member.alias("member")).agg(F.sum("quantity_returned").alias("_ret"))
-        ss = s.groupBy(member.alias("member")).agg(F.sum("quantity").alias("_sold"))
-        j = rr.join(ss, "member", "full").select(
-            F.lit(name).alias("slice"), "member",
-            F.coalesce(F.col("_ret"), F.lit(0)).cast("bigint").alias("returned_units"),
-            F.coalesce(F.col("_sold"), F.lit(0)).cast("bigint").alias("sold_units"),
-        ).withColumn("return_rate", ratio("returned_units", "sold_units", 4))
-        out = j if out is None else out.unionByName(j)
-    return out
+    # Each row contributes to four slices: explode it into (slice, member)
+    # pairs and aggregate once per side (one scan and one shuffle each).
+    slices = F.array(
+        F.struct(F.lit("product").alias("slice"), F.col("product_id").cast("string").alias("member")),
+        F.struct(F.lit("category").alias("slice"), F.col("category").alias("member")),
+        F.struct(F.lit("channel").alias("slice"), F.col("channel").alias("member")),
+        F.struct(F.lit("period").alias("slice"),
+                 F.format_string("%04d-%02d", F.col("year_num"), F.col("month_num")).alias("member")),
+    )
+    rr = r.select(F.explode(slices).alias("_s"), "quantity_returned").select("_s.*", "quantity_returned") \
+        .groupBy("slice", "member").agg(F.sum("quantity_returned").alias("_ret"))
+    ss = s.select(F.explode(slices).alias("_s"), "quantity").select("_s.*", "quantity") \
+        .groupBy("slice", "member").agg(F.sum("quantity").alias("_sold"))
+    # Full outer per slice; a NULL member (e.g. no category) never matches,
+    # as in an equi-join on the member value.
+    j = rr.join(ss, (rr["slice"] == ss["slice"]) & (rr["member"] == ss["member"]), "full").select(
+        F.coalesce(rr["slice"], ss["slice"]).alias("slice"),
+        F.coalesce(rr["member"], ss["member"]).alias("member"),
+        F.coalesce(F.col("_ret"), F.lit(0)).cast("bigint").alias("returned_units"),
+        F.coalesce(F.col("_sold"), F.lit(0)).cast("bigint").alias("sold_units"),
+    )
+    return j.withColumn("return_rate", ratio("returned_units", "sold_units", 4))
 
 
 def b22_return_reasons(w: Warehouse) -> DataFrame:
