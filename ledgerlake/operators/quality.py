@@ -170,22 +170,34 @@ FK_RELATIONS = [
 
 def fk_audit(tables: dict[str, DataFrame]) -> DataFrame:
     """Per relation: fact rows checked, NULL keys (violations unless NULL is
-    allowed) and orphan keys absent from the dimension."""
+    allowed) and orphan keys absent from the dimension.
+
+    One pass per fact: its key columns are scanned once, each dimension's key
+    set is left-joined (planner / AQE choose broadcast or sort-merge from the
+    dimension's size) and all relations of the fact are counted in a single
+    aggregation."""
     frames = []
-    for fact, key, dim, nullable in FK_RELATIONS:
-        d = tables[dim].select(F.col(key), F.lit(1).alias("_hit")).dropDuplicates([key])
-        j = tables[fact].select(key).join(d, key, "left")
-        one = j.agg(
-            F.count(F.lit(1)).alias("checked_rows"),
-            F.count_if(F.col(key).isNull()).alias("null_keys"),
-            F.count_if(F.col(key).isNotNull() & F.col("_hit").isNull()).alias("orphan_rows"),
-        )
-        frames.append(one.select(
-            F.lit(f"{fact}.{key} -> {dim}").alias("relation"),
-            "checked_rows",
-            (F.lit(0).cast("bigint") if nullable else F.col("null_keys")).alias("null_violations"),
-            "orphan_rows",
-        ))
+    facts = []
+    for fact, *_ in FK_RELATIONS:
+        if fact not in facts:
+            facts.append(fact)
+    for fact in facts:
+        rels = [(key, dim, nullable) for f, key, dim, nullable in FK_RELATIONS if f == fact]
+        df = tables[fact].select(*[k for k, _, _ in rels])
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, (key, dim, nullable) in enumerate(rels):
+            hit = f"_hit{i}"
+            d = tables[dim].select(F.col(key).alias(f"_k{i}")).dropDuplicates().withColumn(hit, F.lit(1))
+            df = df.join(d, F.col(key) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+            aggs.append(F.count_if(F.col(key).isNull()).alias(f"_null{i}"))
+            aggs.append(F.count_if(F.col(key).isNotNull() & F.col(hit).isNull()).alias(f"_orphan{i}"))
+        one = df.agg(*aggs)
+        entries = [
+            (f"{fact}.{key} -> {dim}", F.col("_rows"),
+             F.lit(0).cast("bigint") if nullable else F.col(f"_null{i}"), F.col(f"_orphan{i}"))
+            for i, (key, dim, nullable) in enumerate(rels)
+        ]
+        frames.append(_long(one, entries, ["relation", "checked_rows", "null_violations", "orphan_rows"]))
     return _union(frames)
 
 

@@ -123,8 +123,15 @@ def b06_price_volume_mix(w: Warehouse) -> DataFrame:
     price_term = F.col("revenue") - div_round(F.col("r0") * F.col("units"), F.col("q0"), 2)
     price = both.groupBy("_mi").agg(F.sum(price_term).alias("_price"))
     tot = pm.groupBy("_mi").agg(F.sum("units").alias("Q"), F.sum("revenue").alias("R"))
-    tot0 = tot.select((F.col("_mi") + 1).alias("_mi"), F.col("Q").alias("Q0"), F.col("R").alias("R0"))
-    t = tot.join(tot0, "_mi").join(price, "_mi", "left").filter(F.col("Q0") != 0)
+    # Month totals: one row per calendar month, so a window over them is
+    # bounded by the calendar.
+    months = Window.orderBy("_mi").rangeBetween(-1, -1)
+    t = (
+        tot.withColumn("Q0", F.sum("Q").over(months)).withColumn("R0", F.sum("R").over(months))
+        .withColumn("_has_prev", F.count(F.lit(1)).over(months))
+        .filter((F.col("_has_prev") > 0) & (F.col("Q0") != 0))
+        .join(price, "_mi", "left")
+    )
     volume = div_round((F.col("Q") - F.col("Q0")) * F.col("R0"), F.col("Q0"), 2)
     price_effect = F.coalesce(F.col("_price"), F.lit(0))
     return t.select(
