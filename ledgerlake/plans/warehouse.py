@@ -156,7 +156,7 @@ class Warehouse:
         return getattr(self, table)()
 
     # ------------------------------------------------------------ materialise
-    def materialize(self, path: str | None = None, include_bronze: bool = False, parallel: int = 4) -> "Warehouse":
+    def materialize(self, path: str | None = None, include_bronze: bool = False, parallel: int = 8) -> "Warehouse":
         """Write Silver and Gold (and optionally Bronze) as Parquet; return a
         warehouse that reads the written tables. Overwrite mode: re-running
         gives the same content (idempotent full refresh).
