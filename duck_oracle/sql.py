@@ -695,3 +695,13 @@ q("stream_land_raw", _RAW, _union([
     f"SELECT '{ds}' AS table_name, '{SOURCE_FILES[ds]}' AS source_file, count(*) AS row_count FROM {ds}"
     for ds in _RAW
 ]))
+
+_DEDUP = {"pos_transactions": ["transaction_id"], "pos_items": ["transaction_id", "product_id"],
+          "ecom_orders": ["order_id"], "ecom_items": ["order_item_id"],
+          "inventory_snapshots": ["snapshot_date", "store_id", "product_id"], "returns": ["return_id"],
+          "stores": ["store_id"]}
+q("dedup_flag", [f"silver_{t}" for t in _DEDUP], _union([
+    f"SELECT '{t}' AS table_name, '{', '.join(k)}' AS dedup_key, count(*) AS flagged_rows, "
+    f"count(DISTINCT ({', '.join(k)})) AS duplicate_keys FROM silver_{t} WHERE is_duplicate = 1"
+    for t, k in _DEDUP.items()
+]))

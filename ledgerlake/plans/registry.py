@@ -255,3 +255,26 @@ def _stream_land_raw(w: Warehouse) -> DataFrame:
 
 
 register("stream_land_raw", _stream_land_raw)
+
+
+# ----------------------------------------------------------------- dedup marker
+def _dedup_flag(w: Warehouse) -> DataFrame:
+    """The shared duplicate marker, summarised per clean table: rows flagged
+    and distinct keys they belong to."""
+    from ledgerlake.operators.silver import DEDUP_KEYS
+
+    out = None
+    for t, keys in DEDUP_KEYS.items():
+        if keys is None:
+            continue
+        flagged = w.silver(t).filter(F.col("is_duplicate") == 1)
+        g = flagged.agg(
+            F.count(F.lit(1)).alias("flagged_rows"),
+            F.count_distinct(*keys).alias("duplicate_keys"),
+        ).select(F.lit(t).alias("table_name"), F.lit(", ".join(keys)).alias("dedup_key"),
+                 "flagged_rows", "duplicate_keys")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+register("dedup_flag", _dedup_flag)
