@@ -173,16 +173,22 @@ class Warehouse:
                 for f in [pool.submit(j) for j in jobs]:
                     f.result()
 
+        source = self
         if include_bronze:
             run_all([
                 (lambda ds=ds, df=df: df.write.mode("overwrite").parquet(os.path.join(path, "bronze", ds)))
                 for ds, df in self._raw.items()
             ])
+            # Silver builds from the written bronze layer: each raw extract is
+            # derived once, and the lineage is cut at bronze.
+            bronze = {ds: self.spark.read.schema(df.schema).parquet(os.path.join(path, "bronze", ds))
+                      for ds, df in self._raw.items()}
+            source = Warehouse(self.spark, bronze, self.date_range)
         schemas: dict = {}
         for n in SILVER_TABLES:
-            schemas[n] = self.silver(n).schema
+            schemas[n] = source.silver(n).schema
         run_all([
-            (lambda n=n: self.silver(n).write.mode("overwrite").parquet(os.path.join(path, "silver", n)))
+            (lambda n=n: source.silver(n).write.mode("overwrite").parquet(os.path.join(path, "silver", n)))
             for n in SILVER_TABLES
         ])
         # Gold builds from the written Silver layer (lineage cut there).
