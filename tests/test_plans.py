@@ -49,3 +49,15 @@ def test_fk_audit_has_no_cartesian_join(w):
                                                         "fact_sales_items", "fact_returns",
                                                         "fact_inventory_snapshots")}))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_keep_latest_hot_key_without_window(spark):
+    from ledgerlake.operators.dedup import dedup_keep_latest
+
+    rows = [dict(STORE, store_id=str(i)) for i in range(1, 11)]
+    rows += [dict(STORE, store_id="99", store_name=f"v{i}", _ts=dt.datetime(2024, 1, 1 + i)) for i in range(10)]
+    typed = warehouse(spark, stores=rows).silver_typed("stores")
+    latest = dedup_keep_latest(typed, ["store_id"])
+    assert "Window" not in _plan(latest)
+    got = {r["store_id"]: r["store_name"] for r in latest.collect()}
+    assert len(got) == 11 and got[99] == "v9"
