@@ -349,10 +349,12 @@ def b20_overstock(w: Warehouse) -> DataFrame:
 # ----------------------------------------------------------------- returns
 def b21_return_rate_slices(w: Warehouse) -> DataFrame:
     p = w.dim_product().select("product_sk", "product_id", "category")
+    # Return channel -> the sales channel it is compared with.
+    channel = F.col("return_channel")
+    for ret_channel, sales_channel in RETURN_TO_SALES_CHANNEL.items():
+        channel = F.when(F.col("return_channel") == ret_channel, sales_channel).otherwise(channel)
     r = w.fact_returns().join(p, "product_sk").select(
-        "product_id", "category", "quantity_returned", *_month_cols(),
-        F.when(F.col("return_channel") == "ONLINE", "ECOM").when(F.col("return_channel") == "IN_STORE", "POS")
-        .otherwise(F.col("return_channel")).alias("channel"))
+        "product_id", "category", "quantity_returned", *_month_cols(), channel.alias("channel"))
     s = w.fact_sales_items().join(p, "product_sk").select(
         "product_id", "category", "quantity", F.col("source_system").alias("channel"), *_month_cols())
     # Each row contributes to four slices: explode it into (slice, member)
