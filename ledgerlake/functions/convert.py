@@ -117,6 +117,3 @@ STOCK_STATUS_RULES = [
 RETURN_REASON_RULES = [("DEFECT", "DEFECTIVE"), ("DAMAG", "DAMAGED"), ("SIZE", "SIZE_FIT")]
 RETURN_CHANNEL_RULES = [("STORE", "IN_STORE"), ("ONLINE", "ONLINE")]
 
-
-def round_money(v: Column, scale: int = 2) -> Column:
-    return F.round(v, scale)
