@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import superminhash
+from ledgerlake.llm import line_dedup, superminhash
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
 
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_superminhash_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 QUERIES = {
+    "op5_line_dedup": op5_line_dedup,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
 }
 

@@ -25,4 +25,23 @@ SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, least.c AS component_id, d.
 FROM documents d JOIN least ON least.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
-ORACLE = {"op10_superminhash_near_dedup": NEAR}
+LINES = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+), keyed AS (
+  SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.doc_id, k.line, k.pos, c.key IS NOT NULL AND k.doc_id <> c.largest AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLE = {
+    "op5_line_dedup": LINES,
+    "op10_superminhash_near_dedup": NEAR,
+}
