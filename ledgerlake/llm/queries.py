@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import line_dedup, superminhash
+from ledgerlake.llm import bpe, line_dedup, superminhash
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe_transducer(spark, sf_dir):
+    return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op10_superminhash_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 QUERIES = {
     "op5_line_dedup": op5_line_dedup,
+    "op6_bpe_transducer": op6_bpe_transducer,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
 }
 
