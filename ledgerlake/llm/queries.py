@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, line_dedup, superminhash
+from ledgerlake.llm import bpe, line_dedup, superminhash, toxicity
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -14,6 +14,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_nb_ngram_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op10_superminhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
