@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, line_dedup, superminhash, toxicity
+from ledgerlake.llm import bpe, line_dedup, mixing, superminhash, toxicity
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -26,6 +26,10 @@ def op6_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_pivotal_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op10_superminhash_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -34,6 +38,7 @@ QUERIES = {
     "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
+    "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
 }
 

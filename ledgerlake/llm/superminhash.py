@@ -94,6 +94,8 @@ def bands(sig: np.ndarray, rows: int = ROWS_PER_BAND) -> np.ndarray:
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 #: Members of one bucket that one block of the exact comparison holds per side.
 BLOCK_ROWS = 400
+#: Ids of candidate documents up to which they are sent to the scan (8 bytes each) instead of shuffling the texts.
+BROADCAST_IDS = 1_000_000
 
 
 def _sketch_batches(batches, width: int):
@@ -249,8 +251,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     buckets = banded.groupBy("band").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
     banded = materialise(banded.join(buckets, "band"), "buckets")
 
-    ids = banded.select("node").distinct()
-    stand = docs.join(ids, docs["doc_id"] == ids["node"], "left_semi")
+    ids = materialise(banded.select("node").distinct(), "candidates")
+    few = ids.count() <= BROADCAST_IDS
+    stand = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["node"], "left_semi")
     stand = stand.mapInArrow(partial(_set_batches, width=width), "node long, hashes binary")
     sets = materialise(stand.where(F.length("hashes") > 0).dropDuplicates(), "sets")
 
