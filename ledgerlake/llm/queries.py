@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, line_dedup, mixing, superminhash, toxicity
+from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, superminhash, toxicity
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -26,6 +26,10 @@ def op6_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_weighted_sampling_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_pivotal_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
+    "op8_weighted_sampling_fingerprints": op8_weighted_sampling_fingerprints,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
 }
