@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, superminhash, toxicity
+from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, superminhash, toxicity, warc
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -26,6 +26,10 @@ def op6_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_content_addressed_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op8_weighted_sampling_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
+    "op7_content_addressed_warc": op7_content_addressed_warc,
     "op8_weighted_sampling_fingerprints": op8_weighted_sampling_fingerprints,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,

@@ -41,7 +41,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), m AS (
+  SELECT html, max(page_id) AS largest FROM p GROUP BY html
+)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN p.n >= 1000 AND p.page_id <> m.largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.n >= 1000 AND p.page_id <> m.largest THEN m.largest END AS refers_to
+FROM p JOIN m ON p.html = m.html
+"""
+
 ORACLE = {
     "op5_line_dedup": LINES,
+    "op7_content_addressed_warc": WARC,
     "op10_superminhash_near_dedup": NEAR,
 }
