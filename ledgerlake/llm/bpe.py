@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: the scheme's pieces, tried in this order at each position:
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -356,7 +357,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     docs = docs.drop("n_tokens", "ids")
     rest = [c for c in docs.columns if c != "text"]
-    schema = docs.select(rest).schema.add("n_tokens", "long").add("ids", "array<int>")
+    schema = docs.select(rest).schema.add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType()))
     return docs.select(*rest, "text").mapInArrow(partial(_encode_batches, shared=shared, rest=rest), schema)
 
 

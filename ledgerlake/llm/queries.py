@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, superminhash, toxicity, warc
+from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, rp_forest, superminhash, toxicity, warc
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -14,6 +14,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_rp_forest_neighbours(spark, sf_dir):
+    return rp_forest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op2_nb_ngram_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_superminhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_rp_forest_neighbours": op1_rp_forest_neighbours,
     "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
