@@ -357,7 +357,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     docs = docs.drop("n_tokens", "ids")
     rest = [c for c in docs.columns if c != "text"]
-    schema = docs.select(rest).schema.add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*docs.select(rest).schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.select(*rest, "text").mapInArrow(partial(_encode_batches, shared=shared, rest=rest), schema)
 
 
@@ -375,7 +375,8 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     shared = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     tokens = tokens.drop("decoded")
     rest = tokens.columns
-    return tokens.mapInArrow(partial(_decode_batches, shared=shared, rest=rest), tokens.schema.add("decoded", "string"))
+    schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.StringType())])
+    return tokens.mapInArrow(partial(_decode_batches, shared=shared, rest=rest), schema)
 
 
 def _digest_batches(batches, shared):

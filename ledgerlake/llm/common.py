@@ -114,7 +114,8 @@ def word_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 _POWERS = np.ones(1, np.uint64)
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
+    """Powers of a fixed odd number, modulo 2**64; at least ``n``."""
     global _POWERS
     if len(_POWERS) < n:
         with np.errstate(over="ignore"):
@@ -132,5 +133,5 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     code = raw[place + np.repeat(starts, length)]
     if lower:
         code = LOWER[code]
-    value = mix64(np.arange(256, dtype=np.uint64) + GOLDEN)[code] * _powers(int(length.max()))[place]
+    value = mix64(np.arange(256, dtype=np.uint64) + GOLDEN)[code] * powers(int(length.max()))[place]
     return mix64(np.add.reduceat(value, first) + length.astype(np.uint64) * GOLDEN)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, fingerprints, line_dedup, mixing, rp_forest, superminhash, toxicity, warc
+from ledgerlake.llm import bpe, context_mixing, fingerprints, line_dedup, mixing, quality, rp_forest, superminhash, toxicity, warc
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
 
+def op4_empirical_bayes_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public tokenizer's file."""
     import public_tokenizers
@@ -22,6 +26,10 @@ def op2_nb_ngram_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_context_mixing_lm(spark, sf_dir):
+    return context_mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -46,9 +54,18 @@ def op10_superminhash_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # it takes its parts from this folder
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_rp_forest_neighbours": op1_rp_forest_neighbours,
     "op2_nb_ngram_toxicity": op2_nb_ngram_toxicity,
+    "op3_context_mixing_lm": op3_context_mixing_lm,
+    "op4_empirical_bayes_quality": op4_empirical_bayes_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_transducer": op6_bpe_transducer,
     "op7_content_addressed_warc": op7_content_addressed_warc,

@@ -292,3 +292,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     has = F.col("n_shingles") > 0
     own = F.when(has & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the documents that are near copies of one with a smaller doc_id.
+
+    All columns stay. Of rows that share a kept doc_id one stays if their
+    texts are equal, else all do; rows without a doc_id stay.
+    """
+    gone = near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialise(gone, "near-copies")
+    key = docs["doc_id"].cast("long")
+    twice = docs.groupBy(key.alias("_twice")).agg(F.count("*").alias("n")).where("n > 1 and _twice is not null")
+    twice = materialise(twice.select("_twice"), "repeated-ids")
+    left = docs.join(gone, key == F.col("_gone"), "left_anti")
+    once = left.join(twice, key == F.col("_twice"), "left_anti")
+    return once.union(left.join(twice, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, materialise, mix64, row_blocks, utf8_parts
 
@@ -181,7 +182,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: toxic likelier) in place of ``text``. Null text scores as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in ("text", "score")]
-    schema = docs.select(rest).schema.add("score", "double")
+    schema = T.StructType([*docs.select(rest).schema.fields, T.StructField("score", T.DoubleType())])
     return docs.select(*rest, "text").mapInArrow(partial(_score_batches, model=shared), schema)
 
 
