@@ -8,8 +8,8 @@ and bits are few: about as many as the text's information.
 
 Each bit is predicted by a static predictor (the tree node) and by hashed
 contexts: for words the last very common word, the last word and the last two
-words; for bytes the last two and the last three of the word, both with the last
-very common word, and the word so far. A context's slot has
+words; for bytes the last two of the word with the last
+very common word, the last three, and the word so far. A context's slot has
 the counts of zeros and ones over all training texts. Their logits are mixed
 by weights chosen by a gate (how sure each context is), learnt online by
 gradient steps; the mixed prediction is refined by an adaptive table (by
@@ -36,14 +36,17 @@ from ledgerlake.llm.common import GOLDEN, LOWER, materialise, mix64, powers, row
 
 #: Words that have a code of their own, at most (the commonest; ties to the smaller hash).
 VOCAB = 1 << 18
-#: Occurrences from which a word has a code: the rarer ones teach the escape and the bytes of new words.
-MIN_COUNT = 4
+#: Occurrences from which a word has a code. Words seen once teach the escape and the bytes of new words: as many
+#: tokens are such words as will be new (Good and Turing).
+MIN_COUNT = 2
 #: Words common enough to tell the language or style: the context "last very common word".
 COMMON = 256
 SLOT_BITS = 21
 CONTEXTS = 3
 #: Texts (smallest hash of the id first) and bytes of them on which weights and refinement are fitted, at most.
 FIT_TEXTS, FIT_BYTES = 2_000, 6_000_000
+#: Step sizes of the passes over that sample.
+RATES = (0.01, 0.004, 0.002)
 _BLOCK = 1 << 19
 _TOKENS = 1 << 16
 _PIECE = 1 << 17
@@ -266,7 +269,7 @@ def _byte_bits(coder: Coder, w: Words, tokens: np.ndarray, common: np.ndarray):
         whole = (whole >> np.uint64(32)).astype(np.uint32)
         who, node, bit = _steps(coder.byte_tree, symbol)
         node = node + nodes
-        yield owner[who], node, [_slot(c[who], node, k) for k, c in enumerate((two ^ style, three ^ style, whole))], bit
+        yield owner[who], node, [_slot(c[who], node, k) for k, c in enumerate((two ^ style, three, whole))], bit
 
 
 # ------------------------------------------------------------------ context counts
@@ -409,7 +412,7 @@ def _log_p(model: Model, node, packed, bit, static) -> np.ndarray:
     return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
 
 
-def fit_mixer(model: Model, zeros: np.ndarray, ones: np.ndarray, texts: list[str], rate: float = 0.01) -> None:
+def fit_mixer(model: Model, zeros: np.ndarray, ones: np.ndarray, texts: list[str], rate: float) -> None:
     """Learn weights and refinement online, text after text; each bit's own count is taken out."""
     static = model.coder.logits
     at = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts]))).astype(np.int64)
@@ -478,7 +481,8 @@ def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
         if size > FIT_BYTES and chosen:
             break
         chosen.append(row["text"])
-    fit_mixer(model, zeros, ones, chosen)
+    for rate in RATES:
+        fit_mixer(model, zeros, ones, chosen, rate)
     return model, words
 
 

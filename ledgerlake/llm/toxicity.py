@@ -27,9 +27,9 @@ ORDERS = (4, 5)
 BITS = 20
 SMOOTHING = 1.0
 #: Features of the linear model: those with the largest likelihood ratio.
-FEATURES = 1 << 14
+FEATURES = 1 << 12
 #: Rows the linear model is fitted on, at most (smallest hash of the id first), half of them toxic if there are so many.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 4_000
 #: Label rows up to which the labels are sent to the scan instead of shuffling the texts.
 BROADCAST_LABELS = 1_000_000
 _BLOCK = 1 << 21
