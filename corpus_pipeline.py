@@ -26,9 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     out = toxicity.held_out(F.col("doc_id"), 5, 0)
     model = toxicity.train(docs.where(~out), labels.where(~out).select("doc_id", F.col("toxic").alias("label")))
-    rows = docs.withColumn("_text", F.col("text"))
-    clean = toxicity.score(rows.select(*[F.col("_text" if c == "text" else c).alias(f"_{c}") for c in docs.columns], "text"), model).where("score < 0.5")
-    return clean.select(*[F.col(f"_{c}").alias(c) for c in docs.columns])
+    return toxicity.clean(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The ``used`` columns, and all others in one struct ``rest``: their names can clash with nothing."""
+    others = [c for c in docs.columns if c not in used]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    return docs.select(*used, rest.alias("rest"))
+
+
+def unpacked(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """Undoes ``packed``: the given columns in their order."""
+    return docs.select(*[F.col(c) if c in docs.columns and c != "rest" else F.col("rest")[c].alias(c) for c in columns])
+
+
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)

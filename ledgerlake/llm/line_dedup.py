@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import LOWER, SPACES, materialise
+from ledgerlake.llm.common import LOWER, SPACES, materialise, packed, unpacked
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -154,10 +154,10 @@ def kept_text(text: str, keep: bytes | None) -> str:
 
 
 def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` (null text as empty) with columns ``n_dropped`` and ``keep`` (null: every line stays)."""
+    """``docs`` (doc_id, text and ``rest``; null text as empty) with ``n_dropped`` and ``keep`` (null: every line stays)."""
     maps = keep_bitmaps(docs, min_chars, min_docs)
     maps = maps.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "n_dropped", "keep")
-    docs = _text_key(docs.drop("text_key", "n_dropped", "keep"))
+    docs = _text_key(docs)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
     return docs.join(maps, same, "left").drop("_doc", "_key", "text_key")
 
@@ -184,10 +184,10 @@ def line_digests(docs: DataFrame) -> DataFrame:
 def _rewrite(batches):
     for batch in batches:
         texts = [kept_text(t, k) for t, k in zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist())]
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).drop_columns(["n_dropped", "keep"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("rest")], ["doc_id", "text", "rest"])
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with the dropped lines taken out of ``text``; all columns and rows stay."""
-    return with_bitmaps(docs, min_chars, min_docs).mapInArrow(_rewrite, docs.schema).select(docs.columns)
+    """``docs`` with the dropped lines taken out of ``text``; all columns and rows stay (null text becomes empty)."""
+    rows = packed(docs, "doc_id", "text")
+    return unpacked(with_bitmaps(rows, min_chars, min_docs).mapInArrow(_rewrite, rows.schema), docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialise
+from ledgerlake.llm.common import materialise, packed, unpacked
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that meet in one block, about.
@@ -193,7 +193,7 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, with all its columns."""
     aim = plan(docs).where("copies > 0").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], F.col("copies").alias("_copies"))
-    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = packed(docs, "doc_id", "source", "text").withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_text_key"))
     rows = rows.join(aim, same).withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return rows.select(docs.columns)
+    return unpacked(rows, docs.columns)

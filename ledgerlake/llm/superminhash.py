@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import GOLDEN, materialise, mix64, row_blocks, utf8_parts, word_bounds, word_hashes
+from ledgerlake.llm.common import GOLDEN, materialise, mix64, packed, row_blocks, unpacked, utf8_parts, word_bounds, word_hashes
 from ledgerlake.llm.components import components
 
 SLOTS = 64
@@ -302,9 +302,11 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     gone = near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = materialise(gone, "near-copies")
+    columns, docs = docs.columns, packed(docs, "doc_id", "text")
     key = docs["doc_id"].cast("long")
     twice = docs.groupBy(key.alias("_twice")).agg(F.count("*").alias("n")).where("n > 1 and _twice is not null")
     twice = materialise(twice.select("_twice"), "repeated-ids")
     left = docs.join(gone, key == F.col("_gone"), "left_anti")
     once = left.join(twice, key == F.col("_twice"), "left_anti")
-    return once.union(left.join(twice, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    left = once.union(left.join(twice, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    return unpacked(left, columns)

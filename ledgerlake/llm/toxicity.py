@@ -167,15 +167,30 @@ def train(docs: DataFrame, labels: DataFrame, features: int = FEATURES, sample_r
     return Model((w * ratio).astype(np.float32), bias, orders, bits)
 
 
+def _scores(batch, m: Model, scratch: np.ndarray) -> np.ndarray:
+    z = np.full(batch.num_rows, m.bias)
+    for row, features in _each_doc(batch, m.orders, m.bits):
+        hit = features[m.weights[features] != 0]
+        z[row] += float(m.weights[_distinct(hit, scratch)].sum(dtype=np.float64))
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
 def _score_batches(batches, model):
-    m: Model = model.value
-    scratch = np.zeros(1 << m.bits, np.int32)
+    scratch = np.zeros(1 << model.value.bits, np.int32)
+    for batch in batches:
+        yield batch.drop_columns(["text"]).append_column("score", pa.array(_scores(batch, model.value, scratch)))
+
+
+def _clean_batches(batches, model, limit):
+    scratch = np.zeros(1 << model.value.bits, np.int32)
     for batch in batches:
-        z = np.full(batch.num_rows, m.bias)
-        for row, features in _each_doc(batch, m.orders, m.bits):
-            hit = features[m.weights[features] != 0]
-            z[row] += float(m.weights[_distinct(hit, scratch)].sum(dtype=np.float64))
-        yield batch.drop_columns(["text"]).append_column("score", pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
+        yield batch.filter(pa.array(_scores(batch, model.value, scratch) < limit))
+
+
+def clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score ``limit`` or more; all columns stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(partial(_clean_batches, model=shared, limit=limit), docs.schema)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
