@@ -41,14 +41,15 @@ VOCAB = 1 << 18
 MIN_COUNT = 2
 #: Words common enough to tell the language or style: the context "last very common word".
 COMMON = 256
-SLOT_BITS = 21
+SLOT_BITS = 20
 CONTEXTS = 3
 #: Texts (smallest hash of the id first) and bytes of them on which weights and refinement are fitted, at most.
 FIT_TEXTS, FIT_BYTES = 2_000, 6_000_000
 #: Step sizes of the passes over that sample.
 RATES = (0.01, 0.004, 0.002)
 _BLOCK = 1 << 19
-_TOKENS = 1 << 16
+#: Words, and bytes of words without a code, whose bits are handled at once: their arrays stay in a core's cache.
+_TOKENS, _BYTES = 1 << 13, 1 << 14
 _PIECE = 1 << 17
 _SALTS = 16
 _LOGIT = 8.0
@@ -172,20 +173,28 @@ class Coder:
 
 
 def _steps(code, symbols: np.ndarray):
-    """(index of the symbol, node, bit) of every bit."""
+    """(number of bits of each symbol, node and bit of every bit)."""
     offsets, nodes, bits, _ = code
-    first, size = offsets[symbols], offsets[symbols + 1] - offsets[symbols]
-    who = np.repeat(np.arange(len(symbols), dtype=np.int32), size)
-    start = np.cumsum(size) - size
-    at = np.arange(len(who)) + np.repeat(first - start, size)
-    return who, nodes[at], bits[at]
-
-
-def _slot(context: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
-    x = (context ^ (node.astype(np.uint32) * _PHI)) * np.uint32(0x85EBCA6B)
-    x ^= x >> np.uint32(15)
-    x *= np.uint32(0xC2B2AE35)
-    return (x >> np.uint32(32 - SLOT_BITS)).astype(np.int64) + (k << SLOT_BITS)
+    first = offsets[symbols]
+    size = offsets[symbols + 1] - first
+    start = np.cumsum(size)
+    at = np.arange(int(start[-1]) if len(start) else 0)
+    at += np.repeat(first - start + size, size)
+    return size, nodes[at], bits[at]
+
+
+def _slots(contexts, size: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
+    """The slot of each bit in each context's table; contexts are 32-bit hashes, one a symbol."""
+    spread = node.astype(np.uint32)
+    spread *= _PHI
+    out = []
+    for c in contexts:
+        x = np.repeat(c, size)
+        x ^= spread
+        x *= np.uint32(0x85EBCA6B)
+        x >>= np.uint32(32 - SLOT_BITS)
+        out.append(x)
+    return out
 
 
 @dataclass
@@ -217,7 +226,7 @@ def words_of(coder: Coder, raw: np.ndarray, at: np.ndarray) -> Words:
 
 
 def bits_of(coder: Coder, w: Words):
-    """Chunks of bits: (token, node, slots of the contexts, bit)."""
+    """Chunks of bits: (token of each symbol, bits of each symbol; node, slots of the contexts and value of each bit)."""
     n = len(w.row)
     vocab = len(w.place) and len(coder.words)
     symbol = np.where(w.place >= 0, coder.rank[np.maximum(w.place, 0)] if vocab else 0, np.where(w.place == -2, len(coder.words), len(coder.words) + 1))
@@ -236,9 +245,8 @@ def bits_of(coder: Coder, w: Words):
     contexts = (common * np.uint32(0x27D4EB2F), last, last * np.uint32(0x165667B1) + two)
     for a in range(0, n, _TOKENS):
         part = slice(a, a + _TOKENS)
-        who, node, bit = _steps(coder.word_tree, symbol[part])
-        slots = [_slot(c[part][who], node, k) for k, c in enumerate(contexts)]
-        yield who + a, node, slots, bit
+        size, node, bit = _steps(coder.word_tree, symbol[part])
+        yield np.arange(a, a + len(size)), size, node, _slots([c[part] for c in contexts], size, node), bit
         far = np.flatnonzero(symbol[part] == len(coder.words) + 1) + a
         if len(far):
             yield from _byte_bits(coder, w, far, common)
@@ -246,7 +254,7 @@ def bits_of(coder: Coder, w: Words):
 
 def _byte_bits(coder: Coder, w: Words, tokens: np.ndarray, common: np.ndarray):
     size = w.ends[tokens] - w.starts[tokens] + 1
-    cuts = np.searchsorted(np.cumsum(size), np.arange(_PIECE, int(size.sum()) + _PIECE, _PIECE), side="left") + 1
+    cuts = np.searchsorted(np.cumsum(size), np.arange(_BYTES, int(size.sum()) + _BYTES, _BYTES), side="left") + 1
     nodes = len(coder.word_tree[3])
     for group, n in zip(np.split(tokens, cuts), np.split(size, cuts)):
         if not len(group):
@@ -267,9 +275,9 @@ def _byte_bits(coder: Coder, w: Words, tokens: np.ndarray, common: np.ndarray):
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))[:-1]
         whole = mix64(total - np.repeat(total[start], n) + inside.astype(np.uint64))
         whole = (whole >> np.uint64(32)).astype(np.uint32)
-        who, node, bit = _steps(coder.byte_tree, symbol)
+        size, node, bit = _steps(coder.byte_tree, symbol)
         node = node + nodes
-        yield owner[who], node, [_slot(c[who], node, k) for k, c in enumerate((two ^ style, three, whole))], bit
+        yield owner, size, node, _slots((two ^ style, three, whole), size, node), bit
 
 
 # ------------------------------------------------------------------ context counts
@@ -291,9 +299,9 @@ def _context_batches(batches, coder):
     for batch in batches:
         raw, at = utf8_parts(batch.column("text"))
         for a, b in row_blocks(at, _BLOCK):
-            for _, _, slots, bit in bits_of(c, words_of(c, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
+            for _, _, _, slots, bit in bits_of(c, words_of(c, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
                 for k, s in enumerate(slots):
-                    held[k].append(((s - (k << SLOT_BITS)) * 2 + bit).astype(np.int32))
+                    held[k].append(s * np.uint32(2) + bit.astype(np.uint32))
                 size += len(bit)
                 if size > 4_000_000:
                     fold()
@@ -419,7 +427,8 @@ def fit_mixer(model: Model, zeros: np.ndarray, ones: np.ndarray, texts: list[str
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
     flat = model.refine.reshape(-1)
     for a, b in row_blocks(at, 1 << 14):
-        for _, node, slots, bit in bits_of(model.coder, words_of(model.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
+        for _, _, node, slots, bit in bits_of(model.coder, words_of(model.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
+            slots = [s + np.uint32(k << SLOT_BITS) for k, s in enumerate(slots)]
             packed = [_packed_logits(np.maximum(zeros[s] - (bit == 0), 0), np.maximum(ones[s] - (bit == 1), 0)) for s in slots]
             x, gate = _inputs(model, node, packed, static)
             for c in range(0, len(node), 512):
@@ -494,6 +503,7 @@ _SCORED = "row long, doc_id long, held_out boolean, n_bytes long, n_tokens long,
 def _score_batches(batches, model):
     m: Model = model.value
     static = m.coder.logits
+    tables = m.table.reshape(CONTEXTS, -1)
     first = TaskContext.get().partitionId() << 33
     scale = np.log10(m.train_tokens + m.types + 1.0)
     known = np.log10(m.coder.count + 1.0) - scale
@@ -504,8 +514,11 @@ def _score_batches(batches, model):
             w = words_of(m.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a])
             texts = b - a
             score = np.zeros(texts)
-            for token, node, slots, bit in bits_of(m.coder, w):
-                score += np.bincount(w.row[token], _log_p(m, node, [m.table[s] for s in slots], bit, static), texts)
+            for token, size, node, slots, bit in bits_of(m.coder, w):
+                log_p = _log_p(m, node, [np.take(t, s) for t, s in zip(tables, slots)], bit, static)
+                total = np.concatenate((np.zeros(1), np.cumsum(log_p, dtype=np.float64)))
+                last = np.cumsum(size)
+                score += np.bincount(w.row[token], total[last] - total[last - size], texts)
             there = w.place >= 0
             base = np.where(there, known[np.maximum(w.place, 0)] if len(known) else 0, np.where(w.place == -2, end, 0))
             hit = there | ((w.place == -2) & (m.end_count > 0))
