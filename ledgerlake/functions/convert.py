@@ -48,6 +48,13 @@ def try_int(c) -> Column:
     return F.when(c.rlike(INT_PATTERN), F.trim(c).try_cast("int"))
 
 
+def try_id(c) -> Column:
+    """A whole-number identifier. BIGINT: ids grow with the data, and one
+    beyond INT would become NULL and lose its row."""
+    c = col(c)
+    return F.when(c.rlike(INT_PATTERN), F.trim(c).try_cast("bigint"))
+
+
 def try_dec(c, precision: int = 12, scale: int = 2) -> Column:
     """TRY_CONVERT(DECIMAL(p,s), x): rounds half-up to scale, NULL on overflow."""
     c = col(c)

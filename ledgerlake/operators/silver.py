@@ -65,7 +65,7 @@ def _lineage_ntz(raw: DataFrame) -> list:
 def clean_pos_transactions(raw: DataFrame, finish: bool = True) -> DataFrame:
     typed = raw.select(
         "*",
-        cv.try_int("store_id").alias("_store"),
+        cv.try_id("store_id").alias("_store"),
         cv.try_timestamp("transaction_timestamp").alias("_ts"),
         cv.try_dec("total_amount").alias("_total"),
         cv.try_dec("discount_amount").alias("_disc"),
@@ -118,7 +118,7 @@ def clean_pos_items(raw: DataFrame, finish: bool = True) -> DataFrame:
     typed = _typed_items(raw)
     out = typed.select(
         cv.trim("transaction_id").alias("transaction_id"),
-        cv.try_int("product_id").alias("product_id"),
+        cv.try_id("product_id").alias("product_id"),
         *_line_items(typed),
         *_lineage_ntz(raw),
     )
@@ -160,9 +160,9 @@ def clean_ecom_orders(raw: DataFrame, finish: bool = True) -> DataFrame:
 def clean_ecom_items(raw: DataFrame, finish: bool = True) -> DataFrame:
     typed = _typed_items(raw)
     out = typed.select(
-        cv.try_int("order_item_id").alias("order_item_id"),
+        cv.try_id("order_item_id").alias("order_item_id"),
         cv.trim("order_id").alias("order_id"),
-        cv.try_int("product_id").alias("product_id"),
+        cv.try_id("product_id").alias("product_id"),
         *_line_items(typed),
         *_lineage_ntz(raw),
     )
@@ -173,7 +173,7 @@ def clean_inventory_snapshots(raw: DataFrame, finish: bool = True) -> DataFrame:
     typed = raw.select(
         "*",
         cv.try_date("snapshot_date").alias("_date"),
-        cv.try_int("store_id").alias("_store"),
+        cv.try_id("store_id").alias("_store"),
         cv.try_int("beginning_inventory").alias("_begin"),
         cv.try_int("ending_inventory").alias("_end"),
         cv.try_dec("inventory_value", 14, 2).alias("_value"),
@@ -182,7 +182,7 @@ def clean_inventory_snapshots(raw: DataFrame, finish: bool = True) -> DataFrame:
     out = typed.select(
         F.col("_date").alias("snapshot_date"),
         F.col("_store").alias("store_id"),
-        cv.try_int("product_id").alias("product_id"),
+        cv.try_id("product_id").alias("product_id"),
         cv.non_negative(F.col("_begin")).alias("beginning_inventory"),
         cv.non_negative(F.col("_end")).alias("ending_inventory"),
         cv.non_negative(F.col("_value")).alias("inventory_value"),
@@ -207,7 +207,7 @@ def clean_returns(raw: DataFrame, finish: bool = True) -> DataFrame:
     out = typed.select(
         cv.trim("return_id").alias("return_id"),
         cv.trim("transaction_id").alias("transaction_id"),
-        cv.try_int("product_id").alias("product_id"),
+        cv.try_id("product_id").alias("product_id"),
         F.col("_date").alias("return_date"),
         cv.vocab("return_reason", cv.RETURN_REASON_RULES).alias("return_reason"),
         cv.non_negative(F.col("_refund")).alias("refund_amount"),
@@ -226,7 +226,7 @@ def clean_products(raw: DataFrame, finish: bool = True) -> DataFrame:
     typed = raw.select("*", cv.try_dec("cost").alias("_cost"), cv.try_dec("price").alias("_price"))
     cost, price = F.col("_cost"), F.col("_price")
     out = typed.select(
-        cv.try_int("product_id").alias("product_id"),
+        cv.try_id("product_id").alias("product_id"),
         cv.trim("sku").alias("sku"),
         cv.trim("product_name").alias("product_name"),
         cv.upper_trim("category").alias("category"),
@@ -246,7 +246,7 @@ def clean_products(raw: DataFrame, finish: bool = True) -> DataFrame:
 
 def clean_stores(raw: DataFrame, finish: bool = True) -> DataFrame:
     out = raw.select(
-        cv.try_int("store_id").alias("store_id"),
+        cv.try_id("store_id").alias("store_id"),
         cv.trim("store_name").alias("store_name"),
         cv.upper_trim("store_type").alias("store_type"),
         cv.upper_trim("region").alias("region"),
