@@ -17,10 +17,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import gold, silver
+from ledgerlake.operators import gold, quality, silver
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import testdata
-from ledgerlake.sources.schemas import RAW_DATASETS
 
 SILVER_TABLES = list(silver.CLEANERS)
 GOLD_TABLES = [
@@ -58,9 +57,11 @@ class Warehouse:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str, date_range=gold.DEFAULT_DATE_RANGE,
-                     schemas: dict | None = None) -> "Warehouse":
+                     schemas: dict | None = None, bronze: list[str] = ()) -> "Warehouse":
         """Read a materialised warehouse. ``schemas`` (table -> StructType)
-        lets empty tables - written without data files - be read back."""
+        lets empty tables - written without data files - be read back.
+        ``bronze`` names the raw extracts that were written too; asking for
+        them by name works on any file system."""
         schemas = schemas or {}
 
         def read(layer: str, name: str) -> DataFrame:
@@ -75,12 +76,7 @@ class Warehouse:
         for name in GOLD_TABLES:
             df = read("gold", name)
             tables[name] = df.drop(FACT_PARTITION) if FACT_PARTITION in df.columns else df
-        bronze = os.path.join(path, "bronze")
-        raw = {}
-        if os.path.isdir(bronze):
-            for ds in RAW_DATASETS:
-                if os.path.isdir(os.path.join(bronze, ds)):
-                    raw[ds] = spark.read.parquet(os.path.join(bronze, ds))
+        raw = {ds: read("bronze", ds) for ds in bronze}
         return cls(spark, raw, date_range, tables)
 
     # ------------------------------------------------------------------ layers
@@ -105,6 +101,11 @@ class Warehouse:
             f"typed_{table}", lambda: silver.CLEANERS[table](self.raw(silver.RAW_OF[table]), finish=False)
         )
 
+    def quarantine(self, table: str) -> DataFrame:
+        """The raw rows that Silver refuses: raw columns, lineage and
+        ``reject_reason``."""
+        return self._get(f"quarantine_{table}", lambda: quality.quarantined(self.raw(silver.RAW_OF[table]), table))
+
     def dim_date(self) -> DataFrame:
         return self._get("dim_date", lambda: gold.dim_date(self.spark, *self.date_range))
 
@@ -187,9 +188,16 @@ class Warehouse:
         schemas: dict = {}
         for n in SILVER_TABLES:
             schemas[n] = source.silver(n).schema
+        for ds in source._raw if include_bronze else ():
+            schemas[ds] = source.raw(ds).schema
         run_all([
             (lambda n=n: source.silver(n).write.mode("overwrite").parquet(os.path.join(path, "silver", n)))
             for n in SILVER_TABLES
+        ] + [
+            # Rows that a NOT NULL column keeps out of Silver, with the reason:
+            # Silver and quarantine together are every raw row.
+            (lambda n=n: source.quarantine(n).write.mode("overwrite").parquet(os.path.join(path, "quarantine", n)))
+            for n in SILVER_TABLES if silver.RAW_OF[n] in source._raw
         ])
         # Gold builds from the written Silver layer (lineage cut there).
         written = Warehouse(self.spark, self._raw, self.date_range, {
@@ -205,14 +213,14 @@ class Warehouse:
             written._memo[n] = self.spark.read.schema(schemas[n]).parquet(os.path.join(path, "gold", n))
 
         def write_fact(n: str) -> None:
-            # Month folders for pruning. Range-partitioning on the date key
-            # gives every task a contiguous slice of days, so each task
-            # writes one or two month folders (files ~ tasks + months, not
-            # tasks x months) and a hot month is split across tasks by rows.
+            # Month folders for pruning. Rebalancing by month brings a month's
+            # rows together (few files per folder); AQE then splits a large
+            # month, or one hot day, into tasks of even size and joins small
+            # ones. No sampling pass, so the joins run once.
             df = written.gold(n).withColumn(FACT_PARTITION, (F.col("date_sk") / 100).cast("int"))
             schemas[n] = df.schema
-            df.repartitionByRange("date_sk").write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(
+            df.hint("rebalance", FACT_PARTITION).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(
                 os.path.join(path, "gold", n))
 
         run_all([(lambda n=n: write_fact(n)) for n in facts])
-        return Warehouse.from_parquet(self.spark, path, self.date_range, schemas)
+        return Warehouse.from_parquet(self.spark, path, self.date_range, schemas, list(self._raw) if include_bronze else [])

@@ -53,21 +53,32 @@ def get_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and materialised layers.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, the same in every
+    application (Spark's own checkpoint folder is a new one below it each time).
 
-    The cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session. Only when it is unset (local tests) is a scratch folder
-    created and registered.
+    Only a local session may do without the setting: there one machine-local
+    folder is visible to the driver and to its executors.
     """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
+        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared folder for lineage cuts and materialised layers, registered as
+    Spark's checkpoint folder if none is."""
+    path = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)

@@ -16,6 +16,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.sources.schemas import RAW_COLUMNS, SOURCE_FILES, raw_schema
 
@@ -34,12 +35,40 @@ CSV_READ_OPTIONS = {
 }
 
 
-def load_raw_csv(spark: SparkSession, dataset: str, path: str) -> DataFrame:
-    """Load one raw extract (file or folder of part files) as all-string."""
-    reader = spark.read.schema(raw_schema(dataset))
+CORRUPT = "_corrupt_record"
+
+
+def _read(spark: SparkSession, dataset: str, path: str) -> DataFrame:
+    """Every record; one with too many or too few fields, or with unbalanced
+    quotes, has its text in ``_corrupt_record``."""
+    reader = spark.read.schema(T.StructType([*raw_schema(dataset).fields, T.StructField(CORRUPT, T.StringType())]))
     for k, v in CSV_READ_OPTIONS.items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    # Every field is parsed, whatever a query selects, so that a record is
+    # judged as a whole.
+    reader = reader.option("columnPruning", "false")
+    # A file whose header names other columns, or in another order, is an error.
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "false").csv(path)
+
+
+def _fields(dataset: str):
+    """Always true. Spark refuses a query on the corrupt column alone (a bare
+    count, say), so the fields go along."""
+    return F.length(F.concat_ws("", *RAW_COLUMNS[dataset])) >= 0
+
+
+def load_raw_csv(spark: SparkSession, dataset: str, path: str) -> DataFrame:
+    """Load one raw extract (file or folder of part files) as all-string:
+    the well-formed records. ``rejected_records`` has all others."""
+    df = _read(spark, dataset, path)
+    return df.filter(F.col(CORRUPT).isNull() & _fields(dataset)).drop(CORRUPT)
+
+
+def rejected_records(spark: SparkSession, dataset: str, path: str) -> DataFrame:
+    """The malformed records of an extract: table name, file, the record's text."""
+    df = _read(spark, dataset, path).select("*", F.col("_metadata.file_path").alias("source_path"))
+    df = df.filter(F.col(CORRUPT).isNotNull() & _fields(dataset))
+    return df.select(F.lit(dataset).alias("table_name"), "source_path", F.col(CORRUPT).alias("record"))
 
 
 def lineage_enrich(df: DataFrame, source_file: str | None = None) -> DataFrame:

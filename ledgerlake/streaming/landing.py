@@ -14,11 +14,12 @@ files that were already landed.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.session import shared_dir
 from ledgerlake.sources.csv_loader import CSV_READ_OPTIONS, lineage_enrich
 from ledgerlake.sources.schemas import RAW_COLUMNS, SOURCE_FILES, raw_schema
 
@@ -33,10 +34,16 @@ def extract_stream(spark: SparkSession, dataset: str, landing_dir: str) -> DataF
     return reader.csv(os.path.join(landing_dir, SOURCE_FILES[dataset]))
 
 
+def _default_root(spark: SparkSession, bronze_dir: str) -> str:
+    """Progress folder of the streams into ``bronze_dir``: the same in every
+    application, so that a restarted driver goes on where the last one was."""
+    return os.path.join(shared_dir(spark), "landing", hashlib.sha256(bronze_dir.rstrip("/").encode()).hexdigest()[:16])
+
+
 def land_dataset(spark: SparkSession, dataset: str, landing_dir: str, bronze_dir: str,
                  checkpoint: str | None = None):
     """Start an availableNow stream landing one dataset; returns the query."""
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "landing", dataset)
+    ckpt = checkpoint or os.path.join(_default_root(spark, bronze_dir), dataset)
     stream = lineage_enrich(extract_stream(spark, dataset, landing_dir))
     return (
         stream.writeStream.format("parquet")
@@ -50,7 +57,7 @@ def land_dataset(spark: SparkSession, dataset: str, landing_dir: str, bronze_dir
 
 def land_all(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_root: str | None = None) -> dict:
     """Land every dataset (one stream each, run concurrently) and wait."""
-    root = checkpoint_root or os.path.join(checkpoint_dir(spark), "landing")
+    root = checkpoint_root or _default_root(spark, bronze_dir)
     queries = {
         ds: land_dataset(spark, ds, landing_dir, bronze_dir, os.path.join(root, ds)) for ds in RAW_COLUMNS
     }
