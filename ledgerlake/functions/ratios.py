@@ -3,7 +3,7 @@
 * ``ratio``  - ROUND(num / NULLIF(den, 0), scale): exact decimal division,
   half-up, returned as DOUBLE. Operands are widened to DECIMAL(24,6) so the
   quotient carries 14 fractional digits before the final rounding (Spark's
-  default result scale of 6 would round twice).
+  default result scale of 6 would round twice); see ``_quotient`` for larger ones.
 * ``int_div`` - INT / INT of the reference: truncation toward zero.
 * ``int_avg`` - AVG over an INT column, which the reference truncates.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WIDE = "decimal(24,6)"
+_WIDEST = "decimal(38,6)"
 
 
 def _c(x) -> Column:
@@ -26,21 +27,39 @@ def safe_den(den) -> Column:
     return F.when(den != 0, den)
 
 
+def _quotient(num, den, scale: int) -> Column:
+    """ROUND(num / NULLIF(den, 0), scale), half-up.
+
+    Operands below 1e18 divide with 14 fractional digits. Larger ones would
+    not fit that type: their whole part is divided exactly, and only the
+    remainder, which is smaller than the divisor, to 6 digits.
+    """
+    num, den = _c(num), _c(den)
+    near = F.round(num.try_cast(_WIDE) / safe_den(den.try_cast(_WIDE)), scale)
+    n, d = num.cast(_WIDEST), safe_den(den.cast(_WIDEST))
+    rest = n % d
+    far = ((n - rest) / d).cast("decimal(36,6)") + F.round((rest / d).cast("decimal(12,6)"), scale)
+    return F.coalesce(near, far.cast(f"decimal(38,{scale})"))
+
+
+def product(a, b) -> Column:
+    """a * b of two whole numbers, in a type that holds any two BIGINT of
+    practical size (BIGINT * BIGINT fails from 9.2e18 on)."""
+    return _c(a).cast("decimal(19,0)") * _c(b).cast("decimal(18,0)")
+
+
 def div_round(num, den, scale: int = 2) -> Column:
     """ROUND(num / NULLIF(den, 0), scale) as an exact DECIMAL(38, scale)."""
-    q = F.round(_c(num).cast(_WIDE) / safe_den(_c(den).cast(_WIDE)), scale)
-    return q.cast(f"decimal(38,{scale})")
+    return _quotient(num, den, scale).cast(f"decimal(38,{scale})")
 
 
 def ratio(num, den, scale: int = 4) -> Column:
-    q = F.round(_c(num).cast(_WIDE) / safe_den(_c(den).cast(_WIDE)), scale)
-    return q.cast(f"decimal(18,{scale})").cast("double")
+    return _quotient(num, den, scale).cast("double")
 
 
 def ratio_decimal(num, den, precision: int, scale: int) -> Column:
     """CAST(num * 1.0 / NULLIF(den, 0) AS DECIMAL(p,s)); NULL on overflow."""
-    q = _c(num).cast(_WIDE) / safe_den(_c(den).cast(_WIDE))
-    return q.try_cast(f"decimal({precision},{scale})")
+    return _quotient(num, den, scale).try_cast(f"decimal({precision},{scale})")
 
 
 def int_div(num, den) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.ratios import div_round, long_sum, money_sum, ratio
+from ledgerlake.functions.ratios import div_round, long_sum, money_sum, product, ratio
 from ledgerlake.operators.ranking import global_rank, percent_rank
 from ledgerlake.plans import metrics
 from ledgerlake.plans.warehouse import Warehouse
@@ -180,8 +180,9 @@ def b08_unit_margin_rank(w: Warehouse) -> DataFrame:
     cat = p.groupBy("category").agg(F.sum("unit_margin").alias("_s"), F.count("unit_margin").alias("_n"))
     cat = cat.select("category", ratio("_s", "_n", 2).alias("category_avg_margin"))
     ranked = global_rank(p, "unit_margin", "margin_rank")
-    return ranked.join(cat, "category").select(
-        "product_id", "product_name", "category", "unit_margin", "margin_rank", "category_avg_margin"
+    # Null-safe: products without a category are a category of their own.
+    return ranked.join(cat, ranked["category"].eqNullSafe(cat["category"])).select(
+        "product_id", "product_name", ranked["category"], "unit_margin", "margin_rank", "category_avg_margin"
     )
 
 
@@ -281,7 +282,7 @@ def _store_turnover(w: Warehouse) -> DataFrame:
     return j.select(
         "store_id", "store_name", F.col("units_sold").cast("bigint").alias("units_sold"),
         ratio("_is", "_in", 2).alias("avg_inventory"),
-        ratio(F.col("units_sold") * F.col("_in"), F.col("_is"), 4).alias("turnover"),
+        ratio(product("units_sold", "_in"), F.col("_is"), 4).alias("turnover"),
     )
 
 
@@ -304,7 +305,7 @@ def b18_turnover_trend(w: Warehouse) -> DataFrame:
     return j.select(
         "year_num", "month_num", "product_id", "store_id", F.col("units_sold").cast("bigint").alias("units_sold"),
         ratio("_is", "_in", 2).alias("avg_inventory"),
-        ratio(F.col("units_sold") * F.col("_in"), F.col("_is"), 4).alias("turnover"),
+        ratio(product("units_sold", "_in"), F.col("_is"), 4).alias("turnover"),
     )
 
 
@@ -337,7 +338,7 @@ def b20_overstock(w: Warehouse) -> DataFrame:
     days = (F.datediff(d1, d0) + 1).alias("days_observed")
     j = j.withColumn("days_observed", days).withColumn("units_sold", F.coalesce(F.col("_units"), F.lit(0)).cast("bigint"))
     # days of cover = avg stock / (units / days) = sum_stock * days / (n * units)
-    cover = ratio(F.col("_is") * F.col("days_observed"), F.col("_in") * F.col("units_sold"), 1)
+    cover = ratio(product("_is", "days_observed"), product("_in", "units_sold"), 1)
     j = j.withColumn("days_of_cover", cover)
     over = (F.col("days_of_cover") > OVERSTOCK_DAYS_OF_COVER) | ((F.col("units_sold") == 0) & (F.col("_is") > 0))
     j = j.filter(over).join(w.dim_product().select("product_sk", "product_id"), "product_sk").join(
@@ -353,12 +354,13 @@ def b21_return_rate_slices(w: Warehouse) -> DataFrame:
     channel = F.col("return_channel")
     for ret_channel, sales_channel in RETURN_TO_SALES_CHANNEL.items():
         channel = F.when(F.col("return_channel") == ret_channel, sales_channel).otherwise(channel)
-    r = w.fact_returns().join(p, "product_sk").select(
-        "product_id", "category", "quantity_returned", *_month_cols(), channel.alias("channel"))
-    s = w.fact_sales_items().join(p, "product_sk").select(
-        "product_id", "category", "quantity", F.col("source_system").alias("channel"), *_month_cols())
-    # Each row contributes to four slices: explode it into (slice, member)
-    # pairs and aggregate once per side (one scan and one shuffle each).
+    # Aggregate each fact to (product, month, channel) first; only that small
+    # frame meets the dimension and is exploded into its four slices.
+    grain = ["product_sk", "year_num", "month_num", "channel"]
+    r = w.fact_returns().select("product_sk", "quantity_returned", *_month_cols(), channel.alias("channel"))
+    r = r.groupBy(*grain).agg(F.sum("quantity_returned").alias("quantity_returned")).join(p, "product_sk")
+    s = w.fact_sales_items().select("product_sk", "quantity", F.col("source_system").alias("channel"), *_month_cols())
+    s = s.groupBy(*grain).agg(F.sum("quantity").alias("quantity")).join(p, "product_sk")
     slices = F.array(
         F.struct(F.lit("product").alias("slice"), F.col("product_id").cast("string").alias("member")),
         F.struct(F.lit("category").alias("slice"), F.col("category").alias("member")),
@@ -370,9 +372,8 @@ def b21_return_rate_slices(w: Warehouse) -> DataFrame:
         .groupBy("slice", "member").agg(F.sum("quantity_returned").alias("_ret"))
     ss = s.select(F.explode(slices).alias("_s"), "quantity").select("_s.*", "quantity") \
         .groupBy("slice", "member").agg(F.sum("quantity").alias("_sold"))
-    # Full outer per slice; a NULL member (e.g. no category) never matches,
-    # as in an equi-join on the member value.
-    j = rr.join(ss, (rr["slice"] == ss["slice"]) & (rr["member"] == ss["member"]), "full").select(
+    # Full outer per slice; a NULL member (e.g. no category) is one member.
+    j = rr.join(ss, (rr["slice"] == ss["slice"]) & rr["member"].eqNullSafe(ss["member"]), "full").select(
         F.coalesce(rr["slice"], ss["slice"]).alias("slice"),
         F.coalesce(rr["member"], ss["member"]).alias("member"),
         F.coalesce(F.col("_ret"), F.lit(0)).cast("bigint").alias("returned_units"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.ratios import int_avg, int_div, long_sum, money_sum, ratio, ratio_decimal
+from ledgerlake.functions.ratios import int_avg, int_div, long_sum, money_sum, product, ratio, ratio_decimal
 from ledgerlake.plans.warehouse import Warehouse
 
 
@@ -89,7 +89,7 @@ def kpi_overview_exact(w: Warehouse) -> DataFrame:
         "units_sold",
         ratio(units_returned, F.col("units_sold"), 4).alias("return_rate"),
         ratio(inv_sum, inv_n, 4).alias("avg_inventory_units"),
-        ratio(F.col("units_sold") * inv_n, inv_sum, 2).alias("inventory_turnover"),
+        ratio(product("units_sold", inv_n), inv_sum, 2).alias("inventory_turnover"),
     )
 
 
