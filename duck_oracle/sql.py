@@ -200,7 +200,7 @@ for _t in ["dim_date", "dim_product", "dim_store", "fact_pos_transactions", "fac
 
 # ------------------------------------------------------------------ ingestion / validation
 from ledgerlake.sources.schemas import RAW_COLUMNS, RECORD_COUNT_LABELS, SOURCE_FILES  # noqa: E402
-from duck_oracle.ctes import ti, td, tdate, tts  # noqa: E402
+from duck_oracle.ctes import td, tdate, ti, tid, tts  # noqa: E402
 
 _RAW = list(RAW_COLUMNS)
 _SILVER = ["pos_transactions", "pos_items", "ecom_orders", "ecom_items",
@@ -255,22 +255,22 @@ q("record_counts", _RAW, _union([
 ]))
 
 _TARGET = {
-    "pos_transactions_raw": {"store_id": "int", "transaction_timestamp": "ts", "total_amount": "dec",
+    "pos_transactions_raw": {"store_id": "id", "transaction_timestamp": "ts", "total_amount": "dec",
                              "discount_amount": "dec", "tax_amount": "dec"},
-    "pos_items_raw": {"product_id": "int", "quantity": "int", "unit_price": "dec", "line_total": "dec"},
+    "pos_items_raw": {"product_id": "id", "quantity": "int", "unit_price": "dec", "line_total": "dec"},
     "ecom_orders_raw": {"order_timestamp": "ts", "shipping_cost": "dec", "total_amount": "dec",
                         "discount_amount": "dec"},
-    "ecom_items_raw": {"order_item_id": "int", "product_id": "int", "quantity": "int", "unit_price": "dec",
+    "ecom_items_raw": {"order_item_id": "id", "product_id": "id", "quantity": "int", "unit_price": "dec",
                        "line_total": "dec"},
-    "inventory_snapshots_raw": {"snapshot_date": "date", "store_id": "int", "product_id": "int",
+    "inventory_snapshots_raw": {"snapshot_date": "date", "store_id": "id", "product_id": "id",
                                 "beginning_inventory": "int", "ending_inventory": "int",
                                 "inventory_value": "dec14", "safety_stock": "int"},
-    "returns_raw": {"product_id": "int", "return_date": "date", "refund_amount": "dec",
+    "returns_raw": {"product_id": "id", "return_date": "date", "refund_amount": "dec",
                     "quantity_returned": "int"},
-    "products_raw": {"product_id": "int", "cost": "dec", "price": "dec", "launch_date": "date"},
-    "stores_raw": {"store_id": "int", "opening_date": "date"},
+    "products_raw": {"product_id": "id", "cost": "dec", "price": "dec", "launch_date": "date"},
+    "stores_raw": {"store_id": "id", "opening_date": "date"},
 }
-_CONV = {"int": ti, "dec": td, "dec14": lambda c: td(c, 14, 2), "date": tdate, "ts": tts}
+_CONV = {"id": tid, "int": ti, "dec": td, "dec14": lambda c: td(c, 14, 2), "date": tdate, "ts": tts}
 
 
 def _profile_part(ds: str, c: str) -> str:
@@ -342,7 +342,43 @@ def _fk_part(fact, key, dim, nullable):
             f"FROM {fact} f LEFT JOIN (SELECT DISTINCT {k} FROM {dim}) d ON f.{k} = d.{k}")
 
 
-q("fk_audit", _GOLD, _union([_fk_part(*r) for r in _FK]))
+_SILVER_KEYS = [
+    ("pos_transactions", "store_id", "store_id", "dim_store", "store_id"),
+    ("pos_transactions", "day", "CAST(transaction_timestamp AS DATE)", "dim_date", "full_date"),
+    ("pos_items", "product_id", "product_id", "dim_product", "product_id"),
+    ("ecom_orders", "day", "CAST(order_timestamp AS DATE)", "dim_date", "full_date"),
+    ("ecom_items", "product_id", "product_id", "dim_product", "product_id"),
+    ("inventory_snapshots", "product_id", "product_id", "dim_product", "product_id"),
+    ("inventory_snapshots", "store_id", "store_id", "dim_store", "store_id"),
+    ("inventory_snapshots", "day", "snapshot_date", "dim_date", "full_date"),
+    ("returns", "product_id", "product_id", "dim_product", "product_id"),
+    ("returns", "day", "return_date", "dim_date", "full_date"),
+]
+
+
+def _silver_part(table, what, expr, dim, key):
+    return (f"SELECT 'silver_{table}.{what} -> {dim}' AS relation, count(*) AS checked_rows, "
+            f"count(*) FILTER (WHERE k IS NULL) AS null_violations, "
+            f"count(*) FILTER (WHERE k IS NOT NULL AND NOT known) AS orphan_rows "
+            f"FROM (SELECT k, k IN (SELECT {key} FROM {dim}) AS known FROM (SELECT {expr} AS k FROM silver_{table}))")
+
+
+_SILVER = [f"silver_{t}" for t in dict.fromkeys(r[0] for r in _SILVER_KEYS)]
+q("fk_audit", [*_GOLD, *_SILVER], _union([_fk_part(*r) for r in _FK] + [_silver_part(*r) for r in _SILVER_KEYS]))
+
+# table: its typed rows before the NOT NULL filter, what it feeds.
+_FEEDS = {
+    "pos_transactions": ("s_pos_tx_typed", "fact_pos_transactions"), "pos_items": ("s_pos_items_typed", "fact_sales_items WHERE source_system = 'POS'"),
+    "ecom_orders": ("s_ecom_orders_typed", "fact_ecom_orders"), "ecom_items": ("s_ecom_items_typed", "fact_sales_items WHERE source_system = 'ECOM'"),
+    "inventory_snapshots": ("s_inventory_typed", "fact_inventory_snapshots"), "returns": ("s_returns_typed", "fact_returns"),
+    "products": ("s_products_typed", "dim_product"), "stores": ("s_stores_typed", "dim_store"),
+}
+q("load_reconcile", [*_GOLD, *[f"silver_{t}" for t in _FEEDS]], _union([
+    f"""SELECT '{t}' AS table_name, raw_rows, raw_rows - silver_rows AS refused_rows, silver_rows, duplicate_rows, loaded_rows
+FROM (SELECT (SELECT count(*) FROM {typed}) AS raw_rows, (SELECT count(*) FROM silver_{t}) AS silver_rows,
+  (SELECT count(*) FROM silver_{t} WHERE is_duplicate = 1) AS duplicate_rows, (SELECT count(*) FROM {feeds}) AS loaded_rows)"""
+    for t, (typed, feeds) in _FEEDS.items()
+]))
 
 _FACT_GRAINS = {
     "fact_pos_transactions": ["transaction_id"],
@@ -510,7 +546,7 @@ q("b08_unit_margin_rank", ["dim_product"], f"""
 SELECT p.product_id, p.product_name, p.category, p.margin AS unit_margin,
   rank() OVER (ORDER BY p.margin DESC NULLS LAST) AS margin_rank, c.category_avg_margin
 FROM dim_product p JOIN (SELECT category, {ratio('sum(margin)', 'count(margin)', 2)} AS category_avg_margin
-                         FROM dim_product GROUP BY category) c ON p.category = c.category""")
+                         FROM dim_product GROUP BY category) c ON p.category IS NOT DISTINCT FROM c.category""")
 
 ORACLE["b09_contribution_rank"] = f"""
 SELECT product_id, product_name, total_margin, total_revenue,
@@ -628,7 +664,7 @@ q("b21_return_rate_slices", ["ret_slices", "sale_slices"], _union([
     f"""SELECT '{sl}' AS slice, coalesce(r.m, s.m) AS member, CAST(coalesce(r.v, 0) AS BIGINT) AS returned_units,
   CAST(coalesce(s.v, 0) AS BIGINT) AS sold_units, {ratio('coalesce(r.v, 0)', 'coalesce(s.v, 0)', 4)} AS return_rate
 FROM (SELECT {sl} AS m, sum(q) AS v FROM ret_slices GROUP BY {sl}) r
-FULL OUTER JOIN (SELECT {sl} AS m, sum(q) AS v FROM sale_slices GROUP BY {sl}) s ON r.m = s.m"""
+FULL OUTER JOIN (SELECT {sl} AS m, sum(q) AS v FROM sale_slices GROUP BY {sl}) s ON r.m IS NOT DISTINCT FROM s.m"""
     for sl in ("product", "category", "channel", "period")
 ]))
 

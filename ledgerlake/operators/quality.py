@@ -19,25 +19,26 @@ from ledgerlake.operators.silver import NOT_NULL
 from ledgerlake.sources.schemas import RAW_COLUMNS, RECORD_COUNT_LABELS
 
 # Target type of every raw column that the cleaning layer
-# converts ("int", "dec", "dec14", "date", "ts"); all others stay text.
+# converts ("id", "int", "dec", "dec14", "date", "ts"); all others stay text.
 TARGET_TYPES: dict[str, dict[str, str]] = {
-    "pos_transactions_raw": {"store_id": "int", "transaction_timestamp": "ts", "total_amount": "dec",
+    "pos_transactions_raw": {"store_id": "id", "transaction_timestamp": "ts", "total_amount": "dec",
                              "discount_amount": "dec", "tax_amount": "dec"},
-    "pos_items_raw": {"product_id": "int", "quantity": "int", "unit_price": "dec", "line_total": "dec"},
+    "pos_items_raw": {"product_id": "id", "quantity": "int", "unit_price": "dec", "line_total": "dec"},
     "ecom_orders_raw": {"order_timestamp": "ts", "shipping_cost": "dec", "total_amount": "dec",
                         "discount_amount": "dec"},
-    "ecom_items_raw": {"order_item_id": "int", "product_id": "int", "quantity": "int", "unit_price": "dec",
+    "ecom_items_raw": {"order_item_id": "id", "product_id": "id", "quantity": "int", "unit_price": "dec",
                        "line_total": "dec"},
-    "inventory_snapshots_raw": {"snapshot_date": "date", "store_id": "int", "product_id": "int",
+    "inventory_snapshots_raw": {"snapshot_date": "date", "store_id": "id", "product_id": "id",
                                 "beginning_inventory": "int", "ending_inventory": "int",
                                 "inventory_value": "dec14", "safety_stock": "int"},
-    "returns_raw": {"product_id": "int", "return_date": "date", "refund_amount": "dec",
+    "returns_raw": {"product_id": "id", "return_date": "date", "refund_amount": "dec",
                     "quantity_returned": "int"},
-    "products_raw": {"product_id": "int", "cost": "dec", "price": "dec", "launch_date": "date"},
-    "stores_raw": {"store_id": "int", "opening_date": "date"},
+    "products_raw": {"product_id": "id", "cost": "dec", "price": "dec", "launch_date": "date"},
+    "stores_raw": {"store_id": "id", "opening_date": "date"},
 }
 
 _CONVERTERS = {
+    "id": cv.try_id,
     "int": cv.try_int,
     "dec": cv.try_dec,
     "dec14": lambda c: cv.try_dec(c, 14, 2),
@@ -139,6 +140,19 @@ def quarantine_split(typed: DataFrame, table: str) -> tuple[DataFrame, DataFrame
     return accepted, rejected
 
 
+# Identifiers that are whole numbers; the other keys are text.
+NUMBER_IDS = ("product_id", "store_id", "order_item_id")
+
+
+def quarantined(raw: DataFrame, table: str) -> DataFrame:
+    """Raw rows that cleaning refuses, as they came, with the reason. Keys are
+    converted as cleaning converts them."""
+    value = lambda c: cv.try_id(c) if c in NUMBER_IDS else cv.trim(c)
+    reasons = [F.when(value(c).isNull(), F.lit(f"{c} IS NULL")) for c in NOT_NULL[table]]
+    reason = F.concat_ws("; ", *reasons)
+    return raw.withColumn("reject_reason", reason).filter(F.col("reject_reason") != "")
+
+
 def quarantine_not_null(typed_tables: dict[str, DataFrame]) -> DataFrame:
     """Rows each NOT NULL column would reject, per clean table."""
     frames = []
@@ -168,6 +182,60 @@ FK_RELATIONS = [
 ]
 
 
+# Silver key -> dimension relations (table, what, dimension, its key, NULL allowed).
+SILVER_RELATIONS = [
+    ("pos_transactions", "store_id", "dim_store", "store_id", False),
+    ("pos_transactions", "day", "dim_date", "full_date", False),
+    ("pos_items", "product_id", "dim_product", "product_id", False),
+    ("ecom_orders", "day", "dim_date", "full_date", False),
+    ("ecom_items", "product_id", "dim_product", "product_id", False),
+    ("inventory_snapshots", "product_id", "dim_product", "product_id", False),
+    ("inventory_snapshots", "store_id", "dim_store", "store_id", False),
+    ("inventory_snapshots", "day", "dim_date", "full_date", False),
+    ("returns", "product_id", "dim_product", "product_id", False),
+    ("returns", "day", "dim_date", "full_date", False),
+]
+_DAY = {"pos_transactions": "transaction_timestamp", "ecom_orders": "order_timestamp",
+        "inventory_snapshots": "snapshot_date", "returns": "return_date"}
+
+
+def silver_key_audit(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """Per relation: Silver rows, rows without a key, and rows whose key the
+    dimension lacks, which the inner joins of the facts will drop (a store
+    that occurs twice is in no dimension). Keys are counted before they meet
+    the dimension, so a hot key is one row."""
+    frames = []
+    for table, what, dim, key, nullable in SILVER_RELATIONS:
+        value = F.to_date(_DAY[table]) if what == "day" else F.col(what)
+        keys = silver[table].groupBy(value.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        known = dims[dim].select(F.col(key).alias("_dim"), F.lit(1).alias("_hit")).dropDuplicates(["_dim"])
+        keys = keys.join(known, F.col("_key") == F.col("_dim"), "left")
+        some = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("bigint")
+        nulls = F.lit(0).cast("bigint") if nullable else some(F.col("_key").isNull())
+        frames.append(keys.agg(
+            some(F.lit(True)).alias("checked_rows"), nulls.alias("null_violations"),
+            some(F.col("_key").isNotNull() & F.col("_hit").isNull()).alias("orphan_rows"),
+        ).select(F.lit(f"silver_{table}.{what} -> {dim}").alias("relation"), "checked_rows", "null_violations", "orphan_rows"))
+    return _union(frames)
+
+
+def load_reconcile(raw: dict[str, DataFrame], silver: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
+    """Control totals, a row per source: raw rows, rows refused by a NOT NULL
+    column, Silver rows, rows marked duplicate, and rows in the dimension or
+    fact that the source feeds. raw = refused + silver; what lies between
+    silver and loaded is flagged, duplicate, or without its dimension
+    (``silver_key_audit`` says which)."""
+    frames = []
+    rows = lambda df, c, *more: df.agg(F.count(F.lit(1)).alias(c), *more)
+    for table in silver:
+        one = rows(raw[table], "raw_rows").select("raw_rows", rows(quarantined(raw[table], table), "n").scalar().alias("refused_rows"))
+        clean = rows(silver[table], "n", F.coalesce(F.sum("is_duplicate"), F.lit(0)).cast("bigint").alias("d"))
+        one = one.select("*", clean.select("n").scalar().alias("silver_rows"), clean.select("d").scalar().alias("duplicate_rows"),
+                         rows(loaded[table], "n").scalar().alias("loaded_rows"))
+        frames.append(one.select(F.lit(table).alias("table_name"), "*"))
+    return _union(frames)
+
+
 def fk_audit(tables: dict[str, DataFrame]) -> DataFrame:
     """Per relation: fact rows checked, NULL keys (violations unless NULL is
     allowed) and orphan keys absent from the dimension.

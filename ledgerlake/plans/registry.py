@@ -202,7 +202,28 @@ register("record_counts", lambda w: quality.record_counts(w.raw_datasets))
 register("dq_profile", lambda w: quality.dq_profile(w.raw_datasets))
 register("dq_flag_summary", lambda w: quality.dq_flag_summary({t: w.silver(t) for t in SILVER_TABLES}))
 register("quarantine_not_null", lambda w: quality.quarantine_not_null({t: w.silver_typed(t) for t in SILVER_TABLES}))
-register("fk_audit", lambda w: quality.fk_audit(_gold_tables(w)))
+def _fk_audit(w: Warehouse) -> DataFrame:
+    """The facts' keys, and the Silver keys before the joins that drop orphans."""
+    gold = _gold_tables(w)
+    silver = {t: w.silver(t) for t in SILVER_TABLES}
+    return quality.fk_audit(gold).unionByName(quality.silver_key_audit(silver, gold))
+
+
+def _load_reconcile(w: Warehouse) -> DataFrame:
+    from ledgerlake.operators.silver import RAW_OF
+
+    lines = w.fact_sales_items()
+    loaded = {
+        "pos_transactions": w.fact_pos_transactions(), "ecom_orders": w.fact_ecom_orders(),
+        "pos_items": lines.filter("source_system = 'POS'"), "ecom_items": lines.filter("source_system = 'ECOM'"),
+        "inventory_snapshots": w.fact_inventory_snapshots(), "returns": w.fact_returns(),
+        "products": w.dim_product(), "stores": w.dim_store(),
+    }
+    return quality.load_reconcile({t: w.raw(RAW_OF[t]) for t in SILVER_TABLES}, {t: w.silver(t) for t in SILVER_TABLES}, loaded)
+
+
+register("fk_audit", _fk_audit)
+register("load_reconcile", _load_reconcile)
 register("grain_audit_facts", lambda w: quality.grain_audit(_gold_tables(w), quality.FACT_GRAINS))
 register("grain_audit_dims", lambda w: quality.grain_audit(_gold_tables(w), quality.DIM_GRAINS))
 
