@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 KEYS = [
     "silver_pos_items", "silver_inventory_snapshots", "fact_sales_items", "fact_returns",
     "view_revenue_summary", "view_kpi_overview", "view_returns_summary", "view_inventory_turnover",
-    "sq5_return_rate_by_channel", "dq_profile", "fk_audit", "grain_audit_facts",
+    "sq5_return_rate_by_channel", "dq_profile", "fk_audit", "load_reconcile", "grain_audit_facts", "b08_unit_margin_rank",
     "m_inventory_change", "b06_price_volume_mix", "b17_store_turnover", "b19_demand_vs_stock",
     "b26_abnormal_returns", "load_raw_csv", "lineage_enrich", "dedup_flag", "b07_mom_yoy_contribution",
     "b21_return_rate_slices", "b04_store_ranking",
