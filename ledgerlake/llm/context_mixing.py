@@ -482,8 +482,10 @@ def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
     for a in range(0, len(table), 1 << 18):
         table[a : a + (1 << 18)] = _packed_logits(zeros[a : a + (1 << 18)], ones[a : a + (1 << 18)])
     model = Model(coder, table, weights, refine, int(total["n"]) + texts, int(total["types"]) + (texts > 0), texts)
-    pick = docs.where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(FIT_TEXTS)
-    sample = docs.join(F.broadcast(pick), "doc_id").select("doc_id", F.substring("text", 1, FIT_BYTES).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    short = F.col("text").isNotNull() & (F.octet_length("text") <= FIT_BYTES // 4)  # whole texts, several of them
+    docs = docs.where(short)
+    pick = docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(FIT_TEXTS)
+    sample = docs.join(F.broadcast(pick), "doc_id").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen, size = [], 0
     for row in sample.toLocalIterator():
         size += len(row["text"].encode())
