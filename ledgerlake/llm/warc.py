@@ -58,8 +58,8 @@ def write(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT) -> None:
     best.write.parquet(f"{path}/holders")
     best = pages.sparkSession.read.schema(best.schema).parquet(f"{path}/holders").withColumnRenamed("digest", "of")
 
-    held = rows.join(best, (rows["digest"] == best["of"]) & rows["page_id"].eqNullSafe(best["holder"]), "left_semi")
-    held.select("digest", "sha1", "bytes", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    # Any copy will do; each task keeps one of a digest before the payloads are shuffled, once.
+    rows.select("digest", "sha1", "bytes", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
 
     named = rows.drop("payload").join(best, rows["digest"] == best["of"])
     revisit = (F.col("bytes") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("holder"))
