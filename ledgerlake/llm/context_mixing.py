@@ -9,22 +9,26 @@ and bits are few: about as many as the text's information.
 Each bit is predicted by a static predictor (the tree node) and by hashed
 contexts: for words the last very common word, the last word and the last two
 words; for bytes the last two of the word with the last
-very common word, the last three, and the word so far. A context's slot has
-the counts of zeros and ones over all training texts. Their logits are mixed
+very common word, the last three, and the word so far. Their logits are mixed
 by weights chosen by a gate (how sure each context is), learnt online by
 gradient steps; the mixed prediction is refined by an adaptive table (by
 gate and quantised prediction), and the two are averaged.
 
-The counts cover every training text. The weights and the refinement, a few
-thousand numbers, are fitted online on a bounded sample of training texts,
-with each bit's own count taken out first.
+A context's zeros and ones at every tree node are counted over all training
+texts, by the 64-bit hash of the context, in a Spark table that grows with
+them: no two contexts share a count. Texts travel in blocks; a block asks once
+for each pair of context and symbol that it has, the pair's training counts are
+summed, a context's symbols (a vocabulary at most) are spread over the nodes of
+their paths, and the answers are joined back to the blocks. Weights and
+refinement, a few thousand numbers, are fitted on all training texts: online in
+each task, averaged over the tasks by the bits of each gate, in a few rounds,
+with each bit's own count taken out first. They stay as they are while scoring.
 """
 
 from __future__ import annotations
 
-import zlib
-from dataclasses import dataclass
-from functools import partial
+from dataclasses import dataclass, replace
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +45,19 @@ VOCAB = 1 << 18
 MIN_COUNT = 2
 #: Words common enough to tell the language or style: the context "last very common word".
 COMMON = 256
-SLOT_BITS = 20
 CONTEXTS = 3
-#: Texts (smallest hash of the id first) and bytes of them on which weights and refinement are fitted, at most.
-FIT_TEXTS, FIT_BYTES = 2_000, 6_000_000
-#: Step sizes of the passes over that sample.
+#: Step sizes of the rounds over all training texts, and bits a step.
 RATES = (0.01, 0.004, 0.002)
+_STEP = 1 << 12
 _BLOCK = 1 << 19
-#: Words, and bytes of words without a code, whose bits are handled at once: their arrays stay in a core's cache.
-_TOKENS, _BYTES = 1 << 13, 1 << 14
-_PIECE = 1 << 17
-_SALTS = 16
+#: Bytes of texts that ask for their contexts together (a longer text stands alone).
+_TEXTS = 1 << 18
+#: Symbols whose bits are handled at once: their arrays stay in a core's cache.
+_TOKENS = 1 << 13
+#: Rows of the context table worked on at once, about.
+_ROWS = 1 << 16
 _LOGIT = 8.0
 _SURE = np.array([1, 3, 16])
-_PHI = np.uint32(0x9E3779B1)
 
 
 def training(doc_id: Column) -> Column:
@@ -164,6 +167,12 @@ class Coder:
         """Static logits: word nodes, then byte nodes."""
         return np.concatenate((self.word_tree[3], self.byte_tree[3]))
 
+    @cached_property
+    def paths(self) -> tuple:
+        """Offsets, nodes and bits of all symbols: those of the word tree, then those of the byte tree."""
+        (w_at, w_node, w_bit, w_logit), (b_at, b_node, b_bit, _) = self.word_tree, self.byte_tree
+        return np.concatenate((w_at, b_at[1:] + w_at[-1])), np.concatenate((w_node, b_node + len(w_logit))), np.concatenate((w_bit, b_bit))
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash among ``words``, -1 if it has none."""
         if not len(self.words):
@@ -174,7 +183,7 @@ class Coder:
 
 def _steps(code, symbols: np.ndarray):
     """(number of bits of each symbol, node and bit of every bit)."""
-    offsets, nodes, bits, _ = code
+    offsets, nodes, bits = code
     first = offsets[symbols]
     size = offsets[symbols + 1] - first
     start = np.cumsum(size)
@@ -183,20 +192,6 @@ def _steps(code, symbols: np.ndarray):
     return size, nodes[at], bits[at]
 
 
-def _slots(contexts, size: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
-    """The slot of each bit in each context's table; contexts are 32-bit hashes, one a symbol."""
-    spread = node.astype(np.uint32)
-    spread *= _PHI
-    out = []
-    for c in contexts:
-        x = np.repeat(c, size)
-        x ^= spread
-        x *= np.uint32(0x85EBCA6B)
-        x >>= np.uint32(32 - SLOT_BITS)
-        out.append(x)
-    return out
-
-
 @dataclass
 class Words:
     """The words of a block of texts; one end follows the words of each text."""
@@ -225,130 +220,199 @@ def words_of(coder: Coder, raw: np.ndarray, at: np.ndarray) -> Words:
     return Words(raw, out[0], out[1], row, out[2], out[3])
 
 
-def bits_of(coder: Coder, w: Words):
-    """Chunks of bits: (token of each symbol, bits of each symbol; node, slots of the contexts and value of each bit)."""
+def symbols_of(coder: Coder, w: Words):
+    """Symbols to code, words and ends first: (token of each, symbol, hashes of its contexts)."""
     n = len(w.row)
     vocab = len(w.place) and len(coder.words)
     symbol = np.where(w.place >= 0, coder.rank[np.maximum(w.place, 0)] if vocab else 0, np.where(w.place == -2, len(coder.words), len(coder.words) + 1))
     same = np.zeros(n, bool)
     same[1:] = w.row[1:] == w.row[:-1]
-    h = (w.hashes ^ (w.hashes >> np.uint64(32))).astype(np.uint32)
-    last = np.zeros(n, np.uint32)
-    last[1:] = np.where(same[1:], h[:-1], 1)
-    two = np.zeros(n, np.uint32)
-    two[1:] = np.where(same[1:], last[:-1], 1)
+    last = np.zeros(n, np.uint64)
+    last[1:] = np.where(same[1:], w.hashes[:-1], np.uint64(1))
+    two = np.zeros(n, np.uint64)
+    two[1:] = np.where(same[1:], last[:-1], np.uint64(1))
     # The last very common word before each token, within its text.
     here = np.where((symbol < COMMON) & (symbol < len(coder.words)), np.arange(n), -1)
     seen = np.maximum.accumulate(np.concatenate(([-1], here[:-1]))) if n else here
     first = np.maximum.accumulate(np.where(same, 0, np.arange(n))) if n else here
-    common = np.where(seen >= first, symbol[np.maximum(seen, 0)] + 2, 1).astype(np.uint32)
-    contexts = (common * np.uint32(0x27D4EB2F), last, last * np.uint32(0x165667B1) + two)
-    for a in range(0, n, _TOKENS):
-        part = slice(a, a + _TOKENS)
-        size, node, bit = _steps(coder.word_tree, symbol[part])
-        yield np.arange(a, a + len(size)), size, node, _slots([c[part] for c in contexts], size, node), bit
-        far = np.flatnonzero(symbol[part] == len(coder.words) + 1) + a
-        if len(far):
-            yield from _byte_bits(coder, w, far, common)
-
-
-def _byte_bits(coder: Coder, w: Words, tokens: np.ndarray, common: np.ndarray):
-    size = w.ends[tokens] - w.starts[tokens] + 1
-    cuts = np.searchsorted(np.cumsum(size), np.arange(_BYTES, int(size.sum()) + _BYTES, _BYTES), side="left") + 1
-    nodes = len(coder.word_tree[3])
-    for group, n in zip(np.split(tokens, cuts), np.split(size, cuts)):
-        if not len(group):
-            continue
-        start = np.cumsum(n) - n
-        owner = np.repeat(group, n)
-        inside = np.arange(int(n.sum())) - np.repeat(start, n)
-        is_last = inside == np.repeat(n - 1, n)
-        symbol = np.where(is_last, 256, LOWER[w.raw[np.minimum(np.repeat(w.starts[group], n) + inside, len(w.raw) - 1)]])
-        back = np.full((3, len(symbol)), 511, np.uint32)  # the bytes before, 511 before the word
-        for k in range(1, 4):
-            back[k - 1][k:] = np.where(inside[k:] >= k, symbol[:-k], 511)
-        two = (back[0] * np.uint32(0x01000193) ^ back[1]) * np.uint32(0x2545F491)
-        three = (two ^ back[2]) * np.uint32(0x7FEB352D)
-        style = np.repeat(common[group], n) * np.uint32(0x01000193)
-        # All bytes of the word so far.
-        value = mix64(symbol.astype(np.uint64) + GOLDEN) * powers(int(inside.max()) + 1)[inside]
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))[:-1]
-        whole = mix64(total - np.repeat(total[start], n) + inside.astype(np.uint64))
-        whole = (whole >> np.uint64(32)).astype(np.uint32)
-        size, node, bit = _steps(coder.byte_tree, symbol)
-        node = node + nodes
-        yield owner, size, node, _slots((two ^ style, three, whole), size, node), bit
+    common = np.where(seen >= first, symbol[np.maximum(seen, 0)] + 2, 1).astype(np.uint64)
+    contexts = [_salted(common, 1), _salted(last, 2), _salted(_salted(last, 3) + two, 3)]
+    far = np.flatnonzero(symbol == len(coder.words) + 1)
+    if not len(far):
+        return np.arange(n), symbol, contexts
+    owner, byte, spelt = _spelt(w, far, common)
+    return np.concatenate((np.arange(n), owner)), np.concatenate((symbol, byte + len(coder.words) + 2)), [np.concatenate(x) for x in zip(contexts, spelt)]
+
+
+def _salted(x: np.ndarray, k: int) -> np.ndarray:
+    return mix64(x + np.uint64(int(GOLDEN) * k % 2**64))
+
+
+def _spelt(w: Words, tokens: np.ndarray, common: np.ndarray):
+    """The bytes of words without a code, each word with its terminator."""
+    n = w.ends[tokens] - w.starts[tokens] + 1
+    start = np.cumsum(n) - n
+    owner = np.repeat(tokens, n)
+    inside = np.arange(int(n.sum())) - np.repeat(start, n)
+    is_last = inside == np.repeat(n - 1, n)
+    symbol = np.where(is_last, 256, LOWER[w.raw[np.minimum(np.repeat(w.starts[tokens], n) + inside, len(w.raw) - 1)]]).astype(np.int64)
+    back = np.full((3, len(symbol)), 511, np.uint64)  # the bytes before, 511 before the word
+    for k in range(1, 4):
+        back[k - 1][k:] = np.where(inside[k:] >= k, symbol[:-k], 511)
+    two = back[0] << np.uint64(9) | back[1]
+    style = common[owner] << np.uint64(18) | two
+    # All bytes of the word so far.
+    value = mix64(symbol.astype(np.uint64) + GOLDEN) * powers(int(inside.max()) + 1)[inside]
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))[:-1]
+    whole = mix64(total - np.repeat(total[start], n) + inside.astype(np.uint64))
+    return owner, symbol, [_salted(style, 4), _salted(two << np.uint64(9) | back[2], 5), _salted(whole, 6)]
 
 
 # ------------------------------------------------------------------ context counts
 
 
-def _context_batches(batches, coder):
-    """Zeros and ones of each slot over a task's texts, as packed blocks."""
-    c: Coder = coder.value
-    count = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int32)
-    held: list = [[] for _ in range(CONTEXTS)]
-    size = 0
+_BLOCKS = "block long, doc_id array<long>, held_out array<boolean>, text array<string>"
 
-    def fold():
-        for k, parts in enumerate(held):
-            if parts:
-                count[k] += np.bincount(np.concatenate(parts), minlength=2 << SLOT_BITS).astype(np.int32)
-                parts.clear()
 
+def _text_blocks(batches):
+    """One row a block of texts."""
+    block = TaskContext.get().partitionId() << 33
     for batch in batches:
-        raw, at = utf8_parts(batch.column("text"))
-        for a, b in row_blocks(at, _BLOCK):
-            for _, _, _, slots, bit in bits_of(c, words_of(c, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
-                for k, s in enumerate(slots):
-                    held[k].append(s * np.uint32(2) + bit.astype(np.uint32))
-                size += len(bit)
-                if size > 4_000_000:
-                    fold()
-                    size = 0
-    fold()
-    salt = TaskContext.get().partitionId() % _SALTS
-    for block, part in enumerate(count.reshape(-1, _PIECE)):
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([salt], pa.int32()), pa.array([block], pa.int32()), pa.array([_packed(part)], pa.binary())], ["salt", "block", "counts"])
+        _, at = utf8_parts(batch.column("text"))
+        for a, b in row_blocks(at, _TEXTS):
+            off = pa.array([0, b - a], pa.int32())
+            lists = [pa.ListArray.from_arrays(off, batch.column(c).slice(a, b - a)) for c in ("doc_id", "held_out", "text")]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), *lists], ["block", "doc_id", "held_out", "text"])
+            block += 1
 
 
-def _packed(part: np.ndarray) -> bytes:
-    """Counts as 32-bit numbers, by byte plane: the upper planes are nearly empty."""
-    return zlib.compress(part.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+@dataclass
+class Asked:
+    """A block's symbols, and the pairs of context and symbol it asks for, each once."""
+
+    words: Words
+    owner: np.ndarray  # token of each symbol
+    symbol: np.ndarray
+    contexts: np.ndarray  # context; symbol
+    first: np.ndarray  # of each pair, its first place in ``contexts``
+    pair: np.ndarray  # context; symbol -> pair
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).tobytes(), "<u4").astype(np.int64)
+def _asked(coder: Coder, texts) -> tuple[Asked, np.ndarray]:
+    raw, at = utf8_parts(texts)
+    w = words_of(coder, raw, at)
+    owner, symbol, contexts = symbols_of(coder, w)
+    contexts = np.stack(contexts)
+    key = mix64(contexts ^ (symbol.astype(np.uint64) * GOLDEN)[None, :])
+    _, first, pair = np.unique(key.ravel(), return_index=True, return_inverse=True)
+    return Asked(w, owner, symbol, contexts, first, pair.reshape(contexts.shape)), at
 
 
-def _add_blocks(batches):
-    """Rows sorted by (salt, block): one row a key with the sum; one block is held at a time."""
-    key, total = None, None
+_PAIRS = "block long, place int, context long, symbol int, n long"
+
+
+def _pair_batches(batches, coder):
+    """The pairs of each block, with how often its training texts have them."""
+    c: Coder = coder.value
+    for batch in batches:
+        for i in range(batch.num_rows):
+            q, _ = _asked(c, batch.column("text")[i].values)
+            learnt = ~batch.column("held_out")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+            learnt = np.tile(learnt[q.words.row[q.owner]], CONTEXTS)
+            n = np.bincount(q.pair.ravel(), learnt, len(q.first)).astype(np.int64)
+            context, symbol = q.contexts.ravel()[q.first].view(np.int64), q.symbol[q.first % max(len(q.symbol), 1)].astype(np.int32)
+            block = batch.column("block")[i].as_py()
+            for a in range(0, len(n), _ROWS):
+                part = slice(a, a + _ROWS)
+                size = len(n[part])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(size, block)), pa.array(np.arange(a, a + size, dtype=np.int32)), pa.array(context[part]), pa.array(symbol[part]), pa.array(n[part])],
+                    ["block", "place", "context", "symbol", "n"],
+                )
+
+
+def _answer_batches(batches, coder):
+    """Rows by context, each pair once, with its training count: for every bit of the pair's path the packed logit, and that without one such pair."""
+    paths = coder.value.paths
+    held: list = []
+
+    def answered(context, symbol, n):
+        size, node, bit = _steps(paths, symbol)
+        own = np.repeat(n, size)
+        group = np.repeat(np.cumsum(np.concatenate(([False], context[1:] != context[:-1]))), size)
+        u, at = np.unique(group << 32 | node, return_inverse=True)
+        zeros, ones = (np.bincount(at, own * (bit == b), len(u))[at] for b in (0, 1))
+        packed = np.stack((_packed_logits(zeros, ones), _packed_logits(np.maximum(zeros - (bit == 0), 0), np.maximum(ones - (bit == 1), 0))), 1)
+        off = np.concatenate(([0], np.cumsum(size) * 4)).astype(np.int32)
+        answer = pa.Array.from_buffers(pa.binary(), len(symbol), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(packed))])
+        return pa.RecordBatch.from_arrays([pa.array(context), pa.array(symbol), answer], ["context", "symbol", "answer"])
+
+    rows = 0
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in ("context", "symbol", "n")])
+        rows += batch.num_rows
+        if rows < _ROWS:
+            continue
+        context, symbol, n = (np.concatenate(x) for x in zip(*held))
+        cut = int(np.searchsorted(context, context[-1]))  # the last context may go on
+        if cut:
+            yield answered(context[:cut], symbol[:cut], n[:cut])
+        held, rows = [[context[cut:], symbol[cut:], n[cut:]]], len(n) - cut
+    if held and rows:
+        yield answered(*(np.concatenate(x) for x in zip(*held)))
+
+
+def _gather_batches(batches):
+    """Answers sorted by block and place: one row a block."""
+    block, held = None, []
 
     def row():
-        # Where a sum outgrows its bits both counts are halved until it fits.
-        while total.max(initial=0) >= 1 << 32:
-            np.right_shift(total, 1, out=total)
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([_packed(total)], pa.binary())], ["salt", "block", "counts"])
+        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b"".join(held)], pa.binary())], ["of", "answers"])
 
     for batch in batches:
-        for salt, block, data in zip(*(batch.column(c).to_pylist() for c in ("salt", "block", "counts"))):
-            if (salt, block) != key:
-                if key is not None:
+        own, answer = batch.column("block").to_numpy(), batch.column("answer")
+        starts = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)])) if len(own) else [0]
+        for a, b in zip(starts[:-1], starts[1:]):
+            if own[a] != block:
+                if held:
                     yield row()
-                key, total = (salt, block), np.zeros(_PIECE, np.int64)
-            total += _unpacked(data)
-    if key is not None:
+                block, held = int(own[a]), []
+            _, off, data = answer.buffers()
+            off = np.frombuffer(off, np.int32)[answer.offset :]
+            held.append(data[int(off[a]) : int(off[b])].to_pybytes() if data is not None else b"")
+    if held:
         yield row()
 
 
-_BLOCKS = "salt int, block int, counts binary"
+def context_answers(pairs: DataFrame, shared) -> DataFrame:
+    """(context, symbol, answer) of every pair asked for; a context has at most as many rows as there are symbols."""
+    counts = pairs.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    counts = counts.repartition("context").sortWithinPartitions("context")
+    return counts.mapInArrow(partial(_answer_batches, coder=shared), "context long, symbol int, answer binary")
+
+
+def look_up(blocks: DataFrame, shared) -> DataFrame:
+    """``blocks`` with the answers to all pairs that each asks for."""
+    pairs = materialise(blocks.select("block", "held_out", "text").mapInArrow(partial(_pair_batches, coder=shared), _PAIRS), "pairs")
+    answers = context_answers(pairs, shared)
+    rows = pairs.select("block", "place", "context", "symbol").join(answers, ["context", "symbol"]).select("block", "place", "answer")
+    rows = rows.repartition("block").sortWithinPartitions("block", "place").mapInArrow(_gather_batches, "of long, answers binary")
+    return materialise(blocks.join(rows, blocks["block"] == rows["of"]).drop("of", "block"), "contexts")
 
 
-def _summed(blocks: DataFrame, salted: bool) -> DataFrame:
-    rows = blocks if salted else blocks.withColumn("salt", F.lit(0))
-    return rows.repartition("salt", "block").sortWithinPartitions("salt", "block").mapInArrow(_add_blocks, _BLOCKS)
+def _bits(coder: Coder, q: Asked, answers: bytes, column: int, only: np.ndarray | None = None):
+    """Chunks of bits: (token of each symbol, bits of each; node, packed logits and value of each bit)."""
+    table = np.frombuffer(answers, np.int16).reshape(-1, 2)[:, column]
+    offsets = coder.paths[0]
+    asked = q.symbol[q.first % max(len(q.symbol), 1)]
+    size = offsets[asked + 1] - offsets[asked]
+    start = np.cumsum(size) - size
+    owner, symbol, pair = (q.owner, q.symbol, q.pair) if only is None else (q.owner[only], q.symbol[only], q.pair[:, only])
+    for a in range(0, len(symbol), _TOKENS):
+        part = slice(a, a + _TOKENS)
+        size, node, bit = _steps(coder.paths, symbol[part])
+        inside = np.arange(len(node)) - np.repeat(np.cumsum(size) - size, size)
+        yield owner[part], size, node, [table[np.repeat(start[p[part]], size) + inside] for p in pair], bit
 
 
 # ------------------------------------------------------------------ mixing
@@ -357,7 +421,7 @@ def _summed(blocks: DataFrame, salted: bool) -> DataFrame:
 @dataclass
 class Model:
     coder: Coder
-    table: np.ndarray  # by slot: logit in steps of 1/256, times 4, plus sureness 0 to 3
+    contexts: DataFrame | None  # blocks of texts with their contexts' answers (on the driver)
     weights: np.ndarray  # input; kind and gate
     refine: np.ndarray  # kind and gate; quantised logit -> logit
     train_tokens: int
@@ -370,6 +434,7 @@ _STEPS = 33
 
 
 def _packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Logit in steps of 1/256, times 4, plus sureness 0 to 3."""
     logit = np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -_LOGIT, _LOGIT)
     sure = np.searchsorted(_SURE, ones + zeros, side="right")
     return (np.round(logit * 256).astype(np.int16) * 4 + sure).astype(np.int16)
@@ -420,37 +485,64 @@ def _log_p(model: Model, node, packed, bit, static) -> np.ndarray:
     return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
 
 
-def fit_mixer(model: Model, zeros: np.ndarray, ones: np.ndarray, texts: list[str], rate: float) -> None:
-    """Learn weights and refinement online, text after text; each bit's own count is taken out."""
-    static = model.coder.logits
-    at = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts]))).astype(np.int64)
-    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+def _learn(model: Model, seen: np.ndarray, placed: np.ndarray, node, packed, bit, static, rate: float) -> None:
+    """Online steps of weights and refinement over some bits; ``seen`` and ``placed`` count the bits of each."""
     flat = model.refine.reshape(-1)
-    for a, b in row_blocks(at, 1 << 14):
-        for _, _, node, slots, bit in bits_of(model.coder, words_of(model.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a])):
-            slots = [s + np.uint32(k << SLOT_BITS) for k, s in enumerate(slots)]
-            packed = [_packed_logits(np.maximum(zeros[s] - (bit == 0), 0), np.maximum(ones[s] - (bit == 1), 0)) for s in slots]
-            x, gate = _inputs(model, node, packed, static)
-            for c in range(0, len(node), 512):
-                xs, g, y = [v[c : c + 512] for v in x], gate[c : c + 512], bit[c : c + 512]
-                z = _mixed(model.weights, xs, g)
-                error = y - 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-                # One step per gate and group of bits, as long as the root of its bits.
-                n = np.maximum(np.bincount(g, minlength=model.weights.shape[1]), 1)
-                for w, v in zip(model.weights, xs):
-                    w += (rate * np.bincount(g, error * v, len(n)) / np.sqrt(n)).astype(np.float32)
-                place, share = _refined(z, g)
-                r = flat[place] * (1 - share) + flat[place + 1] * share
-                error = y - 1 / (1 + np.exp(-np.clip(r, -12, 12)))
-                both = np.concatenate((place, place + 1))
-                n = np.maximum(np.bincount(both, minlength=len(flat)), 1)
-                flat += (rate * np.bincount(both, np.concatenate((error * (1 - share), error * share)), len(n)) / np.sqrt(n)).astype(np.float32)
+    x, gate = _inputs(model, node, packed, static)
+    for c in range(0, len(node), _STEP):
+        xs, g, y = [v[c : c + _STEP] for v in x], gate[c : c + _STEP], bit[c : c + _STEP]
+        z = _mixed(model.weights, xs, g)
+        error = y - 1 / (1 + np.exp(-np.clip(z, -12, 12)))
+        # One step per gate and group of bits, as long as the root of its bits.
+        n = np.bincount(g, minlength=len(seen))
+        seen += n
+        n = np.maximum(n, 1)
+        for w, v in zip(model.weights, xs):
+            w += (rate * np.bincount(g, error * v, len(n)) / np.sqrt(n)).astype(np.float32)
+        place, share = _refined(z, g)
+        r = flat[place] * (1 - share) + flat[place + 1] * share
+        error = y - 1 / (1 + np.exp(-np.clip(r, -12, 12)))
+        both = np.concatenate((place, place + 1))
+        n = np.bincount(both, minlength=len(flat))
+        placed += n
+        flat += (rate * np.bincount(both, np.concatenate((error * (1 - share), error * share)), len(n)) / np.sqrt(np.maximum(n, 1))).astype(np.float32)
+
+
+def _fit_batches(batches, shared, state, rate):
+    """A task's weights and refinement after its training texts, times the bits that each has seen."""
+    coder, (weights, refine) = shared.value, state.value
+    m = Model(coder, None, weights.copy(), refine.copy(), 0, 0, 0)
+    seen, placed, static = np.zeros(weights.shape[1], np.int64), np.zeros(refine.size, np.int64), coder.logits
+    for batch in batches:
+        for i in range(batch.num_rows):
+            q, _ = _asked(coder, batch.column("text")[i].values)
+            learnt = ~batch.column("held_out")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+            only = np.flatnonzero(learnt[q.words.row[q.owner]])
+            for _, _, node, packed, bit in _bits(coder, q, batch.column("answers")[i].as_py(), 1, only):
+                _learn(m, seen, placed, node, packed, bit, static, rate)
+    n = np.concatenate((np.tile(seen, len(weights)), placed))
+    at = np.flatnonzero(n)
+    value = np.concatenate((m.weights.ravel(), m.refine.ravel())).astype(np.float64)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at]), pa.array(value[at] * n[at])], ["at", "n", "total"])
+
+
+def fit_mixer(model: Model, shared) -> None:
+    """Learn weights and refinement from all training texts, each bit's own count taken out."""
+    texts = model.contexts.select("held_out", "text", "answers")
+    for rate in RATES:
+        state = texts.sparkSession.sparkContext.broadcast((model.weights, model.refine))
+        sums = texts.mapInArrow(partial(_fit_batches, shared=shared, state=state, rate=rate), "at int, n long, total double")
+        sums = sums.groupBy("at").agg((F.sum("total") / F.sum("n")).alias("value")).toPandas()  # a few thousand numbers
+        both = np.concatenate((model.weights.ravel(), model.refine.ravel()))
+        both[sums["at"].to_numpy(np.int64)] = sums["value"].to_numpy()
+        model.weights, model.refine = both[: model.weights.size].reshape(model.weights.shape), both[model.weights.size :].reshape(model.refine.shape)
 
 
 def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
-    """Model and word counts (word: 64-bit hash, n) learnt from the texts of ``docs`` (doc_id, text)."""
+    """Model and word counts (word: 64-bit hash, n) learnt from the texts of ``docs`` (doc_id, text) that ``training`` allows."""
     spark = docs.sparkSession
-    counts = docs.select("text").mapInArrow(_count_batches, "kind int, word long, n long")
+    known = docs.where(training(F.col("doc_id")))
+    counts = known.select("text").mapInArrow(_count_batches, "kind int, word long, n long")
     counts = materialise(counts.groupBy("kind", "word").agg(F.sum("n").alias("n")), "words")
     words = counts.where("kind = 0").select("word", "n")
     byte_n = np.zeros(257)
@@ -467,33 +559,13 @@ def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
     coder = Coder(hashes[order], np.arange(len(hashes))[order], n[order], tree(weights), tree(byte_n + 1))
 
     shared = spark.sparkContext.broadcast(coder)
-    blocks = docs.select("text").mapInArrow(partial(_context_batches, coder=shared), _BLOCKS)
-    blocks = materialise(_summed(blocks, True), "context-counts")
-    blocks = materialise(_summed(blocks, False), "contexts")
-    both = np.zeros(2 * CONTEXTS << SLOT_BITS, np.uint32)
-    for row in blocks.select("block", "counts").toLocalIterator():  # the tables' fixed size
-        both[row["block"] * _PIECE : (row["block"] + 1) * _PIECE] = _unpacked(bytes(row["counts"]))
-    zeros, ones = both[0::2].astype(np.int32), both[1::2].astype(np.int32)
-    del both
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~training(F.col("doc_id"))).alias("held_out"), "text")
+    looked = look_up(materialise(blocks.mapInArrow(_text_blocks, _BLOCKS), "texts"), shared)
     rows = 2 * _GATES
     weights = np.full((CONTEXTS + 1, rows), 0.3, np.float32)
     refine = np.tile(np.linspace(-_LOGIT, _LOGIT, _STEPS, dtype=np.float32), (rows, 1))
-    table = np.empty(CONTEXTS << SLOT_BITS, np.int16)
-    for a in range(0, len(table), 1 << 18):
-        table[a : a + (1 << 18)] = _packed_logits(zeros[a : a + (1 << 18)], ones[a : a + (1 << 18)])
-    model = Model(coder, table, weights, refine, int(total["n"]) + texts, int(total["types"]) + (texts > 0), texts)
-    short = F.col("text").isNotNull() & (F.octet_length("text") <= FIT_BYTES // 4)  # whole texts, several of them
-    docs = docs.where(short)
-    pick = docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(FIT_TEXTS)
-    sample = docs.join(F.broadcast(pick), "doc_id").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen, size = [], 0
-    for row in sample.toLocalIterator():
-        size += len(row["text"].encode())
-        if size > FIT_BYTES and chosen:
-            break
-        chosen.append(row["text"])
-    for rate in RATES:
-        fit_mixer(model, zeros, ones, chosen, rate)
+    model = Model(coder, looked, weights, refine, int(total["n"]) + texts, int(total["types"]) + (texts > 0), texts)
+    fit_mixer(model, shared)
     return model, words
 
 
@@ -505,19 +577,17 @@ _SCORED = "row long, doc_id long, held_out boolean, n_bytes long, n_tokens long,
 def _score_batches(batches, model):
     m: Model = model.value
     static = m.coder.logits
-    tables = m.table.reshape(CONTEXTS, -1)
     first = TaskContext.get().partitionId() << 33
     scale = np.log10(m.train_tokens + m.types + 1.0)
     known = np.log10(m.coder.count + 1.0) - scale
     end = np.log10(m.end_count + 1.0) - scale
     for batch in batches:
-        raw, at = utf8_parts(batch.column("text"))
-        for a, b in row_blocks(at, _BLOCK):
-            w = words_of(m.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a])
-            texts = b - a
+        for i in range(batch.num_rows):
+            q, at = _asked(m.coder, batch.column("text")[i].values)
+            w, texts = q.words, len(at) - 1
             score = np.zeros(texts)
-            for token, size, node, slots, bit in bits_of(m.coder, w):
-                log_p = _log_p(m, node, [np.take(t, s) for t, s in zip(tables, slots)], bit, static)
+            for token, size, node, packed, bit in _bits(m.coder, q, batch.column("answers")[i].as_py(), 0):
+                log_p = _log_p(m, node, packed, bit, static)
                 total = np.concatenate((np.zeros(1), np.cumsum(log_p, dtype=np.float64)))
                 last = np.cumsum(size)
                 score += np.bincount(w.row[token], total[last] - total[last - size], texts)
@@ -529,8 +599,8 @@ def _score_batches(batches, model):
             lists = pa.ListArray.from_arrays(pa.array(off), pa.array(w.hashes[rare].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(first, first + texts)), batch.column("doc_id").slice(a, texts), batch.column("held_out").slice(a, texts),
-                    pa.array(np.diff(at[a : b + 1])), pa.array(np.bincount(w.row, minlength=texts)), pa.array(np.bincount(w.row, hit, texts).astype(np.int64)),
+                    pa.array(np.arange(first, first + texts)), batch.column("doc_id")[i].values, batch.column("held_out")[i].values,
+                    pa.array(np.diff(at)), pa.array(np.bincount(w.row, minlength=texts)), pa.array(np.bincount(w.row, hit, texts).astype(np.int64)),
                     pa.array(np.bincount(w.row, base, texts)), pa.array(score / np.log(10)), lists,
                 ],
                 ["row", "doc_id", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score", "rare"],
@@ -549,12 +619,11 @@ def score(docs: DataFrame, vocab: int = VOCAB) -> DataFrame:
     texts every base token counts as unknown of 1. An empty table gives no rows.
 
     Words outside the vocabulary travel as 64-bit hashes to their counts, by an
-    ordinary join; the commoner words' counts are part of the model, whose size
-    is fixed. Hashes stand for words (2^-64 per pair to confuse two).
+    ordinary join; the commoner words' counts are part of the model. Hashes stand for words (2^-64 per pair to confuse two).
     """
-    model, words = train(docs.where(training(F.col("doc_id"))).select("doc_id", "text"), vocab)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~training(F.col("doc_id"))).alias("held_out"), "text")
+    model, words = train(docs.select("doc_id", "text"), vocab)
+    rows = model.contexts
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, contexts=None))
     rows = materialise(rows.mapInArrow(partial(_score_batches, model=shared), _SCORED), "scores")
     rare = rows.select("row", F.explode("rare").alias("word")).join(words, "word", "left")
     scale = float(np.log10(model.train_tokens + model.types + 1.0))

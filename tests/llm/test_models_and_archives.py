@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,6 +192,35 @@ def test_codes_and_probabilities_are_proper():
     assert np.allclose(p[0] + p[1], 1, atol=1e-6)
 
 
+def test_context_counts_are_exact(spark, monkeypatch):
+    """No two contexts share a count, whatever their number, and texts of all blocks are counted."""
+    monkeypatch.setattr(context_mixing, "_ROWS", 64)
+    docs = spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string")
+    coder = context_mixing.train(docs)[0].coder
+    seen, asked = collections.Counter(), {}
+    rows = []
+    for i, t in lm_rows()[:305]:
+        q, _ = context_mixing._asked(coder, pa.array([t], pa.string()))
+        for k in range(3):
+            for c, s in zip(q.contexts[k].view(np.int64).tolist(), q.symbol.tolist()):
+                rows.append((len(rows), 0, c, s, int(not is_held(i, 7, 2))))
+    offsets, nodes, bits = coder.paths
+    path = lambda s: list(zip(nodes[offsets[s] : offsets[s + 1]].tolist(), bits[offsets[s] : offsets[s + 1]].tolist()))
+    for _, _, c, s, n in rows:
+        for node, bit in path(s):
+            seen[c, node, bit] += n
+    shared = spark.sparkContext.broadcast(coder)
+    for r in context_mixing.context_answers(spark.createDataFrame(rows, context_mixing._PAIRS), shared).collect():
+        asked[r["context"], r["symbol"]] = np.frombuffer(bytes(r["answer"]), np.int16).reshape(-1, 2)
+    assert set(asked) == {(c, s) for _, _, c, s, _ in rows}
+    for (c, s), got in asked.items():
+        both = np.array([[seen[c, node, 0], seen[c, node, 1]] for node, _ in path(s)])
+        own = np.array([[bit == 0, bit == 1] for _, bit in path(s)])
+        less = np.maximum(both - own, 0)
+        assert (got[:, 0] == context_mixing._packed_logits(both[:, 0], both[:, 1])).all()
+        assert (got[:, 1] == context_mixing._packed_logits(less[:, 0], less[:, 1])).all()
+
+
 def pages():
     long = "<p>é" + "x" * 1200
     rows = [(i, f"http://h/{i}", long) for i in range(40)] + [(100, "u\r\nInjected: 1", "short"), (101, None, "short"), (102, "u", None), (103, "u", ""), (None, "u", long),
