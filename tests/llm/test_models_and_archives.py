@@ -221,6 +221,13 @@ def test_context_counts_are_exact(spark, monkeypatch):
         assert (got[:, 1] == context_mixing._packed_logits(less[:, 0], less[:, 1])).all()
 
 
+def test_mixer_learns_from_long_texts(spark):
+    """A training text of any length trains the gates."""
+    i = next(i for i in range(9) if not is_held(i, 7, 2))
+    model, _ = context_mixing.train(spark.createDataFrame([(i, "some words again " * 100_000)], "doc_id long, text string"))
+    assert not np.allclose(model.weights, 0.3)
+
+
 def pages():
     long = "<p>é" + "x" * 1200
     rows = [(i, f"http://h/{i}", long) for i in range(40)] + [(100, "u\r\nInjected: 1", "short"), (101, None, "short"), (102, "u", None), (103, "u", ""), (None, "u", long),
