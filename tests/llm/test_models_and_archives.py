@@ -221,6 +221,16 @@ def test_context_counts_are_exact(spark, monkeypatch):
         assert (got[:, 1] == context_mixing._packed_logits(less[:, 0], less[:, 1])).all()
 
 
+def test_context_counts_over_32_bits(spark):
+    docs = spark.createDataFrame([(i, "some words again some words") for i in range(9)], "doc_id long, text string")
+    shared = spark.sparkContext.broadcast(context_mixing.train(docs)[0].coder)
+    pairs = spark.createDataFrame([(0, 0, 5, 0, 3_000_000_000), (1, 0, 5, 0, 3_000_000_000), (0, 1, 5, 1, 1)], context_mixing._PAIRS)
+    got = {r["symbol"]: np.frombuffer(bytes(r["answer"]), np.int16).reshape(-1, 2)[:, 0] for r in context_mixing.context_answers(pairs, shared).collect()}
+    bits = context_mixing._steps(shared.value.paths, np.array([0]))[2]
+    top = int(context_mixing._LOGIT * 256) * 4
+    assert (got[0] == np.where(bits == 1, top, -top) + 3).all()
+
+
 def test_mixer_learns_from_long_texts(spark):
     """A training text of any length trains the gates."""
     i = next(i for i in range(9) if not is_held(i, 7, 2))
