@@ -9,8 +9,9 @@ other goes on. Documents meet in blocks of documents of like size; each block
 ends with at most one fractional document, and those meet in the next round,
 a reduction tree whose fan-in is ``BLOCK``. What is left in the end is one
 document a source. So that it is a small one, documents of over 1/``LARGE`` of
-the target are settled first, largest first, each against the pool of all
-smaller ones (the pool's rate takes the difference). Only DataFrame functions
+the target meet first, in a tree for each size class. The one that a class
+leaves over, at most some 250 a source, is settled against the pool of all
+smaller ones, largest first (the pool's rate takes the difference). Only DataFrame functions
 are used; every random draw is a hash of the documents that meet, so that
 reruns agree.
 """
@@ -30,7 +31,7 @@ BLOCK = 256
 MOST = 3
 WEIGHTS = (1, 2, 3)
 SEED = 17
-#: A document of more than this part of its source's target is settled against the pool of smaller ones.
+#: Documents of more than this part of their source's target meet first, among their like.
 LARGE = 256
 _NEAR = 1e-9
 _UNIT = ["doc_id", "source", "text_key"]
@@ -101,17 +102,18 @@ def _meet(rows: Column) -> Column:
     return F.aggregate(rows, start, step)
 
 
-def _pooled(rows: Column, target: Column, mass: Column) -> Column:
-    """Large documents in turn: struct(target and mass left for the others, done)."""
-    done = "array<struct<doc_id:bigint,source:string,text_key:bigint,copies:bigint>>"
-    start = F.struct(target.alias("target"), mass.cast("double").alias("mass"), F.array().cast(done).alias("done"))
+def _pooled(rows: Column, base: Column, pool: Column) -> Column:
+    """Left-over documents in turn, one a size class: struct(owed words and mass of the others, done)."""
+    done = "array<struct<doc_id:bigint,source:string,text_key:bigint,up:int>>"
+    start = F.struct(F.lit(0.0).alias("owed"), pool.cast("double").alias("mass"), F.array().cast(done).alias("done"))
 
     def step(acc, x):
-        rate = F.least(F.greatest(acc["target"] / acc["mass"], F.lit(0.0)), F.lit(float(MOST)))
+        fair = base + x["p"]
+        rate = F.least(F.greatest(fair + acc["owed"] / acc["mass"], F.lit(0.0)), F.lit(float(MOST)))
         copies = F.least(F.floor(rate + _draw(x["text_key"], x["doc_id"])), F.lit(MOST)).cast("long")
-        made = F.struct(*[x[c].alias(c) for c in _UNIT], copies.alias("copies"))
+        made = F.struct(*[x[c].alias(c) for c in _UNIT], (copies - base).cast("int").alias("up"))
         left = F.greatest(acc["mass"] - x["mass"], F.lit(1e-6))
-        return F.struct((acc["target"] - copies * x["mass"]).alias("target"), left.alias("mass"), F.concat(acc["done"], F.array(made)).alias("done"))
+        return F.struct((acc["owed"] + (fair - copies) * x["mass"]).alias("owed"), left.alias("mass"), F.concat(acc["done"], F.array(made)).alias("done"))
 
     return F.aggregate(rows, start, step)
 
@@ -125,7 +127,23 @@ def _round(rows: DataFrame, klass: Column, name: str) -> DataFrame:
     block = F.pmod(F.xxhash64("text_key", "doc_id", F.lit(name)), F.col("blocks"))
     one = F.struct("mass", *_UNIT, "p")
     met = rows.groupBy("source", "klass", block.alias("block")).agg(F.sort_array(F.collect_list(one)).alias("rows"))
-    return materialise(met.select("source", _meet(F.col("rows")).alias("met")), name)
+    return materialise(met.select("source", "klass", _meet(F.col("rows")).alias("met")), name)
+
+
+def _most(rows: DataFrame, *by: str) -> int:
+    return rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _large(large: DataFrame, klass: Column) -> tuple[list[DataFrame], DataFrame]:
+    """The tree of each size class of each source: what is settled, and at most one document a class."""
+    done, level = [], 0
+    while True:
+        met = _round(large, klass, f"large{level}")
+        done.append(met.select(F.explode("met.done").alias("u")).select("u.*"))
+        large = met.where("met.left is not null").select("met.left.*")
+        if _most(met, "source", "klass") <= 1:
+            return done, large
+        level += 1
 
 
 def plan(docs: DataFrame) -> DataFrame:
@@ -143,33 +161,39 @@ def plan(docs: DataFrame) -> DataFrame:
     sizes = unit.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     aim = materialise(targets(sizes), "targets").withColumnRenamed("source", "s")
     unit = unit.join(aim, unit["source"].eqNullSafe(F.col("s"))).drop("s").withColumn("mass", F.col("size") * F.col("rows"))
-    large = F.col("mass") * LARGE > F.col("target")
-    big = unit.where(large & (F.col("target") > 0)).groupBy("source", "source_size", "target")
-    big = big.agg(F.sort_array(F.collect_list(F.struct("mass", *_UNIT)), asc=False).alias("rows"))
-    big = materialise(big.select("source", _pooled(F.col("rows"), F.col("target"), F.col("source_size")).alias("met")), "large")
-    pool = big.select(F.col("source").alias("s"), (F.col("met.target") / F.col("met.mass")).alias("pool"))
-    fixed = big.select(F.explode("met.done").alias("u")).select("u.*")
-    rest = unit.where(~(large & (F.col("target") > 0)))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
+    unit = unit.withColumn("rate", F.least(F.greatest(rate, F.lit(0.0)), F.lit(float(MOST))))
+    klass = F.floor(4 * F.log2(F.col("mass") + 1.0)).cast("int")
+    share = [F.floor(F.col("rate") + _NEAR).alias("base"), F.greatest(F.col("rate") - F.floor(F.col("rate") + _NEAR), F.lit(0.0)).alias("p")]
+    large = (F.col("mass") * LARGE > F.col("target")) & (F.col("target") > 0)
+    big = materialise(unit.where(large).select(*_UNIT, "mass", *share), "large")
+    met, left = _large(big.where(F.col("p") > _NEAR).select("mass", *_UNIT, "p"), klass)
+    # A row a source: the words of its smaller documents, and its left-over ones, at most one a class.
+    small = unit.groupBy(F.col("source").alias("s")).agg(F.sum(F.when(large, 0).otherwise(F.col("mass"))).alias("small"), F.max(share[0]).alias("base"))
+    left = left.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("mass", *_UNIT, "p")), asc=False).alias("rows"), F.sum("mass").alias("mass"))
+    left = left.join(small, left["source"].eqNullSafe(F.col("s")))
+    left = materialise(left.select("source", _pooled(F.col("rows"), F.col("base"), F.col("mass") + F.col("small")).alias("met")), "pooled")
+    pool = left.select(F.col("source").alias("s"), (F.col("met.owed") / F.col("met.mass")).alias("more"))
+    met.append(left.select(F.explode("met.done").alias("u")).select("u.*"))
+    rest = unit.where(~large)
     rest = rest.join(pool, rest["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    rate = F.when(F.col("source_size") > 0, F.coalesce("pool", F.col("target") / F.col("source_size"))).otherwise(1.0)
+    rate = F.col("rate") + F.when(F.col("source_size") > 0, F.coalesce("more", F.lit(0.0))).otherwise(0.0)
     rest = rest.withColumn("rate", F.least(F.greatest(rate, F.lit(0.0)), F.lit(float(MOST))))
-    rest = rest.withColumn("base", F.floor(F.col("rate") + _NEAR)).withColumn("p", F.greatest(F.col("rate") - F.col("base"), F.lit(0.0)))
-    rest = materialise(rest.select(*_UNIT, "mass", "base", "p"), "rest")
+    rest = materialise(rest.select(*_UNIT, "mass", *share), "rest")
 
     open_ = rest.where((F.col("p") > _NEAR) & (F.col("mass") > 0)).select("mass", *_UNIT, "p")
     # Without words there is nothing to balance: a draw of its own decides.
     done = [rest.where((F.col("p") > _NEAR) & (F.col("mass") == 0)).select(*_UNIT, (_draw(F.col("text_key"), F.col("doc_id")) < F.col("p")).cast("int").alias("up"))]
-    klass = F.floor(4 * F.log2(F.col("mass") + 1.0)).cast("int")
     level = 0
     while True:
-        met = _round(open_, klass, f"round{level}")
-        done.append(met.select(F.explode("met.done").alias("u")).select("u.*"))
-        open_ = met.where("met.left is not null").select("met.left.*")
-        if level and (met.groupBy("source").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) <= 1:
+        round_ = _round(open_, klass, f"round{level}")
+        done.append(round_.select(F.explode("met.done").alias("u")).select("u.*"))
+        open_ = round_.where("met.left is not null").select("met.left.*")
+        if level and _most(round_, "source") <= 1:
             break
         klass, level = F.lit(0), level + 1
     last = open_.select(*_UNIT, (_draw(F.col("text_key"), F.col("doc_id")) < F.col("p")).cast("int").alias("up"))
-    for part in done:
+    for part in done + met:
         last = last.union(part.select(*_UNIT, "up"))
     def on(c: str) -> str:
         return f"_{c}"
@@ -180,7 +204,7 @@ def plan(docs: DataFrame) -> DataFrame:
         return left.join(right, same, how).drop(*map(on, _UNIT))
 
     copies = (F.col("base") + F.coalesce("up", F.lit(0))).cast("long")
-    settled = joined(rest.select(*_UNIT, "base"), last, "left").select(*_UNIT, copies.alias("copies")).union(fixed)
+    settled = joined(rest.union(big).select(*_UNIT, "base"), last, "left").select(*_UNIT, copies.alias("copies"))
     return joined(unit.select(*_UNIT, "size", "rows", "source_size", "target"), settled, "inner")
 
 

@@ -262,3 +262,23 @@ def test_empty_tables(spark, path):
     assert line_dedup.line_digests(empty).count() == 0
     assert bpe.token_digests(empty, path).count() == 0
     assert mixing.mix(empty).count() == 0 and superminhash.keep_first(empty).count() == 0
+
+
+def test_hot_source_among_a_thousand_meets_in_blocks(spark, monkeypatch):
+    """A hot source sampled far down: all its documents are large, and no group holds them all."""
+    rows = [(i, "hot", "word " * (20 + i % 20)) for i in range(1500)]
+    rows += [(10_000 + 2 * s + k, f"s{s:04d}", f"a{s} b{k} " + "c " * 28) for s in range(1000) for k in range(2)]
+    longest, write = [0], mixing.materialise
+
+    def spied(df, name):
+        out = write(df, name)
+        if "met" in out.columns:
+            longest[0] = max(longest[0], out.agg(F.max(F.size("met.done"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(mixing, "materialise", spied)
+    got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert len(got) == len(rows) and longest[0] <= 2 * mixing.BLOCK
+    hot = [r for r in got if r["doc_id"] < 10_000]
+    assert all(r["size"] * mixing.LARGE > r["target"] for r in hot)
+    assert abs(sum(r["taken"] for r in hot) - hot[0]["target"]) <= 40
