@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import WORD_GAP, lower_ascii
 
-SLOTS = 48
+SLOTS = 64
 #: Slots evaluated in one row: a term's row is repeated for each such group. More columns at once would make
 #: methods that the JVM does not compile (measured: 64 in one row cost 23 us a term, in groups of 4 they cost 7).
 GROUP = 4

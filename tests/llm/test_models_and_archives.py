@@ -318,3 +318,13 @@ def test_fingerprints_of_one_or_no_document(spark):
     one = fingerprints.fingerprints(spark.createDataFrame([(1, "abc def")], kind)).first()
     assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"abc dab").hexdigest()
     assert fingerprints.fingerprints(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_fingerprints_have_all_64_slots(spark):
+    """Likeness is counted in 64ths: a standard error of 0.0625 at 0.5."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefghijkl") for _ in range(20))) for i in range(40)]
+    out = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {len(r["fingerprint"]) for r in out} == {64 * fingerprints.DIGITS}
+    assert all(r[c] * 64 == int(r[c] * 64) for r in out for c in ("near_edited", "near_next"))
+    assert any(r["near_edited"] * 48 != int(r["near_edited"] * 48) for r in out)
