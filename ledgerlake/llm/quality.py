@@ -56,16 +56,24 @@ def posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
     """
     sums = [F.count("*").cast("double").alias("n"), F.sum("value").alias("total"), F.sum(F.col("value") * F.col("value")).alias("squares")]
     paths = materialise(evidence.groupBy("host", "path").agg(*sums), "paths")
+    extra = ["total", "host_n", "host_total", "host_k", "path_k"]
     hosts = paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), _strength(hosts).alias("k")).first()
     if not whole["n"]:
-        return paths.select("host", "path", F.lit(0.5).alias("host_posterior"), F.lit(0.5).alias("posterior"), "n"), 0.5
+        none = paths.select("host", "path", F.lit(0.5).alias("host_posterior"), F.lit(0.5).alias("posterior"), "n", "total")
+        return none.select("*", *[F.lit(LEAST_K).alias(c) for c in extra[1:]]), 0.5
     mean = whole["total"] / whole["n"]
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("total") + whole["k"] * mean) / (F.col("n") + whole["k"])).alias("host_posterior"))
+    hosts = hosts.select(F.col("host").alias("h"), ((F.col("total") + whole["k"] * mean) / (F.col("n") + whole["k"])).alias("host_posterior"), F.col("n").alias("host_n"), F.col("total").alias("host_total"), F.lit(whole["k"]).alias("host_k"))
     k = paths.agg(_strength(paths).alias("k")).first()["k"]
     rows = paths.join(hosts, paths["host"].eqNullSafe(F.col("h"))).drop("h")
     post = (F.col("total") + k * F.col("host_posterior")) / (F.col("n") + k)
-    return rows.select("host", "path", "host_posterior", post.alias("posterior"), "n"), float(mean)
+    return rows.select("host", "path", "host_posterior", post.alias("posterior"), "n", F.lit(k).alias("path_k"), *extra[:-1]), float(mean)
+
+
+def without(value: Column, mean: float) -> tuple[Column, Column]:
+    """Posteriors of host and path of a row of ``posteriors`` without one of its rows, of that value."""
+    host = (F.col("host_total") - value + F.col("host_k") * mean) / (F.col("host_n") - 1 + F.col("host_k"))
+    return host, (F.col("total") - value + F.col("path_k") * host) / (F.col("n") - 1 + F.col("path_k"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
@@ -75,7 +83,8 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     ``labels`` has doc_id and quality 0/1. Rows with crc32(doc_id) mod 5 = 0
     are held out: their labels are never read. Where a document has a label
     that may be read, the site's evidence takes it, else the classifier's
-    score. score is the combined probability of quality 1, kept says that it
+    score. The row's own is taken out of its site's sums, so that it counts
+    once. score is the combined probability of quality 1, kept says that it
     is 0.5 or more. Null or empty text is scored by its site and the
     classifier's prior. Labels that are null or not 0/1 are left out, of
     several the larger counts; without labels of both kinds the classifier
@@ -86,12 +95,15 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     seen = labels.where(~out).select("doc_id", F.col("quality").alias("label"))
     model = toxicity.train(docs.where(~out), seen)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), "text")
-    scored = materialise(toxicity.score(rows, model).withColumnRenamed("score", "doc_score"), "document-scores")
+    scored = toxicity.score(rows, model).withColumnRenamed("score", "doc_score")
     known = seen.where("label in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("d")).agg(F.max("label").cast("double").alias("label"))
-    evidence = scored.join(known, scored["doc_id"] == known["d"], "left").select("host", "path", F.coalesce("label", "doc_score").alias("value"))
-    groups, mean = posteriors(evidence)
-    groups = groups.withColumnsRenamed({"host": "h", "path": "p"})
+    scored = scored.join(known, scored["doc_id"] == known["d"], "left").withColumn("value", F.coalesce("label", "doc_score")).drop("d", "label")
+    scored = materialise(scored, "document-scores")
+    groups, mean = posteriors(scored.select("host", "path", "value"))
+    groups = groups.drop("host_posterior", "posterior").withColumnsRenamed({"host": "h", "path": "p"})
     both = scored.join(groups, scored["host"].eqNullSafe(F.col("h")) & scored["path"].eqNullSafe(F.col("p")))
+    of_host, of_path = without(F.col("value"), mean)
+    both = both.withColumn("host_posterior", of_host).withColumn("posterior", of_path)
     logit = _logit(F.col("doc_score")) + SITE_WEIGHT * (_logit(F.col("posterior")) - _logit(F.lit(mean)))
     score = 1 / (1 + F.exp(-logit))
     both = both.withColumn("score", score)

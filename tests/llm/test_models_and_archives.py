@@ -328,3 +328,15 @@ def test_fingerprints_have_all_64_slots(spark):
     assert {len(r["fingerprint"]) for r in out} == {64 * fingerprints.DIGITS}
     assert all(r[c] * 64 == int(r[c] * 64) for r in out for c in ("near_edited", "near_next"))
     assert any(r["near_edited"] * 48 != int(r["near_edited"] * 48) for r in out)
+
+
+def test_quality_leaves_out_the_row_itself(spark):
+    """A site of one document says nothing but its parent's, and a label does not move its own row's site."""
+    docs, labels, _ = tables(spark)
+    i = next(i for i in range(1, 400) if i % 3 and i % 4 and not is_held(i))
+    docs = docs.withColumn("source", F.when(F.col("doc_id") == i, F.lit("alone")).otherwise(F.col("source")))
+    out = quality.quality(docs, labels).collect()
+    mean = sum(r["path_posterior"] for r in out) / len(out)
+    row = next(r for r in out if r["doc_id"] == i)
+    assert row["host_posterior"] == pytest.approx(row["path_posterior"]) and abs(row["path_posterior"] - mean) < 0.02
+    assert row["score"] == pytest.approx(row["doc_score"], abs=1e-4)
