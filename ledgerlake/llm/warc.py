@@ -99,24 +99,33 @@ def _headers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("digest string, header string").parquet(f"{path}/headers")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record as it was: page_id, record (exact bytes) and payload (a revisit's is its response's)."""
+def _rebuilt(spark: SparkSession, path: str) -> DataFrame:
+    """Headers, payloads, and each record as it was (exact bytes)."""
     rows = _headers(spark, path).join(_payloads(spark, path), "digest")
     block = F.when(field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    record = F.concat(F.col("header").cast("binary"), block, F.lit((LINE * 2).encode()))
-    return rows.select(field("WARC-Page-Id").cast("long").alias("page_id"), record.alias("record"), "payload")
+    return rows.withColumn("record", F.concat(F.col("header").cast("binary"), block, F.lit((LINE * 2).encode())))
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record as it was: page_id, record (exact bytes) and payload (a revisit's is its response's)."""
+    return _rebuilt(spark, path).select(field("WARC-Page-Id").cast("long").alias("page_id"), "record", "payload")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, from the archive: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Length and digest are taken anew from the stored payload, once per payload;
-    the join then moves no payload bytes.
+    Every record is rebuilt. One whose length or payload is not what its header
+    says fails the read.
     """
-    stored = _payloads(spark, path).select("digest", F.sha1("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
-    rows = _headers(spark, path).join(stored, "digest")
+    rows = _rebuilt(spark, path)
+    start, block = F.octet_length(F.col("header").cast("binary")), field("Content-Length").cast("int")
+    body = F.when(field("WARC-Type") == "response", F.substring("record", start + 1, block)).otherwise(F.col("payload"))
+    rows = rows.withColumn("whole", F.octet_length("record") == start + block + 2 * len(LINE))
+    rows = rows.withColumn("sha1", F.sha1(body)).withColumn("payload_bytes", F.octet_length(body).cast("long"))
+    whole = F.col("whole") & field("WARC-Payload-Digest").eqNullSafe(F.concat(F.lit("sha1:"), "sha1"))
+    digest = F.when(whole, F.col("sha1")).otherwise(F.raise_error(F.concat(F.lit("record is damaged: "), F.coalesce(field("WARC-Record-ID"), F.lit("")))))
     return rows.select(
-        field("WARC-Page-Id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        field("WARC-Page-Id").cast("long").alias("page_id"), "payload_bytes", digest.alias("payload_digest"),
         field("WARC-Type").alias("record_type"), field("WARC-Refers-To-Page-Id").cast("long").alias("refers_to"),
     )
 

@@ -340,3 +340,14 @@ def test_quality_leaves_out_the_row_itself(spark):
     row = next(r for r in out if r["doc_id"] == i)
     assert row["host_posterior"] == pytest.approx(row["path_posterior"]) and abs(row["path_posterior"] - mean) < 0.02
     assert row["score"] == pytest.approx(row["doc_score"], abs=1e-4)
+
+
+def test_index_reads_whole_records(spark, tmp_path):
+    """A header that does not fit its payload fails the index too."""
+    df = spark.createDataFrame([(1, "u", "page")], "page_id long, url string, html string")
+    path = str(tmp_path / "archive")
+    warc.write(df, path)
+    rows = spark.read.parquet(f"{path}/headers").withColumn("header", F.replace("header", F.lit("Content-Length: 4"), F.lit("Content-Length: 5"))).toPandas()
+    spark.createDataFrame(rows, "digest string, header string").write.mode("overwrite").parquet(f"{path}/headers")
+    with pytest.raises(Exception, match="record is damaged"):
+        warc.read_index(spark, path).collect()
