@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, context_mixing, fingerprints, line_dedup, mixing, quality, rp_forest, superminhash, toxicity, warc
+from ledgerlake.llm import bpe, context_mixing, fingerprints, line_dedup, merkle, mixing, prefix_free, quality, resampling, rp_forest, superminhash, toxicity, warc
 from ledgerlake.llm.common import table
 from ledgerlake.llm.sql import ORACLE
 
@@ -54,6 +54,18 @@ def op10_superminhash_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op11_batch_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_lag_lead_merkle(spark, sf_dir):
+    return merkle.dataset_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_free_repeats(spark, sf_dir):
+    return prefix_free.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # it takes its parts from this folder
 
@@ -72,6 +84,9 @@ QUERIES = {
     "op8_weighted_sampling_fingerprints": op8_weighted_sampling_fingerprints,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_superminhash_near_dedup": op10_superminhash_near_dedup,
+    "op11_batch_resampling": op11_batch_resampling,
+    "op12_lag_lead_merkle": op12_lag_lead_merkle,
+    "op13_prefix_free_repeats": op13_prefix_free_repeats,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
