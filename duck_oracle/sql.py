@@ -398,7 +398,9 @@ def _grain_part(t, keys):
 
 
 q("grain_audit_facts", list(_FACT_GRAINS), _union([_grain_part(t, k) for t, k in _FACT_GRAINS.items()]))
-q("grain_audit_dims", list(_DIM_GRAINS), _union([_grain_part(t, k) for t, k in _DIM_GRAINS.items()]))
+q("grain_audit_dims", list(_DIM_GRAINS), _union(
+    [_grain_part(t, k) for t, k in _DIM_GRAINS.items()]
+    + [_grain_part(t, [k]) for t, k in (("dim_product", "product_sk"), ("dim_store", "store_sk"), ("dim_date", "date_sk"))]))
 
 q("dedup_keep_latest", ["s_stores_typed"], """
 SELECT store_id, store_name, store_type, region, address, opening_date, manager_id, source_file
@@ -553,13 +555,16 @@ SELECT product_id, product_name, total_margin, total_revenue,
   rank() OVER (ORDER BY total_margin DESC NULLS LAST) AS margin_rank
 FROM ({ORACLE['view_product_performance']}) v"""
 
-q("b10_low_margin_products", ["fact_sales_items", "dim_product"], """
-SELECT product_id, product_name, unit_margin, total_margin,
-  CASE WHEN unit_margin <= 0 THEN 'unit_margin' ELSE 'total_margin' END AS reason
-FROM (SELECT p.product_id, p.product_name, p.margin AS unit_margin, CAST(p.margin * s.qty AS DECIMAL(38,2)) AS total_margin
-      FROM dim_product p LEFT JOIN (SELECT product_id, sum(quantity) AS qty FROM fact_sales_items GROUP BY product_id) s
-        ON p.product_id = s.product_id) t
-WHERE unit_margin <= 0 OR total_margin <= 0""")
+q("b10_low_margin_products", ["fact_sales_items", "dim_product"], f"""
+SELECT * FROM (
+  SELECT product_id, product_name, unit_margin, total_margin, price_share, revenue_share,
+    CASE WHEN unit_margin <= 0 THEN 'unit_margin' WHEN total_margin <= 0 THEN 'total_margin'
+         WHEN price_share <= 0.1 THEN 'low_unit_margin' WHEN revenue_share <= 0.1 THEN 'low_total_margin' END AS reason
+  FROM (SELECT *, {ratio('unit_margin', 'price', 4)} AS price_share, {ratio('total_margin', 'rev', 4)} AS revenue_share
+    FROM (SELECT p.product_id, p.product_name, p.price, p.margin AS unit_margin, s.rev, CAST(p.margin * s.qty AS DECIMAL(38,2)) AS total_margin
+          FROM dim_product p LEFT JOIN (SELECT product_id, sum(quantity) AS qty, sum(line_revenue) AS rev FROM fact_sales_items GROUP BY product_id) s
+            ON p.product_id = s.product_id) t) u) v
+WHERE reason IS NOT NULL""")
 
 q("b11_category_margin_share", ["fact_sales_items", "dim_product"], f"""
 SELECT category, subcategory, CAST(m AS DECIMAL(38,2)) AS total_margin, {ratio('m', 'tot', 4)} AS margin_share

@@ -59,20 +59,19 @@ def _long(one_row: DataFrame, entries: list[tuple], names: list[str]) -> DataFra
 
 
 # ---------------------------------------------------------------- validation
-def sample_rows(raw: dict[str, DataFrame], n: int = 10) -> DataFrame:
-    """First ``n`` rows of each raw table, rendered as text.
+def sample_rows(raw: dict[str, DataFrame], n: int = 10, ordered: bool = False) -> DataFrame:
+    """``n`` rows of each raw table, rendered as text: any ``n``, as the
+    reference's TOP without ORDER BY, so a scan stops once it has them.
 
-    The reference takes TOP 10 without ORDER BY (any 10 rows); rows are
-    ordered by their text here so the sample is reproducible. Per table this
-    is a top-k (TakeOrderedAndProject: k rows per task, merged), not a sort.
+    ``ordered`` gives the first by their text instead, the same in every run,
+    for which each table is read whole (a top-k: k rows per task, merged).
     """
     frames = []
     for ds in RAW_COLUMNS:
-        cols = [F.coalesce(F.col(c), F.lit("<NULL>")) for c in RAW_COLUMNS[ds]]
-        text = F.concat_ws("|", *cols).alias("row_text")
-        frames.append(
-            raw[ds].select(F.lit(ds).alias("table_name"), text).orderBy("row_text").limit(n)
-        )
+        text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<NULL>")) for c in RAW_COLUMNS[ds]]).alias("row_text")
+        rows = raw[ds] if ordered else raw[ds].limit(n)
+        rows = rows.select(F.lit(ds).alias("table_name"), text)
+        frames.append(rows.orderBy("row_text").limit(n) if ordered else rows)
     return _union(frames)
 
 
@@ -282,6 +281,8 @@ DIM_GRAINS = {
     "dim_store": ["store_id"],
     "dim_date": ["full_date"],
 }
+# The keys that facts refer to, to be unique as well.
+DIM_KEYS = {"dim_product": ["product_sk"], "dim_store": ["store_sk"], "dim_date": ["date_sk"]}
 
 
 def grain_audit(tables: dict[str, DataFrame], grains: dict[str, list[str]]) -> DataFrame:

@@ -71,8 +71,9 @@ def m_inventory_value(w: Warehouse) -> DataFrame:
     return per_day.join(d, "date_sk").select("full_date", "inventory_value")
 
 
-def _snapshots(w: Warehouse) -> DataFrame:
-    i = w.fact_inventory_snapshots()
+def _snapshots(w: Warehouse, rows: DataFrame | None = None) -> DataFrame:
+    """Snapshots (or ``rows`` made of them) with day, store and product ids."""
+    i = w.fact_inventory_snapshots() if rows is None else rows
     return (
         i.join(w.dim_product().select("product_sk", "product_id"), "product_sk")
         .join(w.dim_store().select("store_sk", "store_id"), "store_sk")
@@ -89,10 +90,12 @@ def m_inventory_delta(w: Warehouse) -> DataFrame:
 
 def m_inventory_change(w: Warehouse) -> DataFrame:
     # One row per (product, store, date) by grain: the series is bounded by
-    # the calendar length, so this window never holds an unbounded group.
-    series = Window.partitionBy("product_id", "store_id").orderBy("date_sk")
-    s = _snapshots(w).withColumn("previous_ending", F.lag("ending_inventory").over(series))
-    return s.select(
+    # the calendar length, so this window never holds an unbounded group. It
+    # works on the fact's own keys; names are attached to what it returns.
+    series = Window.partitionBy("product_sk", "store_sk").orderBy("date_sk")
+    s = w.fact_inventory_snapshots().select("product_sk", "store_sk", "date_sk", "ending_inventory")
+    s = s.withColumn("previous_ending", F.lag("ending_inventory").over(series))
+    return _snapshots(w, s).select(
         "full_date", "store_id", "product_id", "ending_inventory", "previous_ending",
         (F.col("ending_inventory") - F.col("previous_ending")).alias("inventory_change"),
     )

@@ -19,6 +19,7 @@ from ledgerlake.plans import metrics
 from ledgerlake.plans.warehouse import Warehouse
 
 # Parameters of the questions.
+LOW_MARGIN_SHARE = 0.10           # of the price, or of the revenue
 TOP_K = 10
 STOCKOUT_WINDOW_ROWS = 6          # current snapshot and the five before it
 OVERSTOCK_DAYS_OF_COVER = 90
@@ -193,13 +194,23 @@ def b09_contribution_rank(w: Warehouse) -> DataFrame:
     return global_rank(v, "total_margin", "margin_rank")
 
 
-def b10_low_margin_products(w: Warehouse) -> DataFrame:
-    per = w.fact_sales_items().groupBy("product_sk").agg(F.sum("quantity").alias("_qty"))
-    p = w.dim_product().select("product_sk", "product_id", "product_name", "margin")
+def b10_low_margin_products(w: Warehouse, low: float = LOW_MARGIN_SHARE) -> DataFrame:
+    """Products that earn nothing, or little: margin or total margin of zero
+    or less, else a share of margin in the price, or of total margin in the
+    revenue, of at most ``low``. The first reason that holds is given."""
+    per = w.fact_sales_items().groupBy("product_sk").agg(F.sum("quantity").alias("_qty"), F.sum("line_revenue").alias("_rev"))
+    p = w.dim_product().select("product_sk", "product_id", "product_name", "price", "margin")
     j = p.join(per, "product_sk", "left").withColumn("total_margin", (F.col("margin") * F.col("_qty")).cast("decimal(38,2)"))
-    reason = F.when(F.col("margin") <= 0, F.lit("unit_margin")).otherwise(F.lit("total_margin"))
-    return j.filter((F.col("margin") <= 0) | (F.col("total_margin") <= 0)).select(
-        "product_id", "product_name", F.col("margin").alias("unit_margin"), "total_margin", reason.alias("reason")
+    j = j.withColumn("price_share", ratio("margin", "price", 4)).withColumn("revenue_share", ratio("total_margin", "_rev", 4))
+    reason = (
+        F.when(F.col("margin") <= 0, F.lit("unit_margin"))
+        .when(F.col("total_margin") <= 0, F.lit("total_margin"))
+        .when(F.col("price_share") <= low, F.lit("low_unit_margin"))
+        .when(F.col("revenue_share") <= low, F.lit("low_total_margin"))
+    )
+    return j.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(
+        "product_id", "product_name", F.col("margin").alias("unit_margin"), "total_margin",
+        "price_share", "revenue_share", "reason"
     )
 
 
@@ -224,13 +235,10 @@ def b12_seasonal_vs_core(w: Warehouse) -> DataFrame:
 
 
 def b13_margin_trend(w: Warehouse) -> DataFrame:
-    f = w.fact_sales_items().groupBy("product_sk", "date_sk").agg(
-        F.sum("quantity").alias("_qty"), F.sum("line_revenue").alias("_rev"))
     p = w.dim_product().select("product_sk", "margin")
-    daily = f.join(p, "product_sk").groupBy("date_sk").agg(
-        F.sum("_rev").alias("_rev"), F.sum(F.col("margin") * F.col("_qty")).alias("_m"))
-    d = F.broadcast(w.dim_date().select("date_sk", "year_num", "quarter_num", "month_num"))
-    j = daily.join(d, "date_sk")
+    monthly = _sales_month_product(w).join(p, "product_sk").groupBy("year_num", "month_num").agg(
+        F.sum("revenue").alias("_rev"), F.sum(F.col("margin") * F.col("units")).alias("_m"))
+    j = monthly.withColumn("quarter_num", ((F.col("month_num") + 2) / 3).cast("int"))
     frames = []
     for ptype, col in (("month", "month_num"), ("quarter", "quarter_num")):
         g = j.groupBy("year_num", col).agg(F.sum("_rev").alias("_rev"), F.sum("_m").alias("_m"))
@@ -244,12 +252,14 @@ def b13_margin_trend(w: Warehouse) -> DataFrame:
 
 # ----------------------------------------------------------------- inventory
 def b14_stockout_trend(w: Warehouse) -> DataFrame:
-    s = metrics._snapshots(w)
-    # Series per (product, store): one row per snapshot day by grain.
-    frame = Window.partitionBy("product_id", "store_id").orderBy("date_sk").rowsBetween(-(STOCKOUT_WINDOW_ROWS - 1), 0)
+    s = w.fact_inventory_snapshots().select("product_sk", "store_sk", "date_sk", "ending_inventory", "safety_stock")
+    # Series per (product, store): one row per snapshot day by grain. Names
+    # are attached to the few rows that the filter leaves.
+    frame = Window.partitionBy("product_sk", "store_sk").orderBy("date_sk").rowsBetween(-(STOCKOUT_WINDOW_ROWS - 1), 0)
     gap = F.col("ending_inventory") - F.col("safety_stock")
     r = s.withColumn("_gs", F.sum(gap).over(frame)).withColumn("_gn", F.count(gap).over(frame))
-    return r.withColumn("rolling_gap", ratio("_gs", "_gn", 2)).filter(F.col("rolling_gap") <= 0).select(
+    r = r.withColumn("rolling_gap", ratio("_gs", "_gn", 2)).filter(F.col("rolling_gap") <= 0)
+    return metrics._snapshots(w, r).select(
         "full_date", "store_id", "product_id", "ending_inventory", "safety_stock", "rolling_gap")
 
 
@@ -383,10 +393,12 @@ def b21_return_rate_slices(w: Warehouse) -> DataFrame:
 
 
 def b22_return_reasons(w: Warehouse) -> DataFrame:
-    r = w.fact_returns().join(w.dim_product().select("product_sk", "category"), "product_sk")
+    per = w.fact_returns().groupBy("return_reason", "product_sk").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("quantity_returned").alias("_units"), F.sum("refund_amount").alias("_refund"))
+    r = per.join(w.dim_product().select("product_sk", "category"), "product_sk")
     g = r.groupBy("return_reason", "category").agg(
-        F.count(F.lit(1)).alias("return_count"), long_sum("quantity_returned").alias("units_returned"),
-        money_sum("refund_amount").alias("refund_amount"))
+        long_sum("_n").alias("return_count"), long_sum("_units").alias("units_returned"),
+        money_sum("_refund").alias("refund_amount"))
     # Share of each category within its reason, over the grouped frame.
     per_reason = Window.partitionBy("return_reason")
     return g.withColumn("share_of_reason", ratio(F.col("units_returned"), F.sum("units_returned").over(per_reason), 4))

@@ -197,7 +197,7 @@ def _gold_tables(w: Warehouse) -> dict[str, DataFrame]:
     return {t: w.gold(t) for t in GOLD_TABLES}
 
 
-register("sample_rows", lambda w: quality.sample_rows(w.raw_datasets))
+register("sample_rows", lambda w: quality.sample_rows(w.raw_datasets, ordered=True))
 register("record_counts", lambda w: quality.record_counts(w.raw_datasets))
 register("dq_profile", lambda w: quality.dq_profile(w.raw_datasets))
 register("dq_flag_summary", lambda w: quality.dq_flag_summary({t: w.silver(t) for t in SILVER_TABLES}))
@@ -225,7 +225,8 @@ def _load_reconcile(w: Warehouse) -> DataFrame:
 register("fk_audit", _fk_audit)
 register("load_reconcile", _load_reconcile)
 register("grain_audit_facts", lambda w: quality.grain_audit(_gold_tables(w), quality.FACT_GRAINS))
-register("grain_audit_dims", lambda w: quality.grain_audit(_gold_tables(w), quality.DIM_GRAINS))
+register("grain_audit_dims", lambda w: quality.grain_audit(_gold_tables(w), quality.DIM_GRAINS).unionByName(
+    quality.grain_audit(_gold_tables(w), quality.DIM_KEYS)))
 
 
 def _dedup_keep_latest(w: Warehouse) -> DataFrame:

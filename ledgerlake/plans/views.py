@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.ratios import int_avg, int_div, long_sum, money_sum, product, ratio, ratio_decimal
+from ledgerlake.functions.ratios import int_avg, int_div, long_sum, money_sum, product, ratio, ratio_decimal, safe_den
 from ledgerlake.plans.warehouse import Warehouse
 
 
@@ -23,23 +23,19 @@ def _all() -> Window:
     return Window.partitionBy()
 
 
-def _sales_with_product(w: Warehouse, *product_cols: str) -> DataFrame:
-    p = w.dim_product().select("product_sk", *product_cols)
-    return w.fact_sales_items().join(p, "product_sk")
-
-
 def view_revenue_summary(w: Warehouse) -> DataFrame:
-    g = (
-        _sales_with_product(w, "margin")
-        .groupBy("source_system")
-        .agg(
-            # COUNT(DISTINCT source||'-'||id) within one source = distinct ids.
-            F.count_distinct("transaction_id").alias("total_transactions"),
-            long_sum("quantity").alias("total_units_sold"),
-            F.sum("line_revenue").alias("_rev"),
-            money_sum(F.col("margin") * F.col("quantity")).alias("total_margin"),
-        )
-    )
+    f = w.fact_sales_items()
+    # Lines are summed per source and product before they meet the product;
+    # orders are counted apart. COUNT(DISTINCT source||'-'||id) within one
+    # source = distinct ids.
+    orders = f.groupBy("source_system").agg(F.count_distinct("transaction_id").alias("total_transactions"))
+    per = f.groupBy("source_system", "product_sk").agg(F.sum("quantity").alias("_qty"), F.sum("line_revenue").alias("_rev"))
+    per = per.join(w.dim_product().select("product_sk", "margin"), "product_sk")
+    g = per.groupBy("source_system").agg(
+        long_sum("_qty").alias("total_units_sold"),
+        F.sum("_rev").alias("_rev"),
+        money_sum(F.col("margin") * F.col("_qty")).alias("total_margin"),
+    ).join(orders, "source_system")
     return g.select(
         "source_system",
         "total_transactions",
@@ -224,23 +220,28 @@ def view_returns_summary(w: Warehouse) -> DataFrame:
     """As written: returns LEFT JOIN sales lines per product multiplies both
     sides. Computed algebraically from per-product aggregates - identical
     numbers without materialising returns x sales rows:
-    return measures x max(1, sales lines), sales units x return rows."""
+    return measures x max(1, sales lines), sales units x return rows.
+
+    The products of counts are decimals: a hot product's lines x returns may
+    exceed BIGINT. A count that does so even per product is reported as NULL."""
     r = _returns_per_product(w)
     s = _per_product_sales(w)
     p = w.dim_product().select("product_sk", "product_id", "product_name")
     j = r.join(p, "product_sk").join(s, "product_sk", "left")
     fan = F.greatest(F.coalesce(F.col("_lines"), F.lit(0)), F.lit(1))
-    units_fan = (F.col("_units") * fan).cast("bigint")
-    sold_fan = (F.col("_qty") * F.col("_return_rows")).cast("bigint")
     g = j.groupBy("product_id", "product_name").agg(
-        F.sum(F.col("_n_returns") * fan).cast("bigint").alias("total_returns"),
-        F.sum(units_fan).cast("bigint").alias("units_returned"),
-        F.sum(F.col("_refund") * fan).cast("decimal(38,2)").alias("total_refund_amount"),
-        F.sum(sold_fan).alias("_sold"),
+        F.sum(product("_n_returns", fan)).alias("_total"),
+        F.sum(product("_units", fan)).alias("_returned"),
+        F.sum((F.col("_refund") * fan).cast("decimal(38,2)")).cast("decimal(38,2)").alias("total_refund_amount"),
+        F.sum(product("_qty", "_return_rows")).alias("_sold"),
     )
+    whole = (F.col("_returned") - F.col("_returned") % safe_den("_sold")) / safe_den("_sold")
     return g.select(
-        "product_id", "product_name", "total_returns", "units_returned", "total_refund_amount",
-        int_div(F.col("units_returned"), F.col("_sold")).alias("return_rate"),
+        "product_id", "product_name",
+        F.col("_total").try_cast("bigint").alias("total_returns"),
+        F.col("_returned").try_cast("bigint").alias("units_returned"),
+        "total_refund_amount",
+        whole.try_cast("bigint").alias("return_rate"),
     )
 
 

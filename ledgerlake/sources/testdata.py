@@ -7,14 +7,18 @@ Everything downstream of these frames (cleaning, modelling, KPIs) is
 implemented independently on each side.
 
 Each raw frame is: source table (optionally filtered) UNION ALL the rows
-matching a "repeat" predicate, projected to all-string columns, plus the
-lineage columns.
+matching a "repeat" predicate, projected to all-string columns, UNION ALL the
+rows matching the "refused" predicate with an identifier that cleaning
+refuses, plus the lineage columns. The rows matching "malformed" come once
+more as a broken line of the CSV extract.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +50,8 @@ class RawRule:
     where: str | None        # row filter on the source
     repeat: str | None       # rows matching this predicate appear twice
     columns: dict            # raw column -> SQL expression over the source
+    refused: tuple[str, str, str]  # rows matching come once more with this column as this expression
+    malformed: str           # rows matching come once more in the extract, as a broken line
 
 
 # FIXTURES.md section 3 projection rules.
@@ -63,6 +69,8 @@ RULES: dict[str, RawRule] = {
             "opening_date": "CASE WHEN s_suppkey % 17 = 3 THEN 'n/a' ELSE '1994-0' || CAST(1 + s_suppkey % 9 AS STRING) || '-15' END",
             "manager_id": "CASE WHEN s_suppkey % 11 = 5 THEN '  ' ELSE 'M' || CAST(s_suppkey AS STRING) END",
         },
+        refused=('s_suppkey % 9 = 4', 'store_id', "'HQ'"),
+        malformed='s_suppkey % 8 = 5',
     ),
     "products_raw": RawRule(
         source_sql="part",
@@ -81,6 +89,8 @@ RULES: dict[str, RawRule] = {
             "launch_date": "CASE WHEN p_partkey % 89 = 4 THEN '1994-13-01' ELSE '1994-06-01' END",
             "status": "CASE WHEN p_partkey % 7 = 0 THEN 'Discontinued' ELSE 'active' END",
         },
+        refused=('p_partkey % 71 = 5', 'product_id', "'P-' || CAST(p_partkey AS STRING)"),
+        malformed='p_partkey % 53 = 8',
     ),
     "pos_transactions_raw": RawRule(
         source_sql="orders",
@@ -97,6 +107,8 @@ RULES: dict[str, RawRule] = {
             "discount_amount": "CASE WHEN o_custkey % 6 = 1 THEN CAST(NULL AS STRING) WHEN o_custkey % 6 = 2 THEN '-5' ELSE CAST(o_custkey % 6 AS STRING) || '.25' END",
             "tax_amount": "CAST(o_custkey % 9 AS STRING) || '.10'",
         },
+        refused=('o_orderkey % 134 = 0', 'transaction_id', 'CAST(NULL AS STRING)'),
+        malformed='o_orderkey % 158 = 0',
     ),
     "ecom_orders_raw": RawRule(
         source_sql="orders",
@@ -114,6 +126,8 @@ RULES: dict[str, RawRule] = {
             "device_type": "CASE o_custkey % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'Desktop' ELSE 'tablet ' END",
             "traffic_source": "CASE o_custkey % 5 WHEN 0 THEN 'Search' WHEN 1 THEN 'social' WHEN 2 THEN 'Email' WHEN 3 THEN 'direct' ELSE ' ' END",
         },
+        refused=('o_orderkey % 83 = 2', 'order_id', 'CAST(NULL AS STRING)'),
+        malformed='o_orderkey % 89 = 4',
     ),
     "pos_items_raw": RawRule(
         source_sql="lineitem",
@@ -126,6 +140,8 @@ RULES: dict[str, RawRule] = {
             "unit_price": _UNIT_PRICE_TEXT,
             "line_total": _LINE_TOTAL_TEXT,
         },
+        refused=('l_orderkey % 146 = 0 AND l_linenumber = 1', 'product_id', "'12x'"),
+        malformed='l_orderkey % 202 = 0 AND l_linenumber = 2',
     ),
     "ecom_items_raw": RawRule(
         source_sql="lineitem",
@@ -139,6 +155,8 @@ RULES: dict[str, RawRule] = {
             "unit_price": _UNIT_PRICE_TEXT,
             "line_total": _LINE_TOTAL_TEXT,
         },
+        refused=('l_orderkey % 103 = 6 AND l_linenumber = 1', 'order_item_id', "'?'"),
+        malformed='l_orderkey % 107 = 2 AND l_linenumber = 1',
     ),
     "inventory_snapshots_raw": RawRule(
         source_sql=(
@@ -161,6 +179,8 @@ RULES: dict[str, RawRule] = {
             ),
             "safety_stock": "CAST(5 + l_partkey % 20 AS STRING)",
         },
+        refused=('l_partkey % 73 = 11', 'store_id', "'closed'"),
+        malformed='l_partkey % 67 = 13',
     ),
     "returns_raw": RawRule(
         source_sql="lineitem",
@@ -176,6 +196,8 @@ RULES: dict[str, RawRule] = {
             "quantity_returned": "CASE WHEN l_partkey % 31 = 1 THEN '0' WHEN l_partkey % 37 = 1 THEN CAST(NULL AS STRING) ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
             "return_channel": "CASE l_orderkey % 3 WHEN 0 THEN 'In Store' WHEN 1 THEN 'online' ELSE 'Online Store' END",
         },
+        refused=('l_orderkey % 44 = 9', 'return_id', 'CAST(NULL AS STRING)'),
+        malformed='l_orderkey % 50 = 7',
     ),
 }
 
@@ -219,6 +241,30 @@ def _source_frame(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     return t(_SOURCE_TABLES[dataset][0])
 
 
+def _columns(dataset: str, instead: dict | None = None) -> list:
+    rule = {**RULES[dataset].columns, **(instead or {})}
+    return [F.expr(rule[c]).cast("string").alias(c) for c in RAW_COLUMNS[dataset]]
+
+
+def _with_header(batches, header: str):
+    yield pa.RecordBatch.from_pydict({"value": [header]})
+    yield from batches
+
+
+def write_malformed(spark: SparkSession, sf_dir: str, base_path: str) -> None:
+    """Append the broken lines to extracts that are already written: every
+    other one has a field too many, the others end after two fields."""
+    for ds, rule in RULES.items():
+        src = _source_frame(spark, sf_dir, ds)
+        src = src.filter(F.expr(rule.where)) if rule.where else src
+        rows = src.filter(F.expr(rule.malformed)).select(*_columns(ds))
+        cells = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS[ds]]
+        longer, shorter = F.concat_ws(",", *cells, F.lit("extra")), F.concat_ws(",", *cells[:2])
+        lines = rows.select(F.when(F.crc32(F.concat_ws(",", *cells)) % 2 == 0, longer).otherwise(shorter).alias("value"))
+        lines = lines.mapInArrow(partial(_with_header, header=",".join(RAW_COLUMNS[ds])), "value string")
+        lines.write.mode("append").text(f"{base_path.rstrip('/')}/{SOURCE_FILES[ds]}")
+
+
 def raw_frame(spark: SparkSession, sf_dir: str, dataset: str, with_lineage: bool = True) -> DataFrame:
     """One dirty raw extract derived from the testdata tables."""
     rule = RULES[dataset]
@@ -227,8 +273,10 @@ def raw_frame(spark: SparkSession, sf_dir: str, dataset: str, with_lineage: bool
         src = src.filter(F.expr(rule.where))
     if rule.repeat:
         src = src.unionByName(src.filter(F.expr(rule.repeat)))
-    cols = [F.expr(rule.columns[c]).cast("string").alias(c) for c in RAW_COLUMNS[dataset]]
-    out = src.select(*cols)
+    when, column, value = rule.refused
+    clean = _source_frame(spark, sf_dir, dataset)
+    clean = clean.filter(F.expr(rule.where)) if rule.where else clean
+    out = src.select(*_columns(dataset)).unionByName(clean.filter(F.expr(when)).select(*_columns(dataset, {column: value})))
     if with_lineage:
         out = out.withColumn("load_timestamp", F.current_timestamp()).withColumn(
             "source_file", F.lit(SOURCE_FILES[dataset])
