@@ -200,7 +200,7 @@ for _t in ["dim_date", "dim_product", "dim_store", "fact_pos_transactions", "fac
 
 # ------------------------------------------------------------------ ingestion / validation
 from ledgerlake.sources.schemas import RAW_COLUMNS, RECORD_COUNT_LABELS, SOURCE_FILES  # noqa: E402
-from duck_oracle.ctes import td, tdate, ti, tid, tts  # noqa: E402
+from duck_oracle.ctes import malformed_count, td, tdate, ti, tid, tts  # noqa: E402
 
 _RAW = list(RAW_COLUMNS)
 _SILVER = ["pos_transactions", "pos_items", "ecom_orders", "ecom_items",
@@ -213,13 +213,13 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-q("load_raw_csv", ["stores_raw"],
-  "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLUMNS["stores_raw"]) + " FROM stores_raw")
+q("load_raw_csv", ["pos_items_raw"],
+  "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLUMNS["pos_items_raw"]) + " FROM pos_items_raw")
 
 q("load_all_raw", _RAW, _union([
     f"SELECT '{ds}' AS table_name, count(*) AS record_count, CAST(sum("
     + " + ".join(f"CAST(NULLIF({c}, '') IS NULL AS BIGINT)" for c in cols)
-    + f") AS BIGINT) AS null_cells FROM {ds}"
+    + f") AS BIGINT) AS null_cells, {malformed_count(ds)} AS rejected_count FROM {ds}"
     for ds, cols in RAW_COLUMNS.items()
 ]))
 
@@ -234,11 +234,9 @@ q("full_refresh_write", [f"silver_{t}" for t in _SILVER] + _GOLD, _union(
     + [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _GOLD]
 ))
 
-_VIEW_KEYS = ["view_revenue_summary", "view_kpi_overview", "kpi_overview_exact", "view_daily_revenue",
-              "view_product_performance", "view_category_performance", "view_store_performance",
-              "view_inventory_snapshot", "view_inventory_turnover", "view_returns_summary",
-              "returns_summary_safe", "sq1_monthly_net_revenue", "sq2_revenue_by_channel",
-              "sq3_top10_products", "sq4_below_safety_stock", "sq5_return_rate_by_channel"]
+_VIEW_KEYS = ["view_revenue_summary", "view_kpi_overview", "view_daily_revenue", "view_product_performance",
+              "view_category_performance", "view_store_performance", "view_inventory_snapshot",
+              "view_inventory_turnover", "view_returns_summary"]
 ORACLE["publish_views"] = _union([
     f"SELECT '{k}' AS view_name, (SELECT count(*) FROM (\n{ORACLE[k]}\n) v) AS row_count" for k in _VIEW_KEYS
 ])
@@ -280,10 +278,35 @@ def _profile_part(ds: str, c: str) -> str:
     return (f"SELECT '{ds}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, "
             f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
             f"count(*) FILTER (WHERE {c} IS NOT NULL AND trim({c}) = '') AS blank_count, "
-            f"{invalid} AS invalid_count FROM {ds}")
+            f"{invalid} AS invalid_count, CAST(NULL AS BIGINT) AS duplicate_count FROM {ds}")
+
+
+_KEY_SETS = {
+    "pos_transactions_raw": [["transaction_id"]],
+    "pos_items_raw": [["transaction_id", "product_id"]],
+    "ecom_orders_raw": [["order_id"]],
+    "ecom_items_raw": [["order_item_id"], ["order_id", "product_id"]],
+    "inventory_snapshots_raw": [["snapshot_date", "store_id", "product_id"]],
+    "returns_raw": [["return_id"], ["transaction_id", "product_id", "return_date"]],
+    "products_raw": [["product_id"], ["sku"]],
+    "stores_raw": [["store_id"], ["store_name"]],
+}
+
+
+def _key_part(ds: str, key: list[str]) -> str:
+    cols = ", ".join(f"NULLIF(trim({c}), '') AS {c}" for c in key)
+    null, blank = " OR ".join(f"{c} IS NULL" for c in key), " OR ".join(f"trim({c}) = ''" for c in key)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in key)
+    return (f"SELECT '{ds}' AS table_name, '{', '.join(key)}' AS column_name, (SELECT count(*) FROM {ds}) AS total_rows, "
+            f"(SELECT count(*) FROM {ds} WHERE {null}) AS null_count, (SELECT count(*) FROM {ds} WHERE NOT ({null}) AND ({blank})) AS blank_count, "
+            f"CAST(0 AS BIGINT) AS invalid_count, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_count "
+            f"FROM (SELECT count(*) AS n FROM (SELECT {cols} FROM {ds}) k WHERE {known} GROUP BY {', '.join(key)} HAVING count(*) > 1) g")
 
 
-q("dq_profile", _RAW, _union([_profile_part(ds, c) for ds, cols in RAW_COLUMNS.items() for c in cols]))
+# A key's row stands beside its columns' rows; a key of one column is told by its duplicate_count.
+q("dq_profile", _RAW, _union(
+    [_profile_part(ds, c) for ds, cols in RAW_COLUMNS.items() for c in cols]
+    + [_key_part(ds, key) for ds, keys in _KEY_SETS.items() for key in keys]))
 
 _FLAGS = {
     "pos_transactions": ["is_bad_date", "is_bad_store", "is_bad_total", "is_duplicate"],
@@ -733,7 +756,7 @@ LEFT JOIN (SELECT transaction_id AS order_id, sum(quantity) AS units FROM fact_s
 GROUP BY o.channel, o.traffic_source""")
 
 q("stream_land_raw", _RAW, _union([
-    f"SELECT '{ds}' AS table_name, '{SOURCE_FILES[ds]}' AS source_file, count(*) AS row_count FROM {ds}"
+    f"SELECT '{ds}' AS table_name, '{SOURCE_FILES[ds]}' AS source_file, count(*) AS row_count, {malformed_count(ds)} AS rejected_count FROM {ds}"
     for ds in _RAW
 ]))
 

@@ -85,10 +85,47 @@ def record_counts(raw: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+# The keys of each raw table whose repeats the profile counts.
+KEY_SETS: dict[str, list[list[str]]] = {
+    "pos_transactions_raw": [["transaction_id"]],
+    "pos_items_raw": [["transaction_id", "product_id"]],
+    "ecom_orders_raw": [["order_id"]],
+    "ecom_items_raw": [["order_item_id"], ["order_id", "product_id"]],
+    "inventory_snapshots_raw": [["snapshot_date", "store_id", "product_id"]],
+    "returns_raw": [["return_id"], ["transaction_id", "product_id", "return_date"]],
+    "products_raw": [["product_id"], ["sku"]],
+    "stores_raw": [["store_id"], ["store_name"]],
+}
+
+
+def duplicate_counts(df: DataFrame, key_sets: list[list[str]]) -> DataFrame:
+    """(key_set, duplicate_count): rows whose key another row has, for several
+    keys in one pass. Parts are trimmed; a key with an empty part is none.
+
+    Each row gives one short row (key, hash of its value) a key. Counts of
+    those are added up before the shuffle, which a hot value does not skew;
+    hashes that occur once are done with. Only the rows behind the others are
+    then counted by their values, so that a chance repeat of a hash counts
+    for nothing.
+    """
+    part = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    entries = [F.struct(F.lit(i).alias("key_set"), F.array(*[part(c) for c in key]).alias("parts")) for i, key in enumerate(key_sets)]
+    rows = df.select(F.inline(F.array(*[
+        F.struct(e["key_set"].alias("key_set"), F.to_json(e["parts"]).alias("value"),
+                 F.when(~F.exists(e["parts"], lambda x: x.isNull()), F.xxhash64(e["parts"])).alias("hash")) for e in entries])))
+    rows = rows.filter(F.col("hash").isNotNull())
+    again = rows.groupBy("key_set", "hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key_set", "hash")
+    values = rows.join(again, ["key_set", "hash"], "left_semi").groupBy("key_set", "value").agg(F.count(F.lit(1)).alias("_n"))
+    return values.filter("_n > 1").groupBy("key_set").agg(F.sum("_n").alias("duplicate_count"))
+
+
 def dq_profile(raw: dict[str, DataFrame]) -> DataFrame:
     """Per raw column: NULLs, blanks, and non-blank values that fail the
-    conversion to the column's target type. One scan per table."""
+    conversion to the column's target type, in one scan per table. Per key of
+    a table: rows with a NULL or else blank part, and rows whose key repeats
+    (``duplicate_count``, which is NULL in the rows of columns)."""
     frames = []
+    names = ["table_name", "column_name", "total_rows", "null_count", "blank_count", "invalid_count"]
     for ds, cols in RAW_COLUMNS.items():
         df = raw[ds]
         aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -101,14 +138,23 @@ def dq_profile(raw: dict[str, DataFrame]) -> DataFrame:
             if kind:
                 bad = x.isNotNull() & ~blank & _CONVERTERS[kind](x).isNull()
                 aggs.append(F.count_if(bad).alias(f"{c}__invalid"))
+        for i, key in enumerate(KEY_SETS[ds]):
+            null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
+            blank = reduce(lambda a, b: a | b, [F.trim(c) == "" for c in key])
+            aggs += [F.count_if(null).alias(f"_key{i}__null"), F.count_if(~null & blank).alias(f"_key{i}__blank")]
         one = df.agg(*aggs)
+        none = F.lit(0).cast("bigint")
         entries = [
             (ds, c, F.col("_rows"), F.col(f"{c}__null"), F.col(f"{c}__blank"),
-             F.col(f"{c}__invalid") if TARGET_TYPES[ds].get(c) else F.lit(0).cast("bigint"))
+             F.col(f"{c}__invalid") if TARGET_TYPES[ds].get(c) else none, F.lit(None).cast("int"))
             for c in cols
+        ] + [
+            (ds, ", ".join(key), F.col("_rows"), F.col(f"_key{i}__null"), F.col(f"_key{i}__blank"), none, F.lit(i))
+            for i, key in enumerate(KEY_SETS[ds])
         ]
-        frames.append(_long(one, entries, ["table_name", "column_name", "total_rows", "null_count",
-                                           "blank_count", "invalid_count"]))
+        rows = _long(one, entries, [*names, "key_set"]).join(duplicate_counts(df, KEY_SETS[ds]), "key_set", "left")
+        count = F.when(F.col("key_set").isNotNull(), F.coalesce("duplicate_count", none))
+        frames.append(rows.select(*names, count.alias("duplicate_count")))
     return _union(frames)
 
 

@@ -8,6 +8,7 @@ detail) and leave out load timestamps.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans import views
 from ledgerlake.plans.warehouse import SILVER_TABLES, Warehouse
+from ledgerlake.sources.schemas import RAW_COLUMNS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -89,68 +91,76 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- ingestion
-def _landed_extracts(w: Warehouse) -> dict[str, DataFrame]:
-    """Write the raw frames as CSV extracts to the shared folder, then load
-    them back through the loader (what a scheduled drop goes through)."""
-    import uuid
-
+def _drop_of(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the eight CSV extracts, malformed lines and all (what a
+    scheduled drop brings)."""
     from ledgerlake.session import scratch_path
+    from ledgerlake.sources import csv_loader, testdata
+
+    base = scratch_path(spark, f"extracts-{uuid.uuid4().hex[:12]}")
+    csv_loader.write_extracts(testdata.raw_frames(spark, sf_dir, with_lineage=False), base)
+    testdata.write_malformed(spark, sf_dir, base)
+    return base
+
+
+def _stored(spark: SparkSession, sf_dir: str):
+    """(store, counts) of the extracts loaded into stored raw tables."""
     from ledgerlake.sources import csv_loader
+    from ledgerlake.sources.stored import TableStore
 
-    base = scratch_path(w.spark, f"extracts-{uuid.uuid4().hex[:12]}")
-    csv_loader.write_extracts(w.raw_datasets, base)
-    return csv_loader.load_all_raw(w.spark, base, with_lineage=True)
+    base = _drop_of(spark, sf_dir)
+    store = TableStore(spark, f"{base}-store")
+    return store, csv_loader.replace_raw(store, base)
 
 
-def _load_raw_csv(w: Warehouse) -> DataFrame:
+def _load_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest extract, loaded twice: the second load replaces the first."""
     from ledgerlake.sources import csv_loader
-    from ledgerlake.session import scratch_path
-    import uuid
+    from ledgerlake.sources.stored import TableStore
 
-    base = scratch_path(w.spark, f"extracts-{uuid.uuid4().hex[:12]}")
-    paths = csv_loader.write_extracts({"stores_raw": w.raw("stores_raw")}, base)
-    return csv_loader.load_raw_csv(w.spark, "stores_raw", paths["stores_raw"])
+    base = _drop_of(spark, sf_dir)
+    store = TableStore(spark, f"{base}-store")
+    for _ in range(2):
+        csv_loader.replace_raw(store, base, ["pos_items_raw"])
+    return csv_loader.stored_raw(store, "pos_items_raw").select(*RAW_COLUMNS["pos_items_raw"])
 
 
-def _load_all_raw(w: Warehouse) -> DataFrame:
-    from ledgerlake.sources.schemas import RAW_COLUMNS
+def _load_all_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per stored raw table: its rows, empty cells, and the lines that were rejected."""
+    from ledgerlake.sources import csv_loader
 
-    loaded = _landed_extracts(w)
-    frames = []
+    store, _ = _stored(spark, sf_dir)
+    out = None
     for ds, cols in RAW_COLUMNS.items():
         nulls = sum((F.col(c).isNull().cast("bigint") for c in cols), F.lit(0).cast("bigint"))
-        frames.append(loaded[ds].agg(
-            F.count(F.lit(1)).alias("record_count"), F.sum(nulls).cast("bigint").alias("null_cells")
-        ).select(F.lit(ds).alias("table_name"), "record_count", "null_cells"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        g = csv_loader.stored_raw(store, ds).agg(F.count(F.lit(1)).alias("record_count"), F.sum(nulls).cast("bigint").alias("null_cells"))
+        lost = csv_loader.stored_rejects(store, ds).agg(F.count("record")).scalar()
+        g = g.select(F.lit(ds).alias("table_name"), "record_count", "null_cells", lost.alias("rejected_count"))
+        out = g if out is None else out.unionByName(g)
     return out
 
 
-def _lineage_enrich(w: Warehouse) -> DataFrame:
-    from ledgerlake.sources.schemas import RAW_COLUMNS
+def _lineage_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.sources import csv_loader
 
-    loaded = _landed_extracts(w)
+    store, _ = _stored(spark, sf_dir)
     out = None
     for ds in RAW_COLUMNS:
-        g = loaded[ds].groupBy(F.lit(ds).alias("table_name"), "source_file").agg(
+        g = csv_loader.stored_raw(store, ds).groupBy(F.lit(ds).alias("table_name"), "source_file").agg(
             F.count(F.lit(1)).alias("row_count"), F.count("load_timestamp").alias("stamped_rows")
         )
         out = g if out is None else out.unionByName(g)
     return out
 
 
-register("load_raw_csv", _load_raw_csv)
-register("load_all_raw", _load_all_raw)
-register("lineage_enrich", _lineage_enrich)
+REGISTRY["load_raw_csv"] = _load_raw_csv
+REGISTRY["load_all_raw"] = _load_all_raw
+REGISTRY["lineage_enrich"] = _lineage_enrich
 
 
 def _full_refresh_write(w: Warehouse) -> DataFrame:
     """Materialise Silver and Gold twice into the same folder (overwrite):
     the second run must leave the same tables and row counts."""
-    import uuid
-
     from ledgerlake.plans.warehouse import GOLD_TABLES
     from ledgerlake.session import scratch_path
 
@@ -173,10 +183,20 @@ def _full_refresh_write(w: Warehouse) -> DataFrame:
 
 
 def _publish_views(w: Warehouse) -> DataFrame:
-    names = views.publish_views(w, prefix="")
+    """Publish the nine views over the written Gold tables and count their
+    rows in another session."""
+    from ledgerlake.plans import published
+    from ledgerlake.plans.warehouse import GOLD_TABLES
+    from ledgerlake.session import scratch_path
+
+    name = f"warehouse_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(w.spark, name)
+    written = w.materialize(path)
+    names = published.publish(w.spark, path, name, {t: written.gold(t) for t in GOLD_TABLES})
+    other = w.spark.newSession()
     out = None
     for n in names:
-        g = w.spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(
+        g = other.table(f"{name}.{n}").agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(n).alias("view_name"), "row_count")
         out = g if out is None else out.unionByName(g)
     return out
@@ -254,29 +274,26 @@ for _k, _fn in questions.QUESTIONS.items():
 
 
 # ----------------------------------------------------------------- streaming
-def _stream_land_raw(w: Warehouse) -> DataFrame:
+def _stream_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the extracts through the streaming bronze loader (twice: the
-    second availableNow run must land nothing new), then count per table."""
-    import uuid
-
-    from ledgerlake.session import scratch_path
-    from ledgerlake.sources import csv_loader
-    from ledgerlake.sources.schemas import RAW_COLUMNS
+    second availableNow run must land nothing new), then count the accepted
+    and the rejected lines per table."""
     from ledgerlake.streaming import landing
 
-    base = scratch_path(w.spark, f"stream-{uuid.uuid4().hex[:12]}")
-    csv_loader.write_extracts(w.raw_datasets, f"{base}/landing")
+    base = _drop_of(spark, sf_dir)
     for _ in range(2):
-        landing.land_all(w.spark, f"{base}/landing", f"{base}/bronze", f"{base}/ckpt")
+        landing.land_all(spark, base, f"{base}-bronze", f"{base}-ckpt")
     out = None
     for ds in RAW_COLUMNS:
-        g = landing.read_bronze(w.spark, f"{base}/bronze", ds).groupBy(
+        g = landing.read_bronze(spark, f"{base}-bronze", ds).groupBy(
             F.lit(ds).alias("table_name"), "source_file").agg(F.count(F.lit(1)).alias("row_count"))
+        lost = landing.read_rejects(spark, f"{base}-bronze", ds).agg(F.count("record")).scalar()
+        g = g.select("*", lost.alias("rejected_count"))
         out = g if out is None else out.unionByName(g)
     return out
 
 
-register("stream_land_raw", _stream_land_raw)
+REGISTRY["stream_land_raw"] = _stream_land_raw
 
 
 # ----------------------------------------------------------------- dedup marker

@@ -46,17 +46,22 @@ CSV_READ_OPTIONS = {
 CORRUPT = "_corrupt_record"
 
 
-def _read(spark: SparkSession, dataset: str, path: str) -> DataFrame:
-    """Every record; one with too many or too few fields, or with unbalanced
-    quotes, has its text in ``_corrupt_record``."""
-    reader = spark.read.schema(T.StructType([*raw_schema(dataset).fields, T.StructField(CORRUPT, T.StringType())]))
+def record_reader(reader, dataset: str):
+    """A batch or stream reader set to parse every record of an extract; one
+    with too many or too few fields, or with unbalanced quotes, has its text
+    in ``_corrupt_record``."""
+    reader = reader.schema(T.StructType([*raw_schema(dataset).fields, T.StructField(CORRUPT, T.StringType())]))
     for k, v in CSV_READ_OPTIONS.items():
         reader = reader.option(k, v)
     # Every field is parsed, whatever a query selects, so that a record is
     # judged as a whole.
     reader = reader.option("columnPruning", "false")
     # A file whose header names other columns, or in another order, is an error.
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "false").csv(path)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "false")
+
+
+def _read(spark: SparkSession, dataset: str, path: str) -> DataFrame:
+    return record_reader(spark.read, dataset).csv(path)
 
 
 def _fields(dataset: str):
@@ -98,7 +103,7 @@ def judged(records: DataFrame) -> DataFrame:
     """Parsed records with lineage, ``record`` (the text of a malformed one)
     and ``outcome``: every line of the extract, accepted or rejected."""
     out = lineage_enrich(records)
-    outcome = F.when(F.col(CORRUPT).isNull(), ACCEPTED).otherwise(REJECTED)
+    outcome = F.when(F.col("record").isNull(), ACCEPTED).otherwise(REJECTED)
     return out.withColumnRenamed(CORRUPT, "record").withColumn("outcome", outcome)
 
 

@@ -248,7 +248,8 @@ def _columns(dataset: str, instead: dict | None = None) -> list:
 
 def _with_header(batches, header: str):
     yield pa.RecordBatch.from_pydict({"value": [header]})
-    yield from batches
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
 
 
 def write_malformed(spark: SparkSession, sf_dir: str, base_path: str) -> None:
