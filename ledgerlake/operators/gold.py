@@ -14,7 +14,12 @@ Join strategy
 
 Surrogate keys are deterministic 64-bit hashes of the row's business
 content (no global sort, no single-partition window): the same input in
-any order yields the same keys. The grain audits check their uniqueness.
+any order yields the same keys. A materialised warehouse gives dimensions
+lasting numbers instead (``identity``). The grain audits check that both
+are unique.
+
+``unmatched`` has the valid rows that the inner joins of a fact drop, with
+the reason; ``valid`` says which rows a load takes at all.
 """
 
 from __future__ import annotations
@@ -83,6 +88,53 @@ def _money(expr) -> F.Column:
     return F.round(expr, 2).try_cast("decimal(12,2)")
 
 
+# The flags that keep a Silver row out of what it feeds.
+BLOCKING_FLAGS = {
+    "pos_transactions": ["is_bad_date", "is_bad_total", "is_bad_store"],
+    "pos_items": ["is_bad_qty", "is_bad_price", "is_line_total_mismatch"],
+    "ecom_orders": ["is_bad_date", "is_bad_total"],
+    "ecom_items": ["is_bad_qty", "is_bad_price", "is_line_total_mismatch"],
+    "inventory_snapshots": ["is_bad_date", "is_bad_store"],
+    "returns": ["is_bad_return_date", "is_bad_qty", "is_bad_refund"],
+    "products": [],
+    "stores": [],
+}
+
+
+def valid(table: str) -> F.Column:
+    """Whether a Silver row is taken: not a duplicate, and none of the flags that keep it out."""
+    cond = F.col("is_duplicate") == 0
+    for flag in BLOCKING_FLAGS[table]:
+        cond = cond & (F.col(flag) == 0)
+    return cond
+
+
+def unmatched(table: str, silver: dict[str, DataFrame], dp: DataFrame, ds: DataFrame, dd: DataFrame) -> DataFrame:
+    """Valid Silver rows that do not reach their fact, with ``reject_reason``:
+    the key that a dimension, or the loaded headers, lack."""
+    rows = silver[table].filter(valid(table))
+    days = {"pos_transactions": "transaction_timestamp", "ecom_orders": "order_timestamp",
+            "inventory_snapshots": "snapshot_date", "returns": "return_date"}
+    known = []  # (what, value in the row, frame with the known values in _key)
+    if table in days:
+        known.append(("date", F.to_date(days[table]), F.broadcast(dd.select(F.col("full_date").alias("_key")))))
+    if table in ("pos_transactions", "inventory_snapshots"):
+        known.append(("store_id", F.col("store_id"), ds.select(F.col("store_id").alias("_key"))))
+    if table in ("pos_items", "ecom_items", "inventory_snapshots", "returns"):
+        known.append(("product_id", F.col("product_id"), dp.select(F.col("product_id").alias("_key")).distinct()))
+    if table == "pos_items":
+        known.append(("transaction_id", F.col("transaction_id"), pos_headers(silver["pos_transactions"], ds, dd).select(F.col("transaction_id").alias("_key"))))
+    if table == "ecom_items":
+        known.append(("order_id", F.col("order_id"), ecom_headers(silver["ecom_orders"], dd).select(F.col("order_id").alias("_key"))))
+    reasons = []
+    for i, (what, value, frame) in enumerate(known):
+        frame = frame.withColumnRenamed("_key", f"_key{i}")
+        rows = rows.join(frame, value == F.col(f"_key{i}"), "left")
+        reasons.append(F.when(F.col(f"_key{i}").isNull(), F.lit(f"{what} NOT FOUND")))
+    reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
+    return rows.withColumn("reject_reason", reason).drop(*[f"_key{i}" for i in range(len(known))]).filter("reject_reason != ''")
+
+
 def pos_headers(pt: DataFrame, ds: DataFrame, dd: DataFrame) -> DataFrame:
     """Valid POS headers with store and date keys attached."""
     h = pt.filter(

@@ -264,21 +264,40 @@ def silver_key_audit(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -
     return _union(frames)
 
 
-def load_reconcile(raw: dict[str, DataFrame], silver: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
-    """Control totals, a row per source: raw rows, rows refused by a NOT NULL
-    column, Silver rows, rows marked duplicate, and rows in the dimension or
-    fact that the source feeds. raw = refused + silver; what lies between
-    silver and loaded is flagged, duplicate, or without its dimension
-    (``silver_key_audit`` says which)."""
-    frames = []
-    rows = lambda df, c, *more: df.agg(F.count(F.lit(1)).alias(c), *more)
-    for table in silver:
-        one = rows(raw[table], "raw_rows").select("raw_rows", rows(quarantined(raw[table], table), "n").scalar().alias("refused_rows"))
-        clean = rows(silver[table], "n", F.coalesce(F.sum("is_duplicate"), F.lit(0)).cast("bigint").alias("d"))
-        one = one.select("*", clean.select("n").scalar().alias("silver_rows"), clean.select("d").scalar().alias("duplicate_rows"),
-                         rows(loaded[table], "n").scalar().alias("loaded_rows"))
-        frames.append(one.select(F.lit(table).alias("table_name"), "*"))
-    return _union(frames)
+# What each Silver table feeds, and which rows of it.
+FEEDS = {
+    "pos_transactions": ("fact_pos_transactions", None), "ecom_orders": ("fact_ecom_orders", None),
+    "pos_items": ("fact_sales_items", "source_system = 'POS'"), "ecom_items": ("fact_sales_items", "source_system = 'ECOM'"),
+    "inventory_snapshots": ("fact_inventory_snapshots", None), "returns": ("fact_returns", None),
+    "products": ("dim_product", None), "stores": ("dim_store", None),
+}
+
+
+def load_reconcile(spark, lines: dict[str, dict], totals: dict, gold: dict[str, DataFrame]) -> DataFrame:
+    """Control totals, a row per source: where every line of its extract went.
+
+    ``lines`` are the counts of the raw load (``replace_raw``), ``totals`` those
+    of ``Warehouse.materialize``, ``gold`` the written tables. A line is
+    rejected (malformed), refused (a NOT NULL column is empty), duplicate,
+    flagged (valid in form, but a flag keeps it out), unmatched (no dimension
+    row, or no loaded header) or loaded; ``difference`` is what these six leave
+    unexplained. A return whose header repeats is loaded once and counted once.
+    """
+    out = []
+    for table, (target, rows) in FEEDS.items():
+        raw, clean = lines[f"{table}_raw"], totals["silver", table]
+        flagged = clean["rows"] - clean["duplicates"] - clean["valid"]
+        if rows is not None:
+            loaded = gold[target].filter(rows).count()
+        elif table == "returns":
+            loaded = gold[target].agg(F.count_distinct("return_id")).first()[0]
+        else:
+            loaded = totals["gold", target]["rows"]
+        parts = [raw["rejected_rows"], totals["quarantine", table]["rows"], clean["duplicates"], flagged,
+                 totals["unmatched", table]["rows"], loaded]
+        out.append((table, raw["lines"], *parts, raw["lines"] - sum(parts)))
+    names = ["raw_lines", "rejected_rows", "refused_rows", "duplicate_rows", "flagged_rows", "unmatched_rows", "loaded_rows", "difference"]
+    return spark.createDataFrame(out, "table_name string, " + ", ".join(f"{n} long" for n in names))
 
 
 def fk_audit(tables: dict[str, DataFrame]) -> DataFrame:

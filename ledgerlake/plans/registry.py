@@ -229,21 +229,53 @@ def _fk_audit(w: Warehouse) -> DataFrame:
     return quality.fk_audit(gold).unionByName(quality.silver_key_audit(silver, gold))
 
 
-def _load_reconcile(w: Warehouse) -> DataFrame:
+def _load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts -> stored raw tables -> Silver -> Gold, each write counting."""
     from ledgerlake.operators.silver import RAW_OF
+    from ledgerlake.plans.warehouse import GOLD_TABLES
+    from ledgerlake.sources import csv_loader
+
+    store, lines = _stored(spark, sf_dir)
+    raw = {ds: csv_loader.stored_raw(store, ds) for ds in RAW_OF.values()}
+    totals: dict = {}
+    written = Warehouse.from_raw(spark, raw, _gold.TESTDATA_DATE_RANGE).materialize(totals=totals)
+    return quality.load_reconcile(spark, lines, totals, {t: written.gold(t) for t in GOLD_TABLES})
+
+
+def _dim_identities(w: Warehouse) -> DataFrame:
+    """Two loads of the dimensions: the second brings every tenth product for
+    the first time and other costs for the rest. Keys of the first are kept."""
+    from ledgerlake.operators import identity
+    from ledgerlake.operators.silver import clean_products, clean_stores
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources.stored import TableStore
 
-    lines = w.fact_sales_items()
-    loaded = {
-        "pos_transactions": w.fact_pos_transactions(), "ecom_orders": w.fact_ecom_orders(),
-        "pos_items": lines.filter("source_system = 'POS'"), "ecom_items": lines.filter("source_system = 'ECOM'"),
-        "inventory_snapshots": w.fact_inventory_snapshots(), "returns": w.fact_returns(),
-        "products": w.dim_product(), "stores": w.dim_store(),
+    store = TableStore(w.spark, scratch_path(w.spark, f"keys-{uuid.uuid4().hex[:12]}"))
+    products = w.raw("products_raw")
+    later = F.col("product_id").try_cast("bigint") % 10 == 3
+    raised = products.withColumn("cost", F.coalesce(F.col("cost").try_cast("decimal(12,2)") + 1, F.lit(0)).cast("string"))
+    loads = {
+        "dim_product": ("product_id", _gold.dim_product, [clean_products(products.filter(~later)), clean_products(raised)]),
+        "dim_store": ("store_id", _gold.dim_store, [clean_stores(w.raw("stores_raw"))] * 2),
     }
-    return quality.load_reconcile({t: w.raw(RAW_OF[t]) for t in SILVER_TABLES}, {t: w.silver(t) for t in SILVER_TABLES}, loaded)
+    out = None
+    for name, (natural, build, frames) in loads.items():
+        sk = f"{name[4:]}_sk"
+        first, second = (identity.with_identities(store, name, build(f), natural, sk).select(natural, sk) for f in frames)
+        before = first.select(F.col(natural).alias("_id"), F.col(sk).alias("_old"))
+        both = second.join(before, F.col(natural) == F.col("_id"), "left")
+        g = both.agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("_old") == F.col(sk)).alias("kept_keys"),
+            F.count_if(F.col("_old").isNull()).alias("new_keys"), F.min(sk).alias("least_key"),
+            F.max(sk).alias("greatest_key"), F.count_distinct(sk).alias("distinct_keys"),
+        ).select(F.lit(name).alias("table_name"), "*")
+        out = g if out is None else out.unionByName(g)
+    return out
 
 
+register("dim_identities", _dim_identities)
 register("fk_audit", _fk_audit)
-register("load_reconcile", _load_reconcile)
+REGISTRY["load_reconcile"] = _load_reconcile
 register("grain_audit_facts", lambda w: quality.grain_audit(_gold_tables(w), quality.FACT_GRAINS))
 register("grain_audit_dims", lambda w: quality.grain_audit(_gold_tables(w), quality.DIM_GRAINS).unionByName(
     quality.grain_audit(_gold_tables(w), quality.DIM_KEYS)))

@@ -14,12 +14,13 @@ import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import gold, quality, silver
+from ledgerlake.operators import gold, identity, quality, silver
 from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import testdata
+from ledgerlake.sources.stored import TableStore
 
 SILVER_TABLES = list(silver.CLEANERS)
 GOLD_TABLES = [
@@ -27,6 +28,8 @@ GOLD_TABLES = [
     "fact_pos_transactions", "fact_ecom_orders", "fact_sales_items",
     "fact_returns", "fact_inventory_snapshots",
 ]
+# Natural keys of the dimensions that get lasting numbers.
+DIM_NATURAL = {"dim_product": "product_id", "dim_store": "store_id"}
 # Fact tables are written partitioned by calendar month (yyyyMM, derived
 # from the yyyyMMdd date key) when materialised: month filters prune
 # folders, and a month is a large enough unit at any scale.
@@ -106,6 +109,11 @@ class Warehouse:
         ``reject_reason``."""
         return self._get(f"quarantine_{table}", lambda: quality.quarantined(self.raw(silver.RAW_OF[table]), table))
 
+    def unmatched(self, table: str) -> DataFrame:
+        """The valid Silver rows that no fact takes, with ``reject_reason``."""
+        return gold.unmatched(table, {t: self.silver(t) for t in (table, "pos_transactions", "ecom_orders")},
+                              self.dim_product(), self.dim_store(), self.dim_date())
+
     def dim_date(self) -> DataFrame:
         return self._get("dim_date", lambda: gold.dim_date(self.spark, *self.date_range))
 
@@ -157,10 +165,17 @@ class Warehouse:
         return getattr(self, table)()
 
     # ------------------------------------------------------------ materialise
-    def materialize(self, path: str | None = None, include_bronze: bool = False, parallel: int = 8) -> "Warehouse":
+    def materialize(self, path: str | None = None, include_bronze: bool = False, parallel: int = 8,
+                    totals: dict | None = None) -> "Warehouse":
         """Write Silver and Gold (and optionally Bronze) as Parquet; return a
         warehouse that reads the written tables. Overwrite mode: re-running
-        gives the same content (idempotent full refresh).
+        gives the same content (idempotent full refresh). Product and store
+        keys are numbers that a later run into the same folder keeps.
+
+        ``totals``, if given, gets the rows that each write counted (layer and
+        table -> counts), and the valid rows that no fact takes are written as
+        well. The counts are observed in the last stage of each write, where a
+        repeated task counts once.
 
         Independent tables of a layer are submitted as concurrent Spark jobs
         (silver tables; then dimensions; then facts), so the scheduler
@@ -169,6 +184,17 @@ class Warehouse:
         if path is None:
             path = os.path.join(checkpoint_dir(self.spark), f"warehouse-{uuid.uuid4().hex[:12]}")
 
+        seen: dict = {}
+
+        def watched(df: DataFrame, what: tuple[str, str], *more) -> DataFrame:
+            if totals is None:
+                return df
+            seen[what] = Observation()
+            return df.observe(seen[what], F.count(F.lit(1)).alias("rows"), *more)
+
+        def silver_counts(n: str) -> list:
+            return [F.count_if(F.col("is_duplicate") == 1).alias("duplicates"), F.count_if(gold.valid(n)).alias("valid")]
+
         def run_all(jobs):
             with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
                 for f in [pool.submit(j) for j in jobs]:
@@ -191,12 +217,14 @@ class Warehouse:
         for ds in source._raw if include_bronze else ():
             schemas[ds] = source.raw(ds).schema
         run_all([
-            (lambda n=n: source.silver(n).write.mode("overwrite").parquet(os.path.join(path, "silver", n)))
+            (lambda n=n: watched(source.silver(n), ("silver", n), *silver_counts(n)).write.mode("overwrite").parquet(
+                os.path.join(path, "silver", n)))
             for n in SILVER_TABLES
         ] + [
             # Rows that a NOT NULL column keeps out of Silver, with the reason:
             # Silver and quarantine together are every raw row.
-            (lambda n=n: source.quarantine(n).write.mode("overwrite").parquet(os.path.join(path, "quarantine", n)))
+            (lambda n=n: watched(source.quarantine(n), ("quarantine", n)).write.mode("overwrite").parquet(
+                os.path.join(path, "quarantine", n)))
             for n in SILVER_TABLES if silver.RAW_OF[n] in source._raw
         ])
         # Gold builds from the written Silver layer (lineage cut there).
@@ -206,8 +234,15 @@ class Warehouse:
         })
         dims = [n for n in GOLD_TABLES if n.startswith("dim_")]
         facts = [n for n in GOLD_TABLES if n.startswith("fact_")]
-        run_all([(lambda n=n: written.gold(n).write.mode("overwrite").parquet(os.path.join(path, "gold", n)))
-                 for n in dims])
+        keys = TableStore(self.spark, os.path.join(path, "keys"))
+
+        def write_dim(n: str) -> None:
+            df = written.gold(n)
+            if n in DIM_NATURAL:
+                df = identity.with_identities(keys, n, df, DIM_NATURAL[n], f"{n[4:]}_sk")
+            watched(df, ("gold", n)).write.mode("overwrite").parquet(os.path.join(path, "gold", n))
+
+        run_all([(lambda n=n: write_dim(n)) for n in dims])
         for n in dims:
             schemas[n] = written.gold(n).schema
             written._memo[n] = self.spark.read.schema(schemas[n]).parquet(os.path.join(path, "gold", n))
@@ -219,8 +254,14 @@ class Warehouse:
             # ones. No sampling pass, so the joins run once.
             df = written.gold(n).withColumn(FACT_PARTITION, (F.col("date_sk") / 100).cast("int"))
             schemas[n] = df.schema
-            df.hint("rebalance", FACT_PARTITION).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(
+            watched(df.hint("rebalance", FACT_PARTITION), ("gold", n)).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(
                 os.path.join(path, "gold", n))
 
-        run_all([(lambda n=n: write_fact(n)) for n in facts])
+        run_all([(lambda n=n: write_fact(n)) for n in facts] + [
+            (lambda n=n: watched(written.unmatched(n), ("unmatched", n)).write.mode("overwrite").parquet(
+                os.path.join(path, "unmatched", n)))
+            for n in (SILVER_TABLES if totals is not None else [])
+        ])
+        if totals is not None:
+            totals.update({what: dict(s.get) for what, s in seen.items()})
         return Warehouse.from_parquet(self.spark, path, self.date_range, schemas, list(self._raw) if include_bronze else [])
