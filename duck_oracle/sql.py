@@ -456,6 +456,45 @@ FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY store_name, st
       FROM s_stores_typed WHERE store_id IS NOT NULL) t
 WHERE rn = 1""")
 
+# table: typed rows, key, columns by which rows of one load time are ordered, newer, older, changed column.
+_MERGE = {
+    "pos_transactions": ("s_pos_tx_typed", ["transaction_id"], "store_id % 3 = 1", "store_id % 3 = 2", "total_amount", "total_amount + 1", "total_amount"),
+    "pos_items": ("s_pos_items_typed", ["transaction_id", "product_id"], "product_id % 5 = 2", "product_id % 5 = 4", "unit_price", "unit_price + 1", "unit_price"),
+    "ecom_orders": ("s_ecom_orders_typed", ["order_id"], "length(order_id) % 2 = 0", "length(order_id) % 2 = 1", "total_amount", "total_amount + 1", "total_amount"),
+    "ecom_items": ("s_ecom_items_typed", ["order_item_id"], "product_id % 5 = 2", "product_id % 5 = 4", "unit_price", "unit_price + 1", "unit_price"),
+    "inventory_snapshots": ("s_inventory_typed", ["snapshot_date", "store_id", "product_id"], "product_id % 5 = 2", "product_id % 5 = 4",
+                            "ending_inventory", "ending_inventory + 1", "ending_inventory"),
+    "returns": ("s_returns_typed", ["return_id"], "product_id % 5 = 2", "product_id % 5 = 4", "refund_amount", "refund_amount + 1", "refund_amount"),
+    "stores": ("s_stores_typed", ["store_id"], "store_id % 4 = 1", "store_id % 4 = 2", "region", "region || '!'", "length(region)"),
+}
+# Columns in the order of the rows; of equal load times the row that is largest in them, as text, stays.
+_MERGE_ORDER = {
+    "pos_transactions": "store_id transaction_timestamp cashier_id customer_id payment_method total_amount discount_amount tax_amount",
+    "pos_items": "quantity unit_price line_total calculated_line_total is_bad_qty is_bad_price is_bad_line_total is_line_total_mismatch",
+    "ecom_orders": "customer_id order_timestamp order_status channel device_type traffic_source shipping_cost total_amount discount_amount net_revenue",
+    "ecom_items": "order_id product_id quantity unit_price line_total calculated_line_total is_bad_qty is_bad_price is_bad_line_total is_line_total_mismatch",
+    "inventory_snapshots": "beginning_inventory ending_inventory inventory_value safety_stock stock_status calculated_inventory_delta",
+    "returns": "transaction_id product_id return_date return_reason refund_amount quantity_returned return_channel",
+    "stores": "store_name store_type region address opening_date manager_id",
+}
+
+
+def _merge_part(t: str) -> str:
+    typed, keys, newer, older, column, changed, number = _MERGE[t]
+    kept = " AND ".join(f"{c} IS NOT NULL" for c in _NOT_NULL[t])
+    order = ", ".join(f"CAST({c} AS VARCHAR) DESC NULLS LAST" for c in _MERGE_ORDER[t].split())
+    known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    kind = "VARCHAR" if t == "stores" else ("INTEGER" if t == "inventory_snapshots" else "DECIMAL(12,2)")
+    first = f"SELECT * FROM {typed} WHERE {kept}"
+    again = f"SELECT * REPLACE (CAST({changed} AS {kind}) AS {column})"
+    once = f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY loaded DESC, {order}) AS rn FROM {{}}) w WHERE rn = 1 OR NOT ({known})"
+    return f"""SELECT '{t}' AS table_name, count(*) AS row_count, count(*) FILTER (loaded = 1 AND {known}) AS replaced_keys,
+  CAST(sum({number}) AS DECIMAL(38,2)) AS content
+FROM ({once.format(f"(SELECT *, 0 AS loaded FROM ({first}) a UNION ALL {again}, 1 AS loaded FROM ({first}) b WHERE {newer} UNION ALL {again}, -1 AS loaded FROM ({first}) c WHERE {older}) v")}) x"""
+
+
+q("merge_latest", [v[0] for v in _MERGE.values()], _union([_merge_part(t) for t in _MERGE]))
+
 # ------------------------------------------------------------------ Tier 2 metrics
 cte("headers", ["fact_pos_transactions", "fact_ecom_orders"], """
 SELECT 'POS' AS channel, transaction_id AS order_id, date_sk, net_revenue FROM fact_pos_transactions

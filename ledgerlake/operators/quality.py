@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import convert as cv
-from ledgerlake.operators.silver import NOT_NULL
+from ledgerlake.operators.silver import NOT_NULL, money_fits, raw_money_fits
 from ledgerlake.sources.schemas import RAW_COLUMNS, RECORD_COUNT_LABELS
 
 # Target type of every raw column that the cleaning layer
@@ -171,15 +171,15 @@ def dq_flag_summary(silver_tables: dict[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- quarantine
 def quarantine_split(typed: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """(accepted, quarantined): rows with a NULL in a NOT NULL target column
-    go to the side table with the offending columns named in ``reject_reason``
-    instead of failing the whole load."""
+    """(accepted, quarantined): rows with a NULL in a NOT NULL target column,
+    or an amount too large for its column, go to the side table with the
+    reasons in ``reject_reason`` instead of failing the whole load."""
     reasons = [F.when(F.col(c).isNull(), F.lit(f"{c} IS NULL")) for c in NOT_NULL[table]]
+    reasons.append(F.when(~money_fits(table), F.lit("AMOUNT TOO LARGE")))
     reason = F.concat_ws("; ", *reasons)
-    bad = None
+    bad = ~money_fits(table)
     for c in NOT_NULL[table]:
-        p = F.col(c).isNull()
-        bad = p if bad is None else (bad | p)
+        bad = bad | F.col(c).isNull()
     accepted = typed.filter(~bad)
     rejected = typed.filter(bad).withColumn("reject_reason", reason)
     return accepted, rejected
@@ -194,6 +194,7 @@ def quarantined(raw: DataFrame, table: str) -> DataFrame:
     converted as cleaning converts them."""
     value = lambda c: cv.try_id(c) if c in NUMBER_IDS else cv.trim(c)
     reasons = [F.when(value(c).isNull(), F.lit(f"{c} IS NULL")) for c in NOT_NULL[table]]
+    reasons.append(F.when(~raw_money_fits(table), F.lit("AMOUNT TOO LARGE")))
     reason = F.concat_ws("; ", *reasons)
     return raw.withColumn("reject_reason", reason).filter(F.col("reject_reason") != "")
 

@@ -271,6 +271,44 @@ def _finish(out: DataFrame, table: str) -> DataFrame:
     return out.select(*body, *LINEAGE)
 
 
+MONEY = "decimal(12,2)"
+
+
+def _fits(*amounts) -> F.Column:
+    """Whether the sum of the amounts (NULL as 0) is money of the target type."""
+    total = F.lit(0)
+    for a in amounts:
+        total = total + F.coalesce(a, F.lit(0))
+    return F.round(total, 2).try_cast(MONEY).isNotNull()
+
+
+def money_fits(table: str):
+    """On typed rows: whether each amount derived from them, here and in the
+    facts, fits its column. (The reference fails the load where one does not.)"""
+    if table == "pos_transactions":
+        return _fits(F.col("total_amount"), -F.col("discount_amount"), F.col("tax_amount"))
+    if table == "ecom_orders":
+        core = _fits(F.col("total_amount"), -F.col("discount_amount"), -F.col("shipping_cost"))
+        return F.col("net_revenue").isNotNull() & core
+    if table in ("pos_items", "ecom_items"):
+        return F.col("calculated_line_total").isNotNull()
+    return F.lit(True)
+
+
+def raw_money_fits(table: str):
+    """The same on raw rows."""
+    dec = cv.try_dec
+    part = lambda c: cv.non_negative(dec(c))
+    if table == "pos_transactions":
+        return _fits(part("total_amount"), -part("discount_amount"), part("tax_amount"))
+    if table == "ecom_orders":
+        return _fits(dec("total_amount"), -dec("discount_amount"), dec("shipping_cost")) & _fits(
+            dec("total_amount"), -part("discount_amount"), -part("shipping_cost"))
+    if table in ("pos_items", "ecom_items"):
+        return _fits(cv.try_int("quantity") * dec("unit_price"))
+    return F.lit(True)
+
+
 def not_null_predicate(table: str):
     pred = None
     for c in NOT_NULL[table]:
@@ -280,7 +318,7 @@ def not_null_predicate(table: str):
 
 
 def accepted(df: DataFrame, table: str) -> DataFrame:
-    return df.filter(not_null_predicate(table))
+    return df.filter(not_null_predicate(table) & money_fits(table))
 
 
 CLEANERS = {

@@ -292,6 +292,47 @@ def _dedup_keep_latest(w: Warehouse) -> DataFrame:
 
 register("dedup_keep_latest", _dedup_keep_latest)
 
+# Per table the key, the rows that the next extract brings again
+# (a newer version of the first, an older one of the second), the column that
+# changes in them and how, and a number of a row's content.
+VERSIONS = {
+    "pos_transactions": (["transaction_id"], "store_id % 3 = 1", "store_id % 3 = 2", "total_amount", "total_amount + 1", "total_amount"),
+    "pos_items": (["transaction_id", "product_id"], "product_id % 5 = 2", "product_id % 5 = 4", "unit_price", "unit_price + 1", "unit_price"),
+    "ecom_orders": (["order_id"], "length(order_id) % 2 = 0", "length(order_id) % 2 = 1", "total_amount", "total_amount + 1", "total_amount"),
+    "ecom_items": (["order_item_id"], "product_id % 5 = 2", "product_id % 5 = 4", "unit_price", "unit_price + 1", "unit_price"),
+    "inventory_snapshots": (["snapshot_date", "store_id", "product_id"], "product_id % 5 = 2", "product_id % 5 = 4",
+                            "ending_inventory", "ending_inventory + 1", "ending_inventory"),
+    "returns": (["return_id"], "product_id % 5 = 2", "product_id % 5 = 4", "refund_amount", "refund_amount + 1", "refund_amount"),
+    "stores": (["store_id"], "store_id % 4 = 1", "store_id % 4 = 2", "region", "region || '!'", "length(region)"),
+}
+
+
+def _merge_latest(w: Warehouse) -> DataFrame:
+    """Two extracts merged into each of the seven stored tables: the second
+    holds a newer version of some rows and an older one of others."""
+    from ledgerlake.operators import merge
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources.stored import TableStore
+
+    store = TableStore(w.spark, scratch_path(w.spark, f"merged-{uuid.uuid4().hex[:12]}"))
+    out = None
+    for table, (keys, newer, older, column, changed, number) in VERSIONS.items():
+        first = quality.quarantine_split(w.silver_typed(table), table)[0]
+        at = lambda days: F.lit(f"2024-06-{10 + days:02d}").cast("timestamp_ntz")
+        again = [first.filter(cond).withColumn(column, F.expr(changed).cast(first.schema[column].dataType)).withColumn("load_timestamp", at(d))
+                 for cond, d in ((newer, 1), (older, -1))]
+        first = first.withColumn("load_timestamp", at(0))
+        stored = merge.merge_into(store, table, first)
+        merged = merge.merge_into(store, table, again[0].unionByName(again[1]))
+        replaced = merge.replaced_keys(stored, merged, keys).agg(F.count(F.lit(1))).scalar()
+        g = merged.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.expr(number)).cast("decimal(38,2)").alias("content"))
+        g = g.select(F.lit(table).alias("table_name"), "row_count", replaced.alias("replaced_keys"), "content")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+register("merge_latest", _merge_latest)
+
 # ----------------------------------------------------------------- metrics
 from ledgerlake.plans import metrics  # noqa: E402
 
