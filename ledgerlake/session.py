@@ -64,10 +64,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)  # found again by the next call
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 
