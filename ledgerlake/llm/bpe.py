@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.llm.common import in_slices
+
 #: Fixed value: the scheme's pieces, tried in this order at each position:
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 SHORT_ENDINGS, LONG_ENDINGS = "stmd", ("re", "ve", "ll")
@@ -165,6 +167,11 @@ class Encoder:
         ranks = [r[0] for x, x_end in self.right[a] for y, y_end in self.left[b] if (r := rule((x, y))) and r[0] < x_end and r[0] <= y_end]
         return min(ranks, default=None)
 
+    def forget(self) -> None:
+        """Empty the caches, at the end of a task: the worker goes on with other work."""
+        self.cache.clear()
+        self.fits.clear()
+
     def stands(self, a: int, b: int) -> bool:
         known = self.fits.get(key := a << 32 | b)
         if known is None:
@@ -339,14 +346,13 @@ def _coders(shared) -> tuple[Encoder, Decoder]:
 
 def _encode_batches(batches, shared, rest: list[str]):
     encoder, _ = _coders(shared)
-    for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            part = batch.slice(a, 256)
-            ids = encoder.encode_all([t or "" for t in part.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in rest), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
-                [*rest, "n_tokens", "ids"],
-            )
+    for part in in_slices(batches):
+        ids = encoder.encode_all([t or "" for t in part.column("text").to_pylist()])
+        yield pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in rest), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+            [*rest, "n_tokens", "ids"],
+        )
+    encoder.forget()
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -363,11 +369,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def _decode_batches(batches, shared, rest: list[str]):
     _, decoder = _coders(shared)
-    for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            part = batch.slice(a, 256)
-            texts = [decoder.decode(ids or []) for ids in part.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(texts, pa.string())], [*rest, "decoded"])
+    for part in in_slices(batches):
+        texts = [decoder.decode(ids or []) for ids in part.column("ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(texts, pa.string())], [*rest, "decoded"])
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -382,7 +386,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
 def _digest_batches(batches, shared):
     encoder, decoder = _coders(shared)
     names = {}
-    for batch in (b.slice(a, 256) for b in batches for a in range(0, b.num_rows, 256)):
+    for batch in in_slices(batches):
         count, ids_sha, text_sha = [], [], []
         for ids in encoder.encode_all([t or "" for t in batch.column("text").to_pylist()]):
             count.append(len(ids))
@@ -399,12 +403,14 @@ def _digest_batches(batches, shared):
             [batch.column("doc_id").cast(pa.int64()), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
+    encoder.forget()
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (ids encoded, then decoded again).
 
-    Null text counts as empty: no tokens, digests of the empty string.
+    Null text counts as empty: no tokens, digests of the empty string. Repeated
+    rows each get their row; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

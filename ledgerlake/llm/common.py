@@ -28,6 +28,10 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: The folder of a local session that names none, by application.
+_OWN_FOLDER: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -36,10 +40,12 @@ def shared_folder(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        context = spark.sparkContext
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="ledgerlake-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if context.applicationId not in _OWN_FOLDER:
+            _OWN_FOLDER[context.applicationId] = tempfile.mkdtemp(prefix="ledgerlake-llm-")
+        path = _OWN_FOLDER[context.applicationId]
     return path.rstrip("/")
 
 
@@ -97,6 +103,22 @@ def utf8_parts(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def in_slices(batches, rows: int = 256):
+    """The batches in slices of so many rows: what is made of a slice is small, whatever a batch holds.
+
+    At the end, memory that Arrow keeps for later goes back to the system:
+    Python workers outlive their tasks and share the executor's memory.
+    """
+    import pyarrow as pa
+
+    try:
+        for batch in batches:
+            for first in range(0, batch.num_rows, rows):
+                yield batch.slice(first, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def row_blocks(at: np.ndarray, most: int):
     """Ranges of rows of at most ``most`` bytes together (a longer row stands alone)."""
     first = 0

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import LOWER, SPACES, materialise, packed, unpacked
+from ledgerlake.llm.common import LOWER, SPACES, in_slices, materialise, packed, unpacked
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -52,7 +52,7 @@ _ROW_NAMES = ["h1", "h2", "doc_id", "text_key", "pos", "n_lines"]
 
 
 def _line_batches(batches, min_chars: int):
-    for batch in batches:
+    for batch in in_slices(batches):
         rows = []
         for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
             lines = text.encode().split(b"\n")
@@ -163,7 +163,7 @@ def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def _digests(batches):
-    for batch in batches:
+    for batch in in_slices(batches):
         total, dropped, sha = [], [], []
         for text, n, keep in zip(*(batch.column(c).to_pylist() for c in ("text", "n_dropped", "keep"))):
             total.append(text.count("\n") + 1)
@@ -176,13 +176,17 @@ def _digests(batches):
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_dropped, kept_sha256."""
+    """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept_sha256.
+
+    Null text is one empty line; repeated rows lose the same lines (see
+    ``keep_bitmaps``); an empty table gives no rows.
+    """
     out = with_bitmaps(docs.select("doc_id", "text"))
     return out.mapInArrow(_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def _rewrite(batches):
-    for batch in batches:
+    for batch in in_slices(batches):
         texts = [kept_text(t, k) for t, k in zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("rest")], ["doc_id", "text", "rest"])
 

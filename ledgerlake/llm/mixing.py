@@ -209,13 +209,21 @@ def plan(docs: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
+    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted).
+
+    A null source is a source, the last. Null and empty texts have size 0 and
+    are not taken. Equal rows are taken alike; an empty table gives no rows.
+    """
     rows = plan(docs).withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its copies say, with all its columns."""
+    """``docs`` as the mix takes them: each row as often as its copies say, with all its columns.
+
+    Rows of size 0 (null and empty texts) go; other columns may hold anything,
+    nulls included. An empty table stays empty.
+    """
     aim = plan(docs).where("copies > 0").select(*[F.col(c).alias(f"_{c}") for c in _UNIT], F.col("copies").alias("_copies"))
     rows = packed(docs, "doc_id", "source", "text").withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_text_key"))

@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import GOLDEN, materialise, mix64, packed, row_blocks, unpacked, utf8_parts, word_bounds, word_hashes
+from ledgerlake.llm.common import GOLDEN, in_slices, materialise, mix64, packed, row_blocks, unpacked, utf8_parts, word_bounds, word_hashes
 from ledgerlake.llm.components import components
 
 SLOTS = 64
 ROWS_PER_BAND = 4
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 
 def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int):
@@ -99,7 +99,7 @@ BROADCAST_IDS = 1_000_000
 
 
 def _sketch_batches(batches, width: int):
-    for batch in batches:
+    for batch in in_slices(batches, 1024):
         ids = batch.column("doc_id")
         raw, at = utf8_parts(batch.column("text"))
         for a, b in row_blocks(at, BLOCK_BYTES):
@@ -119,7 +119,7 @@ def _sketch_batches(batches, width: int):
 
 
 def _set_batches(batches, width: int):
-    for batch in batches:
+    for batch in in_slices(batches, 1024):
         raw, at = utf8_parts(batch.column("text"))
         for a, b in row_blocks(at, BLOCK_BYTES):
             hashes, off = shingle_sets(raw[at[a] : at[b]], at[a : b + 1] - at[a], width)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, materialise, mix64, row_blocks, utf8_parts
+from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, in_slices, materialise, mix64, row_blocks, utf8_parts
 
 ORDERS = (4, 5)
 BITS = 20
@@ -32,7 +32,8 @@ FEATURES = 1 << 12
 SAMPLE_ROWS = 4_000
 #: Label rows up to which the labels are sent to the scan instead of shuffling the texts.
 BROADCAST_LABELS = 1_000_000
-_BLOCK = 1 << 21
+#: Bytes of text that are worked on at a time (a longer text stands alone).
+_BLOCK = 1 << 18
 _FOLD = LOWER.copy()
 _FOLD[IS_SPACE] = 0x20
 
@@ -63,9 +64,9 @@ def ngrams(raw: np.ndarray, orders=ORDERS, bits: int = BITS) -> list[np.ndarray]
     return out
 
 
-def _each_doc(batch, orders, bits):
-    """(row, features with repeats) of each row of a batch."""
-    raw, at = utf8_parts(batch.column("text"))
+def _each_doc(texts, orders, bits):
+    """(row, features with repeats) of each of an Arrow column of texts."""
+    raw, at = utf8_parts(texts)
     for a, b in row_blocks(at, _BLOCK):
         grams = ngrams(raw[at[a] : at[b]], orders, bits)
         for row in range(a, b):
@@ -83,9 +84,9 @@ def _count_batches(batches, orders, bits):
     count = np.zeros((2, 1 << bits), np.int32)
     scratch = np.zeros(1 << bits, np.int32)
     docs = [0, 0]
-    for batch in batches:
+    for batch in in_slices(batches, 1024):
         label = batch.column("label").to_pylist()
-        for row, features in _each_doc(batch, orders, bits):
+        for row, features in _each_doc(batch.column("text"), orders, bits):
             count[label[row]][_distinct(features, scratch)] += 1
             docs[label[row]] += 1
     some = np.flatnonzero(count.any(axis=0))
@@ -99,7 +100,7 @@ def _sample_batches(batches, orders, bits, chosen):
     used = chosen.value
     scratch = np.zeros(1 << bits, np.int32)
     for batch in batches:
-        rows = [f[used[f]] for _, f in _each_doc(batch, orders, bits)]
+        rows = [f[used[f]] for _, f in _each_doc(batch.column("text"), orders, bits)]
         rows = [_distinct(f, scratch) for f in rows]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.int32()))], ["label", "features"])
 
@@ -167,9 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, features: int = FEATURES, sample_r
     return Model((w * ratio).astype(np.float32), bias, orders, bits)
 
 
-def _scores(batch, m: Model, scratch: np.ndarray) -> np.ndarray:
-    z = np.full(batch.num_rows, m.bias)
-    for row, features in _each_doc(batch, m.orders, m.bits):
+def _scores(texts, m: Model, scratch: np.ndarray) -> np.ndarray:
+    z = np.full(len(texts), m.bias)
+    for row, features in _each_doc(texts, m.orders, m.bits):
         hit = features[m.weights[features] != 0]
         z[row] += float(m.weights[_distinct(hit, scratch)].sum(dtype=np.float64))
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
@@ -177,20 +178,28 @@ def _scores(batch, m: Model, scratch: np.ndarray) -> np.ndarray:
 
 def _score_batches(batches, model):
     scratch = np.zeros(1 << model.value.bits, np.int32)
-    for batch in batches:
-        yield batch.drop_columns(["text"]).append_column("score", pa.array(_scores(batch, model.value, scratch)))
-
-
-def _clean_batches(batches, model, limit):
-    scratch = np.zeros(1 << model.value.bits, np.int32)
-    for batch in batches:
-        yield batch.filter(pa.array(_scores(batch, model.value, scratch) < limit))
+    for batch in in_slices(batches, 1024):
+        yield batch.drop_columns(["text"]).append_column("score", pa.array(_scores(batch.column("text"), model.value, scratch)))
 
 
 def clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``limit`` or more; all columns stay."""
+    """``docs`` without the rows that score ``limit`` or more; all columns stay.
+
+    Only texts go to Python, and only scores come back. Null text scores as
+    empty; equal texts share their score, so repeated rows stay or go
+    together. Where nothing could be learnt (labels of one kind, or none), no
+    row goes. An empty table stays empty.
+    """
+    if not model.weights.any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(partial(_clean_batches, model=shared, limit=limit), docs.schema)
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        m = shared.value
+        return pa.array(_scores(texts, m, np.zeros(1 << m.bits, np.int32)))
+
+    return docs.where(scored(F.col("text").cast("string")) < limit)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -205,7 +214,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     ``labels`` has doc_id and toxic. Rows with crc32(doc_id) mod 5 = 0 are held
-    out: their labels are never read. Null or empty texts are scored too.
+    out: their labels are never read. Null or empty texts are scored too, and
+    repeated rows each get their row. Without labels of both kinds all texts
+    score the share of toxic ones (0.5 without any); an empty table gives no rows.
     """
     out = held_out(F.col("doc_id"), 5, 0)
     seen = labels.where(~out).select("doc_id", F.col("toxic").alias("label"))

@@ -131,7 +131,11 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive(pages: DataFrame, path: str | None = None, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write ``pages`` and read the archive's index back (a new folder in the shared one by default)."""
+    """Write ``pages`` and read the archive's index back (a new folder in the shared one by default).
+
+    Null html is an empty payload, null urls are written as empty; repeated
+    rows are records of their own; no pages give no rows.
+    """
     spark = pages.sparkSession
     path = path or f"{shared_folder(spark)}/llm/warc-{uuid.uuid4().hex}"
     write(pages, path, min_revisit)

@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlake.llm import mixing, toxicity
@@ -74,3 +76,48 @@ def test_tokens_are_the_library_s(staged):
 def test_run_is_the_stages_in_order(spark, staged):
     _, rows = staged
     assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, rows[5]))
+
+
+def _folder(spark, folder, rows, labels, schema="doc_id long, text string, lang string, source string, n_chars long, score double, rest string, keep string, _key long"):
+    """A table folder; the last columns of the documents have names that the stages use."""
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def _row(i, text, source="s"):
+    return (i, text, None, source, len(text or ""), 0.9, "r", "k", 1)
+
+
+def test_run_with_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    rows = [_row(k, text(60), "a" if k % 3 else None) for k in range(40)]
+    rows += [_row(50, rows[0][1] + " tail"), rows[1], rows[1], _row(60, None), _row(61, ""), _row(None, text(30)), _row(62, "x " * 30_000)]
+    sf = _folder(spark, tmp_path, rows, [(k, 1, 0) for k in range(0, 40, 2)])
+    out = corpus_pipeline.run(spark, sf).collect()
+    texts = {r["doc_id"] for r in out}
+    assert 50 not in texts and {60, 61}.isdisjoint(texts)  # a near copy goes, and texts without words are not taken
+    assert all(r["n_tokens"] == len(r["ids"]) > 0 for r in out)
+    assert texts <= {r[0] for r in rows} and len(texts) > 20
+
+
+def test_run_of_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [], [])).count() == 0
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 0, 0)], [(1, 1, 1)], [(1, None, None), (99, 1, 1)]])
+def test_no_document_goes_where_nothing_can_be_learnt(spark, tmp_path, labels):
+    rows = [_row(k, f"some words of text {k}") for k in range(1, 8)] + [_row(None, None)]
+    sf = _folder(spark, tmp_path, rows, labels)
+    kept = corpus_pipeline.drop_toxic(spark, table(spark, sf, "documents"), sf)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, table(spark, sf, "documents").collect()))
+
+
+def test_cleaning_in_small_blocks_is_the_score(spark, monkeypatch):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(-5).cast("long")))
+    model = toxicity.train(docs, labels)
+    gone = {r["doc_id"] for r in toxicity.score(docs.select("doc_id", "text"), model).collect() if r["score"] >= 0.5}
+    kept = toxicity.clean(docs, model)
+    assert gone and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - gone and kept.columns == docs.columns
