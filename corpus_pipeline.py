@@ -22,7 +22,11 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls toxic go (score of 0.5 or more)."""
+    """Documents that the classifier calls toxic go (score of 0.5 or more).
+
+    Null and empty texts are scored as empty; repeated rows stay or go
+    together. Without labels of both kinds nothing is learnt and nothing goes.
+    """
     labels = table(spark, sf_dir, "labels")
     out = toxicity.held_out(F.col("doc_id"), 5, 0)
     model = toxicity.train(docs.where(~out), labels.where(~out).select("doc_id", F.col("toxic").alias("label")))
@@ -40,12 +44,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; documents without words go. A null source is a source."""
     return mixing.mix(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, source, n_tokens, ids, decoded_sha256) of every document that is left."""
+    """(doc_id, source, n_tokens, ids, decoded_sha256) of every row that is left; null text has no tokens."""
     tokens = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary())
     tokens = bpe.decode(tokens, vocabulary())
     return tokens.select("doc_id", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
