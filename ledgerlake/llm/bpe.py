@@ -383,6 +383,36 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     return tokens.mapInArrow(partial(_decode_batches, shared=shared, rest=rest), schema)
 
 
+def _trip_batches(batches, shared, rest: list[str]):
+    encoder, decoder = _coders(shared)
+    for part in in_slices(batches):
+        ids = encoder.encode_all([t or "" for t in part.column("text").to_pylist()])
+        decoded = []
+        for row in ids:
+            sha = hashlib.sha256()
+            for chunk in decoder.chunks(row):
+                sha.update(chunk.encode())
+            decoded.append(sha.hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in rest), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
+            [*rest, "n_tokens", "ids", "decoded_sha256"],
+        )
+    encoder.forget()
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``decoded_sha256`` (of the text that the ids decode to) in place of ``text``.
+
+    One pass encodes and decodes, so that a task has one vocabulary in memory.
+    Null or empty text gives no ids. Columns of these names are replaced.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    docs = docs.drop("n_tokens", "ids", "decoded_sha256")
+    rest = [c for c in docs.columns if c != "text"]
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded_sha256", T.StringType())]
+    return docs.select(*rest, "text").mapInArrow(partial(_trip_batches, shared=shared, rest=rest), T.StructType([*docs.select(rest).schema.fields, *made]))
+
+
 def _digest_batches(batches, shared):
     encoder, decoder = _coders(shared)
     names = {}
