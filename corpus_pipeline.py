@@ -50,9 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids, decoded_sha256) of every row that is left; null text has no tokens."""
-    tokens = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary())
-    tokens = bpe.decode(tokens, vocabulary())
-    return tokens.select("doc_id", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs.select("doc_id", "source", "text"), vocabulary())
 
 
 STAGES = [
