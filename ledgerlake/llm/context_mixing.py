@@ -7,36 +7,39 @@ path in a second tree, up to a terminator. So every text has a probability,
 and bits are few: about as many as the text's information.
 
 Each bit is predicted by a static predictor (the tree node) and by hashed
-contexts: for words the last very common word, the last word and the last two
-words; for bytes the last two of the word with the last
-very common word, the last three, and the word so far. Their logits are mixed
-by weights chosen by a gate (how sure each context is), learnt online by
-gradient steps; the mixed prediction is refined by an adaptive table (by
-gate and quantised prediction), and the two are averaged.
-
-A context's zeros and ones at every tree node are counted over all training
-texts, by the 64-bit hash of the context, in a Spark table that grows with
-them: no two contexts share a count. Texts travel in blocks; a block asks once
-for each pair of context and symbol that it has, the pair's training counts are
-summed, a context's symbols (a vocabulary at most) are spread over the nodes of
-their paths, and the answers are joined back to the blocks. Weights and
-refinement, a few thousand numbers, are fitted on all training texts: online in
-each task, averaged over the tasks by the bits of each gate, in a few rounds,
-with each bit's own count taken out first. They stay as they are while scoring.
+contexts: for words the last very common word (at the ``TOP_BITS`` nodes next
+to the root), the last word and the last two words; for bytes the last two of
+the word and the word so far. Their logits are mixed by weights chosen by a
+gate (how sure each context is), learnt online by gradient steps; the mixed
+prediction is refined by an adaptive table (by gate and quantised prediction),
+and the two are averaged.
+
+Counts stay where they are made, and the symbols travel to them. A block of
+texts sends each distinct (contexts, symbol) once, with the texts that have
+it, to the bucket of its last word: there lie all symbols that follow that
+word, so the zeros and ones of every context at every tree node are sums over
+neighbours in sorted order, exact and as many as the training texts give. The
+bucket learns weights and refinement from all of its training symbols, each
+one's own count taken out, then prices its symbols and sends every text one
+sum. Very common words have one bucket for each group of the words before them,
+so that no bucket holds more than a small share, and their group is part of the
+context. Buckets follow from the counted words alone: scores depend neither on
+the number of partitions nor on the order of rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-from functools import cached_property, partial
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import GOLDEN, LOWER, materialise, mix64, powers, row_blocks, utf8_parts, word_bounds, word_hashes
+from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, materialise, mix64, powers, row_blocks, utf8_parts, word_bounds, word_hashes
 
 #: Words that have a code of their own, at most (the commonest; ties to the smaller hash).
 VOCAB = 1 << 18
@@ -45,17 +48,21 @@ VOCAB = 1 << 18
 MIN_COUNT = 2
 #: Words common enough to tell the language or style: the context "last very common word".
 COMMON = 256
+#: Bits next to the root that the last very common word predicts.
+TOP_BITS = 12
 CONTEXTS = 3
-#: Step sizes of the rounds over all training texts, and bits a step.
-RATES = (0.01, 0.004, 0.002)
+#: Training tokens a bucket, about; the buckets' number follows the training texts.
+BUCKET_TOKENS = 1 << 18
+#: Buckets that a very common word's followers are spread over, for each bucket's worth of them.
+SPREAD = 4
+#: Step sizes of the rounds over a bucket's training bits, and bits a step.
+RATES = (0.02,)
 _STEP = 1 << 12
 _BLOCK = 1 << 19
-#: Bytes of texts that ask for their contexts together (a longer text stands alone).
-_TEXTS = 1 << 18
-#: Symbols whose bits are handled at once: their arrays stay in a core's cache.
-_TOKENS = 1 << 13
-#: Rows of the context table worked on at once, about.
-_ROWS = 1 << 16
+#: Bytes of texts that send their symbols together; longer texts are sent in pieces.
+_TEXTS = 1 << 22
+#: Scores are added up in whole steps of 1/4096 natural log, so that the order of adding is no matter.
+_UNIT = 4096
 _LOGIT = 8.0
 _SURE = np.array([1, 3, 16])
 
@@ -154,24 +161,42 @@ def tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 @dataclass
 class Coder:
-    """The vocabulary (sorted hashes with their rank and count) and the two trees."""
+    """The vocabulary (sorted hashes with their rank and count) and the two trees as one set of paths.
+
+    Symbols: words by rank, the end, the escape, then 257 bytes (256: end of the word).
+    """
 
     words: np.ndarray
     rank: np.ndarray
     count: np.ndarray
-    word_tree: tuple
-    byte_tree: tuple
+    offsets: np.ndarray  # of each symbol's path, leaf to root
+    nodes: np.ndarray
+    bits: np.ndarray
+    logits: np.ndarray  # static, of each node: those of words, then those of bytes
+    word_nodes: int
+    leaf: np.ndarray  # of each symbol, its place from left to right: a node's symbols are neighbours
+    kind: np.ndarray  # of each symbol, the subtree at TOP_BITS that it is in
+
+    @classmethod
+    def of(cls, words: np.ndarray, rank: np.ndarray, count: np.ndarray, word_tree: tuple, byte_tree: tuple) -> Coder:
+        (w_at, w_node, w_bit, w_logit), (b_at, b_node, b_bit, b_logit) = word_tree, byte_tree
+        offsets = np.concatenate((w_at, b_at[1:] + w_at[-1]))
+        nodes, bits = np.concatenate((w_node, b_node + len(w_logit))), np.concatenate((w_bit, b_bit))
+        place = (np.arange(len(offsets) - 1) >= len(w_at) - 1).astype(np.int64)
+        depth = np.diff(offsets)
+        kind = place
+        for level in range(int(depth.max())):
+            on = depth > level
+            side = np.zeros(len(place), np.int64)
+            side[on] = bits[offsets[1:][on] - 1 - level]
+            place = np.unique(place * 2 + side, return_inverse=True)[1]
+            if level < TOP_BITS:
+                kind = place
+        return cls(words, rank, count, offsets, nodes, bits, np.concatenate((w_logit, b_logit)), len(w_logit), place, kind)
 
     @property
-    def logits(self) -> np.ndarray:
-        """Static logits: word nodes, then byte nodes."""
-        return np.concatenate((self.word_tree[3], self.byte_tree[3]))
-
-    @cached_property
-    def paths(self) -> tuple:
-        """Offsets, nodes and bits of all symbols: those of the word tree, then those of the byte tree."""
-        (w_at, w_node, w_bit, w_logit), (b_at, b_node, b_bit, _) = self.word_tree, self.byte_tree
-        return np.concatenate((w_at, b_at[1:] + w_at[-1])), np.concatenate((w_node, b_node + len(w_logit))), np.concatenate((w_bit, b_bit))
+    def end(self) -> int:
+        return len(self.words)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash among ``words``, -1 if it has none."""
@@ -181,17 +206,6 @@ class Coder:
         return np.where(self.words[at] == hashes, at, -1)
 
 
-def _steps(code, symbols: np.ndarray):
-    """(number of bits of each symbol, node and bit of every bit)."""
-    offsets, nodes, bits = code
-    first = offsets[symbols]
-    size = offsets[symbols + 1] - first
-    start = np.cumsum(size)
-    at = np.arange(int(start[-1]) if len(start) else 0)
-    at += np.repeat(first - start + size, size)
-    return size, nodes[at], bits[at]
-
-
 @dataclass
 class Words:
     """The words of a block of texts; one end follows the words of each text."""
@@ -220,230 +234,365 @@ def words_of(coder: Coder, raw: np.ndarray, at: np.ndarray) -> Words:
     return Words(raw, out[0], out[1], row, out[2], out[3])
 
 
-def symbols_of(coder: Coder, w: Words):
-    """Symbols to code, words and ends first: (token of each, symbol, hashes of its contexts)."""
-    n = len(w.row)
-    vocab = len(w.place) and len(coder.words)
-    symbol = np.where(w.place >= 0, coder.rank[np.maximum(w.place, 0)] if vocab else 0, np.where(w.place == -2, len(coder.words), len(coder.words) + 1))
+@dataclass
+class Symbols:
+    """What a block codes: of each symbol its token, itself and its contexts."""
+
+    token: np.ndarray
+    symbol: np.ndarray
+    style: np.ndarray  # 0: no very common word yet, else its rank + 1
+    last: np.ndarray  # the last word, or the last two bytes
+    two: np.ndarray  # the word before that, or the byte before those in the low bits and the word so far above
+
+
+_STYLES = COMMON + 1
+
+
+def symbols_of(coder: Coder, w: Words, before: tuple = ()) -> Symbols:
+    """Words and ends, then the bytes of words without a code. ``before``: (two, last, style) that a piece goes on from."""
+    n, end = len(w.row), coder.end
+    vocab = n and end
+    symbol = np.where(w.place >= 0, coder.rank[np.maximum(w.place, 0)] if vocab else 0, np.where(w.place == -2, end, end + 1))
+    start = end + 2
     same = np.zeros(n, bool)
     same[1:] = w.row[1:] == w.row[:-1]
-    last = np.zeros(n, np.uint64)
-    last[1:] = np.where(same[1:], w.hashes[:-1], np.uint64(1))
-    two = np.zeros(n, np.uint64)
-    two[1:] = np.where(same[1:], last[:-1], np.uint64(1))
+    last, two = np.full(n, start), np.full(n, start)
+    last[1:] = np.where(same[1:], symbol[:-1], start)
+    two[1:] = np.where(same[1:], last[:-1], start)
     # The last very common word before each token, within its text.
-    here = np.where((symbol < COMMON) & (symbol < len(coder.words)), np.arange(n), -1)
+    here = np.where((symbol < COMMON) & (symbol < end), np.arange(n), -1)
     seen = np.maximum.accumulate(np.concatenate(([-1], here[:-1]))) if n else here
     first = np.maximum.accumulate(np.where(same, 0, np.arange(n))) if n else here
-    common = np.where(seen >= first, symbol[np.maximum(seen, 0)] + 2, 1).astype(np.uint64)
-    contexts = [_salted(common, 1), _salted(last, 2), _salted(_salted(last, 3) + two, 3)]
-    far = np.flatnonzero(symbol == len(coder.words) + 1)
+    style = np.where(seen >= first, symbol[np.maximum(seen, 0)] + 1, 0) if n else here
+    if before and n:
+        two[0], last[0] = before[:2]
+        two[1:2] = before[1]
+        style[seen < 0] = before[2]
+    far = np.flatnonzero(symbol == end + 1)
+    token = np.arange(n)
     if not len(far):
-        return np.arange(n), symbol, contexts
-    owner, byte, spelt = _spelt(w, far, common)
-    return np.concatenate((np.arange(n), owner)), np.concatenate((symbol, byte + len(coder.words) + 2)), [np.concatenate(x) for x in zip(contexts, spelt)]
-
-
-def _salted(x: np.ndarray, k: int) -> np.ndarray:
-    return mix64(x + np.uint64(int(GOLDEN) * k % 2**64))
+        return Symbols(token, symbol, style, last, two)
+    owner, byte, pair, more = _spelt(w, far)
+    return Symbols(
+        np.concatenate((token, owner)), np.concatenate((symbol, byte + end + 2)), np.concatenate((style, style[owner])),
+        np.concatenate((last, start + 1 + pair)), np.concatenate((two, more)),
+    )
 
 
-def _spelt(w: Words, tokens: np.ndarray, common: np.ndarray):
-    """The bytes of words without a code, each word with its terminator."""
+def _spelt(w: Words, tokens: np.ndarray):
+    """The bytes of words without a code, each word with its terminator: token, byte, last two bytes, the one before and the word so far."""
     n = w.ends[tokens] - w.starts[tokens] + 1
     start = np.cumsum(n) - n
     owner = np.repeat(tokens, n)
     inside = np.arange(int(n.sum())) - np.repeat(start, n)
     is_last = inside == np.repeat(n - 1, n)
     symbol = np.where(is_last, 256, LOWER[w.raw[np.minimum(np.repeat(w.starts[tokens], n) + inside, len(w.raw) - 1)]]).astype(np.int64)
-    back = np.full((3, len(symbol)), 511, np.uint64)  # the bytes before, 511 before the word
+    back = np.full((3, len(symbol)), 511, np.int64)  # the bytes before, 511 before the word
     for k in range(1, 4):
         back[k - 1][k:] = np.where(inside[k:] >= k, symbol[:-k], 511)
-    two = back[0] << np.uint64(9) | back[1]
-    style = common[owner] << np.uint64(18) | two
     # All bytes of the word so far.
     value = mix64(symbol.astype(np.uint64) + GOLDEN) * powers(int(inside.max()) + 1)[inside]
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))[:-1]
     whole = mix64(total - np.repeat(total[start], n) + inside.astype(np.uint64))
-    return owner, symbol, [_salted(style, 4), _salted(two << np.uint64(9) | back[2], 5), _salted(whole, 6)]
+    return owner, symbol, back[0] << 9 | back[1], (whole >> np.uint64(42)).astype(np.int64) << 9 | back[2]
+
+
+def _pieces(raw: np.ndarray, at: np.ndarray, most: int):
+    """(bytes, row offsets, whether it ends its text): a single longer text in pieces that end at white space."""
+    if len(at) != 2 or len(raw) <= most:
+        yield raw, at, True
+        return
+    a = 0
+    while a < len(raw):
+        b = a + most
+        while b < len(raw):  # the next gap, looked for in steps
+            gap = np.flatnonzero(IS_SPACE[raw[b : b + 4096]])
+            if len(gap):
+                b += int(gap[0]) + 1
+                break
+            b += 4096
+        b = min(b, len(raw))
+        yield raw[a:b], np.array([0, b - a]), b == len(raw)
+        a = b
+
+
+def coded(coder: Coder, raw: np.ndarray, at: np.ndarray, most: int = _TEXTS):
+    """(words, symbols) of a block of texts, or of each piece of a long one: contexts go on from piece to piece."""
+    before: tuple = ()
+    for part, off, whole in _pieces(raw, at, most):
+        w = words_of(coder, part, off)
+        if not whole:
+            w = Words(w.raw, w.starts[:-1], w.ends[:-1], w.row[:-1], w.hashes[:-1], w.place[:-1])
+        s = symbols_of(coder, w, before)
+        yield w, s
+        n = len(w.row)
+        if not whole and n:
+            last = int(s.symbol[n - 1])
+            common = last + 1 if last < min(COMMON, coder.end) else int(s.style[n - 1])
+            before = int(s.last[n - 1]), last, common
+
+
+# ------------------------------------------------------------------ model
 
 
-# ------------------------------------------------------------------ context counts
-
+@dataclass
+class Model:
+    coder: Coder
+    style: np.ndarray  # zeros and ones by (style, node of the top)
+    top: np.ndarray  # node -> its place among those of the top, -1: none
+    buckets: int
+    groups: np.ndarray  # by ``last``: groups of ``two`` that are contexts of their own
+    spelt_groups: int
+    train_tokens: int
+    types: int
+    end_count: int
 
-_BLOCKS = "block long, doc_id array<long>, held_out array<boolean>, text array<string>"
 
+def _contexts(model: Model, style, last, two) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, hashes of the three contexts).
 
-def _text_blocks(batches):
-    """One row a block of texts."""
-    block = TaskContext.get().partitionId() << 33
+    Words: none here (the last very common word has a table), the last word
+    with its group of words before, the last two. Bytes: the last two with the
+    last very common word, the last three, the word so far.
+    """
+    words = len(model.groups)
+    byte = last >= words
+    before = np.where(byte, two & 511, two).astype(np.uint64)
+    groups = np.where(byte, model.spelt_groups, model.groups[np.minimum(last, words - 1)]).astype(np.uint64)
+    own = last.astype(np.uint64) << np.uint64(32)
+    group = mix64(own + mix64(before + GOLDEN) % groups + GOLDEN)
+    middle = np.where(byte, mix64(own + before + GOLDEN), group)
+    return (group % np.uint64(model.buckets)).astype(np.int64), mix64(group + style.astype(np.uint64)), middle, mix64(own + two.astype(np.uint64) + GOLDEN)
+
+
+def _style_batches(batches, coder):
+    """(key, n): how often a symbol of each kind follows each style in training texts."""
+    c: Coder = coder.value
+    kinds = int(c.kind.max()) + 1
+    n = np.zeros(_STYLES * kinds, np.int64)
     for batch in batches:
-        _, at = utf8_parts(batch.column("text"))
-        for a, b in row_blocks(at, _TEXTS):
-            off = pa.array([0, b - a], pa.int32())
-            lists = [pa.ListArray.from_arrays(off, batch.column(c).slice(a, b - a)) for c in ("doc_id", "held_out", "text")]
-            yield pa.RecordBatch.from_arrays([pa.array([block]), *lists], ["block", "doc_id", "held_out", "text"])
-            block += 1
-
-
-@dataclass
-class Asked:
-    """A block's symbols, and the pairs of context and symbol it asks for, each once."""
-
-    words: Words
-    owner: np.ndarray  # token of each symbol
-    symbol: np.ndarray
-    contexts: np.ndarray  # context; symbol
-    first: np.ndarray  # of each pair, its first place in ``contexts``
-    pair: np.ndarray  # context; symbol -> pair
+        raw, at = utf8_parts(batch.column("text"))
+        for a, b in row_blocks(at, _BLOCK):
+            for w, s in coded(c, raw[at[a] : at[b]], at[a : b + 1] - at[a], _BLOCK):
+                tokens = slice(0, len(w.row))
+                n += np.bincount(s.style[tokens] * kinds + c.kind[s.symbol[tokens]], minlength=len(n))
+    at = np.flatnonzero(n)
+    for a in range(0, len(at), 1 << 16):
+        part = at[a : a + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n[part])], ["key", "n"])
+
+
+def _style_counts(coder: Coder, key: np.ndarray, n: np.ndarray):
+    """(zeros and ones by style and node of the top, place of each node there)."""
+    kinds = int(coder.kind.max()) + 1
+    count = np.zeros(_STYLES * kinds, np.float64)
+    count[key] = n
+    count = count.reshape(_STYLES, kinds).T
+    one_of = np.zeros(kinds, np.int64)
+    one_of[coder.kind] = np.arange(len(coder.kind))
+    depth = np.diff(coder.offsets)[one_of]
+    place, sums = np.full(len(coder.logits), -1), []
+    for level in range(TOP_BITS):
+        on = np.flatnonzero((depth > level) & (one_of < coder.end + 2))
+        at = coder.offsets[one_of[on] + 1] - 1 - level
+        node = coder.nodes[at]
+        u, inverse = np.unique(node, return_inverse=True)
+        place[u] = sum(len(x) for x in sums) + np.arange(len(u))
+        both = np.zeros((len(u), 2, _STYLES))
+        np.add.at(both, (inverse, coder.bits[at]), count[on])
+        sums.append(both)
+    return np.concatenate(sums).transpose(2, 0, 1).astype(np.float32), place
+
+
+def train(docs: DataFrame, vocab: int = VOCAB, bucket_tokens: int = BUCKET_TOKENS) -> tuple[Model, DataFrame]:
+    """Model and word counts (word: 64-bit hash, n) learnt from the texts of ``docs`` (doc_id, text) that ``training`` allows."""
+    spark = docs.sparkSession
+    known = docs.where(training(F.col("doc_id")))
+    counts = known.select("text").mapInArrow(_count_batches, "kind int, word long, n long")
+    counts = materialise(counts.groupBy("kind", "word").agg(F.sum("n").alias("n")), "words")
+    words = counts.where("kind = 0").select("word", "n")
+    byte_n = np.zeros(257)
+    for row in counts.where("kind = 1").collect():  # 257 rows
+        byte_n[row["word"]] = row["n"]
+    texts = int(byte_n[256])
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
+    top = words.where(F.col("n") >= MIN_COUNT).orderBy(F.desc("n"), "word").limit(vocab).toArrow()  # at most ``vocab`` rows of 16 bytes
+    hashes = top.column("word").to_numpy().view(np.uint64)
+    n = top.column("n").to_numpy()
+    order = np.argsort(hashes)
+    far = max(total["n"] - int(n.sum()), 0)
+    weights = np.concatenate((n, [max(texts, 1), max(far, 1)])).astype(float)
+    byte_n[256] = max(total["n"], 1)
+    coder = Coder.of(hashes[order], np.arange(len(hashes))[order], n[order], tree(weights), tree(byte_n + 1))
+    styles = known.select("text").mapInArrow(partial(_style_batches, coder=spark.sparkContext.broadcast(coder)), "key long, n long")
+    styles = styles.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 257 styles by 2**TOP_BITS kinds, and as many nodes
+    style, place = _style_counts(coder, styles.column("key").to_numpy(), styles.column("n").to_numpy())
+    share = bucket_tokens / SPREAD
+    groups = np.maximum(np.ceil(np.concatenate((n, [1, far, texts])) / share), 1).astype(np.int64)
+    tokens = int(total["n"]) + texts
+    buckets = max(1, -(-tokens // bucket_tokens))
+    return Model(coder, style, place, buckets, groups, max(1, int(far / share)), tokens, int(total["types"]) + (texts > 0), texts), words
 
 
-def _asked(coder: Coder, texts) -> tuple[Asked, np.ndarray]:
-    raw, at = utf8_parts(texts)
-    w = words_of(coder, raw, at)
-    owner, symbol, contexts = symbols_of(coder, w)
-    contexts = np.stack(contexts)
-    key = mix64(contexts ^ (symbol.astype(np.uint64) * GOLDEN)[None, :])
-    _, first, pair = np.unique(key.ravel(), return_index=True, return_inverse=True)
-    return Asked(w, owner, symbol, contexts, first, pair.reshape(contexts.shape)), at
+# ------------------------------------------------------------------ symbols to their buckets
 
 
-_PAIRS = "block long, place int, context long, symbol int, n long"
+def _planes(*columns: np.ndarray) -> bytes:
+    """Whole numbers of equal length, their bytes in planes (the high ones are mostly zeros), compressed."""
+    x = np.stack(columns).astype(np.int64)
+    body = x.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return np.int64(x.shape[1]).tobytes() + pa.compress(np.ascontiguousarray(body).tobytes(), codec="zstd", asbytes=True)
 
 
-def _pair_batches(batches, coder):
-    """The pairs of each block, with how often its training texts have them."""
-    c: Coder = coder.value
-    for batch in batches:
-        for i in range(batch.num_rows):
-            q, _ = _asked(c, batch.column("text")[i].values)
-            learnt = ~batch.column("held_out")[i].values.to_numpy(zero_copy_only=False).astype(bool)
-            learnt = np.tile(learnt[q.words.row[q.owner]], CONTEXTS)
-            n = np.bincount(q.pair.ravel(), learnt, len(q.first)).astype(np.int64)
-            context, symbol = q.contexts.ravel()[q.first].view(np.int64), q.symbol[q.first % max(len(q.symbol), 1)].astype(np.int32)
-            block = batch.column("block")[i].as_py()
-            for a in range(0, len(n), _ROWS):
-                part = slice(a, a + _ROWS)
-                size = len(n[part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, block)), pa.array(np.arange(a, a + size, dtype=np.int32)), pa.array(context[part]), pa.array(symbol[part]), pa.array(n[part])],
-                    ["block", "place", "context", "symbol", "n"],
-                )
-
-
-def _answer_batches(batches, coder):
-    """Rows by context, each pair once, with its training count: for every bit of the pair's path the packed logit, and that without one such pair."""
-    paths = coder.value.paths
-    held: list = []
-
-    def answered(context, symbol, n):
-        size, node, bit = _steps(paths, symbol)
-        own = np.repeat(n, size)
-        group = np.repeat(np.cumsum(np.concatenate(([False], context[1:] != context[:-1]))), size)
-        u, at = np.unique(group << 32 | node, return_inverse=True)
-        zeros, ones = (np.bincount(at, own * (bit == b), len(u))[at] for b in (0, 1))
-        packed = np.stack((_packed_logits(zeros, ones), _packed_logits(np.maximum(zeros - (bit == 0), 0), np.maximum(ones - (bit == 1), 0))), 1)
-        off = np.concatenate(([0], np.cumsum(size) * 4)).astype(np.int32)
-        answer = pa.Array.from_buffers(pa.binary(), len(symbol), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(packed))])
-        return pa.RecordBatch.from_arrays([pa.array(context), pa.array(symbol), answer], ["context", "symbol", "answer"])
-
-    rows = 0
-    for batch in batches:
-        held.append([batch.column(c).to_numpy() for c in ("context", "symbol", "n")])
-        rows += batch.num_rows
-        if rows < _ROWS:
-            continue
-        context, symbol, n = (np.concatenate(x) for x in zip(*held))
-        cut = int(np.searchsorted(context, context[-1]))  # the last context may go on
-        if cut:
-            yield answered(context[:cut], symbol[:cut], n[:cut])
-        held, rows = [[context[cut:], symbol[cut:], n[cut:]]], len(n) - cut
-    if held and rows:
-        yield answered(*(np.concatenate(x) for x in zip(*held)))
+def _columns(data: bytes, columns: int) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    body = pa.decompress(data[8:], decompressed_size=n * columns * 8, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(columns, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(columns, n)
 
 
-def _gather_batches(batches):
-    """Answers sorted by block and place: one row a block."""
-    block, held = None, []
+_ASKED = "bucket long, block long, symbols binary, texts binary, info binary"
+_FIELDS = ["bucket", "block", "symbols", "texts", "info"]
 
-    def row():
-        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b"".join(held)], pa.binary())], ["of", "answers"])
 
-    for batch in batches:
-        own, answer = batch.column("block").to_numpy(), batch.column("answer")
-        starts = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)])) if len(own) else [0]
-        for a, b in zip(starts[:-1], starts[1:]):
-            if own[a] != block:
-                if held:
-                    yield row()
-                block, held = int(own[a]), []
-            _, off, data = answer.buffers()
-            off = np.frombuffer(off, np.int32)[answer.offset :]
-            held.append(data[int(off[a]) : int(off[b])].to_pybytes() if data is not None else b"")
-    if held:
-        yield row()
+def _tuple_hash(style, last, two, symbol) -> np.ndarray:
+    history = mix64((last.astype(np.uint64) << np.uint64(32)) + two.astype(np.uint64) + GOLDEN)
+    return mix64(history + ((symbol.astype(np.uint64) << np.uint64(10)) | style.astype(np.uint64)))
 
 
-def context_answers(pairs: DataFrame, shared) -> DataFrame:
-    """(context, symbol, answer) of every pair asked for; a context has at most as many rows as there are symbols."""
-    counts = pairs.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-    counts = counts.repartition("context").sortWithinPartitions("context")
-    return counts.mapInArrow(partial(_answer_batches, coder=shared), "context long, symbol int, answer binary")
+def _sent(model: Model, s: Symbols, row: np.ndarray, learnt: np.ndarray):
+    """(bucket, symbols, texts) of a block: each distinct symbol with its contexts once, and the texts that have it."""
+    _, first, inverse = np.unique(_tuple_hash(s.style, s.last, s.two, s.symbol), return_index=True, return_inverse=True)
+    style, last, two, symbol = (x[first].astype(np.int64) for x in (s.style, s.last, s.two, s.symbol))
+    bucket = _contexts(model, style, last, two)[0]
+    order = np.lexsort((two, last, bucket))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    place = place[inverse]
+    n, known = np.bincount(place, minlength=len(order)), np.bincount(place, learnt[row], len(order)).astype(np.int64)
+    texts = row[np.argsort(place, kind="stable")]
+    bucket = bucket[order]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else np.zeros(1, int)
+    at = np.concatenate(([0], np.cumsum(n)))
+    columns = [x[order] for x in (style, last, two, symbol)] + [n, known]
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield int(bucket[a]), _planes(*[c[a:b] for c in columns]), _planes(texts[at[a] : at[b]])
 
 
-def look_up(blocks: DataFrame, shared) -> DataFrame:
-    """``blocks`` with the answers to all pairs that each asks for."""
-    pairs = materialise(blocks.select("block", "held_out", "text").mapInArrow(partial(_pair_batches, coder=shared), _PAIRS), "pairs")
-    answers = context_answers(pairs, shared)
-    rows = pairs.select("block", "place", "context", "symbol").join(answers, ["context", "symbol"]).select("block", "place", "answer")
-    rows = rows.repartition("block").sortWithinPartitions("block", "place").mapInArrow(_gather_batches, "of long, answers binary")
-    return materialise(blocks.join(rows, blocks["block"] == rows["of"]).drop("of", "block"), "contexts")
+def _ask_batches(batches, model):
+    """Rows for the buckets, and one row a block with what is known of its texts."""
+    m: Model = model.value
+    scale = np.log10(m.train_tokens + m.types + 1.0)
+    known = np.log10(m.coder.count + 1.0) - scale
+    end = np.log10(m.end_count + 1.0) - scale
+    block = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        raw, at = utf8_parts(batch.column("text"))
+        held_out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        for a, b in row_blocks(at, _TEXTS):
+            texts = b - a
+            n_tokens, n_known, base, rare = np.zeros(texts, np.int64), np.zeros(texts, np.int64), np.zeros(texts), []
+            for w, s in coded(m.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a]):
+                there = w.place >= 0
+                price = np.where(there, known[np.maximum(w.place, 0)] if len(known) else 0, np.where(w.place == -2, end, 0))
+                n_tokens += np.bincount(w.row, minlength=texts)
+                n_known += np.bincount(w.row, there | ((w.place == -2) & (m.end_count > 0)), texts).astype(np.int64)
+                base += np.bincount(w.row, price, texts)
+                far = w.place == -1
+                rare.append((np.bincount(w.row[far], minlength=texts), w.hashes[far].view(np.int64)))
+                rows = [(bucket, block, symbols, owners, None) for bucket, symbols, owners in _sent(m, s, w.row[s.token], ~held_out[a:b])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _FIELDS)
+            off = np.concatenate(([0], np.cumsum(sum(r[0] for r in rare)))).astype(np.int64)
+            lists = pa.LargeListArray.from_arrays(pa.array(off), pa.array(np.concatenate([r[1] for r in rare])))
+            info = pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(a, texts), pa.array(held_out[a:b]), pa.array(np.diff(at[a : b + 1])), pa.array(n_tokens), pa.array(n_known), pa.array(base), lists],
+                ["doc_id", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "rare"],
+            )
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, info.schema) as out:
+                out.write_batch(info)
+            one = [[block % m.buckets], [block], [None], [None], [sink.getvalue().to_pybytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(one, _TYPES)], _FIELDS)
+            block += 1
 
 
-def _bits(coder: Coder, q: Asked, answers: bytes, column: int, only: np.ndarray | None = None):
-    """Chunks of bits: (token of each symbol, bits of each; node, packed logits and value of each bit)."""
-    table = np.frombuffer(answers, np.int16).reshape(-1, 2)[:, column]
-    offsets = coder.paths[0]
-    asked = q.symbol[q.first % max(len(q.symbol), 1)]
-    size = offsets[asked + 1] - offsets[asked]
-    start = np.cumsum(size) - size
-    owner, symbol, pair = (q.owner, q.symbol, q.pair) if only is None else (q.owner[only], q.symbol[only], q.pair[:, only])
-    for a in range(0, len(symbol), _TOKENS):
-        part = slice(a, a + _TOKENS)
-        size, node, bit = _steps(coder.paths, symbol[part])
-        inside = np.arange(len(node)) - np.repeat(np.cumsum(size) - size, size)
-        yield owner[part], size, node, [table[np.repeat(start[p[part]], size) + inside] for p in pair], bit
+_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 # ------------------------------------------------------------------ mixing
 
-
-@dataclass
-class Model:
-    coder: Coder
-    contexts: DataFrame | None  # blocks of texts with their contexts' answers (on the driver)
-    weights: np.ndarray  # input; kind and gate
-    refine: np.ndarray  # kind and gate; quantised logit -> logit
-    train_tokens: int
-    types: int
-    end_count: int
-
-
 _GATES = 4**CONTEXTS
 _STEPS = 33
 
 
 def _packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logit in steps of 1/256, times 4, plus sureness 0 to 3."""
-    logit = np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -_LOGIT, _LOGIT)
-    sure = np.searchsorted(_SURE, ones + zeros, side="right")
-    return (np.round(logit * 256).astype(np.int16) * 4 + sure).astype(np.int16)
+    ones, zeros = ones.astype(np.float32), zeros.astype(np.float32)
+    logit = np.clip(np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))), -_LOGIT, _LOGIT)
+    n = ones + zeros
+    sure = (n >= _SURE[0]).astype(np.int16) + (n >= _SURE[1]) + (n >= _SURE[2])
+    return (np.rint(logit * 256).astype(np.int16) * 4 + sure).astype(np.int16)
+
+
+@dataclass
+class Bits:
+    """The bits of a bucket's symbols, with each context's packed logit: of all counts, and without the bit's own."""
+
+    row: np.ndarray
+    node: np.ndarray
+    bit: np.ndarray
+    full: np.ndarray  # context; bit
+    less: np.ndarray
+
 
+def bits_of(model: Model, style, last, two, symbol, n) -> Bits:
+    """All bits of distinct symbols with ``n`` training occurrences each.
 
-def _inputs(model: Model, node: np.ndarray, packed: list[np.ndarray], static: np.ndarray):
+    In the order of (context, leaf) the symbols under a node are neighbours,
+    so that a node's zeros and ones are sums over a run.
+    """
+    c = model.coder
+    depth = np.diff(c.offsets)[symbol]
+    known = (n > 0).astype(np.int64)
+    runs = []
+    for k, h in enumerate(_contexts(model, style, last, two)[1:]):
+        among = np.flatnonzero(symbol > c.end + 1) if k == 0 else np.arange(len(symbol))
+        context = np.unique(h, return_inverse=True)[1]
+        runs.append((context, among[np.argsort(context[among] << 20 | c.leaf[symbol[among]])]))
+    parts = []
+    nodes, bits = np.zeros(len(symbol), np.int32), np.zeros(len(symbol), np.int64)
+    full, less = np.zeros((2, CONTEXTS, len(symbol)), np.int16)
+    for level in range(int(depth.max()) if len(depth) else 0):
+        row = np.flatnonzero(depth > level)
+        at = c.offsets[symbol[row] + 1] - 1 - level
+        nodes[row], bits[row] = c.nodes[at], c.bits[at]
+        word = row[symbol[row] <= c.end + 1]
+        place, side, mine = model.top[nodes[word]], bits[word], known[word]
+        count = np.where((place >= 0)[:, None], model.style[style[word], np.maximum(place, 0)], 0)
+        full[0][word] = _packed_logits(count[:, 0], count[:, 1])
+        less[0][word] = _packed_logits(np.maximum(count[:, 0] - mine * (1 - side), 0), np.maximum(count[:, 1] - mine * side, 0))
+        for (context, order), whole, without in zip(runs, full, less):
+            on = order[depth[order] > level]
+            if not len(on):
+                continue
+            key = context[on] << 20 | nodes[on]
+            start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+            weight, side, mine = n[on], bits[on], known[on]
+            total, ones = np.add.reduceat(weight, start), np.add.reduceat(weight * side, start)
+            run = np.diff(np.concatenate((start, [len(on)])))
+            whole[on] = np.repeat(_packed_logits(total - ones, ones), run)
+            one = np.repeat(ones, run)
+            without[on] = _packed_logits(np.repeat(total, run) - one - mine * (1 - side), one - mine * side)
+        parts.append((row.astype(np.int32), nodes[row], bits[row].astype(np.int8), full[:, row], less[:, row]))
+    if not parts:
+        return Bits(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8), np.zeros((CONTEXTS, 0), np.int16), np.zeros((CONTEXTS, 0), np.int16))
+    return Bits(*[np.concatenate([p[k] for p in parts], axis=-1) for k in range(5)])
+
+
+def _inputs(coder: Coder, node: np.ndarray, packed: np.ndarray):
     """(inputs of the mixer, its weight set) of each bit."""
-    x = [static[node]]
-    gate = (node >= len(model.coder.word_tree[3])).astype(np.int32)
+    x = [coder.logits[node]]
+    gate = (node >= coder.word_nodes).astype(np.int32)
     for p in packed:
         x.append((p >> 2).astype(np.float32) * np.float32(1 / 256))
         gate = gate * 4 + (p & 3)
@@ -469,104 +618,99 @@ _FINE = 512
 _LOG_P = -np.log1p(np.exp(-np.arange(-12 * _FINE, 12 * _FINE + 1) / _FINE)).astype(np.float32)
 
 
-def _log_p(model: Model, node, packed, bit, static) -> np.ndarray:
-    """Natural log of the probability given to each bit.
-
-    The final logit is a whole number of steps for a one, and minus that for a
-    zero, so that the two probabilities add up to one.
-    """
-    x, gate = _inputs(model, node, packed, static)
-    z = _mixed(model.weights, x, gate)
-    at, share = _refined(z, gate)
-    flat = model.refine.reshape(-1)
-    left = np.take(flat, at)
-    z += left + (np.take(flat, at + 1) - left) * share
-    step = np.clip(np.rint(z * np.float32(0.5 * _FINE)), -12 * _FINE, 12 * _FINE).astype(np.int32)
-    return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
-
-
-def _learn(model: Model, seen: np.ndarray, placed: np.ndarray, node, packed, bit, static, rate: float) -> None:
-    """Online steps of weights and refinement over some bits; ``seen`` and ``placed`` count the bits of each."""
-    flat = model.refine.reshape(-1)
-    x, gate = _inputs(model, node, packed, static)
-    for c in range(0, len(node), _STEP):
-        xs, g, y = [v[c : c + _STEP] for v in x], gate[c : c + _STEP], bit[c : c + _STEP]
-        z = _mixed(model.weights, xs, g)
-        error = y - 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-        # One step per gate and group of bits, as long as the root of its bits.
-        n = np.bincount(g, minlength=len(seen))
-        seen += n
-        n = np.maximum(n, 1)
-        for w, v in zip(model.weights, xs):
-            w += (rate * np.bincount(g, error * v, len(n)) / np.sqrt(n)).astype(np.float32)
-        place, share = _refined(z, g)
-        r = flat[place] * (1 - share) + flat[place + 1] * share
-        error = y - 1 / (1 + np.exp(-np.clip(r, -12, 12)))
-        both = np.concatenate((place, place + 1))
-        n = np.bincount(both, minlength=len(flat))
-        placed += n
-        flat += (rate * np.bincount(both, np.concatenate((error * (1 - share), error * share)), len(n)) / np.sqrt(np.maximum(n, 1))).astype(np.float32)
-
-
-def _fit_batches(batches, shared, state, rate):
-    """A task's weights and refinement after its training texts, times the bits that each has seen."""
-    coder, (weights, refine) = shared.value, state.value
-    m = Model(coder, None, weights.copy(), refine.copy(), 0, 0, 0)
-    seen, placed, static = np.zeros(weights.shape[1], np.int64), np.zeros(refine.size, np.int64), coder.logits
-    for batch in batches:
-        for i in range(batch.num_rows):
-            q, _ = _asked(coder, batch.column("text")[i].values)
-            learnt = ~batch.column("held_out")[i].values.to_numpy(zero_copy_only=False).astype(bool)
-            only = np.flatnonzero(learnt[q.words.row[q.owner]])
-            for _, _, node, packed, bit in _bits(coder, q, batch.column("answers")[i].as_py(), 1, only):
-                _learn(m, seen, placed, node, packed, bit, static, rate)
-    n = np.concatenate((np.tile(seen, len(weights)), placed))
-    at = np.flatnonzero(n)
-    value = np.concatenate((m.weights.ravel(), m.refine.ravel())).astype(np.float64)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at]), pa.array(value[at] * n[at])], ["at", "n", "total"])
-
-
-def fit_mixer(model: Model, shared) -> None:
-    """Learn weights and refinement from all training texts, each bit's own count taken out."""
-    texts = model.contexts.select("held_out", "text", "answers")
+class Mixer:
+    """Weights by gate and the refinement table; both are learnt online."""
+
+    def __init__(self, coder: Coder):
+        gates = 2 * _GATES
+        self.coder = coder
+        self.weights = np.full((CONTEXTS + 1, gates), 0.3, np.float32)
+        self.refine = np.tile(np.linspace(-_LOGIT, _LOGIT, _STEPS, dtype=np.float32), (gates, 1)).reshape(-1)
+
+    def log_p(self, node: np.ndarray, packed: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """Natural log of the probability given to each bit.
+
+        The final logit is a whole number of steps for a one, and minus that for
+        a zero, so that the two probabilities add up to one.
+        """
+        x, gate = _inputs(self.coder, node, packed)
+        z = _mixed(self.weights, x, gate)
+        at, share = _refined(z, gate)
+        left = np.take(self.refine, at)
+        z += left + (np.take(self.refine, at + 1) - left) * share
+        step = np.clip(np.rint(z * np.float32(0.5 * _FINE)), -12 * _FINE, 12 * _FINE).astype(np.int32)
+        return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
+
+    def learn(self, node: np.ndarray, packed: np.ndarray, bit: np.ndarray, n: np.ndarray, rate: float) -> None:
+        """Online steps over bits that occur ``n`` times: per gate the mean gradient, times the root of its bits."""
+        x, gate = _inputs(self.coder, node, packed)
+        for c in range(0, len(node), _STEP):
+            xs, g, y, w = [v[c : c + _STEP] for v in x], gate[c : c + _STEP], bit[c : c + _STEP], n[c : c + _STEP]
+            z = _mixed(self.weights, xs, g)
+            error = (y - 1 / (1 + np.exp(-np.clip(z, -12, 12)))) * w
+            scale = rate * np.sqrt(np.bincount(g, minlength=2 * _GATES)) / np.maximum(np.bincount(g, w, 2 * _GATES), 1)
+            for own, v in zip(self.weights, xs):
+                own += (scale * np.bincount(g, error * v, 2 * _GATES)).astype(np.float32)
+            place, share = _refined(z, g)
+            r = self.refine[place] * (1 - share) + self.refine[place + 1] * share
+            error = (y - 1 / (1 + np.exp(-np.clip(r, -12, 12)))) * w
+            size = len(self.refine)
+            scale = rate * np.sqrt(np.bincount(place, minlength=size) + np.bincount(place + 1, minlength=size)) / np.maximum(np.bincount(place, w, size) + np.bincount(place + 1, w, size), 1)
+            self.refine += (scale * (np.bincount(place, error * (1 - share), size) + np.bincount(place + 1, error * share, size))).astype(np.float32)
+
+
+def priced(model: Model, style, last, two, symbol, n) -> np.ndarray:
+    """Price of each distinct symbol of a bucket in steps of 1/4096 natural log, by weights learnt from those with training occurrences."""
+    bits = bits_of(model, style, last, two, symbol, n)
+    mixer = Mixer(model.coder)
+    known = np.flatnonzero(n[bits.row] > 0)
+    known = np.random.default_rng(len(known)).permutation(known)
     for rate in RATES:
-        state = texts.sparkSession.sparkContext.broadcast((model.weights, model.refine))
-        sums = texts.mapInArrow(partial(_fit_batches, shared=shared, state=state, rate=rate), "at int, n long, total double")
-        sums = sums.groupBy("at").agg((F.sum("total") / F.sum("n")).alias("value")).toPandas()  # a few thousand numbers
-        both = np.concatenate((model.weights.ravel(), model.refine.ravel()))
-        both[sums["at"].to_numpy(np.int64)] = sums["value"].to_numpy()
-        model.weights, model.refine = both[: model.weights.size].reshape(model.weights.shape), both[model.weights.size :].reshape(model.refine.shape)
-
-
-def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
-    """Model and word counts (word: 64-bit hash, n) learnt from the texts of ``docs`` (doc_id, text) that ``training`` allows."""
-    spark = docs.sparkSession
-    known = docs.where(training(F.col("doc_id")))
-    counts = known.select("text").mapInArrow(_count_batches, "kind int, word long, n long")
-    counts = materialise(counts.groupBy("kind", "word").agg(F.sum("n").alias("n")), "words")
-    words = counts.where("kind = 0").select("word", "n")
-    byte_n = np.zeros(257)
-    for row in counts.where("kind = 1").collect():  # 257 rows
-        byte_n[row["word"]] = row["n"]
-    texts = int(byte_n[256])
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-    top = words.where(F.col("n") >= MIN_COUNT).orderBy(F.desc("n"), "word").limit(vocab).toArrow()  # at most ``vocab`` rows of 16 bytes
-    hashes = top.column("word").to_numpy().view(np.uint64)
-    n = top.column("n").to_numpy()
-    order = np.argsort(hashes)
-    weights = np.concatenate((n, [max(texts, 1), max(total["n"] - int(n.sum()), 1)])).astype(float)
-    byte_n[256] = max(total["n"], 1)
-    coder = Coder(hashes[order], np.arange(len(hashes))[order], n[order], tree(weights), tree(byte_n + 1))
+        for a in range(0, len(known), 16 * _STEP):
+            part = known[a : a + 16 * _STEP]
+            mixer.learn(bits.node[part], bits.less[:, part], bits.bit[part], n[bits.row[part]], rate)
+    price = np.zeros(len(symbol))
+    for a in range(0, len(bits.row), 16 * _STEP):
+        part = slice(a, a + 16 * _STEP)
+        price -= np.bincount(bits.row[part], mixer.log_p(bits.node[part], bits.full[:, part], bits.bit[part]), len(symbol))
+    return np.rint(price * _UNIT).astype(np.int64)
+
+
+def _price_batches(batches, model):
+    """Rows sorted by bucket: for every row of a bucket, the texts that it names and the sum of their prices."""
+    m: Model = model.value
 
-    shared = spark.sparkContext.broadcast(coder)
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~training(F.col("doc_id"))).alias("held_out"), "text")
-    looked = look_up(materialise(blocks.mapInArrow(_text_blocks, _BLOCKS), "texts"), shared)
-    rows = 2 * _GATES
-    weights = np.full((CONTEXTS + 1, rows), 0.3, np.float32)
-    refine = np.tile(np.linspace(-_LOGIT, _LOGIT, _STEPS, dtype=np.float32), (rows, 1))
-    model = Model(coder, looked, weights, refine, int(total["n"]) + texts, int(total["types"]) + (texts > 0), texts)
-    fit_mixer(model, shared)
-    return model, words
+    def settled(held):
+        columns = [_columns(h[1], 6) for h in held]
+        style, last, two, symbol, _, known = np.concatenate(columns, axis=1)
+        _, first, inverse = np.unique(_tuple_hash(style, last, two, symbol), return_index=True, return_inverse=True)
+        price = priced(m, style[first], last[first], two[first], symbol[first], np.bincount(inverse, known).astype(np.int64))[inverse]
+        out, at = [], 0
+        for (block, _, owners), c in zip(held, columns):
+            size = c.shape[1]
+            each = np.repeat(price[at : at + size], c[4])
+            at += size
+            texts, place = np.unique(_columns(owners, 1)[0], return_inverse=True)
+            total = np.zeros(len(texts), np.int64)
+            np.add.at(total, place, each)
+            out.append((0, block, None, _planes(texts, total), None))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], _FIELDS)
+
+    now, held = None, []
+    for batch in batches:
+        names = batch.column("info").is_valid()
+        if pa.compute.any(names).as_py():
+            yield batch.filter(names)
+        for bucket, block, symbols, owners, info in zip(*[batch.column(c).to_pylist() for c in _FIELDS]):
+            if info is not None:
+                continue
+            if bucket != now and held:
+                yield settled(held)
+                held = []
+            now = bucket
+            held.append((block, symbols, owners))
+    if held:
+        yield settled(held)
 
 
 # ------------------------------------------------------------------ scoring
@@ -574,41 +718,31 @@ def train(docs: DataFrame, vocab: int = VOCAB) -> tuple[Model, DataFrame]:
 _SCORED = "row long, doc_id long, held_out boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double, rare array<long>"
 
 
-def _score_batches(batches, model):
-    m: Model = model.value
-    static = m.coder.logits
-    first = TaskContext.get().partitionId() << 33
-    scale = np.log10(m.train_tokens + m.types + 1.0)
-    known = np.log10(m.coder.count + 1.0) - scale
-    end = np.log10(m.end_count + 1.0) - scale
-    for batch in batches:
-        for i in range(batch.num_rows):
-            q, at = _asked(m.coder, batch.column("text")[i].values)
-            w, texts = q.words, len(at) - 1
-            score = np.zeros(texts)
-            for token, size, node, packed, bit in _bits(m.coder, q, batch.column("answers")[i].as_py(), 0):
-                log_p = _log_p(m, node, packed, bit, static)
-                total = np.concatenate((np.zeros(1), np.cumsum(log_p, dtype=np.float64)))
-                last = np.cumsum(size)
-                score += np.bincount(w.row[token], total[last] - total[last - size], texts)
-            there = w.place >= 0
-            base = np.where(there, known[np.maximum(w.place, 0)] if len(known) else 0, np.where(w.place == -2, end, 0))
-            hit = there | ((w.place == -2) & (m.end_count > 0))
-            rare = w.place == -1
-            off = np.concatenate(([0], np.cumsum(np.bincount(w.row[rare], minlength=texts)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(off), pa.array(w.hashes[rare].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(first, first + texts)), batch.column("doc_id")[i].values, batch.column("held_out")[i].values,
-                    pa.array(np.diff(at)), pa.array(np.bincount(w.row, minlength=texts)), pa.array(np.bincount(w.row, hit, texts).astype(np.int64)),
-                    pa.array(np.bincount(w.row, base, texts)), pa.array(score / np.log(10)), lists,
-                ],
-                ["row", "doc_id", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score", "rare"],
-            )
-            first += texts
+def _gather_batches(batches):
+    """Rows sorted by block, its texts' row first: one row a text."""
+    first, info, total = TaskContext.get().partitionId() << 33, None, np.zeros(0, np.int64)
 
+    def rows():
+        score = -total / (_UNIT * np.log(10))
+        lists = info.column("rare").cast(pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(first + np.arange(len(total))), *info.columns[:6], pa.array(score), lists], ["row", *info.schema.names[:6], "score", "rare"])
 
-def score(docs: DataFrame, vocab: int = VOCAB) -> DataFrame:
+    for batch in batches:
+        for owners, named in zip(batch.column("texts").to_pylist(), batch.column("info").to_pylist()):
+            if named is not None:
+                if info is not None:
+                    yield rows()
+                first += len(total)
+                info = pa.ipc.open_stream(named).read_next_batch()
+                total = np.zeros(info.num_rows, np.int64)
+                continue
+            texts, sums = _columns(owners, 2)
+            total[texts] += sums
+    if info is not None:
+        yield rows()
+
+
+def score(docs: DataFrame, vocab: int = VOCAB, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Learns from the documents that ``training`` allows, scores all. ``score``
@@ -621,10 +755,14 @@ def score(docs: DataFrame, vocab: int = VOCAB) -> DataFrame:
     Words outside the vocabulary travel as 64-bit hashes to their counts, by an
     ordinary join; the commoner words' counts are part of the model. Hashes stand for words (2^-64 per pair to confuse two).
     """
-    model, words = train(docs.select("doc_id", "text"), vocab)
-    rows = model.contexts
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, contexts=None))
-    rows = materialise(rows.mapInArrow(partial(_score_batches, model=shared), _SCORED), "scores")
+    docs = docs.select("doc_id", "text")
+    model, words = train(docs, vocab, bucket_tokens)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~training(F.col("doc_id"))).alias("held_out"), "text")
+    rows = rows.mapInArrow(partial(_ask_batches, model=shared), _ASKED)
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_price_batches, model=shared), _ASKED)
+    rows = rows.repartition("block").sortWithinPartitions("block", F.col("info").isNull())
+    rows = materialise(rows.mapInArrow(_gather_batches, _SCORED), "scores")
     rare = rows.select("row", F.explode("rare").alias("word")).join(words, "word", "left")
     scale = float(np.log10(model.train_tokens + model.types + 1.0))
     rare = rare.select("row", (F.log10(F.coalesce("n", F.lit(0)) + 1.0) - scale).alias("base"), F.col("n").isNotNull().cast("long").alias("known"))

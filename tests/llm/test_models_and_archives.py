@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import context_mixing, fingerprints, quality, rp_forest, toxicity, warc
+from ledgerlake.llm.common import utf8_parts
 
 LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -180,62 +181,131 @@ def test_language_model_without_training_texts(spark):
     assert context_mixing.score(df.limit(0)).count() == 0
 
 
-def test_codes_and_probabilities_are_proper():
-    """Both ways of a bit add up to one, and a tree's leaves are all of its space."""
+def lm_model(spark, docs, **options):
+    return context_mixing.train(docs.select("doc_id", "text"), **options)[0]
+
+
+def lm_symbols(model, texts, most=1 << 22):
+    """(style, last, two, symbol) of every symbol, and its text."""
+    raw, at = utf8_parts(pa.array(texts, pa.string()))
+    out, rows = [], []
+    for w, s in context_mixing.coded(model.coder, raw, at, most):
+        out.append(np.stack([s.style, s.last, s.two, s.symbol]))
+        rows.append(w.row[s.token])
+    return np.concatenate(out, axis=1), np.concatenate(rows)
+
+
+def path(coder, symbol):
+    """(node, bit) from the root to the leaf."""
+    a, b = coder.offsets[symbol], coder.offsets[symbol + 1]
+    return list(zip(coder.nodes[a:b].tolist(), coder.bits[a:b].tolist()))[::-1]
+
+
+def test_codes_and_probabilities_are_proper(spark):
+    """Both ways of a bit add up to one, a tree's leaves are all of its space, and a context's symbols have a sum of one."""
     offsets, nodes, bits, logit = context_mixing.tree(np.array([5.0, 1, 1, 9, 2]))
     assert sum(2.0 ** -(offsets[i + 1] - offsets[i]) for i in range(5)) == 1
-    m = context_mixing.Model(context_mixing.Coder(np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int), (offsets, nodes, bits, logit), (offsets, nodes, bits, logit)), None,
-                             np.random.default_rng(0).normal(size=(4, 128)).astype(np.float32), np.random.default_rng(1).normal(size=(128, 33)).astype(np.float32), 1, 1, 1)
+    docs = spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string")
+    model = lm_model(spark, docs)
+    mixer = context_mixing.Mixer(model.coder)
+    mixer.weights = np.random.default_rng(0).normal(size=mixer.weights.shape).astype(np.float32)
+    mixer.refine = np.random.default_rng(1).normal(size=mixer.refine.shape).astype(np.float32)
     node = np.arange(8) % 4
-    packed = [np.arange(8, dtype=np.int16) * 37 * k for k in (1, -2, 3)]
-    p = [np.exp(context_mixing._log_p(m, node, packed, np.full(8, b, np.int8), m.coder.logits).astype(float)) for b in (0, 1)]
+    packed = np.stack([np.arange(8, dtype=np.int16) * 37 * k for k in (1, -2, 3)])
+    p = [np.exp(mixer.log_p(node, packed, np.full(8, b, np.int8)).astype(float)) for b in (0, 1)]
     assert np.allclose(p[0] + p[1], 1, atol=1e-6)
-
-
-def test_context_counts_are_exact(spark, monkeypatch):
-    """No two contexts share a count, whatever their number, and texts of all blocks are counted."""
-    monkeypatch.setattr(context_mixing, "_ROWS", 64)
-    docs = spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string")
-    coder = context_mixing.train(docs)[0].coder
-    seen, asked = collections.Counter(), {}
-    rows = []
-    for i, t in lm_rows()[:305]:
-        q, _ = context_mixing._asked(coder, pa.array([t], pa.string()))
+    symbols, row = lm_symbols(model, [r[1] for r in lm_rows()[:305]])
+    for at in (7, 40):  # all words that could stand here, asked together with the training symbols
+        words = np.arange(model.coder.end + 2)
+        asked = np.concatenate((np.repeat(symbols[:3, at : at + 1], len(words), axis=1), words[None]))
+        both, first, inverse = np.unique(np.concatenate((symbols, asked), axis=1), axis=1, return_index=True, return_inverse=True)
+        n = np.bincount(inverse.ravel()[: symbols.shape[1]], minlength=both.shape[1])
+        price = context_mixing.priced(model, *both, n)[inverse.ravel()[symbols.shape[1] :]]
+        assert sum(math.exp(-p / 4096) for p in price) == pytest.approx(1, abs=0.002)
+
+
+def test_context_counts_are_exact(spark):
+    """Each bit's packed logits against counts by node of each of its contexts, with and without its own."""
+    rows = [r[:2] for r in lm_rows()[:305]] + [(800, "newword otherword newerword thirdword"), (801, "newwood otherwise")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_model(spark, docs, bucket_tokens=64)  # many buckets, and groups of common words
+    assert model.buckets > 50 and model.groups.max() > 1
+    symbols, row = lm_symbols(model, [r[1] for r in rows])
+    learnt = np.array([not is_held(r[0], 7, 2) for r in rows])[row]
+    end = model.coder.end
+    _, *contexts = context_mixing._contexts(model, *symbols[:3])
+    seen, style = collections.Counter(), collections.Counter()
+    for i in np.flatnonzero(learnt):
+        for k, h in enumerate(contexts):
+            for node, bit in path(model.coder, symbols[3, i]):
+                seen[k, int(h[i]), node, bit] += 1
+        for node, bit in path(model.coder, symbols[3, i])[: context_mixing.TOP_BITS] if symbols[3, i] <= end + 1 else []:
+            style[int(symbols[0, i]), node, bit] += 1
+    both, first, inverse = np.unique(symbols, axis=1, return_index=True, return_inverse=True)
+    n = np.bincount(inverse.ravel(), learnt, both.shape[1]).astype(np.int64)
+    bits = context_mixing.bits_of(model, *both, n)
+    at = collections.Counter()
+    for j, r in enumerate(bits.row.tolist()):
+        node, bit = path(model.coder, both[3, r])[at[r]]
+        at[r] += 1
+        assert (node, bit) == (bits.node[j], bits.bit[j])
         for k in range(3):
-            for c, s in zip(q.contexts[k].view(np.int64).tolist(), q.symbol.tolist()):
-                rows.append((len(rows), 0, c, s, int(not is_held(i, 7, 2))))
-    offsets, nodes, bits = coder.paths
-    path = lambda s: list(zip(nodes[offsets[s] : offsets[s + 1]].tolist(), bits[offsets[s] : offsets[s + 1]].tolist()))
-    for _, _, c, s, n in rows:
-        for node, bit in path(s):
-            seen[c, node, bit] += n
-    shared = spark.sparkContext.broadcast(coder)
-    for r in context_mixing.context_answers(spark.createDataFrame(rows, context_mixing._PAIRS), shared).collect():
-        asked[r["context"], r["symbol"]] = np.frombuffer(bytes(r["answer"]), np.int16).reshape(-1, 2)
-    assert set(asked) == {(c, s) for _, _, c, s, _ in rows}
-    for (c, s), got in asked.items():
-        both = np.array([[seen[c, node, 0], seen[c, node, 1]] for node, _ in path(s)])
-        own = np.array([[bit == 0, bit == 1] for _, bit in path(s)])
-        less = np.maximum(both - own, 0)
-        assert (got[:, 0] == context_mixing._packed_logits(both[:, 0], both[:, 1])).all()
-        assert (got[:, 1] == context_mixing._packed_logits(less[:, 0], less[:, 1])).all()
+            if k or both[3, r] > end + 1:
+                c = [seen[k, int(contexts[k][first[r]]), node, b] for b in (0, 1)]
+            else:
+                c = [style[int(both[0, r]), node, b] for b in (0, 1)]
+            less = [max(x - (n[r] > 0 and b == bit), 0) for b, x in enumerate(c)]
+            for got, want in ((bits.full, c), (bits.less, less)):
+                assert got[k, j] == context_mixing._packed_logits(*[np.array([x]) for x in want])[0]
+    assert sum(at.values()) == sum(len(path(model.coder, s)) for s in both[3])
+
+
+@pytest.mark.parametrize("tokens", [1 << 18, 500])
+def test_scores_against_whole_buckets(spark, tokens):
+    """Every text's score is the sum of its symbols' prices, bucket by bucket, whatever blocks and partitions they travel in."""
+    rows = [r[:2] for r in lm_rows()[:305]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").where("doc_id is not null")
+    model = lm_model(spark, docs, bucket_tokens=tokens)
+    rows = [r for r in rows if r[0] is not None]
+    symbols, row = lm_symbols(model, [r[1] for r in rows])
+    learnt = np.array([not is_held(r[0], 7, 2) for r in rows])[row]
+    bucket = context_mixing._contexts(model, *symbols[:3])[0]
+    total = np.zeros(len(rows))
+    for b in np.unique(bucket):
+        on = np.flatnonzero(bucket == b)
+        # The order in which a bucket learns is that of its symbols' hashes.
+        _, first, inverse = np.unique(context_mixing._tuple_hash(*symbols[:, on]), return_index=True, return_inverse=True)
+        price = context_mixing.priced(model, *symbols[:, on[first]], np.bincount(inverse, learnt[on]).astype(np.int64))
+        total += np.bincount(row[on], price[inverse], len(rows))
+    want = sorted((i, round(-t / 4096 / math.log(10), 6)) for (i, _), t in zip(rows, total))
+    for parts in (1, 5):
+        got = context_mixing.score(docs.repartition(parts, "doc_id"), bucket_tokens=tokens).select("doc_id", "score").collect()
+        assert sorted((r[0], round(r[1], 6)) for r in got) == want
+
+
+def test_long_texts_in_pieces_keep_their_contexts(spark):
+    docs = spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string")
+    model = lm_model(spark, docs)
+    text = " ".join(r[1] for r in lm_rows()[:60]) + "  unseen " + "y" * 5000 + " tail "
+    a, b = (lm_symbols(model, [text], most)[0] for most in (1 << 22, 300))
+    assert sorted(map(tuple, a.T.tolist())) == sorted(map(tuple, b.T.tolist()))
 
 
 def test_context_counts_over_32_bits(spark):
     docs = spark.createDataFrame([(i, "some words again some words") for i in range(9)], "doc_id long, text string")
-    shared = spark.sparkContext.broadcast(context_mixing.train(docs)[0].coder)
-    pairs = spark.createDataFrame([(0, 0, 5, 0, 3_000_000_000), (1, 0, 5, 0, 3_000_000_000), (0, 1, 5, 1, 1)], context_mixing._PAIRS)
-    got = {r["symbol"]: np.frombuffer(bytes(r["answer"]), np.int16).reshape(-1, 2)[:, 0] for r in context_mixing.context_answers(pairs, shared).collect()}
-    bits = context_mixing._steps(shared.value.paths, np.array([0]))[2]
+    model = lm_model(spark, docs)
+    words = np.arange(2)
+    bits = context_mixing.bits_of(model, np.zeros(2, int), np.full(2, 1), np.full(2, 1), words, np.array([6_000_000_000, 1]))
     top = int(context_mixing._LOGIT * 256) * 4
-    assert (got[0] == np.where(bits == 1, top, -top) + 3).all()
+    own = bits.row == 0
+    last = own & (bits.node == path(model.coder, 0)[-1][0])
+    assert (bits.full[1:, last] == np.where(bits.bit[last] == 1, top, -top) + 3).all()
 
 
-def test_mixer_learns_from_long_texts(spark):
-    """A training text of any length trains the gates."""
-    i = next(i for i in range(9) if not is_held(i, 7, 2))
-    model, _ = context_mixing.train(spark.createDataFrame([(i, "some words again " * 100_000)], "doc_id long, text string"))
-    assert not np.allclose(model.weights, 0.3)
+def test_planes_round_trip():
+    x = np.array([[0, -5, 2**40], [1, 2, 3]])
+    assert (context_mixing._columns(context_mixing._planes(*x), 2) == x).all()
+    assert context_mixing._columns(context_mixing._planes(x[0][:0]), 1).shape == (1, 0)
 
 
 def pages():
