@@ -55,9 +55,11 @@ CONTEXTS = 3
 BUCKET_TOKENS = 1 << 18
 #: Buckets that a very common word's followers are spread over, for each bucket's worth of them.
 SPREAD = 4
-#: Step sizes of the rounds over a bucket's training bits, and bits a step.
-RATES = (0.02,)
-_STEP = 1 << 12
+#: Step size of the mixer, and bits a step.
+RATE = 0.02
+_STEP = 1 << 13
+#: Symbols of a bucket worked on at once, about: their arrays stay in a core's cache.
+_SYMBOLS = 1 << 15
 _BLOCK = 1 << 19
 #: Bytes of texts that send their symbols together; longer texts are sent in pieces.
 _TEXTS = 1 << 22
@@ -349,7 +351,7 @@ class Model:
 
 
 def _contexts(model: Model, style, last, two) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, hashes of the three contexts).
+    """(group: what stays together, hashes of the three contexts, each within a group).
 
     Words: none here (the last very common word has a table), the last word
     with its group of words before, the last two. Bytes: the last two with the
@@ -362,7 +364,7 @@ def _contexts(model: Model, style, last, two) -> tuple[np.ndarray, np.ndarray, n
     own = last.astype(np.uint64) << np.uint64(32)
     group = mix64(own + mix64(before + GOLDEN) % groups + GOLDEN)
     middle = np.where(byte, mix64(own + before + GOLDEN), group)
-    return (group % np.uint64(model.buckets)).astype(np.int64), mix64(group + style.astype(np.uint64)), middle, mix64(own + two.astype(np.uint64) + GOLDEN)
+    return group, mix64(group + style.astype(np.uint64)), middle, mix64(own + two.astype(np.uint64) + GOLDEN)
 
 
 def _style_batches(batches, coder):
@@ -463,14 +465,14 @@ def _sent(model: Model, s: Symbols, row: np.ndarray, learnt: np.ndarray):
     """(bucket, symbols, texts) of a block: each distinct symbol with its contexts once, and the texts that have it."""
     _, first, inverse = np.unique(_tuple_hash(s.style, s.last, s.two, s.symbol), return_index=True, return_inverse=True)
     style, last, two, symbol = (x[first].astype(np.int64) for x in (s.style, s.last, s.two, s.symbol))
-    bucket = _contexts(model, style, last, two)[0]
+    bucket = _contexts(model, style, last, two)[0] % np.uint64(model.buckets)
     order = np.lexsort((two, last, bucket))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     place = place[inverse]
     n, known = np.bincount(place, minlength=len(order)), np.bincount(place, learnt[row], len(order)).astype(np.int64)
     texts = row[np.argsort(place, kind="stable")]
-    bucket = bucket[order]
+    bucket = bucket[order].astype(np.int64)
     edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else np.zeros(1, int)
     at = np.concatenate(([0], np.cumsum(n)))
     columns = [x[order] for x in (style, last, two, symbol)] + [n, known]
@@ -536,7 +538,7 @@ def _packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Bits:
-    """The bits of a bucket's symbols, with each context's packed logit: of all counts, and without the bit's own."""
+    """Bits of symbols, with each context's packed logit: of all counts, and (where its symbol is learnt from) without the bit's own."""
 
     row: np.ndarray
     node: np.ndarray
@@ -552,38 +554,47 @@ def bits_of(model: Model, style, last, two, symbol, n) -> Bits:
     so that a node's zeros and ones are sums over a run.
     """
     c = model.coder
-    depth = np.diff(c.offsets)[symbol]
-    known = (n > 0).astype(np.int64)
+    root = c.offsets[symbol + 1] - 1
+    depth = root - c.offsets[symbol] + 1
+    known = n > 0
     runs = []
     for k, h in enumerate(_contexts(model, style, last, two)[1:]):
         among = np.flatnonzero(symbol > c.end + 1) if k == 0 else np.arange(len(symbol))
-        context = np.unique(h, return_inverse=True)[1]
-        runs.append((context, among[np.argsort(context[among] << 20 | c.leaf[symbol[among]])]))
+        context = np.unique(h, return_inverse=True)[1] << 20
+        runs.append([context, among[np.argsort(context[among] | c.leaf[symbol[among]])]])
     parts = []
-    nodes, bits = np.zeros(len(symbol), np.int32), np.zeros(len(symbol), np.int64)
+    nodes, bits = np.zeros(len(symbol), np.int32), np.zeros(len(symbol), np.int8)
     full, less = np.zeros((2, CONTEXTS, len(symbol)), np.int16)
+    row, word = np.arange(len(symbol)), np.flatnonzero(symbol <= c.end + 1)
     for level in range(int(depth.max()) if len(depth) else 0):
-        row = np.flatnonzero(depth > level)
-        at = c.offsets[symbol[row] + 1] - 1 - level
+        row, word = row[depth[row] > level], word[depth[word] > level]
+        at = root[row] - level
         nodes[row], bits[row] = c.nodes[at], c.bits[at]
-        word = row[symbol[row] <= c.end + 1]
-        place, side, mine = model.top[nodes[word]], bits[word], known[word]
-        count = np.where((place >= 0)[:, None], model.style[style[word], np.maximum(place, 0)], 0)
-        full[0][word] = _packed_logits(count[:, 0], count[:, 1])
-        less[0][word] = _packed_logits(np.maximum(count[:, 0] - mine * (1 - side), 0), np.maximum(count[:, 1] - mine * side, 0))
-        for (context, order), whole, without in zip(runs, full, less):
-            on = order[depth[order] > level]
+        if level < TOP_BITS:
+            count = model.style[style[word], model.top[nodes[word]]]
+            full[0][word] = _packed_logits(count[:, 0], count[:, 1])
+            mine = word[known[word]]
+            count = count[known[word]]
+            count[np.arange(len(mine)), bits[mine]] -= 1
+            count = np.maximum(count, 0)
+            less[0][mine] = _packed_logits(count[:, 0], count[:, 1])
+        elif level == TOP_BITS:
+            full[0][word] = less[0][word] = 0
+        for run, whole, without in zip(runs, full, less):
+            context, on = run[0], run[1][depth[run[1]] > level]
+            run[1] = on
             if not len(on):
                 continue
-            key = context[on] << 20 | nodes[on]
+            key = context[on] | nodes[on]
             start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-            weight, side, mine = n[on], bits[on], known[on]
+            weight, side = n[on], bits[on]
             total, ones = np.add.reduceat(weight, start), np.add.reduceat(weight * side, start)
-            run = np.diff(np.concatenate((start, [len(on)])))
-            whole[on] = np.repeat(_packed_logits(total - ones, ones), run)
-            one = np.repeat(ones, run)
-            without[on] = _packed_logits(np.repeat(total, run) - one - mine * (1 - side), one - mine * side)
-        parts.append((row.astype(np.int32), nodes[row], bits[row].astype(np.int8), full[:, row], less[:, row]))
+            size = np.diff(np.concatenate((start, [len(on)])))
+            whole[on] = np.repeat(_packed_logits(total - ones, ones), size)
+            # Without the bit's own: two values a run, one for each side.
+            both = np.stack((_packed_logits(np.maximum(total - ones - 1, 0), ones), _packed_logits(total - ones, np.maximum(ones - 1, 0))))
+            without[on] = both[side, np.repeat(np.arange(len(start)), size)]
+        parts.append((row.astype(np.int32), nodes[row], bits[row], full[:, row], less[:, row]))
     if not parts:
         return Bits(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8), np.zeros((CONTEXTS, 0), np.int16), np.zeros((CONTEXTS, 0), np.int16))
     return Bits(*[np.concatenate([p[k] for p in parts], axis=-1) for k in range(5)])
@@ -641,38 +652,45 @@ class Mixer:
         step = np.clip(np.rint(z * np.float32(0.5 * _FINE)), -12 * _FINE, 12 * _FINE).astype(np.int32)
         return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
 
-    def learn(self, node: np.ndarray, packed: np.ndarray, bit: np.ndarray, n: np.ndarray, rate: float) -> None:
-        """Online steps over bits that occur ``n`` times: per gate the mean gradient, times the root of its bits."""
+    def learn(self, node: np.ndarray, packed: np.ndarray, bit: np.ndarray, n: np.ndarray) -> None:
+        """An online step over bits that occur ``n`` times: per gate the mean gradient, times the root of its bits."""
         x, gate = _inputs(self.coder, node, packed)
-        for c in range(0, len(node), _STEP):
-            xs, g, y, w = [v[c : c + _STEP] for v in x], gate[c : c + _STEP], bit[c : c + _STEP], n[c : c + _STEP]
-            z = _mixed(self.weights, xs, g)
-            error = (y - 1 / (1 + np.exp(-np.clip(z, -12, 12)))) * w
-            scale = rate * np.sqrt(np.bincount(g, minlength=2 * _GATES)) / np.maximum(np.bincount(g, w, 2 * _GATES), 1)
-            for own, v in zip(self.weights, xs):
-                own += (scale * np.bincount(g, error * v, 2 * _GATES)).astype(np.float32)
-            place, share = _refined(z, g)
-            r = self.refine[place] * (1 - share) + self.refine[place + 1] * share
-            error = (y - 1 / (1 + np.exp(-np.clip(r, -12, 12)))) * w
-            size = len(self.refine)
-            scale = rate * np.sqrt(np.bincount(place, minlength=size) + np.bincount(place + 1, minlength=size)) / np.maximum(np.bincount(place, w, size) + np.bincount(place + 1, w, size), 1)
-            self.refine += (scale * (np.bincount(place, error * (1 - share), size) + np.bincount(place + 1, error * share, size))).astype(np.float32)
+        z = _mixed(self.weights, x, gate)
+        error = (bit - 1 / (1 + np.exp(-np.clip(z, -12, 12)))) * n
+        scale = RATE * np.sqrt(np.bincount(gate, minlength=2 * _GATES)) / np.maximum(np.bincount(gate, n, 2 * _GATES), 1)
+        for own, v in zip(self.weights, x):
+            own += (scale * np.bincount(gate, error * v, 2 * _GATES)).astype(np.float32)
+        place, share = _refined(z, gate)
+        both = np.concatenate((place, place + 1))
+        r = self.refine[place] * (1 - share) + self.refine[place + 1] * share
+        error = (bit - 1 / (1 + np.exp(-np.clip(r, -12, 12)))) * n
+        size = len(self.refine)
+        scale = RATE * np.sqrt(np.bincount(both, minlength=size)) / np.maximum(np.bincount(both, np.concatenate((n, n)), size), 1)
+        self.refine += (scale * np.bincount(both, np.concatenate((error * (1 - share), error * share)), size)).astype(np.float32)
 
 
 def priced(model: Model, style, last, two, symbol, n) -> np.ndarray:
-    """Price of each distinct symbol of a bucket in steps of 1/4096 natural log, by weights learnt from those with training occurrences."""
-    bits = bits_of(model, style, last, two, symbol, n)
+    """Price of each distinct symbol of a bucket in steps of 1/4096 natural log.
+
+    Weights are learnt online from the symbols with training occurrences, part
+    by part (whole groups); each part is priced once it has been learnt from,
+    and the first one is gone through twice.
+    """
+    group = mix64(_contexts(model, style, last, two)[0] + GOLDEN) >> np.uint64(20)
+    part = (group % np.uint64(len(symbol) // _SYMBOLS + 1)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
     mixer = Mixer(model.coder)
-    known = np.flatnonzero(n[bits.row] > 0)
-    known = np.random.default_rng(len(known)).permutation(known)
-    for rate in RATES:
-        for a in range(0, len(known), 16 * _STEP):
-            part = known[a : a + 16 * _STEP]
-            mixer.learn(bits.node[part], bits.less[:, part], bits.bit[part], n[bits.row[part]], rate)
     price = np.zeros(len(symbol))
-    for a in range(0, len(bits.row), 16 * _STEP):
-        part = slice(a, a + 16 * _STEP)
-        price -= np.bincount(bits.row[part], mixer.log_p(bits.node[part], bits.full[:, part], bits.bit[part]), len(symbol))
+    for k, on in enumerate(np.split(order, np.flatnonzero(np.diff(part[order])) + 1)):
+        bits = bits_of(model, *[x[on] for x in (style, last, two, symbol, n)])
+        weight = n[on][bits.row].astype(np.float32)
+        known = np.flatnonzero(weight > 0)
+        known = np.random.default_rng(len(known)).permutation(known)
+        for _ in range(1 if k else 2):
+            for a in range(0, len(known), _STEP):
+                step = known[a : a + _STEP]
+                mixer.learn(bits.node[step], bits.less[:, step], bits.bit[step], weight[step])
+        price[on] = -np.bincount(bits.row, mixer.log_p(bits.node, bits.full, bits.bit), len(on))
     return np.rint(price * _UNIT).astype(np.int64)
 
 

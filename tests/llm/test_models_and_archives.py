@@ -255,7 +255,7 @@ def test_context_counts_are_exact(spark):
             else:
                 c = [style[int(both[0, r]), node, b] for b in (0, 1)]
             less = [max(x - (n[r] > 0 and b == bit), 0) for b, x in enumerate(c)]
-            for got, want in ((bits.full, c), (bits.less, less)):
+            for got, want in ((bits.full, c), (bits.less, less)) if n[r] else ((bits.full, c),):
                 assert got[k, j] == context_mixing._packed_logits(*[np.array([x]) for x in want])[0]
     assert sum(at.values()) == sum(len(path(model.coder, s)) for s in both[3])
 
@@ -269,7 +269,7 @@ def test_scores_against_whole_buckets(spark, tokens):
     rows = [r for r in rows if r[0] is not None]
     symbols, row = lm_symbols(model, [r[1] for r in rows])
     learnt = np.array([not is_held(r[0], 7, 2) for r in rows])[row]
-    bucket = context_mixing._contexts(model, *symbols[:3])[0]
+    bucket = context_mixing._contexts(model, *symbols[:3])[0] % np.uint64(model.buckets)
     total = np.zeros(len(rows))
     for b in np.unique(bucket):
         on = np.flatnonzero(bucket == b)
