@@ -161,8 +161,23 @@ def tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return offsets, nodes, bits, logit.astype(np.float32)
 
 
+class _Sent:
+    """Arrays travel compressed: a broadcast lies on the disk of the driver and of every executor."""
+
+    def __getstate__(self):
+        return {k: (v.dtype.str, v.shape, pa.compress(v.tobytes(), codec="zstd", asbytes=True)) if isinstance(v, np.ndarray) else v for k, v in vars(self).items()}
+
+    def __setstate__(self, state):
+        for k, v in state.items():
+            if isinstance(v, tuple):
+                kind, shape, data = v
+                size = int(np.prod(shape)) * np.dtype(kind).itemsize
+                v = np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True), kind).reshape(shape) if size else np.zeros(shape, kind)
+            setattr(self, k, v)
+
+
 @dataclass
-class Coder:
+class Coder(_Sent):
     """The vocabulary (sorted hashes with their rank and count) and the two trees as one set of paths.
 
     Symbols: words by rank, the end, the escape, then 257 bytes (256: end of the word).
@@ -183,7 +198,7 @@ class Coder:
     def of(cls, words: np.ndarray, rank: np.ndarray, count: np.ndarray, word_tree: tuple, byte_tree: tuple) -> Coder:
         (w_at, w_node, w_bit, w_logit), (b_at, b_node, b_bit, b_logit) = word_tree, byte_tree
         offsets = np.concatenate((w_at, b_at[1:] + w_at[-1]))
-        nodes, bits = np.concatenate((w_node, b_node + len(w_logit))), np.concatenate((w_bit, b_bit))
+        nodes, bits = np.concatenate((w_node, b_node + len(w_logit))).astype(np.int32), np.concatenate((w_bit, b_bit))
         place = (np.arange(len(offsets) - 1) >= len(w_at) - 1).astype(np.int64)
         depth = np.diff(offsets)
         kind = place
@@ -338,7 +353,7 @@ def coded(coder: Coder, raw: np.ndarray, at: np.ndarray, most: int = _TEXTS):
 
 
 @dataclass
-class Model:
+class Model(_Sent):
     coder: Coder
     style: np.ndarray  # zeros and ones by (style, node of the top)
     top: np.ndarray  # node -> its place among those of the top, -1: none
@@ -426,8 +441,10 @@ def train(docs: DataFrame, vocab: int = VOCAB, bucket_tokens: int = BUCKET_TOKEN
     weights = np.concatenate((n, [max(texts, 1), max(far, 1)])).astype(float)
     byte_n[256] = max(total["n"], 1)
     coder = Coder.of(hashes[order], np.arange(len(hashes))[order], n[order], tree(weights), tree(byte_n + 1))
-    styles = known.select("text").mapInArrow(partial(_style_batches, coder=spark.sparkContext.broadcast(coder)), "key long, n long")
+    shared = spark.sparkContext.broadcast(coder)
+    styles = known.select("text").mapInArrow(partial(_style_batches, coder=shared), "key long, n long")
     styles = styles.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 257 styles by 2**TOP_BITS kinds, and as many nodes
+    shared.destroy()
     style, place = _style_counts(coder, styles.column("key").to_numpy(), styles.column("n").to_numpy())
     share = bucket_tokens / SPREAD
     groups = np.maximum(np.ceil(np.concatenate((n, [1, far, texts])) / share), 1).astype(np.int64)
