@@ -291,6 +291,18 @@ def test_long_texts_in_pieces_keep_their_contexts(spark):
     assert sorted(map(tuple, a.T.tolist())) == sorted(map(tuple, b.T.tolist()))
 
 
+def test_mixer_learns_from_long_texts(spark, monkeypatch):
+    """A training text of any length, in pieces, trains the gates: its symbols get cheaper."""
+    i = next(i for i in range(9) if not is_held(i, 7, 2))
+    text = "some words again " * 100_000
+    model = lm_model(spark, spark.createDataFrame([(i, text)], "doc_id long, text string"))
+    symbols, _ = lm_symbols(model, [text], 1 << 16)
+    both, n = np.unique(symbols, axis=1, return_counts=True)
+    learnt = (context_mixing.priced(model, *both, n) * n).sum()
+    monkeypatch.setattr(context_mixing, "RATE", 0.0)
+    assert learnt < (context_mixing.priced(model, *both, n) * n).sum()
+
+
 def test_context_counts_over_32_bits(spark):
     docs = spark.createDataFrame([(i, "some words again some words") for i in range(9)], "doc_id long, text string")
     model = lm_model(spark, docs)
