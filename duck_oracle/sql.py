@@ -234,6 +234,13 @@ q("full_refresh_write", [f"silver_{t}" for t in _SILVER] + _GOLD, _union(
     + [f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _GOLD]
 ))
 
+_FACT_MONEY = {"fact_pos_transactions": "net_revenue", "fact_ecom_orders": "net_revenue",
+               "fact_sales_items": "line_revenue", "fact_returns": "refund_amount"}
+q("co_partitioned_facts", list(_FACT_MONEY), _union([
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(sum({c}) AS DECIMAL(38,2)) AS money, "
+    f"count(DISTINCT date_sk) AS days FROM {t}" for t, c in _FACT_MONEY.items()
+]))
+
 _VIEW_KEYS = ["view_revenue_summary", "view_kpi_overview", "view_daily_revenue", "view_product_performance",
               "view_category_performance", "view_store_performance", "view_inventory_snapshot",
               "view_inventory_turnover", "view_returns_summary"]

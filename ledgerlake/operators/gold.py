@@ -137,9 +137,16 @@ def unmatched(table: str, silver: dict[str, DataFrame], dp: DataFrame, ds: DataF
 
 def pos_headers(pt: DataFrame, ds: DataFrame, dd: DataFrame) -> DataFrame:
     """Valid POS headers with store and date keys attached."""
-    h = pt.filter(
+    return _with_store_and_date(_valid_pos_headers(pt), ds, dd)
+
+
+def _valid_pos_headers(pt: DataFrame) -> DataFrame:
+    return pt.filter(
         (F.col("is_duplicate") == 0) & (F.col("is_bad_date") == 0) & (F.col("is_bad_total") == 0)
     ).withColumn("_d", F.to_date("transaction_timestamp"))
+
+
+def _with_store_and_date(h: DataFrame, ds: DataFrame, dd: DataFrame) -> DataFrame:
     return (
         h.join(ds.select("store_id", "store_sk"), "store_id")
         .join(_date_keys(dd), F.col("_d") == F.col("full_date"))
@@ -195,14 +202,24 @@ def _valid_lines(items: DataFrame) -> DataFrame:
 
 
 def fact_sales_items(
-    pi: DataFrame, pt: DataFrame, ei: DataFrame, eo: DataFrame, dp: DataFrame, ds: DataFrame, dd: DataFrame
+    pi: DataFrame, pt: DataFrame, ei: DataFrame, eo: DataFrame, dp: DataFrame, ds: DataFrame, dd: DataFrame,
+    lines_first: bool = False,
 ) -> DataFrame:
-    """POS lines UNION ALL e-commerce lines, at line grain."""
+    """POS lines UNION ALL e-commerce lines, at line grain.
+
+    ``lines_first`` joins lines and headers before anything else, for tables
+    that lie together by the header key: a join of the headers with the stores
+    would deal them out anew. Same rows either way.
+    """
     products = dp.select("product_id", "product_sk")
-    pos_h = pos_headers(pt, ds, dd).select("transaction_id", "store_sk", "date_sk")
+    if lines_first:
+        pos_h = _valid_pos_headers(pt).select("transaction_id", "store_id", "_d")
+        pos = _with_store_and_date(_valid_lines(pi).join(pos_h, "transaction_id"), ds, dd)
+    else:
+        pos_h = pos_headers(pt, ds, dd).select("transaction_id", "store_sk", "date_sk")
+        pos = _valid_lines(pi).join(pos_h, "transaction_id")
     pos = (
-        _valid_lines(pi)
-        .join(pos_h, "transaction_id")
+        pos
         .join(products, "product_id")
         .select(
             F.lit("POS").alias("source_system"),
@@ -235,11 +252,15 @@ def fact_sales_items(
     )
 
 
-def fact_returns(r: DataFrame, pt: DataFrame, dp: DataFrame, ds: DataFrame, dd: DataFrame) -> DataFrame:
+def fact_returns(
+    r: DataFrame, pt: DataFrame, dp: DataFrame, ds: DataFrame, dd: DataFrame, header_first: bool = False
+) -> DataFrame:
     """Return events; store from the POS header when there is one.
 
     As written, the header side is *not* deduplicated, so a duplicated
-    header repeats its returns (the grain audit reports it).
+    header repeats its returns (the grain audit reports it). ``header_first``
+    joins returns and headers before anything else, for tables that lie
+    together by the header key. Same rows either way.
     """
     valid = r.filter(
         (F.col("is_duplicate") == 0)
@@ -247,14 +268,17 @@ def fact_returns(r: DataFrame, pt: DataFrame, dp: DataFrame, ds: DataFrame, dd:
         & (F.col("is_bad_qty") == 0)
         & (F.col("is_bad_refund") == 0)
     ).withColumn("_d", F.col("return_date"))
-    header_store = pt.select(F.col("transaction_id"), F.col("store_id").alias("_hstore")).join(
-        ds.select(F.col("store_id").alias("_hstore"), "store_sk"), "_hstore", "left"
-    ).drop("_hstore")
-    out = (
-        valid.join(dp.select("product_id", "product_sk"), "product_id")
-        .join(_date_keys(dd), F.col("_d") == F.col("full_date"))
-        .join(header_store, "transaction_id", "left")
+    stores = ds.select(F.col("store_id").alias("_hstore"), "store_sk")
+    headers = pt.select(F.col("transaction_id"), F.col("store_id").alias("_hstore"))
+    if header_first:
+        out = valid.join(headers, "transaction_id", "left").join(stores, "_hstore", "left")
+    else:
+        out = valid
+    out = out.join(dp.select("product_id", "product_sk"), "product_id").join(
+        _date_keys(dd), F.col("_d") == F.col("full_date")
     )
+    if not header_first:
+        out = out.join(headers.join(stores, "_hstore", "left").drop("_hstore"), "transaction_id", "left")
     return out.select(
         surrogate_key("return_id", "product_sk", "date_sk", "store_sk").alias("return_sk"),
         "return_id", "product_sk", "store_sk", "date_sk",

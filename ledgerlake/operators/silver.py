@@ -267,6 +267,10 @@ def _finish(out: DataFrame, table: str) -> DataFrame:
         out = out.withColumn("is_duplicate", F.lit(0))
     else:
         out = dedup_flag(out, keys)
+    return lineage_last(out)
+
+
+def lineage_last(out: DataFrame) -> DataFrame:
     body = [c for c in out.columns if c not in LINEAGE]
     return out.select(*body, *LINEAGE)
 

@@ -202,7 +202,35 @@ def _publish_views(w: Warehouse) -> DataFrame:
     return out
 
 
+def _co_partitioned_facts(w: Warehouse) -> DataFrame:
+    """The facts built from headers, lines and returns that lie in buckets of
+    the header key: rows and money of each."""
+    from ledgerlake.plans.layout import lay_out
+    from ledgerlake.session import scratch_path
+
+    name = f"layout_{uuid.uuid4().hex[:12]}"
+    buckets = int(w.spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = lay_out(w, scratch_path(w.spark, name), name, buckets)
+    out = None
+    for fact, money in CO_PARTITIONED_MONEY.items():
+        g = laid.gold(fact).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum(money).cast("decimal(38,2)").alias("money"),
+            F.count_distinct("date_sk").alias("days"),
+        ).select(F.lit(fact).alias("table_name"), "row_count", "money", "days")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+# The amount of each fact that is added up.
+CO_PARTITIONED_MONEY = {
+    "fact_pos_transactions": "net_revenue",
+    "fact_ecom_orders": "net_revenue",
+    "fact_sales_items": "line_revenue",
+    "fact_returns": "refund_amount",
+}
+
 register("full_refresh_write", _full_refresh_write)
+register("co_partitioned_facts", _co_partitioned_facts)
 register("publish_views", _publish_views)
 
 # ----------------------------------------------------------------- quality
