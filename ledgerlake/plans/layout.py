@@ -16,13 +16,13 @@ fact is the union of both.
 from __future__ import annotations
 
 import os
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import gold, silver
-from ledgerlake.plans.warehouse import Warehouse
+from ledgerlake.plans.warehouse import Warehouse, run_all
 
 # The header key of each family, and the tables that carry it.
 FAMILIES = {
@@ -96,27 +96,40 @@ def lay_out(w: Warehouse, path: str, database: str, buckets: int, least_hot: int
     """
     spark = w.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{path}'")
+    key_of = {t: key for key, tables in FAMILIES.items() for t in tables}
+    typed = {t: silver.accepted(w.silver_typed(t), t) for t in key_of}
+    rows = {t: typed[t] if _marked_by(t, key) else w.silver(t) for t, key in key_of.items()}
+
+    def write_hot(key: str) -> None:
+        found = hot_keys([typed[t] for t in FAMILIES[key]], key, buckets, least_hot)
+        found.write.mode("overwrite").parquet(os.path.join(path, "hot_keys", key))
+
+    def split(t: str) -> tuple[DataFrame, Column]:
+        key = key_of[t]
+        hot = spark.read.schema(typed[t].select(key).schema).parquet(os.path.join(path, "hot_keys", key))
+        hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # at most ``buckets`` keys for each table of the family
+        return rows[t].join(hot, key, "left"), F.col("_hot").isNotNull() | F.col(key).isNull()
+
+    def write_spread(t: str) -> None:
+        both, apart = split(t)
+        both.filter(apart).select(rows[t].columns).write.mode("overwrite").parquet(os.path.join(path, "spread", t))
+
+    def write_bucketed(t: str) -> None:
+        # Spark deals rows to partitions and to buckets by the same hash: one file a bucket.
+        both, apart = split(t)
+        out = both.filter(~apart).select(rows[t].columns).repartition(buckets, key_of[t]).write.mode("overwrite")
+        out = out.format("parquet").option("path", os.path.join(path, "bucketed", t))
+        out.bucketBy(buckets, key_of[t]).sortBy(key_of[t]).saveAsTable(f"`{database}`.`{t}`")
+
+    run_all([partial(write_hot, key) for key in FAMILIES])
+    run_all([partial(write, t) for t in key_of for write in (write_bucketed, write_spread)])
     bucketed, spread = {}, {}
-    for key, tables in FAMILIES.items():
-        typed = {t: silver.accepted(w.silver_typed(t), t) for t in tables}
-        folder = os.path.join(path, "hot_keys", key)
-        hot_keys(list(typed.values()), key, buckets, least_hot).write.mode("overwrite").parquet(folder)
-        hot = spark.read.schema(typed[tables[0]].select(key).schema).parquet(folder).withColumn("_hot", F.lit(True))
-        for t in tables:
-            rows = typed[t] if _marked_by(t, key) else w.silver(t)
-            split = rows.join(F.broadcast(hot), key, "left")  # at most ``buckets`` keys for each table of the family
-            apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-            aside = os.path.join(path, "spread", t)
-            split.filter(apart).select(rows.columns).write.mode("overwrite").parquet(aside)
-            # Spark deals rows to partitions and to buckets by the same hash: one file a bucket.
-            (split.filter(~apart).select(rows.columns).repartition(buckets, key).write.mode("overwrite")
-             .format("parquet").option("path", os.path.join(path, "bucketed", t))
-             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{database}`.`{t}`"))
-            together, apart_rows = spark.table(f"`{database}`.`{t}`"), spark.read.schema(rows.schema).parquet(aside)
-            if _marked_by(t, key):
-                keys = silver.DEDUP_KEYS[t]
-                together = silver.lineage_last(mark_in_place(together, keys))
-                apart_rows = silver.lineage_last(silver.dedup_flag(apart_rows, keys))
-            bucketed[f"silver_{t}"], spread[f"silver_{t}"] = together, apart_rows
+    for t, key in key_of.items():
+        together, aside = spark.table(f"`{database}`.`{t}`"), spark.read.schema(rows[t].schema).parquet(os.path.join(path, "spread", t))
+        if _marked_by(t, key):
+            keys = silver.DEDUP_KEYS[t]
+            together = silver.lineage_last(mark_in_place(together, keys))
+            aside = silver.lineage_last(silver.dedup_flag(aside, keys))
+        bucketed[f"silver_{t}"], spread[f"silver_{t}"] = together, aside
     dims = {n: w.gold(n) for n in ("dim_product", "dim_store", "dim_date")}
     return LaidOut(*[Warehouse(spark, None, w.date_range, {**dims, **part}) for part in (bucketed, spread)])

@@ -8,6 +8,7 @@ detail) and leave out load timestamps.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -206,11 +207,16 @@ def _co_partitioned_facts(w: Warehouse) -> DataFrame:
     """The facts built from headers, lines and returns that lie in buckets of
     the header key: rows and money of each."""
     from ledgerlake.plans.layout import lay_out
+    from ledgerlake.plans.warehouse import run_all
     from ledgerlake.session import scratch_path
 
     name = f"layout_{uuid.uuid4().hex[:12]}"
     buckets = int(w.spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = lay_out(w, scratch_path(w.spark, name), name, buckets)
+    path = scratch_path(w.spark, name)
+    bronze = {ds: os.path.join(path, "bronze", ds) for ds in w.raw_datasets}
+    run_all([lambda ds=ds, at=at: w.raw(ds).write.parquet(at) for ds, at in bronze.items()])
+    raw = {ds: w.spark.read.schema(w.raw(ds).schema).parquet(at) for ds, at in bronze.items()}
+    laid = lay_out(Warehouse.from_raw(w.spark, raw, w.date_range), path, name, buckets)
     out = None
     for fact, money in CO_PARTITIONED_MONEY.items():
         g = laid.gold(fact).agg(

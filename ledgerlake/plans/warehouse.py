@@ -36,6 +36,13 @@ DIM_NATURAL = {"dim_product": "product_id", "dim_store": "store_id"}
 FACT_PARTITION = "date_month"
 
 
+def run_all(jobs: list, parallel: int = 8) -> None:
+    """Submit independent Spark jobs at the same time, so that their stages overlap."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 class Warehouse:
     def __init__(
         self,
@@ -195,17 +202,12 @@ class Warehouse:
         def silver_counts(n: str) -> list:
             return [F.count_if(F.col("is_duplicate") == 1).alias("duplicates"), F.count_if(gold.valid(n)).alias("valid")]
 
-        def run_all(jobs):
-            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-                for f in [pool.submit(j) for j in jobs]:
-                    f.result()
-
         source = self
         if include_bronze:
             run_all([
                 (lambda ds=ds, df=df: df.write.mode("overwrite").parquet(os.path.join(path, "bronze", ds)))
                 for ds, df in self._raw.items()
-            ])
+            ], parallel)
             # Silver builds from the written bronze layer: each raw extract is
             # derived once, and the lineage is cut at bronze.
             bronze = {ds: self.spark.read.schema(df.schema).parquet(os.path.join(path, "bronze", ds))
@@ -226,7 +228,7 @@ class Warehouse:
             (lambda n=n: watched(source.quarantine(n), ("quarantine", n)).write.mode("overwrite").parquet(
                 os.path.join(path, "quarantine", n)))
             for n in SILVER_TABLES if silver.RAW_OF[n] in source._raw
-        ])
+        ], parallel)
         # Gold builds from the written Silver layer (lineage cut there).
         written = Warehouse(self.spark, self._raw, self.date_range, {
             f"silver_{n}": self.spark.read.schema(schemas[n]).parquet(os.path.join(path, "silver", n))
@@ -242,7 +244,7 @@ class Warehouse:
                 df = identity.with_identities(keys, n, df, DIM_NATURAL[n], f"{n[4:]}_sk")
             watched(df, ("gold", n)).write.mode("overwrite").parquet(os.path.join(path, "gold", n))
 
-        run_all([(lambda n=n: write_dim(n)) for n in dims])
+        run_all([(lambda n=n: write_dim(n)) for n in dims], parallel)
         for n in dims:
             schemas[n] = written.gold(n).schema
             written._memo[n] = self.spark.read.schema(schemas[n]).parquet(os.path.join(path, "gold", n))
@@ -261,7 +263,7 @@ class Warehouse:
             (lambda n=n: watched(written.unmatched(n), ("unmatched", n)).write.mode("overwrite").parquet(
                 os.path.join(path, "unmatched", n)))
             for n in (SILVER_TABLES if totals is not None else [])
-        ])
+        ], parallel)
         if totals is not None:
             totals.update({what: dict(s.get) for what, s in seen.items()})
         return Warehouse.from_parquet(self.spark, path, self.date_range, schemas, list(self._raw) if include_bronze else [])
