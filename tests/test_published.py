@@ -59,3 +59,26 @@ def test_returns_of_a_hot_product_do_not_overflow(spark):
     w._memo["fact_sales_items"] = sales.union(sales.limit(0)).unionByName(sales.selectExpr("product_sk", "CAST(7 AS BIGINT) AS quantity", "line_revenue"))
     row = views.view_returns_summary(w).first()  # two lines a return: 1.6e19 units
     assert (row["total_returns"], row["units_returned"], row["return_rate"]) == (8, None, 0)
+
+
+@pytest.fixture(scope="module")
+def all_names(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("all"))
+    w = warehouse_for(spark, SF_SMALL).materialize(path)
+    return w, published.publish(spark, path, "kpi_all", {t: w.gold(t) for t in GOLD_TABLES}, variants=True)
+
+
+@pytest.mark.parametrize("name", list(published.VARIANTS))
+def test_variant_answers_in_another_session(spark, all_names, name):
+    got, want = spark.newSession().table(f"kpi_all.{name}"), views.VIEWS[name](all_names[0])
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    assert _rows(got) == _rows(want) and want.count()
+
+
+def test_the_query_publishes_every_view_variant_and_sample(spark, all_names):
+    import __spark_entry__ as e
+
+    assert sorted(all_names[1]) == sorted(views.VIEWS) and len(views.VIEWS) == 16
+    names = [r["view_name"] for r in e.queries()["publish_views"](spark, SF_SMALL).collect()]
+    assert sorted(names) == sorted(views.VIEWS)
+    assert all(f"'{name}' AS view_name" in e.oracle_sql()["publish_views"] for name in views.VIEWS)
