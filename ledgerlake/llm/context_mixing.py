@@ -30,7 +30,7 @@ the number of partitions nor on the order of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, materialise, mix64, powers, row_blocks, utf8_parts, word_bounds, word_hashes
+from ledgerlake.llm.common import GOLDEN, IS_SPACE, LOWER, in_slices, materialise, mix64, powers, row_blocks, utf8_parts, word_bounds, word_hashes
 
 #: Words that have a code of their own, at most (the commonest; ties to the smaller hash).
 VOCAB = 1 << 18
@@ -60,9 +60,13 @@ RATE = 0.02
 _STEP = 1 << 13
 #: Symbols of a bucket worked on at once, about: their arrays stay in a core's cache.
 _SYMBOLS = 1 << 15
+#: Bytes of texts worked on at once; longer texts are worked on in pieces.
 _BLOCK = 1 << 19
-#: Bytes of texts that send their symbols together; longer texts are sent in pieces.
+#: Bytes of texts that send their symbols together, and symbols from which they are sent in parts.
 _TEXTS = 1 << 22
+_SEND = 1 << 20
+#: Rows of a slice of an Arrow batch, at most.
+_ROWS = 1 << 14
 #: Scores are added up in whole steps of 1/4096 natural log, so that the order of adding is no matter.
 _UNIT = 4096
 _LOGIT = 8.0
@@ -84,13 +88,15 @@ def _count_batches(batches):
     byte_n, texts = np.zeros(257, np.int64), 0
 
     def fold():
-        h = np.concatenate([total["h"], *pending])
-        n = np.concatenate([total["n"], np.ones(len(h) - len(total["h"]), np.int64)])
-        u, at = np.unique(h, return_inverse=True)
-        total["h"], total["n"] = u, np.bincount(at, n, len(u)).astype(np.int64)
+        some, n = np.unique(np.concatenate([total["h"][:0], *pending]), return_counts=True)
         pending.clear()
+        h, n = np.concatenate((total["h"], some)), np.concatenate((total["n"], n))
+        order = np.argsort(h, kind="stable")  # two sorted runs
+        h = h[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
+        total["h"], total["n"] = h[first], np.add.reduceat(n[order], first) if len(h) else n
 
-    for batch in batches:
+    for batch in in_slices(batches, _ROWS):
         raw, at = utf8_parts(batch.column("text"))
         texts += len(at) - 1
         for a, b in row_blocks(at, _BLOCK):
@@ -99,7 +105,7 @@ def _count_batches(batches):
             byte_n += np.bincount(LOWER[part], minlength=257)
             pending.append(word_hashes(part, starts, ends))
             size += len(starts)
-            if size > 2_000_000:
+            if size > _SEND:
                 fold()
                 size = 0
     fold()
@@ -165,7 +171,8 @@ class _Sent:
     """Arrays travel compressed: a broadcast lies on the disk of the driver and of every executor."""
 
     def __getstate__(self):
-        return {k: (v.dtype.str, v.shape, pa.compress(v.tobytes(), codec="zstd", asbytes=True)) if isinstance(v, np.ndarray) else v for k, v in vars(self).items()}
+        own = {k: v for k, v in vars(self).items() if k in self.__dataclass_fields__}  # what is derived is not sent
+        return {k: (v.dtype.str, v.shape, pa.compress(v.tobytes(), codec="zstd", asbytes=True)) if isinstance(v, np.ndarray) else v for k, v in own.items()}
 
     def __setstate__(self, state):
         for k, v in state.items():
@@ -219,8 +226,22 @@ class Coder(_Sent):
         """Place of each hash among ``words``, -1 if it has none."""
         if not len(self.words):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        first, shift = self._starts
+        at, last = np.take(first, (hashes >> shift).astype(np.intp)), len(self.words) - 1
+        found = np.take(self.words, np.minimum(at, last))
+        on = np.flatnonzero((found < hashes) & (at < last))
+        while len(on):  # a few steps: words are spread evenly
+            at[on] += 1
+            found[on] = self.words[at[on]]
+            on = on[(found[on] < hashes[on]) & (at[on] < last)]
+        return np.where(found == hashes, at, -1)
+
+    @cached_property
+    def _starts(self) -> tuple[np.ndarray, np.uint64]:
+        """By the high bits of a hash: the first word from there on."""
+        bits = min(max(len(self.words).bit_length() + 1, 1), 22)
+        shift = np.uint64(64 - bits)
+        return np.searchsorted(self.words, np.arange(1 << bits, dtype=np.uint64) << shift), shift
 
 
 @dataclass
@@ -265,8 +286,8 @@ class Symbols:
 _STYLES = COMMON + 1
 
 
-def symbols_of(coder: Coder, w: Words, before: tuple = ()) -> Symbols:
-    """Words and ends, then the bytes of words without a code. ``before``: (two, last, style) that a piece goes on from."""
+def symbols_of(coder: Coder, w: Words, before: tuple = (), spelt: bool = True) -> Symbols:
+    """Words and ends, then (if ``spelt``) the bytes of words without a code. ``before``: (two, last, style) that a piece goes on from."""
     n, end = len(w.row), coder.end
     vocab = n and end
     symbol = np.where(w.place >= 0, coder.rank[np.maximum(w.place, 0)] if vocab else 0, np.where(w.place == -2, end, end + 1))
@@ -285,7 +306,7 @@ def symbols_of(coder: Coder, w: Words, before: tuple = ()) -> Symbols:
         two[0], last[0] = before[:2]
         two[1:2] = before[1]
         style[seen < 0] = before[2]
-    far = np.flatnonzero(symbol == end + 1)
+    far = np.flatnonzero((symbol == end + 1) & spelt)
     token = np.arange(n)
     if not len(far):
         return Symbols(token, symbol, style, last, two)
@@ -333,14 +354,14 @@ def _pieces(raw: np.ndarray, at: np.ndarray, most: int):
         a = b
 
 
-def coded(coder: Coder, raw: np.ndarray, at: np.ndarray, most: int = _TEXTS):
+def coded(coder: Coder, raw: np.ndarray, at: np.ndarray, most: int = _BLOCK, spelt: bool = True):
     """(words, symbols) of a block of texts, or of each piece of a long one: contexts go on from piece to piece."""
     before: tuple = ()
     for part, off, whole in _pieces(raw, at, most):
         w = words_of(coder, part, off)
         if not whole:
             w = Words(w.raw, w.starts[:-1], w.ends[:-1], w.row[:-1], w.hashes[:-1], w.place[:-1])
-        s = symbols_of(coder, w, before)
+        s = symbols_of(coder, w, before, spelt)
         yield w, s
         n = len(w.row)
         if not whole and n:
@@ -364,6 +385,12 @@ class Model(_Sent):
     types: int
     end_count: int
 
+    @cached_property
+    def packed_style(self) -> tuple[np.ndarray, np.ndarray]:
+        """Packed logits by (style, node of the top): of all counts, and without a zero or a one of them."""
+        zeros, ones = self.style[..., 0].reshape(-1), self.style[..., 1].reshape(-1)
+        return _packed_logits(zeros, ones), _packed_less(zeros, ones).reshape(-1)
+
 
 def _contexts(model: Model, style, last, two) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(group: what stays together, hashes of the three contexts, each within a group).
@@ -372,14 +399,22 @@ def _contexts(model: Model, style, last, two) -> tuple[np.ndarray, np.ndarray, n
     with its group of words before, the last two. Bytes: the last two with the
     last very common word, the last three, the word so far.
     """
+    group, own, before = _group(model, last, two)
+    middle = np.where(last >= len(model.groups), mix64(own + before + GOLDEN), group)
+    return group, mix64(group + style.astype(np.uint64)), middle, mix64(own + two.astype(np.uint64) + GOLDEN)
+
+
+def _group(model: Model, last, two) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of the group, last in the high bits, what of ``two`` the group goes by)."""
     words = len(model.groups)
     byte = last >= words
     before = np.where(byte, two & 511, two).astype(np.uint64)
     groups = np.where(byte, model.spelt_groups, model.groups[np.minimum(last, words - 1)]).astype(np.uint64)
     own = last.astype(np.uint64) << np.uint64(32)
-    group = mix64(own + mix64(before + GOLDEN) % groups + GOLDEN)
-    middle = np.where(byte, mix64(own + before + GOLDEN), group)
-    return group, mix64(group + style.astype(np.uint64)), middle, mix64(own + two.astype(np.uint64) + GOLDEN)
+    many = np.flatnonzero(groups > 1)
+    share = np.zeros(len(last), np.uint64)
+    share[many] = mix64(before[many] + GOLDEN) % groups[many]
+    return mix64(own + share + GOLDEN), own, before
 
 
 def _style_batches(batches, coder):
@@ -387,12 +422,11 @@ def _style_batches(batches, coder):
     c: Coder = coder.value
     kinds = int(c.kind.max()) + 1
     n = np.zeros(_STYLES * kinds, np.int64)
-    for batch in batches:
+    for batch in in_slices(batches, _ROWS):
         raw, at = utf8_parts(batch.column("text"))
         for a, b in row_blocks(at, _BLOCK):
-            for w, s in coded(c, raw[at[a] : at[b]], at[a : b + 1] - at[a], _BLOCK):
-                tokens = slice(0, len(w.row))
-                n += np.bincount(s.style[tokens] * kinds + c.kind[s.symbol[tokens]], minlength=len(n))
+            for _, s in coded(c, raw[at[a] : at[b]], at[a : b + 1] - at[a], spelt=False):
+                np.add.at(n, s.style * kinds + c.kind[s.symbol], 1)
     at = np.flatnonzero(n)
     for a in range(0, len(at), 1 << 16):
         part = at[a : a + (1 << 16)]
@@ -458,15 +492,18 @@ def train(docs: DataFrame, vocab: int = VOCAB, bucket_tokens: int = BUCKET_TOKEN
 
 def _planes(*columns: np.ndarray) -> bytes:
     """Whole numbers of equal length, their bytes in planes (the high ones are mostly zeros), compressed."""
-    x = np.stack(columns).astype(np.int64)
-    body = x.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
-    return np.int64(x.shape[1]).tobytes() + pa.compress(np.ascontiguousarray(body).tobytes(), codec="zstd", asbytes=True)
+    x = np.stack(columns)
+    kind = np.int32 if not x.size or (x.min() >= -(1 << 31) and x.max() < 1 << 31) else np.int64
+    size = np.dtype(kind).itemsize
+    body = x.astype(kind, copy=False).view(np.uint8).reshape(len(columns), -1, size).transpose(0, 2, 1)
+    return np.array([x.shape[1], size]).tobytes() + pa.compress(np.ascontiguousarray(body), codec="zstd", asbytes=True)
 
 
 def _columns(data: bytes, columns: int) -> np.ndarray:
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    body = pa.decompress(data[8:], decompressed_size=n * columns * 8, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(columns, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(columns, n)
+    n, size = np.frombuffer(data, np.int64, 2).tolist()
+    body = pa.decompress(memoryview(data)[16:], decompressed_size=n * columns * size, codec="zstd", asbytes=True)
+    planes = np.frombuffer(body, np.uint8).reshape(columns, size, n).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view(np.int32 if size == 4 else np.int64).reshape(columns, n)
 
 
 _ASKED = "bucket long, block long, symbols binary, texts binary, info binary"
@@ -478,21 +515,39 @@ def _tuple_hash(style, last, two, symbol) -> np.ndarray:
     return mix64(history + ((symbol.astype(np.uint64) << np.uint64(10)) | style.astype(np.uint64)))
 
 
-def _sent(model: Model, s: Symbols, row: np.ndarray, learnt: np.ndarray):
-    """(bucket, symbols, texts) of a block: each distinct symbol with its contexts once, and the texts that have it."""
-    _, first, inverse = np.unique(_tuple_hash(s.style, s.last, s.two, s.symbol), return_index=True, return_inverse=True)
-    style, last, two, symbol = (x[first].astype(np.int64) for x in (s.style, s.last, s.two, s.symbol))
-    bucket = _contexts(model, style, last, two)[0] % np.uint64(model.buckets)
-    order = np.lexsort((two, last, bucket))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    place = place[inverse]
-    n, known = np.bincount(place, minlength=len(order)), np.bincount(place, learnt[row], len(order)).astype(np.int64)
-    texts = row[np.argsort(place, kind="stable")]
-    bucket = bucket[order].astype(np.int64)
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else np.zeros(1, int)
-    at = np.concatenate(([0], np.cumsum(n)))
-    columns = [x[order] for x in (style, last, two, symbol)] + [n, known]
+def _sent(model: Model, parts: list[np.ndarray], learnt: np.ndarray):
+    """(bucket, symbols, texts) of a block: each distinct symbol with its contexts once, and the texts that have it.
+
+    ``parts``: rows style, last, two, symbol, text. Symbols are sorted by
+    bucket, last, two and a few bits of a hash; were two that differ alike in
+    those, they might be sent twice, and the bucket would add them up.
+    """
+    style, last, two, symbol, row = np.concatenate(parts, axis=1)
+    parts.clear()
+    if not len(row):
+        return
+    key = _group(model, last, two)[0] % np.uint64(model.buckets)
+    left = np.uint64(64 - model.buckets.bit_length())
+    key <<= left
+    for x, at in ((last, 20), (two, 40)):
+        key |= (x.astype(np.uint64) & np.uint64(0xFFFFF)) << left - np.uint64(at)
+    key |= _tuple_hash(style, last, two, symbol) >> np.uint64(104) - left
+    order = np.argsort(key)
+    bucket = key[order] >> left
+    del key
+    columns = [x[order] for x in (style, last, two, symbol)]
+    texts = row[order]
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    bucket = bucket[first].astype(np.int64)
+    columns = [x[first] for x in columns]
+    columns += [np.diff(np.append(first, len(texts))), np.add.reduceat(learnt[texts], first)]
+    columns = [x.astype(np.int32, copy=False) for x in columns]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+    at = np.append(first, len(texts))
     for a, b in zip(edges[:-1], edges[1:]):
         yield int(bucket[a]), _planes(*[c[a:b] for c in columns]), _planes(texts[at[a] : at[b]])
 
@@ -504,25 +559,41 @@ def _ask_batches(batches, model):
     known = np.log10(m.coder.count + 1.0) - scale
     end = np.log10(m.end_count + 1.0) - scale
     block = TaskContext.get().partitionId() << 33
-    for batch in batches:
+
+    def sent(parts, learnt):
+        rows = [(bucket, block, symbols, owners, None) for bucket, symbols, owners in _sent(m, parts, learnt)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _FIELDS)
+
+    for batch in in_slices(batches, _ROWS):
         raw, at = utf8_parts(batch.column("text"))
         held_out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         for a, b in row_blocks(at, _TEXTS):
             texts = b - a
+            learnt = (~held_out[a:b]).astype(np.int64)
             n_tokens, n_known, base, rare = np.zeros(texts, np.int64), np.zeros(texts, np.int64), np.zeros(texts), []
-            for w, s in coded(m.coder, raw[at[a] : at[b]], at[a : b + 1] - at[a]):
-                there = w.place >= 0
-                price = np.where(there, known[np.maximum(w.place, 0)] if len(known) else 0, np.where(w.place == -2, end, 0))
-                n_tokens += np.bincount(w.row, minlength=texts)
-                n_known += np.bincount(w.row, there | ((w.place == -2) & (m.end_count > 0)), texts).astype(np.int64)
-                base += np.bincount(w.row, price, texts)
-                far = w.place == -1
-                rare.append((np.bincount(w.row[far], minlength=texts), w.hashes[far].view(np.int64)))
-                rows = [(bucket, block, symbols, owners, None) for bucket, symbols, owners in _sent(m, s, w.row[s.token], ~held_out[a:b])]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _FIELDS)
-            off = np.concatenate(([0], np.cumsum(sum(r[0] for r in rare)))).astype(np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(off), pa.array(np.concatenate([r[1] for r in rare])))
+            parts, size = [], 0
+            for i, j in row_blocks(at[a : b + 1], _BLOCK):  # small arrays, whatever a block holds
+                for w, s in coded(m.coder, raw[at[a + i] : at[a + j]], at[a + i : a + j + 1] - at[a + i]):
+                    there = w.place >= 0
+                    price = np.where(there, known[np.maximum(w.place, 0)] if len(known) else 0, np.where(w.place == -2, end, 0))
+                    n_tokens[i:j] += np.bincount(w.row, minlength=j - i)
+                    n_known[i:j] += np.bincount(w.row, there | ((w.place == -2) & (m.end_count > 0)), j - i).astype(np.int64)
+                    base[i:j] += np.bincount(w.row, price, j - i)
+                    far = w.place == -1
+                    rare.append((i, np.bincount(w.row[far], minlength=j - i), w.hashes[far].view(np.int64)))
+                    parts.append(np.stack((s.style, s.last, s.two, s.symbol, w.row[s.token] + i)).astype(np.int32))
+                    size += len(s.token)
+                    if size > _SEND:
+                        yield from sent(parts, learnt)
+                        size = 0
+            if size:
+                yield from sent(parts, learnt)
+            n_rare = np.zeros(texts, np.int64)
+            for i, n, _ in rare:
+                n_rare[i : i + len(n)] += n
+            off = np.concatenate(([0], np.cumsum(n_rare)))
+            lists = pa.LargeListArray.from_arrays(pa.array(off), pa.array(np.concatenate([r[2] for r in rare])))
             info = pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(a, texts), pa.array(held_out[a:b]), pa.array(np.diff(at[a : b + 1])), pa.array(n_tokens), pa.array(n_known), pa.array(base), lists],
                 ["doc_id", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "rare"],
@@ -553,92 +624,196 @@ def _packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (np.rint(logit * 256).astype(np.int16) * 4 + sure).astype(np.int16)
 
 
+def _packed_less(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Two values a count: without one of its zeros, without one of its ones."""
+    return np.stack((_packed_logits(np.maximum(zeros - 1, 0), ones), _packed_logits(zeros, np.maximum(ones - 1, 0))), axis=1)
+
+
+_FEW = 64
+#: The same of counts below ``_FEW``, by zeros and ones; both values of a count in 32 bits.
+_PACKED = _packed_logits(*np.divmod(np.arange(_FEW * _FEW), _FEW))
+_LESS = _packed_less(*np.divmod(np.arange(_FEW * _FEW), _FEW)).view(np.int32).reshape(-1)
+
+
+def _packed_counts(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(``_packed_logits``, ``_packed_less``) of whole numbers as float64, nearly all of them small."""
+    many = np.flatnonzero(zeros + ones >= _FEW)
+    key = zeros * _FEW
+    key += ones
+    key[many] = 0
+    key = key.astype(np.intp)
+    full, less = np.take(_PACKED, key), np.take(_LESS, key).view(np.int16).reshape(-1, 2)
+    if len(many):
+        full[many], less[many] = _packed_logits(zeros[many], ones[many]), _packed_less(zeros[many], ones[many])
+    return full, less
+
+
 @dataclass
 class Bits:
-    """Bits of symbols, with each context's packed logit: of all counts, and (where its symbol is learnt from) without the bit's own."""
+    """Bits of symbols, with each context's packed logit: of all counts, and without the bit's own (for symbols that are learnt from).
+
+    Level by level from the root; within a level, symbols with deeper leaves come first.
+    """
 
     row: np.ndarray
     node: np.ndarray
     bit: np.ndarray
     full: np.ndarray  # context; bit
     less: np.ndarray
+    place: np.ndarray  # of each symbol, its place within a level
+    alive: np.ndarray  # of each level, its bits
+    ids: np.ndarray  # (row, node) of each bit side by side
+    own: np.ndarray  # (less, bit) of each bit side by side
 
+    def some(self, at: np.ndarray):
+        """(row, node, less, bit) of some bits: two reads of 8 bytes each."""
+        ids = np.take(self.ids.view(np.int64).reshape(-1), at).view(np.int32).reshape(-1, 2)
+        own = np.take(self.own.view(np.int64).reshape(-1), at).view(np.int16).reshape(-1, CONTEXTS + 1).T
+        return ids[:, 0], ids[:, 1], own[:CONTEXTS], own[CONTEXTS].astype(np.int8)
 
-def bits_of(model: Model, style, last, two, symbol, n) -> Bits:
-    """All bits of distinct symbols with ``n`` training occurrences each.
+    def of(self, symbols: np.ndarray) -> np.ndarray:
+        """The bits of these symbols, level by level in the order given."""
+        at, first = self.place[symbols], np.cumsum(self.alive) - self.alive
+        return np.concatenate([at[at < n] + a for a, n in zip(first, self.alive)] or [at[:0]])
+
+
+class _Run:
+    """Symbols in the order of (context, leaf): those under a node are neighbours, so that its zeros and ones are sums over a run.
 
-    In the order of (context, leaf) the symbols under a node are neighbours,
-    so that a node's zeros and ones are sums over a run.
+    A symbol alone under its node stays alone, so it leaves: ``bits_of`` has given it its own count at every level.
     """
+
+    def __init__(self, context: np.ndarray, leaf: np.ndarray, n: np.ndarray, among: np.ndarray):
+        order = np.argsort(context)
+        new = np.concatenate(([True], context[order][1:] != context[order][:-1]))[: len(order)]
+        key = np.cumsum(new) << 20 | leaf[order]
+        by = np.argsort(key)
+        order, key = order[by], key[by] >> 20
+        self.at, self.n = among[order], n[order].astype(np.float64)
+        self.first = np.concatenate(([True], key[1:] != key[:-1]))[: len(order)]
+        self._keep(len(n) and int(among.max()) + 1)
+
+    def _keep(self, alive: int) -> None:
+        alone = self.first & np.concatenate((self.first[1:], [True]))[: len(self.first)]
+        keep = np.flatnonzero(~alone & (self.at < alive))
+        if len(keep) < len(self.at):
+            self.at, self.n, self.first = np.take(self.at, keep), np.take(self.n, keep), np.take(self.first, keep)
+
+    def level(self, bit: np.ndarray, full: np.ndarray, less: np.ndarray, following: int) -> None:
+        """Sets the values of a level's bits; ``following``: bits of the next level."""
+        if not len(self.at):
+            return
+        side = np.take(bit, self.at)
+        run = np.cumsum(self.first)
+        run -= 1
+        both = run * 2
+        both += side
+        n = np.bincount(both, self.n, 2 * int(run[-1]) + 2)
+        packed, without = _packed_counts(n[0::2], n[1::2])
+        full[self.at] = np.take(packed, run)
+        less[self.at] = np.take(without, both)
+        self.first[1:] |= side[1:] != side[:-1]
+        self._keep(following)
+
+
+def bits_of(model: Model, style, last, two, symbol, n) -> Bits:
+    """All bits of distinct symbols with ``n`` training occurrences each."""
     c = model.coder
-    root = c.offsets[symbol + 1] - 1
-    depth = root - c.offsets[symbol] + 1
-    known = n > 0
+    depth = c.offsets[symbol + 1] - c.offsets[symbol]
+    order = np.argsort(-depth.astype(np.int16), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    style, last, two, symbol, n = (x[order] for x in (style, last, two, symbol, n))
+    levels = int(depth.max()) if len(depth) else 0
+    alive = np.array([np.count_nonzero(depth > level) for level in range(levels)], np.int64)
+    total = int(alive.sum())
+    ids, bit = np.empty((total, 2), np.int32), np.empty(total, np.int8)
+    row, node = ids.T
+    full, own = np.empty((CONTEXTS, total), np.int16), np.empty((total, CONTEXTS + 1), np.int16)
+    less = own.T[:CONTEXTS]
+    out = Bits(row, node, bit, full, less, place, alive, ids, own)
+    if not total:
+        return out
+    root, order = c.offsets[symbol + 1] - 1, order.astype(np.int32)
+    is_byte = symbol > c.end + 1
+    byte, every = np.flatnonzero(is_byte), np.arange(len(symbol))
     runs = []
     for k, h in enumerate(_contexts(model, style, last, two)[1:]):
-        among = np.flatnonzero(symbol > c.end + 1) if k == 0 else np.arange(len(symbol))
-        context = np.unique(h, return_inverse=True)[1] << 20
-        runs.append([context, among[np.argsort(context[among] | c.leaf[symbol[among]])]])
-    parts = []
-    nodes, bits = np.zeros(len(symbol), np.int32), np.zeros(len(symbol), np.int8)
-    full, less = np.zeros((2, CONTEXTS, len(symbol)), np.int16)
-    row, word = np.arange(len(symbol)), np.flatnonzero(symbol <= c.end + 1)
-    for level in range(int(depth.max()) if len(depth) else 0):
-        row, word = row[depth[row] > level], word[depth[word] > level]
-        at = root[row] - level
-        nodes[row], bits[row] = c.nodes[at], c.bits[at]
-        if level < TOP_BITS:
-            count = model.style[style[word], model.top[nodes[word]]]
-            full[0][word] = _packed_logits(count[:, 0], count[:, 1])
-            mine = word[known[word]]
-            count = count[known[word]]
-            count[np.arange(len(mine)), bits[mine]] -= 1
-            count = np.maximum(count, 0)
-            less[0][mine] = _packed_logits(count[:, 0], count[:, 1])
-        elif level == TOP_BITS:
-            full[0][word] = less[0][word] = 0
-        for run, whole, without in zip(runs, full, less):
-            context, on = run[0], run[1][depth[run[1]] > level]
-            run[1] = on
-            if not len(on):
-                continue
-            key = context[on] | nodes[on]
-            start = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-            weight, side = n[on], bits[on]
-            total, ones = np.add.reduceat(weight, start), np.add.reduceat(weight * side, start)
-            size = np.diff(np.concatenate((start, [len(on)])))
-            whole[on] = np.repeat(_packed_logits(total - ones, ones), size)
-            # Without the bit's own: two values a run, one for each side.
-            both = np.stack((_packed_logits(np.maximum(total - ones - 1, 0), ones), _packed_logits(total - ones, np.maximum(ones - 1, 0))))
-            without[on] = both[side, np.repeat(np.arange(len(start)), size)]
-        parts.append((row.astype(np.int32), nodes[row], bits[row], full[:, row], less[:, row]))
-    if not parts:
-        return Bits(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int8), np.zeros((CONTEXTS, 0), np.int16), np.zeros((CONTEXTS, 0), np.int16))
-    return Bits(*[np.concatenate([p[k] for p in parts], axis=-1) for k in range(5)])
+        among = every if k else byte
+        runs.append(_Run(h[among], c.leaf[symbol[among]], n[among], among))
+    # A symbol alone in its context: its own count, on the side of the bit.
+    times = n.astype(np.float64)
+    (zero, zero_less), (one, one_less) = _packed_counts(times, 0 * times), _packed_counts(0 * times, times)
+    zero_less, one_less = zero_less[:, 0].copy(), one_less[:, 1].copy()
+    styles = style.astype(np.int64) * model.style.shape[1]
+    some_words, some_bytes = len(byte) < len(symbol), len(byte) > 0
+    a = 0
+    for level, size in enumerate(alive.tolist()):
+        b, following = a + size, int(alive[level + 1]) if level + 1 < levels else 0
+        at = root[:size] - level
+        row[a:b] = order[:size]
+        node[a:b] = nodes = np.take(c.nodes, at)
+        bit[a:b] = side = np.take(c.bits, at)
+        is_one, here = side.view(bool), is_byte[:size]
+        whole, without = np.where(is_one, one[:size], zero[:size]), np.where(is_one, one_less[:size], zero_less[:size])
+        full[1:, a:b], less[1:, a:b] = whole, without
+        if some_words and level < TOP_BITS:
+            key = styles[:size] + np.take(model.top, nodes)
+            of_style, own_style = np.take(model.packed_style[0], key), np.take(model.packed_style[1], key * 2 + side)
+            if some_bytes:
+                of_style, own_style = np.where(here, whole, of_style), np.where(here, without, own_style)
+            full[0, a:b], less[0, a:b] = of_style, own_style
+        else:
+            full[0, a:b], less[0, a:b] = whole * here, without * here
+        for run, of_run, own_of_run in zip(runs, full, less):
+            run.level(side, of_run[a:b], own_of_run[a:b], following)
+        a = b
+    own[:, CONTEXTS] = bit
+    return out
 
 
 def _inputs(coder: Coder, node: np.ndarray, packed: np.ndarray):
     """(inputs of the mixer, its weight set) of each bit."""
-    x = [coder.logits[node]]
-    gate = (node >= coder.word_nodes).astype(np.int32)
+    x = [np.take(coder.logits, node)]
+    gate = (node >= coder.word_nodes).astype(np.int16)
     for p in packed:
-        x.append((p >> 2).astype(np.float32) * np.float32(1 / 256))
-        gate = gate * 4 + (p & 3)
-    return x, gate
+        v = (p >> 2).astype(np.float32)
+        v *= np.float32(1 / 256)
+        x.append(v)
+        gate *= 4
+        gate += p & 3
+    return x, gate.astype(np.intp)
 
 
 def _mixed(weights: np.ndarray, x: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
-    z = np.take(weights[0], gate) * x[0]
+    z = np.take(weights[0], gate)
+    z *= x[0]
     for w, v in zip(weights[1:], x[1:]):
-        z += np.take(w, gate) * v
+        t = np.take(w, gate)
+        t *= v
+        z += t
     return z
 
 
 def _refined(z: np.ndarray, gate: np.ndarray):
     """Place in the refinement table: left column and distance to it."""
-    y = (np.clip(z, -_LOGIT, _LOGIT) + np.float32(_LOGIT)) * np.float32((_STEPS - 1) / (2 * _LOGIT))
+    y = np.clip(z, -_LOGIT, _LOGIT)
+    y += np.float32(_LOGIT)
+    y *= np.float32((_STEPS - 1) / (2 * _LOGIT))
     low = np.minimum(y.astype(np.int32), _STEPS - 2)
-    return gate * _STEPS + low, y - low
+    return gate * _STEPS + low, y - low  # the distance in float64
+
+
+def _error(z: np.ndarray, bit: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What was not foreseen of each bit, ``n`` times."""
+    t = np.clip(z, -12, 12)
+    np.negative(t, out=t)
+    np.exp(t, out=t)
+    t += 1
+    np.divide(1, t, out=t)
+    np.subtract(bit, t, out=t)
+    t *= n
+    return t
 
 
 _FINE = 512
@@ -665,25 +840,43 @@ class Mixer:
         z = _mixed(self.weights, x, gate)
         at, share = _refined(z, gate)
         left = np.take(self.refine, at)
-        z += left + (np.take(self.refine, at + 1) - left) * share
-        step = np.clip(np.rint(z * np.float32(0.5 * _FINE)), -12 * _FINE, 12 * _FINE).astype(np.int32)
-        return np.take(_LOG_P, np.where(bit == 1, step, -step) + 12 * _FINE)
+        at += 1
+        right = np.take(self.refine, at)
+        right -= left
+        share *= right
+        share += left
+        z += share
+        z *= np.float32(0.5 * _FINE)
+        np.rint(z, out=z)
+        np.clip(z, -12 * _FINE, 12 * _FINE, out=z)
+        step = z.astype(np.int32)
+        step *= 2 * bit.astype(np.int32) - 1
+        step += 12 * _FINE
+        return np.take(_LOG_P, step)
 
     def learn(self, node: np.ndarray, packed: np.ndarray, bit: np.ndarray, n: np.ndarray) -> None:
         """An online step over bits that occur ``n`` times: per gate the mean gradient, times the root of its bits."""
         x, gate = _inputs(self.coder, node, packed)
         z = _mixed(self.weights, x, gate)
-        error = (bit - 1 / (1 + np.exp(-np.clip(z, -12, 12)))) * n
-        scale = RATE * np.sqrt(np.bincount(gate, minlength=2 * _GATES)) / np.maximum(np.bincount(gate, n, 2 * _GATES), 1)
-        for own, v in zip(self.weights, x):
-            own += (scale * np.bincount(gate, error * v, 2 * _GATES)).astype(np.float32)
         place, share = _refined(z, gate)
-        both = np.concatenate((place, place + 1))
-        r = self.refine[place] * (1 - share) + self.refine[place + 1] * share
-        error = (bit - 1 / (1 + np.exp(-np.clip(r, -12, 12)))) * n
         size = len(self.refine)
-        scale = RATE * np.sqrt(np.bincount(both, minlength=size)) / np.maximum(np.bincount(both, np.concatenate((n, n)), size), 1)
-        self.refine += (scale * np.bincount(both, np.concatenate((error * (1 - share), error * share)), size)).astype(np.float32)
+        bits, times = np.bincount(place, minlength=size), np.bincount(place, n, size)
+        error = _error(z, bit, n)
+        scale = RATE * np.sqrt(bits.reshape(-1, _STEPS).sum(axis=1)) / np.maximum(times.reshape(-1, _STEPS).sum(axis=1), 1)
+        for own, v in zip(self.weights, x):
+            v *= error
+            own += (scale * np.bincount(gate, v, 2 * _GATES)).astype(np.float32)
+        far = 1 - share
+        r = np.take(self.refine, place) * far
+        r += np.take(self.refine, place + 1) * share
+        error = _error(r, bit, n)
+        far *= error
+        error *= share
+        # Each bit teaches its left column and the next one.
+        for whole in (bits, times):
+            whole[1:] += whole[:-1].copy()
+        scale = RATE * np.sqrt(bits) / np.maximum(times, 1)
+        self.refine += (scale * np.bincount(np.concatenate((place, place + 1)), np.concatenate((far, error)), size)).astype(np.float32)
 
 
 def priced(model: Model, style, last, two, symbol, n) -> np.ndarray:
@@ -700,14 +893,15 @@ def priced(model: Model, style, last, two, symbol, n) -> np.ndarray:
     price = np.zeros(len(symbol))
     for k, on in enumerate(np.split(order, np.flatnonzero(np.diff(part[order])) + 1)):
         bits = bits_of(model, *[x[on] for x in (style, last, two, symbol, n)])
-        weight = n[on][bits.row].astype(np.float32)
-        known = np.flatnonzero(weight > 0)
+        known = bits.of(np.flatnonzero(n[on] > 0))
         known = np.random.default_rng(len(known)).permutation(known)
+        weight = n[on].astype(np.float32)
         for _ in range(1 if k else 2):
             for a in range(0, len(known), _STEP):
-                step = known[a : a + _STEP]
-                mixer.learn(bits.node[step], bits.less[:, step], bits.bit[step], weight[step])
-        price[on] = -np.bincount(bits.row, mixer.log_p(bits.node, bits.full, bits.bit), len(on))
+                row, node, less, bit = bits.some(known[a : a + _STEP])
+                mixer.learn(node, less, bit, np.take(weight, row))
+        log_p = [mixer.log_p(bits.node[a : a + _STEP], bits.full[:, a : a + _STEP], bits.bit[a : a + _STEP]) for a in range(0, len(bits.row), _STEP)]
+        price[on] = -np.bincount(bits.row, np.concatenate(log_p) if log_p else None, len(on))
     return np.rint(price * _UNIT).astype(np.int64)
 
 
@@ -718,21 +912,30 @@ def _price_batches(batches, model):
     def settled(held):
         columns = [_columns(h[1], 6) for h in held]
         style, last, two, symbol, _, known = np.concatenate(columns, axis=1)
-        _, first, inverse = np.unique(_tuple_hash(style, last, two, symbol), return_index=True, return_inverse=True)
-        price = priced(m, style[first], last[first], two[first], symbol[first], np.bincount(inverse, known).astype(np.int64))[inverse]
+        # Distinct symbols in the order of their hashes.
+        hashes = _tuple_hash(style, last, two, symbol)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+        first = order[new]
+        inverse = np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        n = np.bincount(inverse, known).astype(np.int64)
+        del hashes, order, new
+        price = priced(m, *(x[first].astype(np.int64) for x in (style, last, two, symbol)), n)[inverse]
         out, at = [], 0
         for (block, _, owners), c in zip(held, columns):
             size = c.shape[1]
             each = np.repeat(price[at : at + size], c[4])
             at += size
-            texts, place = np.unique(_columns(owners, 1)[0], return_inverse=True)
-            total = np.zeros(len(texts), np.int64)
-            np.add.at(total, place, each)
-            out.append((0, block, None, _planes(texts, total), None))
+            texts = _columns(owners, 1)[0]
+            total = np.bincount(texts, each)  # whole numbers: prices are positive and far below 2**53
+            texts = np.flatnonzero(total)
+            out.append((0, block, None, _planes(texts, total[texts].astype(np.int64)), None))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], _FIELDS)
 
     now, held = None, []
-    for batch in batches:
+    for batch in in_slices(batches, _ROWS):
         names = batch.column("info").is_valid()
         if pa.compute.any(names).as_py():
             yield batch.filter(names)
@@ -762,7 +965,7 @@ def _gather_batches(batches):
         lists = info.column("rare").cast(pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array(first + np.arange(len(total))), *info.columns[:6], pa.array(score), lists], ["row", *info.schema.names[:6], "score", "rare"])
 
-    for batch in batches:
+    for batch in in_slices(batches, _ROWS):
         for owners, named in zip(batch.column("texts").to_pylist(), batch.column("info").to_pylist()):
             if named is not None:
                 if info is not None:

@@ -5,6 +5,8 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -314,6 +316,58 @@ def test_context_counts_over_32_bits(spark):
     assert (bits.full[1:, last] == np.where(bits.bit[last] == 1, top, -top) + 3).all()
 
 
+def asked(monkeypatch, model, texts):
+    """Rows for the buckets that a task makes of these texts, without a session."""
+    task = types.SimpleNamespace(partitionId=lambda: 0)
+    monkeypatch.setattr(context_mixing, "TaskContext", types.SimpleNamespace(get=lambda: task))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([i % 7 == 2 for i in range(len(texts))]), pa.array(texts, pa.string())], ["doc_id", "held_out", "text"])
+    return context_mixing._ask_batches([batch], types.SimpleNamespace(value=model))
+
+
+def test_memory_of_sending_symbols(spark, monkeypatch):
+    """What a task holds while it sends a block's symbols stays small: two such workers share an executor with its heap."""
+    model = lm_model(spark, spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string"))
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 30_000, 300)) for _ in range(2300)]  # a block of 4 MB, all spelt
+    tracemalloc.start()
+    for _ in asked(monkeypatch, model, texts):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+
+
+def test_symbols_sent_in_parts_are_the_same(spark, monkeypatch):
+    rows = [r[1] for r in lm_rows()[:305]]
+    model = lm_model(spark, spark.createDataFrame([r[:2] for r in lm_rows()[:305]], "doc_id long, text string"), bucket_tokens=500)
+    found = []
+    for block, send in ((1 << 19, 1 << 20), (3000, 1000)):
+        monkeypatch.setattr(context_mixing, "_BLOCK", block)
+        monkeypatch.setattr(context_mixing, "_SEND", send)
+        n = collections.Counter()
+        for batch in asked(monkeypatch, model, rows):
+            for r in batch.to_pylist():
+                if r["info"] is None:
+                    symbols, texts = context_mixing._columns(r["symbols"], 6), context_mixing._columns(r["texts"], 1)[0]
+                    owners = np.split(texts, np.cumsum(symbols[4])[:-1])
+                    for symbol, own in zip(symbols[:4].T.tolist(), owners):
+                        n.update((r["bucket"], *symbol, t) for t in own.tolist())
+                    assert [sum(t % 7 != 2 for t in own.tolist()) for own in owners] == symbols[5].tolist()
+        found.append(n)
+    symbols, row = lm_symbols(model, rows)
+    bucket = context_mixing._contexts(model, *symbols[:3])[0] % np.uint64(model.buckets)
+    assert found[0] == found[1] == collections.Counter(zip(bucket.tolist(), *symbols.tolist(), row.tolist()))
+
+
+def test_words_are_found_by_their_hashes():
+    rng = np.random.default_rng(5)
+    words = np.unique(np.concatenate((rng.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2), np.arange(9, dtype=np.uint64), ~np.arange(9, dtype=np.uint64))))
+    coder = context_mixing.Coder(words, *[np.zeros(0)] * 6, 0, *[np.zeros(0)] * 2)
+    asked = np.concatenate((words, words + np.uint64(1), words - np.uint64(1)))
+    place = {w: i for i, w in enumerate(words.tolist())}
+    assert coder.find(asked).tolist() == [place.get(w, -1) for w in asked.tolist()]
+
+
 def test_planes_round_trip():
     x = np.array([[0, -5, 2**40], [1, 2, 3]])
     assert (context_mixing._columns(context_mixing._planes(*x), 2) == x).all()
